@@ -51,11 +51,14 @@ def missing_profile(df: DataFrame, columns: Sequence[str] | None = None, nonzero
     return out.orderBy(F.desc("n_missing"), "column")
 
 
-def describe(df: DataFrame, columns: Sequence[str], exact: bool | None = None) -> DataFrame:
+def describe(df: DataFrame, columns: Sequence[str], exact: bool | None = None,
+             decimal_scale: int | None = None) -> DataFrame:
     """(column, count, mean, std, min, q25, q50, q75, max) per column.
 
     Sample std (ddof 1); quartiles by linear interpolation. ``exact=None``
-    chooses exact percentiles up to EXACT_PERCENTILE_MAX_ROWS rows.
+    chooses exact percentiles up to EXACT_PERCENTILE_MAX_ROWS rows. With
+    ``decimal_scale`` the mean is an exact decimal sum divided by the count, so
+    the result does not depend on the order in which partitions are summed.
     """
     if exact is None:
         exact = df.count() <= EXACT_PERCENTILE_MAX_ROWS
@@ -67,8 +70,10 @@ def describe(df: DataFrame, columns: Sequence[str], exact: bool | None = None) -
     aggs = []
     for i, c in enumerate(columns):
         x = F.col(c).cast("double")
+        mean = (F.sum(F.col(c).cast(f"decimal(30,{decimal_scale})")).cast("double") / F.count(x)
+                if decimal_scale is not None else F.avg(x))
         aggs.append(F.struct(
-            F.lit(c).alias("column"), F.count(x).alias("count"), F.avg(x).alias("mean"),
+            F.lit(c).alias("column"), F.count(x).alias("count"), mean.alias("mean"),
             F.stddev_samp(x).alias("std"), F.min(x).alias("min"), q(c, 0.25).alias("q25"),
             q(c, 0.5).alias("q50"), q(c, 0.75).alias("q75"), F.max(x).alias("max")).alias(f"s{i}"))
     wide = df.agg(*aggs)

@@ -1,4 +1,4 @@
 """Composed query plans over the test fixtures; importing registers every key."""
 
-from cohortwatch.plans import q_clean  # noqa: F401
+from cohortwatch.plans import q_clean, q_profile  # noqa: F401
 from cohortwatch.plans.registry import ORACLES, QUERIES  # noqa: F401
