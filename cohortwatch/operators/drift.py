@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from cohortwatch.functions.stats import chi2_sf, ks_p_value, normal_two_sided_p
 from cohortwatch.operators.scan import ordered_scan
 from cohortwatch.operators.split import broadcast_if_small
+from cohortwatch.session import cut_lineage
 
 # ---------------------------------------------------------------------------
 # Fixed values (default test regime of the drift report).
@@ -125,7 +126,9 @@ def select_test(kind, n_ref, n_values):
 def drift_table(reference: DataFrame, current: DataFrame, numeric: Sequence[str], categorical: Sequence[str],
                 group: str | None = None) -> DataFrame:
     """Per (group, column): kind, sizes, test, statistic, p_value, score, drifted."""
-    grid = value_grid(reference, current, numeric, categorical, group)
+    # The grid (value counts) is the one heavy pass over both samples; it is written once to
+    # the shared checkpoint folder so every statistic below reads it instead of recomputing.
+    grid = cut_lineage(value_grid(reference, current, numeric, categorical, group))
     totals = _column_totals(grid)
     ref_long = long_form(reference, numeric, []) if numeric else None
     std_ref = (ref_long.groupBy("column").agg(F.stddev_pop("vnum").alias("std_ref"))

@@ -25,7 +25,11 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # broadcast only when the planner has a size estimate below this bound
     "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
+    # checkpoint files of dropped DataFrames are removed by the context cleaner
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
+# Only applies when this process starts the JVM (local runs, tests, bench).
+LOCAL_DRIVER_MEMORY = "16g"
 
 
 def get_spark(master: str | None = None, app: str = "cohortwatch",
@@ -34,6 +38,8 @@ def get_spark(master: str | None = None, app: str = "cohortwatch",
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
+        if master.startswith("local"):
+            builder = builder.config("spark.driver.memory", LOCAL_DRIVER_MEMORY)
     for k, v in DEFAULT_CONF.items():
         builder = builder.config(k, v)
     if shuffle_partitions:
