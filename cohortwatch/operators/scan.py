@@ -22,14 +22,17 @@ from cohortwatch.operators.split import broadcast_if_small
 def ordered_scan(df: DataFrame, by: Sequence[str], order: str, sums: Sequence[str],
                  buckets: int = 1024, cum_prefix: str = "cum_", next_col: str = "next_value") -> DataFrame:
     by = list(by)
-    rng = df.groupBy(*by).agg(F.min(order).alias("__lo"), F.max(order).alias("__hi"))
-    d = df.join(broadcast_if_small(rng), by, "inner")
+    if by:
+        rng = df.groupBy(*by).agg(F.min(order).alias("__lo"), F.max(order).alias("__hi"))
+        d = df.join(broadcast_if_small(rng), by, "inner")
+    else:  # one group: the range is two scalar subqueries
+        d = df.withColumns({"__lo": df.agg(F.min(order)).scalar(), "__hi": df.agg(F.max(order)).scalar()})
     x = F.col(order).cast("double")
     lo, hi = F.col("__lo").cast("double"), F.col("__hi").cast("double")
     d = d.withColumn("__bk", F.when(hi == lo, F.lit(0)).otherwise(
         F.least(F.floor((x - lo) / (hi - lo) * buckets), F.lit(buckets - 1))).cast("long")).drop("__lo", "__hi")
     bt = d.groupBy(*by, "__bk").agg(F.min(order).alias("__bmin"), *[F.sum(c).alias(f"__bs_{c}") for c in sums])
-    wb = Window.partitionBy(*by).orderBy("__bk")
+    wb = Window.partitionBy(*by).orderBy("__bk") if by else Window.orderBy("__bk")  # one row per bucket
     wb_prev = wb.rowsBetween(Window.unboundedPreceding, -1)
     bt = bt.select(*by, "__bk", F.lead("__bmin").over(wb).alias("__next_bmin"),
                    *[F.coalesce(F.sum(f"__bs_{c}").over(wb_prev), F.lit(0)).alias(f"__off_{c}") for c in sums])

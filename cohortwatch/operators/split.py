@@ -21,13 +21,20 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from cohortwatch.functions.values import hash_order, hash_u32
+from cohortwatch.session import cut_lineage
 
 # Tables below this many rows are broadcast; beyond it the join shuffles.
 BROADCAST_MAX_ROWS = 2_000_000
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast only after counting: a proven size bound, else a shuffle join."""
+    """Broadcast only after counting: a proven size bound, else a shuffle join.
+
+    The side is written once to the checkpoint folder first, so the count and
+    the join read the stored rows instead of running the upstream
+    aggregation twice.
+    """
+    df = cut_lineage(df)
     return F.broadcast(df) if df.count() <= max_rows else df
 
 

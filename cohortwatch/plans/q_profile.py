@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from cohortwatch import schemas as S
+from cohortwatch.functions.values import py_round
 from cohortwatch.operators import clean as C
 from cohortwatch.operators import profile as PR
 from cohortwatch.plans.fixtures import (ENCOUNTERS_SQL, LINE_TARGET_SQL, encounters,
@@ -127,10 +128,13 @@ def q_rate_capped(spark, sf_dir):
 
 
 @register("positive_rate", with_ctes(
-    "SELECT count(*) AS n, round(avg(target), 6) AS positive_rate FROM lt", **LT))
+    "SELECT count(*) AS n, round(avg(target), 6) AS positive_rate, "
+    "round_even(CAST(sum(target) AS DOUBLE) * 100 / count(*), 1) AS pct_half_even FROM lt", **LT))
 def q_positive_rate(spark, sf_dir):
+    """G11 and F14 (half-to-even rounding of the percentage)."""
     out = PR.positive_rate(line_target(spark, sf_dir), "target")
-    return out.select("n", r6("positive_rate").alias("positive_rate"))
+    return out.select("n", r6("positive_rate").alias("positive_rate"),
+                      py_round(F.col("positive_rate") * 100, 1).alias("pct_half_even"))
 
 
 @register("histogram", """
@@ -222,3 +226,24 @@ def q_quality_profile(spark, sf_dir):
 def q_null_assert(spark, sf_dir):
     out = PR.null_assert(_raw_enc(spark, sf_dir), PROFILE_COLS + ["encounter_id"])
     return out.select(F.col("column").alias("column_name"), "n_null", "ok")
+
+
+@register("schema_listing", """
+SELECT column_name, data_type, column_name IN ('o_orderkey', 'o_custkey', 'o_totalprice') AS is_numeric,
+  CAST(row_number() OVER () - 1 AS INT) AS position
+FROM (SELECT column_name, CASE column_type WHEN 'BIGINT' THEN 'bigint' WHEN 'DOUBLE' THEN 'double'
+        WHEN 'VARCHAR' THEN 'string' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' ELSE lower(column_type) END AS data_type
+      FROM (DESCRIBE orders))
+""")
+def q_schema_listing(spark, sf_dir):
+    """Column list with types and the numeric role, from the schema (no data pass)."""
+    od = read_table(spark, sf_dir, "orders")
+    numeric = set(C.numeric_columns(od))
+    rows = [(f.name, f.dataType.simpleString(), f.name in numeric, i) for i, f in enumerate(od.schema.fields)]
+    return spark.createDataFrame(rows, "column_name string, data_type string, is_numeric boolean, position int")
+
+
+@register("preview_head", "SELECT * FROM orders ORDER BY o_orderkey LIMIT 5")
+def q_preview_head(spark, sf_dir):
+    """The first rows by key (a preview; the limit is the feature)."""
+    return read_table(spark, sf_dir, "orders").orderBy("o_orderkey").limit(5)

@@ -127,3 +127,23 @@ def q_stream_append_log(spark, sf_dir):
     for _ in range(2):
         ST.append_to_files(scored, dirs["sink"], dirs["checkpoint"])
     return spark.read.parquet(dirs["sink"])
+
+
+@register("stream_rolling_drift")
+def q_stream_rolling_drift(spark, sf_dir):
+    """T05, T06 live: foreachBatch monitor over day batches (any size); state after every batch.
+
+    Rows-only check: which rows a check sees depends on the order the file
+    source delivers the day files in.
+    """
+    from cohortwatch import schemas as S
+    from cohortwatch.operators import split as SP
+    from cohortwatch.streaming.monitor import RollingDriftMonitor
+    dirs, stream = _staged(spark, sf_dir, "rolling")
+    ev = read_table(spark, sf_dir, "events")
+    ref = SP.hash_sample(ev.select("event_id", "value", "event_type"), "event_id", S.DRIFT_REFERENCE_ROWS,
+                         S.SPLIT_SEED)
+    mon = RollingDriftMonitor(ref, ["value"], ["event_type"], dirs["sink"], "event_id", S.ROLLING_WINDOW_ROWS,
+                              S.ROLLING_MIN_NEW_ROWS, S.ROLLING_MIN_WINDOW_ROWS)
+    ST.foreach_batch(stream.select("event_id", "value", "event_type"), mon, dirs["checkpoint"])
+    return mon.states(spark)
