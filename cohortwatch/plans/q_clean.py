@@ -136,7 +136,7 @@ def q_distinct_by_key(spark, sf_dir):
 SELECT event_id,
   CAST(count(*) OVER w AS BIGINT) AS n_window,
   CAST(sum(CAST(value AS DECIMAL(18, 2))) OVER w AS DOUBLE) AS sum_window,
-  round(CAST(sum(CAST(value AS DECIMAL(18, 2))) OVER w AS DOUBLE) / count(*) OVER w, 6) AS mean_window
+  CAST(sum(CAST(value AS DECIMAL(18, 2))) OVER w AS DOUBLE) / count(*) OVER w AS mean_window
 FROM events
 WINDOW w AS (ORDER BY event_id ROWS BETWEEN 2999 PRECEDING AND CURRENT ROW)
 """)
@@ -144,7 +144,7 @@ def q_rolling_rows(spark, sf_dir):
     ev = read_table(spark, sf_dir, "events")
     out = rolling_rows(ev, "event_id", "value", S.ROLLING_WINDOW_ROWS, decimal_scale=2)
     return out.select("event_id", "n_window", "sum_window",
-                      F.round(F.col("sum_window") / F.col("n_window"), 6).alias("mean_window"))
+                      (F.col("sum_window") / F.col("n_window")).alias("mean_window"))
 
 
 # ---- code groups and features ---------------------------------------------
