@@ -52,16 +52,19 @@ def py_float(c: Column) -> Column:
 
 def group_codes(code: Column | str, groups=DIAGNOSIS_GROUPS,
                 prefixes: Sequence[str] = SUPPLEMENTARY_PREFIXES,
-                missing: str = "Missing", other: str = "Other") -> Column:
+                missing: str = "Missing", other: str = "Other", numeric: Column | None = None) -> Column:
     """Map a code string to a group label.
 
     null -> ``missing``; leading supplementary prefix -> ``other``; not a number
     -> ``other``; NaN -> ``other`` (all comparisons false); else the first group
     whose closed (or half-open) range or point list contains the number.
+    ``numeric`` may carry the already parsed number (see
+    ``features.add_code_groups``), so the parse runs once per row instead of
+    once per branch.
     """
     c = F.col(code) if isinstance(code, str) else code
     s = c.cast("string")
-    x = py_float(s)
+    x = numeric if numeric is not None else py_float(s)
     expr = F.when(c.isNull(), F.lit(missing))
     for p in prefixes:
         expr = expr.when(s.startswith(p), F.lit(other))

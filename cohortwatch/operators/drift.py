@@ -75,22 +75,34 @@ def _column_totals(grid: DataFrame) -> DataFrame:
         F.sum("n_r").alias("n_ref"), F.sum("n_c").alias("n_cur"), F.count(F.lit(1)).alias("n_values"))
 
 
-def numeric_distances(grid: DataFrame, totals: DataFrame, std_ref: DataFrame) -> DataFrame:
-    """(g, column, ks_d, w1, w1_norm) for numeric columns."""
+def reference_std(grid: DataFrame, totals: DataFrame) -> DataFrame:
+    """Population std of the reference per (g, column), from the value counts (two passes over the grid)."""
+    num = grid.filter((F.col("kind") == "num") & (F.col("n_r") > 0)).join(totals, [G, "column"])
+    mean = num.groupBy(G, "column").agg((F.sum(F.col("n_r") * F.col("vnum")) / F.first("n_ref")).alias("__mu"))
+    dev = num.join(mean, [G, "column"]).select(
+        G, "column", "n_ref", (F.col("n_r") * (F.col("vnum") - F.col("__mu")) ** 2).alias("__d2"))
+    return dev.groupBy(G, "column").agg(F.sqrt(F.sum("__d2") / F.first("n_ref")).alias("std_ref"))
+
+
+def numeric_distances(grid: DataFrame, totals: DataFrame) -> DataFrame:
+    """(g, column, ks_d, w1, w1_norm) for numeric columns.
+
+    ``totals`` is the per-(g, column) table, already sized for the join.
+    """
     num = grid.filter(F.col("kind") == "num").select(G, "column", "vnum", "n_r", "n_c")
     sc = ordered_scan(num, [G, "column"], "vnum", ["n_r", "n_c"])
-    sc = sc.join(broadcast_if_small(totals.select(G, "column", "n_ref", "n_cur")), [G, "column"])
+    sc = sc.join(totals.select(G, "column", "n_ref", "n_cur"), [G, "column"])
     diff = F.abs(F.col("cum_n_r") / F.col("n_ref") - F.col("cum_n_c") / F.col("n_cur"))
     per = sc.groupBy(G, "column").agg(
         F.max(diff).alias("ks_d"),
         F.sum(diff * F.coalesce(F.col("next_value") - F.col("vnum"), F.lit(0.0))).alias("w1"))
-    per = per.join(broadcast_if_small(std_ref), "column", "left")
+    per = per.join(reference_std(grid, totals), [G, "column"], "left")
     return per.withColumn("w1_norm", F.col("w1") / F.greatest(F.col("std_ref"), F.lit(STD_FLOOR)))
 
 
 def categorical_stats(grid: DataFrame, totals: DataFrame) -> DataFrame:
     """(g, column, js, chi2, chi2_df, z) from value shares."""
-    g = grid.join(broadcast_if_small(totals.select(G, "column", "n_ref", "n_cur")), [G, "column"])
+    g = grid.join(totals.select(G, "column", "n_ref", "n_cur"), [G, "column"])
     p = F.col("n_r") / F.col("n_ref")
     q = F.col("n_c") / F.col("n_cur")
     m = (p + q) / 2.0
@@ -129,14 +141,12 @@ def drift_table(reference: DataFrame, current: DataFrame, numeric: Sequence[str]
     # The grid (value counts) is the one heavy pass over both samples; it is written once to
     # the shared checkpoint folder so every statistic below reads it instead of recomputing.
     grid = cut_lineage(value_grid(reference, current, numeric, categorical, group))
-    totals = _column_totals(grid)
-    ref_long = long_form(reference, numeric, []) if numeric else None
-    std_ref = (ref_long.groupBy("column").agg(F.stddev_pop("vnum").alias("std_ref"))
-               if ref_long is not None else None)
+    # one row per (group, column): counted once, broadcast when small
+    totals = broadcast_if_small(_column_totals(grid))
     cat = categorical_stats(grid, totals)
     out = totals.join(cat, [G, "column"], "left")
     if numeric:
-        out = out.join(numeric_distances(grid, totals, std_ref), [G, "column"], "left")
+        out = out.join(numeric_distances(grid, totals), [G, "column"], "left")
     else:
         out = out.withColumns({"ks_d": F.lit(None).cast("double"), "w1": F.lit(None).cast("double"),
                                "w1_norm": F.lit(None).cast("double")})

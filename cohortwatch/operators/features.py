@@ -12,7 +12,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortwatch.functions.codes import (AGE_BANDS, flag_equal, flag_not_equal,
-                                         group_codes, ordinal_lookup)
+                                         group_codes, ordinal_lookup, py_float)
+
+
+def add_code_groups(df: DataFrame, code: str, out: str, **kw) -> DataFrame:
+    """F01 as a column: the number is parsed once into a helper column, then grouped."""
+    tmp = f"__num_{out}"
+    return (df.withColumn(tmp, py_float(F.col(code).cast("string")))
+              .withColumn(out, group_codes(code, numeric=F.col(tmp), **kw)).drop(tmp))
 
 
 def category_shares(df: DataFrame, column: str) -> DataFrame:
@@ -47,7 +54,7 @@ def feature_pipeline(clean: DataFrame, *, target_source: str, target_negative: s
                      band_column: str, band_out: str, bands=AGE_BANDS) -> DataFrame:
     """Target flag, code groups, rare bucketing, equality flag, ordinal band."""
     df = clean.withColumn(target, flag_not_equal(target_source, target_negative))
-    df = df.withColumn(code_out, group_codes(code_column))
+    df = add_code_groups(df, code_column, code_out)
     df = rare_bucket(df, rare_column, rare_out, min_share_pct)
     return df.withColumns({
         flag_out: flag_equal(flag_column, flag_value),

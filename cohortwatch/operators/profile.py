@@ -16,11 +16,6 @@ from pyspark.sql.window import Window
 
 from cohortwatch.functions.values import clip
 
-# Above this many rows `describe` switches from the exact percentile (which
-# buffers every value of a column) to the sketch-based approximate one.
-EXACT_PERCENTILE_MAX_ROWS = 50_000_000
-
-
 def value_counts(df: DataFrame, column: str, dropna: bool = True) -> DataFrame:
     """(value, n) descending by n, ties by value."""
     src = df.filter(F.col(column).isNotNull()) if dropna else df
@@ -51,33 +46,59 @@ def missing_profile(df: DataFrame, columns: Sequence[str] | None = None, nonzero
     return out.orderBy(F.desc("n_missing"), "column")
 
 
-def describe(df: DataFrame, columns: Sequence[str], exact: bool | None = None,
+def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float]) -> DataFrame:
+    """(column, q0, q1, ...) exact quantiles with linear interpolation between order statistics.
+
+    Built on the value-count grid: values are counted per (column, value)
+    (map-side combined), cumulative counts come from the bucketed ordered
+    scan, and each order statistic is the smallest value whose cumulative
+    count reaches it -- no aggregate ever buffers all values of a column.
+    """
+    from cohortwatch.operators.scan import ordered_scan
+    long = df.select(F.inline(F.array(*[
+        F.struct(F.lit(c).alias("column"), (F.col(c).cast("double") + 0.0).alias("value")) for c in columns])))
+    grid = long.filter(F.col("value").isNotNull() & ~F.isnan("value")).groupBy("column", "value").agg(
+        F.count(F.lit(1)).alias("n"))
+    totals = grid.groupBy("column").agg(F.sum("n").alias("__N"))
+    sc = ordered_scan(grid, ["column"], "value", ["n"]).join(F.broadcast(totals), "column")
+    aggs = []
+    for i, p in enumerate(probs):
+        h = F.lit(float(p)) * (F.col("__N") - 1)
+        k_lo, k_hi = F.floor(h), F.ceil(h)
+        aggs += [F.min(F.when(F.col("cum_n") >= k_lo + 1, F.col("value"))).alias(f"__lo{i}"),
+                 F.min(F.when(F.col("cum_n") >= k_hi + 1, F.col("value"))).alias(f"__hi{i}"),
+                 F.first(h - k_lo).alias(f"__f{i}")]
+    q = sc.groupBy("column").agg(*aggs)
+    return q.select("column", *[(F.col(f"__lo{i}") + F.col(f"__f{i}") * (F.col(f"__hi{i}") - F.col(f"__lo{i}")))
+                                .alias(f"q{i}") for i in range(len(probs))])
+
+
+def describe(df: DataFrame, columns: Sequence[str], exact: bool = True,
              decimal_scale: int | None = None) -> DataFrame:
     """(column, count, mean, std, min, q25, q50, q75, max) per column.
 
-    Sample std (ddof 1); quartiles by linear interpolation. ``exact=None``
-    chooses exact percentiles up to EXACT_PERCENTILE_MAX_ROWS rows. With
-    ``decimal_scale`` the mean is an exact decimal sum divided by the count, so
-    the result does not depend on the order in which partitions are summed.
+    Sample std (ddof 1); quartiles by linear interpolation, exact from the
+    value-count grid (``exact_quantiles``) or, with ``exact=False``, from the
+    sketch-based ``percentile_approx``. With ``decimal_scale`` the mean is an
+    exact decimal sum divided by the count, so it does not depend on the order
+    in which partitions are summed.
     """
-    if exact is None:
-        exact = df.count() <= EXACT_PERCENTILE_MAX_ROWS
-
-    def q(c, p):
-        x = F.col(c).cast("double")
-        return F.percentile(x, F.lit(p)) if exact else F.percentile_approx(x, p, 10000).cast("double")
-
     aggs = []
     for i, c in enumerate(columns):
         x = F.col(c).cast("double")
         mean = (F.sum(F.col(c).cast(f"decimal(30,{decimal_scale})")).cast("double") / F.count(x)
                 if decimal_scale is not None else F.avg(x))
-        aggs.append(F.struct(
-            F.lit(c).alias("column"), F.count(x).alias("count"), mean.alias("mean"),
-            F.stddev_samp(x).alias("std"), F.min(x).alias("min"), q(c, 0.25).alias("q25"),
-            q(c, 0.5).alias("q50"), q(c, 0.75).alias("q75"), F.max(x).alias("max")).alias(f"s{i}"))
-    wide = df.agg(*aggs)
-    return wide.select(F.inline(F.array(*[F.col(f"s{i}") for i in range(len(columns))])))
+        parts = [F.lit(c).alias("column"), F.count(x).alias("count"), mean.alias("mean"),
+                 F.stddev_samp(x).alias("std"), F.min(x).alias("min"), F.max(x).alias("max")]
+        if not exact:
+            parts += [F.percentile_approx(x, p, 10000).cast("double").alias(f"q{j}")
+                      for j, p in enumerate((0.25, 0.5, 0.75))]
+        aggs.append(F.struct(*parts).alias(f"s{i}"))
+    stats = df.agg(*aggs).select(F.inline(F.array(*[F.col(f"s{i}") for i in range(len(columns))])))
+    if exact:
+        stats = stats.join(exact_quantiles(df, columns, (0.25, 0.5, 0.75)), "column", "left")
+    return stats.select("column", "count", "mean", "std", "min", F.col("q0").alias("q25"),
+                        F.col("q1").alias("q50"), F.col("q2").alias("q75"), "max")
 
 
 def corr_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -172,7 +172,7 @@ CASE WHEN {code} IS NULL THEN 'Missing'
     lc0=LINE_CODES_SQL,
     lc="SELECT *, TRY_CAST(trim(code) AS DOUBLE) AS x FROM lc0"))
 def q_code_groups(spark, sf_dir):
-    return line_codes(spark, sf_dir).withColumn("code_group", group_codes("code"))
+    return FE.add_code_groups(line_codes(spark, sf_dir), "code", "code_group")
 
 
 @register("flag_neq", with_ctes(
