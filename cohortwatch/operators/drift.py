@@ -61,6 +61,12 @@ def value_grid(reference: DataFrame, current: DataFrame, numeric: Sequence[str],
                group: str | None = None) -> DataFrame:
     """(g, column, kind, vnum, vtxt, n_r, n_c) over the union of values per (g, column)."""
     keys = ["column", "kind", "vnum", "vtxt"]
+    if group is None:
+        # one current sample: tag both sides and count them in a single aggregation (one shuffle)
+        both = (long_form(reference, numeric, categorical).withColumn("__r", F.lit(1))
+                .unionByName(long_form(current, numeric, categorical).withColumn("__r", F.lit(0))))
+        return both.groupBy(G, *keys).agg(F.sum("__r").cast("long").alias("n_r"),
+                                          F.sum(1 - F.col("__r")).cast("long").alias("n_c"))
     ref = long_form(reference, numeric, categorical).groupBy(*keys).agg(F.count(F.lit(1)).alias("n_r"))
     cur = long_form(current, numeric, categorical, group).groupBy(G, *keys).agg(F.count(F.lit(1)).alias("n_c"))
     groups = cur.select(G, "column").distinct()
