@@ -9,9 +9,11 @@ from cohortwatch.plans.drift_sql import drift_ctes, verdict_sql
 from cohortwatch.plans.fixtures import fixture
 from cohortwatch.plans.registry import register, with_ctes
 
-# lineitem halves by order key parity: a large reference (>1000 rows)
-REF_HALF = "SELECT * FROM lineitem WHERE l_orderkey % 2 = 0"
-CUR_HALF = "SELECT * FROM lineitem WHERE l_orderkey % 2 = 1"
+# lineitem split in time: reference period (shipped before mid-1998) vs current period;
+# together the two samples are the whole table, and the reference is large (>1000 rows)
+PERIOD_SPLIT = "1998-06-01"
+REF_HALF = f"SELECT * FROM lineitem WHERE l_shipdate < TIMESTAMP '{PERIOD_SPLIT} 00:00:00'"
+CUR_HALF = f"SELECT * FROM lineitem WHERE l_shipdate >= TIMESTAMP '{PERIOD_SPLIT} 00:00:00'"
 HALF_NUM = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_linenumber"]
 HALF_CAT = ["l_returnflag", "l_linestatus"]
 
