@@ -52,27 +52,42 @@ def get_spark(master: str | None = None, app: str = "cohortwatch",
     return spark
 
 
+# shared folders this process chose itself (only when the cluster names none), by application id
+_OWN_DIRS: dict[str, str] = {}
+
+
 def _conf_checkpoint_dir(spark: SparkSession) -> str | None:
-    sc = spark.sparkContext
-    d = sc.getConf().get("spark.checkpoint.dir", None)
+    d = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not d:
         try:
             d = spark.conf.get("spark.checkpoint.dir", None)
         except Exception:  # noqa: BLE001 - conf lookups differ between modes
             d = None
-    if not d:
-        jdir = sc._jsc.sc().getCheckpointDir()
-        d = jdir.get() if jdir.isDefined() else None
     return d or None
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder; set one only when the cluster names none."""
-    d = _conf_checkpoint_dir(spark)
-    if d is None:
-        d = tempfile.mkdtemp(prefix="cohortwatch-ckpt-")
-    spark.sparkContext.setCheckpointDir(d)
-    return d
+    """Return the shared folder; set the checkpoint folder once, only when the cluster names none.
+
+    Spark adds a per-application sub-folder under the folder given to
+    ``setCheckpointDir``, so it is called at most once per application.
+    """
+    sc = spark.sparkContext
+    conf_dir = _conf_checkpoint_dir(spark)
+    current = sc._jsc.sc().getCheckpointDir()
+    app = sc.applicationId
+    if current.isDefined():
+        if conf_dir:
+            return conf_dir
+        if app in _OWN_DIRS:
+            return _OWN_DIRS[app]
+        return os.path.dirname(str(current.get()).rstrip("/"))
+    base = conf_dir or _OWN_DIRS.get(app)
+    if base is None:
+        base = tempfile.mkdtemp(prefix="cohortwatch-ckpt-")
+        _OWN_DIRS[app] = base
+    sc.setCheckpointDir(base)
+    return base
 
 
 def shared_path(spark: SparkSession, *parts: str, unique: bool = True) -> str:
