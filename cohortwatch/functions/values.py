@@ -92,3 +92,21 @@ def status_band(value: Column | str, bands: Sequence[tuple], default: str) -> Co
 def clamp_max(c: Column, upper) -> Column:
     """least(c, upper)."""
     return F.least(c, F.lit(upper))
+
+
+def split_prefixed_name(name: Column | str, prefixes: Sequence[str], sep: str = "_") -> tuple[Column, Column]:
+    """(source column, category) of an encoded column name like 'col_cat' (F16).
+
+    The first prefix (followed by ``sep``) that the name starts with wins;
+    names with no known prefix are their own source and have no category.
+    """
+    n = _c(name)
+    source, category = None, None
+    for p in prefixes:
+        hit = n.startswith(p + sep)
+        source = F.when(hit, F.lit(p)) if source is None else source.when(hit, F.lit(p))
+        rest = F.substring(n, len(p) + len(sep) + 1, 1 << 20)
+        category = F.when(hit, rest) if category is None else category.when(hit, rest)
+    if source is None:
+        return n, F.lit(None).cast("string")
+    return source.otherwise(n), category

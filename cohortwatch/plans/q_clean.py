@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from cohortwatch import schemas as S
-from cohortwatch.functions.codes import (flag_equal, flag_not_equal, group_codes,
+from cohortwatch.functions.codes import (flag_equal, flag_not_equal,
                                          ordinal_lookup)
 from cohortwatch.functions.values import clip
 from cohortwatch.operators import clean as C

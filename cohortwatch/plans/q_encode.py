@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from cohortwatch import schemas as S
 from cohortwatch.functions.codes import DIAGNOSIS_GROUPS, ordinal_encode, py_float
+from cohortwatch.functions.values import split_prefixed_name
 from cohortwatch.operators import clean as C
 from cohortwatch.operators import corrupt as X
 from cohortwatch.operators import encode as EN
@@ -184,7 +185,13 @@ def _apply_sql():
     return " UNION ALL ".join(parts)
 
 
-@register("transform_apply", with_ctes(_apply_sql(), **ENC_CTES))
+_SPLIT_NAME_SQL = " ".join(f"WHEN starts_with(feature, '{c}_') THEN '{c}'" for c in ONEHOT)
+_SPLIT_CAT_SQL = " ".join(f"WHEN starts_with(feature, '{c}_') THEN substr(feature, {len(c) + 2})" for c in ONEHOT)
+
+
+@register("transform_apply", with_ctes(
+    f"SELECT *, CASE {_SPLIT_NAME_SQL} ELSE feature END AS source_column, "
+    f"CASE {_SPLIT_CAT_SQL} END AS category FROM applied", **ENC_CTES, applied=_apply_sql()))
 def q_transform_apply(spark, sf_dir):
     """Impute -> ordinal -> one-hot -> fitted column order, shown in long form."""
     train, test = _frames(spark, sf_dir)
@@ -192,7 +199,9 @@ def q_transform_apply(spark, sf_dir):
     wide = EN.apply_spec(_current(test), spec, keep=[KEY, "scenario"])
     typed = wide.select(KEY, "scenario", *[F.col(f"`{c}`").cast("double").alias(c) for c in spec.output_columns])
     long = typed.unpivot([KEY, "scenario"], [F.col(f"`{c}`") for c in spec.output_columns], "feature", "value")
-    return long.select(KEY, "scenario", "feature", r6("value").alias("value"))
+    source, category = split_prefixed_name("feature", ONEHOT)
+    return long.select(KEY, "scenario", "feature", r6("value").alias("value"), source.alias("source_column"),
+                       category.alias("category"))
 
 
 @register("conform_columns", with_ctes(
