@@ -148,7 +148,7 @@ def drift_table(reference: DataFrame, current: DataFrame, numeric: Sequence[str]
     # the shared checkpoint folder so every statistic below reads it instead of recomputing.
     grid = cut_lineage(value_grid(reference, current, numeric, categorical, group))
     # one row per (group, column): counted once, broadcast when small
-    totals = broadcast_if_small(_column_totals(grid))
+    totals = broadcast_if_small(_column_totals(grid), materialize=False)
     cat = categorical_stats(grid, totals)
     out = totals.join(cat, [G, "column"], "left")
     if numeric:

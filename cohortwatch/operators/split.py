@@ -27,14 +27,16 @@ from cohortwatch.session import cut_lineage
 BROADCAST_MAX_ROWS = 2_000_000
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, materialize: bool = True) -> DataFrame:
     """Broadcast only after counting: a proven size bound, else a shuffle join.
 
-    The side is written once to the checkpoint folder first, so the count and
-    the join read the stored rows instead of running the upstream
-    aggregation twice.
+    With ``materialize`` the side is written once to the checkpoint folder
+    first, so the count and the join read the stored rows instead of running
+    the upstream aggregation twice; pass False when the side is already cheap
+    to recompute (derived from a stored table).
     """
-    df = cut_lineage(df)
+    if materialize:
+        df = cut_lineage(df)
     return F.broadcast(df) if df.count() <= max_rows else df
 
 
