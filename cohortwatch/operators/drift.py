@@ -46,13 +46,16 @@ def long_form(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str],
               group: str | None = None) -> DataFrame:
     """(g, column, kind, vnum, vtxt) for every non-missing cell."""
     g = F.col(group).cast("string") if group else F.lit("")
-    cells = [F.struct(F.lit(c).alias("column"), F.lit("num").alias("kind"),
-                      (F.col(c).cast("double") + 0.0).alias("vnum"), F.lit(None).cast("string").alias("vtxt"))
-             for c in numeric]
-    cells += [F.struct(F.lit(c).alias("column"), F.lit("cat").alias("kind"),
-                       F.lit(None).cast("double").alias("vnum"), F.col(c).cast("string").alias("vtxt"))
-              for c in categorical]
-    long = df.select(g.alias(G), F.inline(F.array(*cells)))
+    # one struct per cell, then Spark's unpivot (an Expand, inside whole-stage codegen)
+    cells = [F.struct(F.lit("num").alias("kind"), (F.col(c).cast("double") + 0.0).alias("vnum"),
+                      F.lit(None).cast("string").alias("vtxt")).alias(f"__c{i}") for i, c in enumerate(numeric)]
+    cells += [F.struct(F.lit("cat").alias("kind"), F.lit(None).cast("double").alias("vnum"),
+                       F.col(c).cast("string").alias("vtxt")).alias(f"__c{len(numeric) + i}")
+              for i, c in enumerate(categorical)]
+    names = list(numeric) + list(categorical)
+    wide = df.select(g.alias(G), *cells)
+    long = wide.unpivot([G], [F.col(f"__c{i}").alias(c) for i, c in enumerate(names)], "column", "__v")
+    long = long.select(G, "column", "__v.kind", "__v.vnum", "__v.vtxt")
     ok_num = F.col("vnum").isNotNull() & ~F.isnan("vnum") & (F.abs("vnum") != float("inf"))
     return long.filter(F.when(F.col("kind") == "num", ok_num).otherwise(F.col("vtxt").isNotNull()))
 
