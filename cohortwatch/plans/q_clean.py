@@ -265,7 +265,7 @@ SELECT age_ordinal, count(*) AS n, round(avg(CAST(readmitted_binary AS DOUBLE)),
 FROM feat GROUP BY age_ordinal
 """, **FEATURE_CTES))
 def q_first_encounter_rate(spark, sf_dir):
-    """Flagship: readmission rate by age band over first encounters (clean -> features -> G07)."""
+    """Flagship: target rate by age band over first encounters (clean -> features -> G07)."""
     feats = feature_table(spark, sf_dir)
     rates = PR.rate_by_group(feats, "age_ordinal", S.TARGET)
     total = feats.agg(F.count(F.lit(1))).scalar()

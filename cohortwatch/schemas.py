@@ -1,7 +1,7 @@
 """Schemas and column roles of the clinical configuration.
 
 Operators take column names as arguments; this module is one configuration
-(the readmission cohort), the test fixtures are another.
+(the clinical encounter cohort), the test fixtures are another.
 """
 
 from __future__ import annotations
