@@ -99,7 +99,7 @@ def numeric_distances(grid: DataFrame, totals: DataFrame) -> DataFrame:
     ``totals`` is the per-(g, column) table, already sized for the join.
     """
     num = grid.filter(F.col("kind") == "num").select(G, "column", "vnum", "n_r", "n_c")
-    sc = ordered_scan(num, [G, "column"], "vnum", ["n_r", "n_c"])
+    sc = ordered_scan(num, [G, "column"], "vnum", ["n_r", "n_c"], stored_input=True)
     sc = sc.join(totals.select(G, "column", "n_ref", "n_cur"), [G, "column"])
     diff = F.abs(F.col("cum_n_r") / F.col("n_ref") - F.col("cum_n_c") / F.col("n_cur"))
     per = sc.groupBy(G, "column").agg(

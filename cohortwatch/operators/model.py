@@ -41,8 +41,8 @@ def candidates(label: str, seed: int) -> dict:
         "random_forest": (RandomForestClassifier(labelCol=label, featuresCol=FEATURES, seed=seed, numTrees=30), False),
         "gbt": (GBTClassifier(labelCol=label, featuresCol=FEATURES, seed=seed, maxIter=20), False),
         "linear_svc": (LinearSVC(labelCol=label, featuresCol=FEATURES, maxIter=50), False),
-        # multinomial naive Bayes needs non-negative inputs: scale to [0, 1] first
-        "naive_bayes": (NaiveBayes(labelCol=label, featuresCol=FEATURES), True),
+        # Gaussian naive Bayes: real-valued features, no scaling needed
+        "naive_bayes": (NaiveBayes(labelCol=label, featuresCol=FEATURES, modelType="gaussian"), False),
     }
 
 

@@ -20,11 +20,17 @@ from cohortwatch.operators.split import broadcast_if_small
 
 
 def ordered_scan(df: DataFrame, by: Sequence[str], order: str, sums: Sequence[str],
-                 buckets: int = 1024, cum_prefix: str = "cum_", next_col: str = "next_value") -> DataFrame:
+                 buckets: int = 1024, cum_prefix: str = "cum_", next_col: str = "next_value",
+                 stored_input: bool = False) -> DataFrame:
+    """Inclusive running sums of ``sums`` and the next ``order`` value inside ``by`` groups.
+
+    ``stored_input``: the input is read from a stored table, so the per-group
+    range need not be materialised before it is counted.
+    """
     by = list(by)
     if by:
         rng = df.groupBy(*by).agg(F.min(order).alias("__lo"), F.max(order).alias("__hi"))
-        d = df.join(broadcast_if_small(rng), by, "inner")
+        d = df.join(broadcast_if_small(rng, materialize=not stored_input), by, "inner")
     else:  # one group: the range is two scalar subqueries
         d = df.withColumns({"__lo": df.agg(F.min(order)).scalar(), "__hi": df.agg(F.max(order)).scalar()})
     x = F.col(order).cast("double")

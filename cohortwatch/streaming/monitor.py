@@ -29,6 +29,12 @@ from cohortwatch.operators.scan import ordered_scan
 from cohortwatch.streaming.stream import _list_dirs
 
 
+def _exists(spark, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hpath)
+
+
 class RollingDriftMonitor:
     def __init__(self, reference: DataFrame, numeric, categorical, folder: str, order_col: str,
                  window: int = 3000, min_new: int = 600, min_window: int = 2000):
@@ -77,7 +83,13 @@ class RollingDriftMonitor:
                                                                "checked boolean")
          .write.mode("overwrite").parquet(os.path.join(self._path("control"), f"v={batch_id:08d}")))
 
+    VERDICT_SCHEMA = ("batch_id long, rows_seen long, n_columns long, n_drifted long, drift_share double, "
+                      "dataset_drift boolean, drifted_columns string")
+
     def verdicts(self, spark) -> DataFrame:
+        """Verdict rows so far; empty (typed) while no check has been due."""
+        if not _exists(spark, self._path("verdicts")):
+            return spark.createDataFrame([], self.VERDICT_SCHEMA)
         return spark.read.parquet(self._path("verdicts"))
 
     def states(self, spark) -> DataFrame:

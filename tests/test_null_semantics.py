@@ -92,3 +92,37 @@ def test_all_null_column_coerced(spark):  # N15
     df = spark.createDataFrame([(1,), (2,)], "k int")  # neither feature column present
     got = [(r.a, r.g) for r in apply_spec(df, spec).collect()]
     assert got == [(2.5, 0), (2.5, 0)]
+
+
+def test_csv_na_tokens(spark):  # N9, A01
+    import os
+
+    from pyspark.sql import types as T
+
+    from cohortwatch.session import shared_path
+    from cohortwatch.sources.io import read_csv
+    folder = shared_path(spark, "test-csv")
+    os.makedirs(folder, exist_ok=True)
+    with open(os.path.join(folder, "a.csv"), "w") as f:
+        f.write("k,s,x\n1,NA,1.5\n2,null,\n3,n/a,NaN\n4,ok,2\n")
+    schema = T.StructType([T.StructField("k", T.IntegerType()), T.StructField("s", T.StringType()),
+                           T.StructField("x", T.DoubleType())])
+    got = sorted((r.k, r.s, r.x) for r in read_csv(spark, folder, schema).collect())
+    assert got == [(1, None, 1.5), (2, None, None), (3, None, None), (4, "ok", 2.0)]
+
+
+def test_scenario_name_from_file_stem(spark):  # A03
+    import os
+
+    from pyspark.sql import types as T
+
+    from cohortwatch.session import shared_path
+    from cohortwatch.sources.io import read_scenario_files
+    folder = shared_path(spark, "test-scenarios")
+    os.makedirs(folder, exist_ok=True)
+    for name, rows in (("dist_shift", 2), ("column_swap", 3)):
+        with open(os.path.join(folder, f"{name}.csv"), "w") as f:
+            f.write("v\n" + "".join(f"{i}\n" for i in range(rows)))
+    df = read_scenario_files(spark, folder, T.StructType([T.StructField("v", T.IntegerType())]))
+    got = {r.scenario: r.n for r in df.groupBy("scenario").count().withColumnRenamed("count", "n").collect()}
+    assert got == {"dist_shift": 2, "column_swap": 3}
