@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import random
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LinearSVC, LogisticRegression,
@@ -66,29 +67,44 @@ def batch_summary(scored: DataFrame, batch_col: str | None = None) -> DataFrame:
                                      F.avg(F.col("prediction").cast("double")).alias("positive_ratio"))
 
 
+def _parallelism(df: DataFrame, parallelism: int | None) -> int:
+    return parallelism or max(2, df.sparkSession.sparkContext.defaultParallelism)
+
+
 def leaderboard(df: DataFrame, feature_cols: Sequence[str], label: str, fold_col: str, n_folds: int,
-                seed: int = 42, parallelism: int = 4, models: Sequence[str] | None = None) -> DataFrame:
-    """Mean cross-validated AUC per candidate over the given folds, best first."""
+                seed: int = 42, parallelism: int | None = None, models: Sequence[str] | None = None) -> DataFrame:
+    """Mean cross-validated AUC per candidate over the given folds, best first.
+
+    ``parallelism`` cross-validates that many candidates at once (default: the
+    cluster's default parallelism); the folds of one candidate run in turn.
+    """
     spark = df.sparkSession
+    parallelism = _parallelism(df, parallelism)
     ev = BinaryClassificationEvaluator(labelCol=label, metricName="areaUnderROC")
-    rows = []
-    for name, (est, scale) in candidates(label, seed).items():
-        if models and name not in models:
-            continue
+    chosen = [(name, est, scale) for name, (est, scale) in candidates(label, seed).items()
+              if not models or name in models]
+
+    def run(item):
+        name, est, scale = item
         cv = CrossValidator(estimator=_pipeline(feature_cols, est, scale), estimatorParamMaps=[{}], evaluator=ev,
-                            foldCol=fold_col, numFolds=n_folds, parallelism=parallelism, seed=seed)
+                            foldCol=fold_col, numFolds=n_folds, seed=seed)
         m = cv.fit(df)
-        rows.append((name, float(m.avgMetrics[0]), float(m.stdMetrics[0]) if m.stdMetrics else None))
+        return name, float(m.avgMetrics[0]), float(m.stdMetrics[0]) if m.stdMetrics else None
+
+    # candidates are cross-validated concurrently: each one's fold fits are Spark jobs
+    with ThreadPoolExecutor(max_workers=max(1, min(len(chosen), parallelism))) as pool:
+        rows = list(pool.map(run, chosen))
     out = spark.createDataFrame(rows, "model string, auc double, auc_std double")
     return out.orderBy(F.desc("auc"), "model")
 
 
 def random_search(df: DataFrame, feature_cols: Sequence[str], label: str, fold_col: str, n_folds: int, grid: dict,
-                  n_iter: int = 25, seed: int = 42, parallelism: int = 4) -> tuple[DataFrame, dict]:
+                  n_iter: int = 25, seed: int = 42, parallelism: int | None = None) -> tuple[DataFrame, dict]:
     """Seeded draws from a grid, cross-validated; keep the untuned model if no draw beats it.
 
     Returns the per-draw table (draw, params, auc) and the chosen parameters.
     """
+    parallelism = _parallelism(df, parallelism)
     rng = random.Random(seed)
     est = LogisticRegression(labelCol=label, featuresCol=FEATURES)
     keys = sorted(grid)

@@ -19,12 +19,12 @@ END_1 = "2024-01-15 00:00:00"
 END_2 = "2024-01-31 23:59:59"
 
 
-def _staged(spark, sf_dir, name):
+def _staged(spark, sf_dir, name, files_per_batch=1):
     dirs = ST.new_stream_dirs(spark, name)
     ev = read_table(spark, sf_dir, "events")
     ST.stage_by_day(ev, "ts", dirs["source"])
     schema = T.StructType(ev.schema.fields + [T.StructField("day", T.DateType())])
-    return dirs, ST.file_stream(spark, dirs["source"], schema)
+    return dirs, ST.file_stream(spark, dirs["source"], schema, files_per_batch=files_per_batch)
 
 
 def _score(df):
@@ -131,7 +131,7 @@ def q_stream_append_log(spark, sf_dir):
 
 @register("stream_rolling_drift")
 def q_stream_rolling_drift(spark, sf_dir):
-    """T05, T06 live: foreachBatch monitor over day batches (any size); state after every batch.
+    """T05, T06 live: foreachBatch monitor over micro-batches of three day files; state after every batch.
 
     Rows-only check: which rows a check sees depends on the order the file
     source delivers the day files in.
@@ -139,7 +139,7 @@ def q_stream_rolling_drift(spark, sf_dir):
     from cohortwatch import schemas as S
     from cohortwatch.operators import split as SP
     from cohortwatch.streaming.monitor import RollingDriftMonitor
-    dirs, stream = _staged(spark, sf_dir, "rolling")
+    dirs, stream = _staged(spark, sf_dir, "rolling", files_per_batch=3)
     ev = read_table(spark, sf_dir, "events")
     ref = SP.hash_sample(ev.select("event_id", "value", "event_type"), "event_id", S.DRIFT_REFERENCE_ROWS,
                          S.SPLIT_SEED)
