@@ -55,8 +55,8 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
     count reaches it -- no aggregate ever buffers all values of a column.
     """
     from cohortwatch.operators.scan import ordered_scan
-    long = df.select(F.inline(F.array(*[
-        F.struct(F.lit(c).alias("column"), (F.col(c).cast("double") + 0.0).alias("value")) for c in columns])))
+    wide = df.select(*[(F.col(c).cast("double") + 0.0).alias(f"__v{i}") for i, c in enumerate(columns)])
+    long = wide.unpivot([], [F.col(f"__v{i}").alias(c) for i, c in enumerate(columns)], "column", "value")
     grid = long.filter(F.col("value").isNotNull() & ~F.isnan("value")).groupBy("column", "value").agg(
         F.count(F.lit(1)).alias("n"))
     totals = grid.groupBy("column").agg(F.sum("n").alias("__N"))
@@ -169,11 +169,21 @@ def histogram(spark: SparkSession, df: DataFrame, column: str, bins: int = 30) -
                        F.coalesce("n", F.lit(0)).alias("n")))
 
 
+def _value_counts_long(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(column, value, n) over non-null values: one unpivot (Expand) and one partial+final count."""
+    wide = df.select(*[F.col(c).cast("string").alias(f"__v{i}") for i, c in enumerate(columns)])
+    long = wide.unpivot([], [F.col(f"__v{i}").alias(c) for i, c in enumerate(columns)], "column", "value")
+    return long.filter(F.col("value").isNotNull()).groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
+
+
 def distinct_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """(column, n_distinct) over non-null values, one aggregate."""
-    wide = df.agg(*[F.count_distinct(F.col(c)).alias(f"d{i}") for i, c in enumerate(columns)])
-    return wide.select(F.inline(F.array(*[
-        F.struct(F.lit(c).alias("column"), F.col(f"d{i}").alias("n_distinct")) for i, c in enumerate(columns)])))
+    """(column, n_distinct) over non-null values (G25), from the (column, value) count grid.
+
+    Several exact distinct counts in one aggregate would copy every row once
+    per column; the grid is combined map-side instead.
+    """
+    grid = _value_counts_long(df, columns)
+    return grid.groupBy("column").agg(F.count(F.lit(1)).alias("n_distinct"))
 
 
 def target_balance(df: DataFrame, target: str) -> DataFrame:
@@ -202,29 +212,29 @@ def top_k_groups(df: DataFrame, column: str, k: int) -> DataFrame:
 def quality_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Per column: count, missing, distinct, min, max, most common value.
 
-    One aggregate for the scalar statistics and one grouped count for the
-    most common value of every column (unpivoted once, grouped by column and
-    value, so it is one shuffle whatever the column count).
+    One aggregate for counts and text min/max, and one (column, value) count
+    grid for the distinct count and the most common value (highest count, ties
+    by smallest text) -- two passes whatever the column count.
     """
     as_text = [F.col(c).cast("string") for c in columns]
     wide = df.agg(F.count(F.lit(1)).alias("__n"), *[
         F.struct(F.lit(c).alias("column"),
                  F.count(F.col(c)).alias("n_present"),
                  F.count_if(F.col(c).isNull()).alias("n_missing"),
-                 F.count_distinct(F.col(c)).alias("n_distinct"),
                  F.min(t).alias("min_text"), F.max(t).alias("max_text")).alias(f"s{i}")
         for i, (c, t) in enumerate(zip(columns, as_text))])
     stats = wide.select("__n", F.inline(F.array(*[F.col(f"s{i}") for i in range(len(columns))])))
-    long = df.select(F.inline(F.array(*[
-        F.struct(F.lit(c).alias("column"), t.alias("value")) for c, t in zip(columns, as_text)])))
-    counts = long.filter(F.col("value").isNotNull()).groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
-    # most common: highest count, ties -> smallest value text
-    top = counts.groupBy("column").agg(F.min(F.struct(F.negative("n").alias("neg_n"), F.col("value"))).alias("__t"))
-    top = top.select("column", F.col("__t.value").alias("most_common"), F.negative("__t.neg_n").alias("most_common_n"))
+    counts = _value_counts_long(df, columns)
+    top = counts.groupBy("column").agg(
+        F.count(F.lit(1)).alias("n_distinct"),
+        F.min(F.struct(F.negative("n").alias("neg_n"), F.col("value"))).alias("__t"))
+    top = top.select("column", "n_distinct", F.col("__t.value").alias("most_common"),
+                     F.negative("__t.neg_n").alias("most_common_n"))
     return (stats.join(top, "column", "left")
                  .select("column", F.col("__n").alias("n_rows"), "n_present", "n_missing",
                          (F.col("n_missing") * 100.0 / F.col("__n")).alias("pct_missing"),
-                         "n_distinct", "min_text", "max_text", "most_common", "most_common_n"))
+                         F.coalesce("n_distinct", F.lit(0)).alias("n_distinct"), "min_text", "max_text",
+                         "most_common", "most_common_n"))
 
 
 def null_assert(df: DataFrame, columns: Sequence[str]) -> DataFrame:
