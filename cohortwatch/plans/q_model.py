@@ -99,3 +99,43 @@ def q_model_roundtrip(spark, sf_dir):
     a = ML.score(model, te, keep=[KEY]).withColumnRenamed("probability", "p_orig")
     b = ML.score(loaded, te, keep=[KEY]).withColumnRenamed("probability", "p_loaded")
     return EV.paired_diff(a, b, [KEY], "p_orig", "p_loaded", tolerance=S.REPLAY_TOLERANCE)
+
+
+@register("scenario_summary_gbt")
+def q_scenario_summary_gbt(spark, sf_dir):
+    """E3 with the trained model: scenarios scored by the GBT pipeline, then the grouped drift summary.
+
+    Reference = training split with its model predictions; current = the test
+    split under every corruption (plus 'clean'), encoded with the spec fitted on
+    the training split. Rows-only: the model is Spark ML's, not the original one.
+    """
+    from cohortwatch.operators import corrupt as X
+    from cohortwatch.operators import drift as D
+    from cohortwatch.plans.q_scenario import DRIFT_CAT, DRIFT_NUM
+    from cohortwatch.functions.values import join_labels
+    train, test = _frames(spark, sf_dir)
+    spec = _spec(train)
+    model = ML.train_gbt(cut_lineage(EN.apply_spec(train, spec, keep=[KEY, LABEL])), spec.output_columns, LABEL, SEED)
+
+    def predicted(df, keys):
+        enc = EN.apply_spec(df, spec, keep=keys)
+        scored = ML.score(model, enc, S.PREDICTION_THRESHOLD, keep=keys)
+        return df.join(scored.select(*keys, "prediction"), keys)
+
+    ref = cut_lineage(predicted(train, [KEY]))
+    cur = X.corrupt_all(test, KEY, SEED).unionByName(test.withColumn("scenario", F.lit("clean")))
+    cur = cut_lineage(predicted(cur, [KEY, "scenario"]))
+    table = D.drift_table(ref, cur, DRIFT_NUM, DRIFT_CAT, group="scenario")
+    verdict = D.dataset_verdict(table, "scenario")
+    pos = cur.groupBy("scenario").agg(F.avg("prediction").alias("pos_ratio"))
+    baseline = pos.filter(F.col("scenario") == "clean").select("pos_ratio").scalar()
+    delta = F.abs(F.col("pos_ratio") - baseline)
+    alerts = join_labels(
+        F.when(F.col("dataset_drift"), F.lit("DATASET_DRIFT")),
+        F.when(F.col("n_drifted") >= 1, F.concat(F.col("n_drifted").cast("string"), F.lit("_COLS_DRIFTED"))),
+        F.when(delta > S.PRED_SHIFT_ALERT_DELTA,
+               F.concat(F.lit("PRED_SHIFT_"), F.format_string("%.2f", F.round(delta, 2)))))
+    return (verdict.join(pos, "scenario").filter(F.col("scenario") != "clean")
+            .select("scenario", "n_drifted", "n_columns", F.round("drift_share", 3).alias("drift_share"),
+                    "dataset_drift", F.round("pos_ratio", 3).alias("pos_ratio"), F.round(delta, 3).alias("pos_delta"),
+                    alerts.alias("alerts")))
