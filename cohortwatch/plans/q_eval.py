@@ -76,9 +76,9 @@ def q_class_metrics(spark, sf_dir):
 
 @register("class_report", with_ctes("""
 SELECT class_name, support, round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1, 6) AS f1 FROM per
-UNION ALL SELECT 'accuracy', sum(support), NULL, NULL, round(sum(tp) * 1.0 / sum(support), 6) FROM per
-UNION ALL SELECT 'macro avg', sum(support), round(avg(precision), 6), round(avg(recall), 6), round(avg(f1), 6) FROM per
-UNION ALL SELECT 'weighted avg', sum(support), round(sum(precision * support) / sum(support), 6),
+UNION ALL SELECT 'accuracy', CAST(sum(support) AS BIGINT), NULL, NULL, round(sum(tp) * 1.0 / sum(support), 6) FROM per
+UNION ALL SELECT 'macro avg', CAST(sum(support) AS BIGINT), round(avg(precision), 6), round(avg(recall), 6), round(avg(f1), 6) FROM per
+UNION ALL SELECT 'weighted avg', CAST(sum(support) AS BIGINT), round(sum(precision * support) / sum(support), 6),
   round(sum(recall * support) / sum(support), 6), round(sum(f1 * support) / sum(support), 6) FROM per
 """, **SC, per="""
   SELECT CAST(c AS VARCHAR) AS class_name, support,

@@ -125,7 +125,7 @@ def q_report_tables(spark, sf_dir):
 
 
 @register("certify_metrics", with_ctes("""
-SELECT metric, round(value, 6) AS recorded, round(value, 6) AS live, 0.0 AS delta, true AS within FROM live
+SELECT metric, round(value, 6) AS recorded, round(value, 6) AS live, CAST(0.0 AS DOUBLE) AS delta, true AS within FROM live
 """, **q_eval.SC, met=q_eval.METRICS_SQL.replace("round(", "(").replace(", 6)", ")"),
     auc=q_eval.auc_sql("sc").replace("round(", "(").replace(", 6)", ")"),
     live="""SELECT 'f1_score' AS metric, f1 AS value FROM met UNION ALL SELECT 'precision', precision FROM met

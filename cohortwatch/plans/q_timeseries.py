@@ -184,7 +184,7 @@ def q_composite_health(spark, sf_dir):
 
 @register("baseline_delta", f"""
 SELECT date_trunc('hour', ts) AS hour, round(avg(CASE WHEN value > 50 THEN 1.0 ELSE 0.0 END), 6) AS ratio,
-  {S.BASELINE_POSITIVE_RATIO} AS baseline,
+  CAST({S.BASELINE_POSITIVE_RATIO} AS DOUBLE) AS baseline,
   round(avg(CASE WHEN value > 50 THEN 1.0 ELSE 0.0 END) - {S.BASELINE_POSITIVE_RATIO}, 6) AS delta
 FROM events GROUP BY 1
 """)
