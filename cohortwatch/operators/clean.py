@@ -133,8 +133,8 @@ def clean_pipeline(raw: DataFrame, *, placeholder: str, drop: Sequence[str],
 
 
 def stamp(df: DataFrame, column: str, ts) -> DataFrame:
-    """Load-time stamp passed in by the caller, for repeatable runs."""
-    return df.withColumn(column, F.lit(ts).cast("timestamp"))
+    """Load-time stamp passed in by the caller, for repeatable runs (P13); a zone-free timestamp."""
+    return df.withColumn(column, F.lit(ts).cast("timestamp_ntz"))
 
 
 def swap_columns(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:

@@ -102,7 +102,8 @@ FROM q50 JOIN q95 ON q50.event_type = q95.event_type AND q50.hour = q95.hour
 """)
 def q_hist_quantile(spark, sf_dir):
     """p50 and p95 per series and hour from cumulative buckets, linear inside a bucket."""
-    ev = _events(spark, sf_dir).withColumn("hour", F.date_trunc("hour", F.col("ts").cast("timestamp")))
+    ev = _events(spark, sf_dir).withColumn(
+        "hour", F.date_trunc("hour", F.col("ts").cast("timestamp")).cast("timestamp_ntz"))
     b = TS.cumulative_buckets(ev, ["event_type", "hour"], "value", BOUNDS)
     p50 = TS.histogram_quantile(b, ["event_type", "hour"], 0.5).withColumnRenamed("quantile", "p50")
     p95 = TS.histogram_quantile(b, ["event_type", "hour"], 0.95).withColumnRenamed("quantile", "p95")
@@ -191,7 +192,7 @@ FROM events GROUP BY 1
 def q_baseline_delta(spark, sf_dir):
     """Hourly ratio series against a constant reference line."""
     ev = _events(spark, sf_dir)
-    hourly = ev.groupBy(F.date_trunc("hour", F.col("ts").cast("timestamp")).alias("hour")).agg(
+    hourly = ev.groupBy(F.date_trunc("hour", F.col("ts").cast("timestamp")).cast("timestamp_ntz").alias("hour")).agg(
         F.avg(F.when(F.col("value") > 50, 1.0).otherwise(0.0)).alias("ratio"))
     base = F.lit(S.BASELINE_POSITIVE_RATIO)
     return hourly.select("hour", r6("ratio").alias("ratio"), base.alias("baseline"), r6(F.col("ratio") - base).alias("delta"))
