@@ -44,7 +44,7 @@ def kolmogorov_q(lam: Column, terms: int = SERIES_TERMS) -> Column:
 
 
 def ks_p_value(d: Column, n1: Column, n2: Column) -> Column:
-    en = n1.cast("double") * n2 / (n1 + n2)
+    en = F.try_divide(n1.cast("double") * n2, n1 + n2)
     return kolmogorov_q(F.sqrt(en) * d)
 
 

@@ -87,10 +87,11 @@ def _column_totals(grid: DataFrame) -> DataFrame:
 def reference_std(grid: DataFrame, totals: DataFrame) -> DataFrame:
     """Population std of the reference per (g, column), from the value counts (two passes over the grid)."""
     num = grid.filter((F.col("kind") == "num") & (F.col("n_r") > 0)).join(totals, [G, "column"])
-    mean = num.groupBy(G, "column").agg((F.sum(F.col("n_r") * F.col("vnum")) / F.first("n_ref")).alias("__mu"))
+    mean = num.groupBy(G, "column").agg(
+        F.try_divide(F.sum(F.col("n_r") * F.col("vnum")), F.first("n_ref")).alias("__mu"))
     dev = num.join(mean, [G, "column"]).select(
         G, "column", "n_ref", (F.col("n_r") * (F.col("vnum") - F.col("__mu")) ** 2).alias("__d2"))
-    return dev.groupBy(G, "column").agg(F.sqrt(F.sum("__d2") / F.first("n_ref")).alias("std_ref"))
+    return dev.groupBy(G, "column").agg(F.sqrt(F.try_divide(F.sum("__d2"), F.first("n_ref"))).alias("std_ref"))
 
 
 def numeric_distances(grid: DataFrame, totals: DataFrame) -> DataFrame:
@@ -101,7 +102,8 @@ def numeric_distances(grid: DataFrame, totals: DataFrame) -> DataFrame:
     num = grid.filter(F.col("kind") == "num").select(G, "column", "vnum", "n_r", "n_c")
     sc = ordered_scan(num, [G, "column"], "vnum", ["n_r", "n_c"], stored_input=True)
     sc = sc.join(totals.select(G, "column", "n_ref", "n_cur"), [G, "column"])
-    diff = F.abs(F.col("cum_n_r") / F.col("n_ref") - F.col("cum_n_c") / F.col("n_cur"))
+    # try_divide: a column with no values on one side gives null statistics, not a failed job
+    diff = F.abs(F.try_divide(F.col("cum_n_r"), F.col("n_ref")) - F.try_divide(F.col("cum_n_c"), F.col("n_cur")))
     per = sc.groupBy(G, "column").agg(
         F.max(diff).alias("ks_d"),
         F.sum(diff * F.coalesce(F.col("next_value") - F.col("vnum"), F.lit(0.0))).alias("w1"))
@@ -112,11 +114,11 @@ def numeric_distances(grid: DataFrame, totals: DataFrame) -> DataFrame:
 def categorical_stats(grid: DataFrame, totals: DataFrame) -> DataFrame:
     """(g, column, js, chi2, chi2_df, z) from value shares."""
     g = grid.join(totals.select(G, "column", "n_ref", "n_cur"), [G, "column"])
-    p = F.col("n_r") / F.col("n_ref")
-    q = F.col("n_c") / F.col("n_cur")
+    p = F.try_divide(F.col("n_r"), F.col("n_ref"))
+    q = F.try_divide(F.col("n_c"), F.col("n_cur"))
     m = (p + q) / 2.0
     kl = F.when(p > 0, p * F.log(p / m)).otherwise(0.0) + F.when(q > 0, q * F.log(q / m)).otherwise(0.0)
-    expected = F.col("n_r") * (F.col("n_cur") / F.col("n_ref"))
+    expected = F.col("n_r") * F.try_divide(F.col("n_cur"), F.col("n_ref"))
     chi_term = F.when(expected > 0, (F.col("n_c") - expected) * (F.col("n_c") - expected) / expected).otherwise(
         F.lit(float("inf")))
     key = F.struct(F.col("vnum"), F.col("vtxt"))
@@ -126,10 +128,11 @@ def categorical_stats(grid: DataFrame, totals: DataFrame) -> DataFrame:
         F.min_by(F.struct("n_r", "n_c", "n_ref", "n_cur"), key).alias("__k"),
         F.count_if(F.col("n_r") > 0).alias("__ur"), F.count_if(F.col("n_c") > 0).alias("__uc"),
         F.count(F.lit(1)).alias("__u"))
-    p1 = F.col("__k.n_r") / F.col("__k.n_ref")
-    p2 = F.col("__k.n_c") / F.col("__k.n_cur")
-    pooled = (F.col("__k.n_r") + F.col("__k.n_c")) / (F.col("__k.n_ref") + F.col("__k.n_cur"))
-    z = (p1 - p2) / F.sqrt(pooled * (1 - pooled) * (1.0 / F.col("__k.n_ref") + 1.0 / F.col("__k.n_cur")))
+    p1 = F.try_divide(F.col("__k.n_r"), F.col("__k.n_ref"))
+    p2 = F.try_divide(F.col("__k.n_c"), F.col("__k.n_cur"))
+    pooled = F.try_divide(F.col("__k.n_r") + F.col("__k.n_c"), F.col("__k.n_ref") + F.col("__k.n_cur"))
+    z = F.try_divide(p1 - p2, F.sqrt(pooled * (1 - pooled) * (F.try_divide(F.lit(1.0), F.col("__k.n_ref"))
+                                                             + F.try_divide(F.lit(1.0), F.col("__k.n_cur")))))
     same_single = (F.col("__u") == 1) & (F.col("__ur") == 1) & (F.col("__uc") == 1)
     return per.select(G, "column", "js", "chi2", "chi2_df",
                       F.when(same_single, F.lit(0.0)).otherwise(z).alias("z"),
@@ -188,7 +191,7 @@ def dataset_verdict(table: DataFrame, group: str | None = None, share: float = D
         F.count(F.lit(1)).alias("n_columns"), F.count_if("drifted").alias("n_drifted"),
         F.array_join(F.array_sort(F.collect_list(F.when(F.col("drifted"), F.col("column")))), ", ")
         .alias("drifted_columns"))
-    return agg.withColumn("drift_share", F.col("n_drifted") / F.col("n_columns")).withColumn(
+    return agg.withColumn("drift_share", F.try_divide(F.col("n_drifted"), F.col("n_columns"))).withColumn(
         "dataset_drift", F.col("drift_share") >= F.lit(share))
 
 

@@ -40,7 +40,7 @@ def missing_profile(df: DataFrame, columns: Sequence[str] | None = None, nonzero
         F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"m_{i}").alias("n_missing"))
                            for i, c in enumerate(cols)])))
     out = stacked.select("column", "n_missing",
-                         (F.col("n_missing") * 100.0 / F.col("__n")).alias("pct_missing"))
+                         F.try_divide(F.col("n_missing") * 100.0, F.col("__n")).alias("pct_missing"))
     if nonzero_only:
         out = out.filter(F.col("n_missing") > 0)
     return out.orderBy(F.desc("n_missing"), "column")
@@ -86,7 +86,7 @@ def describe(df: DataFrame, columns: Sequence[str], exact: bool = True,
     aggs = []
     for i, c in enumerate(columns):
         x = F.col(c).cast("double")
-        mean = (F.sum(F.col(c).cast(f"decimal(30,{decimal_scale})")).cast("double") / F.count(x)
+        mean = (F.try_divide(F.sum(F.col(c).cast(f"decimal(30,{decimal_scale})")).cast("double"), F.count(x))
                 if decimal_scale is not None else F.avg(x))
         parts = [F.lit(c).alias("column"), F.count(x).alias("count"), mean.alias("mean"),
                  F.stddev_samp(x).alias("std"), F.min(x).alias("min"), F.max(x).alias("max")]
@@ -232,7 +232,7 @@ def quality_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
                      F.negative("__t.neg_n").alias("most_common_n"))
     return (stats.join(top, "column", "left")
                  .select("column", F.col("__n").alias("n_rows"), "n_present", "n_missing",
-                         (F.col("n_missing") * 100.0 / F.col("__n")).alias("pct_missing"),
+                         F.try_divide(F.col("n_missing") * 100.0, F.col("__n")).alias("pct_missing"),
                          F.coalesce("n_distinct", F.lit(0)).alias("n_distinct"), "min_text", "max_text",
                          "most_common", "most_common_n"))
 

@@ -111,7 +111,7 @@ def histogram_quantile(buckets: DataFrame, by: Sequence[str], q: float) -> DataF
     hit = hit.join(finite_max, by, "left")
     lower = F.coalesce(F.col("h.__prev_le"), F.lit(0.0))
     prev_n = F.coalesce(F.col("h.__prev_n"), F.lit(0))
-    interp = lower + (F.col("h.le") - lower) * (F.col("h.__rank") - prev_n) / (F.col("h.count") - prev_n)
+    interp = lower + (F.col("h.le") - lower) * F.try_divide(F.col("h.__rank") - prev_n, F.col("h.count") - prev_n)
     val = F.when(F.col("h.le") == float("inf"), F.col("__fmax")).otherwise(interp)
     return hit.select(*by, val.alias("quantile"))
 

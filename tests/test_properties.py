@@ -113,3 +113,12 @@ def test_counter_rate_independent_of_bucket(spark, small_dir):
         "event_id", F.col("increase").alias("i2"))
     bad = a.join(b, "event_id").filter(F.abs(F.col("increase") - F.col("i2")) > 1e-9)
     assert bad.count() == 0
+
+
+def test_drift_with_an_all_null_reference_column(spark):
+    """ANSI mode: a column with no reference values gives null statistics, not a failed job."""
+    ref = spark.createDataFrame([(None, "a"), (None, "b")], "x double, c string")
+    cur = spark.createDataFrame([(1.0, "a"), (2.0, None)], "x double, c string")
+    rows = {r.column: r for r in D.drift_table(ref, cur, ["x"], ["c"]).collect()}
+    assert rows["x"].n_ref == 0 and not rows["x"].drifted
+    assert rows["c"].n_ref == 2
