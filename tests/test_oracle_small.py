@@ -14,7 +14,11 @@ KEYS = ["clean_pipeline", "feature_pipeline", "code_groups", "first_per_key", "r
         "quality_profile", "histogram", "asof_ttl", "stratified_split", "sample_replace", "class_report",
         "roc_auc", "fold_means", "ks_stat", "chi2_stat", "wasserstein_norm", "drift_verdict",
         "scenario_summary", "transform_apply", "counter_rate", "alert_rules", "hist_quantile",
-        "rolling_drift_replay", "json_records"]
+        "rolling_drift_replay", "json_records", "placeholder_null", "rare_bucket", "value_shares",
+        "missing_profile", "corr_matrix", "target_balance", "latest_lookup", "json_map_columns", "hash_sample",
+        "blend", "confusion", "max_abs_diff", "metric_parity", "z_stat", "js_distance", "test_select",
+        "corrupt_all", "mode_mean_fit", "unseen_categories", "coerce_numeric", "throughput", "latest_gauge",
+        "composite_health", "required_series", "drift_state", "csv_roundtrip", "schema_listing"]
 
 
 def _norm(v):
