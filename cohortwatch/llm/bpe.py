@@ -17,15 +17,15 @@ from __future__ import annotations
 import hashlib
 import json
 import unicodedata
-from collections.abc import Iterator
 from functools import lru_cache
 
 import pandas as pd
+import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortwatch.llm.common import table
+from cohortwatch.llm.common import importable, map_arrow, table
 
 # Encoded pieces kept by one Python worker; on overflow the cache starts anew.
 CACHE_PIECES = 600_000
@@ -188,6 +188,8 @@ def bpe_encode(docs: DataFrame, vocab_path: str, text_col: str = "text", out_col
     One pass without a shuffle; rows keep their other columns. Empty texts give an
     empty array, repeated rows equal arrays, long texts are encoded whole.
     """
+    importable(docs.sparkSession)
+
     @F.pandas_udf("array<int>")
     def ids(text: pd.Series) -> pd.Series:
         encode = codec(vocab_path).encode
@@ -198,6 +200,8 @@ def bpe_encode(docs: DataFrame, vocab_path: str, text_col: str = "text", out_col
 
 def bpe_decode(docs: DataFrame, vocab_path: str, ids_col: str = "token_ids", out_col: str = "decoded") -> DataFrame:
     """``docs`` with the decoded text of an array of ids (null array: empty text)."""
+    importable(docs.sparkSession)
+
     @F.pandas_udf("string")
     def text(ids: pd.Series) -> pd.Series:
         decode = codec(vocab_path).decode
@@ -208,19 +212,17 @@ def bpe_decode(docs: DataFrame, vocab_path: str, ids_col: str = "token_ids", out
 
 def bpe_digest(docs: DataFrame, vocab_path: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 of every text: encode, then decode, in one pass."""
-    def digests(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def digests(batch: pa.RecordBatch) -> dict:
         c = codec(vocab_path)
-        for batch in batches:
-            rows = [c.encoded(t) for t in batch["text"]]
-            yield pd.DataFrame({
-                "doc_id": batch["doc_id"],
-                "n_tokens": [r[0] for r in rows],
-                "ids_sha256": [hashlib.sha256(r[1].encode()).hexdigest() for r in rows],
-                "decoded_sha256": [hashlib.sha256(r[2].encode()).hexdigest() for r in rows],
-            })
-
-    return docs.select("doc_id", "text").mapInPandas(
-        digests, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+        rows = [c.encoded(t) for t in batch.column("text").to_pylist()]
+        return {
+            "doc_id": batch.column("doc_id"),
+            "n_tokens": [r[0] for r in rows],
+            "ids_sha256": [hashlib.sha256(r[1].encode()).hexdigest() for r in rows],
+            "decoded_sha256": [hashlib.sha256(r[2].encode()).hexdigest() for r in rows],
+        }
+
+    return map_arrow(docs.select("doc_id", "text"), digests, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
 def op10_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:

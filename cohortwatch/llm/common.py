@@ -2,8 +2,14 @@
 
 from __future__ import annotations
 
+import os
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from cohortwatch.session import cut_lineage, shared_path
 
@@ -12,6 +18,43 @@ BROADCAST_ROWS = 50_000
 SALTS = 16
 
 
+PACKAGE_HOME = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+
+def importable(spark: SparkSession) -> None:
+    """Let Python workers import this package from the driver's path, where that path exists.
+
+    On a cluster without a shared code folder the package goes to the executors as
+    any other, by --py-files or in their image.
+    """
+    env = spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if PACKAGE_HOME not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([PACKAGE_HOME, *paths])
+
+
+def map_arrow(df: DataFrame, make: Callable[[pa.RecordBatch], dict], schema: str) -> DataFrame:
+    """``mapInArrow`` with ``make`` giving the columns of each batch as lists or arrays.
+
+    Arrow carries null ids and 64-bit values unchanged, which pandas would not.
+    """
+    importable(df.sparkSession)
+    arrow = to_arrow_schema(StructType.fromDDL(schema))
+
+    def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = make(batch)
+            yield pa.RecordBatch.from_arrays([column(made[f.name], f.type) for f in arrow], schema=arrow)
+
+    return df.mapInArrow(mapped, schema)
+
+
+def column(values, kind: pa.DataType) -> pa.Array:
+    if isinstance(values, pa.Array):
+        return values if values.type == kind else values.cast(kind)
+    return pa.array(values, kind)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*columns)
 

@@ -1,8 +1,12 @@
 """Queries of the training-data operators and their DuckDB SQL."""
 
-from cohortwatch.llm import bpe
+from cohortwatch.llm import bpe, mixing, secret_scan
 
 QUERIES = {
+    "op5_mix_sources": mixing.op5_mix_sources,
+    "op8_secret_scan": secret_scan.op8_secret_scan,
     "op10_bpe_codec": bpe.op10_bpe_codec,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op5_mix_sources": mixing.SQL,
+}
