@@ -1,8 +1,9 @@
 """Queries of the training-data operators and their DuckDB SQL."""
 
-from cohortwatch.llm import bpe, mixing, secret_scan
+from cohortwatch.llm import bpe, langid, mixing, secret_scan
 
 QUERIES = {
+    "op4_language_id": langid.op4_language_id,
     "op5_mix_sources": mixing.op5_mix_sources,
     "op8_secret_scan": secret_scan.op8_secret_scan,
     "op10_bpe_codec": bpe.op10_bpe_codec,
