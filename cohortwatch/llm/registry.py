@@ -1,10 +1,12 @@
 """Queries of the training-data operators and their DuckDB SQL."""
 
-from cohortwatch.llm import bpe, langid, mixing, secret_scan
+from cohortwatch.llm import bpe, html_extract, langid, mixing, secret_scan, url_filter
 
 QUERIES = {
+    "op3_url_filter": url_filter.op3_url_filter,
     "op4_language_id": langid.op4_language_id,
     "op5_mix_sources": mixing.op5_mix_sources,
+    "op6_html_extract": html_extract.op6_html_extract,
     "op8_secret_scan": secret_scan.op8_secret_scan,
     "op10_bpe_codec": bpe.op10_bpe_codec,
 }
