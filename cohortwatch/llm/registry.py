@@ -1,9 +1,10 @@
 """Queries of the training-data operators and their DuckDB SQL."""
 
-from cohortwatch.llm import bpe, html_extract, langid, mixing, multi_index, secret_scan, url_filter
+from cohortwatch.llm import bpe, html_extract, langid, mixing, multi_index, secret_scan, url_filter, winnowing
 
 QUERIES = {
     "op1_multi_index": multi_index.op1_multi_index,
+    "op2_winnowing": winnowing.op2_winnowing,
     "op3_url_filter": url_filter.op3_url_filter,
     "op4_language_id": langid.op4_language_id,
     "op5_mix_sources": mixing.op5_mix_sources,
