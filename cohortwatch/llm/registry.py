@@ -1,6 +1,6 @@
 """Queries of the training-data operators and their DuckDB SQL."""
 
-from cohortwatch.llm import bpe, html_extract, langid, mixing, multi_index, secret_scan, url_filter, winnowing
+from cohortwatch.llm import bpe, html_extract, langid, mixing, multi_index, ngram_join, secret_scan, url_filter, winnowing
 
 QUERIES = {
     "op1_multi_index": multi_index.op1_multi_index,
@@ -9,9 +9,11 @@ QUERIES = {
     "op4_language_id": langid.op4_language_id,
     "op5_mix_sources": mixing.op5_mix_sources,
     "op6_html_extract": html_extract.op6_html_extract,
+    "op7_ngram_jaccard": ngram_join.op7_ngram_jaccard,
     "op8_secret_scan": secret_scan.op8_secret_scan,
     "op10_bpe_codec": bpe.op10_bpe_codec,
 }
 ORACLES: dict[str, str] = {
     "op5_mix_sources": mixing.SQL,
+    "op7_ngram_jaccard": ngram_join.SQL,
 }
