@@ -1,6 +1,6 @@
 """Queries of the training-data operators and their DuckDB SQL."""
 
-from cohortwatch.llm import bpe, html_extract, langid, mixing, multi_index, ngram_join, secret_scan, url_filter, winnowing
+from cohortwatch.llm import bpe, html_extract, langid, mixing, multi_index, ngram_join, secret_scan, suffix_dedup, url_filter, winnowing
 
 QUERIES = {
     "op1_multi_index": multi_index.op1_multi_index,
@@ -11,6 +11,7 @@ QUERIES = {
     "op6_html_extract": html_extract.op6_html_extract,
     "op7_ngram_jaccard": ngram_join.op7_ngram_jaccard,
     "op8_secret_scan": secret_scan.op8_secret_scan,
+    "op9_suffix_dedup": suffix_dedup.op9_suffix_dedup,
     "op10_bpe_codec": bpe.op10_bpe_codec,
 }
 ORACLES: dict[str, str] = {
