@@ -19,6 +19,7 @@ import json
 import unicodedata
 from functools import lru_cache
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 import regex
@@ -225,6 +226,22 @@ def bpe_digest(docs: DataFrame, vocab_path: str) -> DataFrame:
     return map_arrow(docs.select("doc_id", "text"), digests, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
+def bpe_tokens(docs: DataFrame, vocab_path: str) -> DataFrame:
+    """doc_id, source, lang, token_ids, n_tokens, decoded_sha256 of every row of ``docs``, in one pass."""
+    def tokens(batch: pa.RecordBatch) -> dict:
+        c = codec(vocab_path)
+        rows = [c.encoded(t) for t in batch.column("text").to_pylist()]
+        return {
+            **{k: batch.column(k) for k in ("doc_id", "source", "lang")},
+            "token_ids": [np.fromstring(r[1], dtype=np.int32, sep=" ") if r[1] else [] for r in rows],
+            "n_tokens": [r[0] for r in rows],
+            "decoded_sha256": [hashlib.sha256(r[2].encode()).hexdigest() for r in rows],
+        }
+
+    return map_arrow(docs.select("doc_id", "source", "lang", "text"), tokens,
+                     "doc_id long, source string, lang string, token_ids array<int>, n_tokens long, decoded_sha256 string")
+
+
 def op10_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded and decoded with the word BPE vocabulary."""
     return bpe_digest(table(spark, sf_dir, "documents", "doc_id", "text"), default_vocab())

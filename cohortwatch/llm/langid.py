@@ -28,11 +28,12 @@ from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortwatch.llm.common import map_arrow, table
+from cohortwatch.llm.common import importable, map_arrow, table
 
 BUCKETS = 1 << 15
 DIM = 16
@@ -260,10 +261,6 @@ def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
 
 def keep_identified(docs: DataFrame, model: LanguageModel) -> DataFrame:
     """The rows of ``docs`` (all columns) whose text the model accepts."""
-    import pandas as pd
-
-    from cohortwatch.llm.common import importable
-
     importable(docs.sparkSession)
 
     @F.pandas_udf("boolean")

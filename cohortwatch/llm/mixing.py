@@ -64,44 +64,83 @@ def source_targets(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, share
     return levels.withColumn("target", target).select("no_source", "source_key", "source_size", "target")
 
 
-def mix_sources(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE,
-                max_epochs: float = MAX_EPOCHS, seed: str = SEED) -> DataFrame:
-    """doc_id, size, source_size, target, taken, one row per row of ``docs``.
+KEY = ["no_source", "source_key"]
 
-    ``docs`` needs doc_id, text and source; other columns are ignored. A null or
-    empty text has size 0 and nothing taken; a null source is a source of its own; a
-    null doc_id hashes like an empty one; repeated rows are rows of their own, in any
-    order among themselves since they are equal; an empty table gives an empty one.
-    """
-    key = ["no_source", "source_key"]
+
+def marked(docs: DataFrame, seed: str) -> DataFrame:
+    """``docs`` with the mix's own columns: source key, __size in words and __order, the draw of a document."""
     order = F.md5(F.concat_ws(":", F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
-    sized = cut_lineage(docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.col("source").isNull().alias("no_source"),
-        F.coalesce(F.col("source").cast("string"), F.lit("")).alias("source_key"),
-        word_count("text").alias("size"), order.alias("order")))
-    sizes = sized.groupBy(*key).agg(F.sum("size").alias("source_size"))
+    return docs.withColumns({
+        "no_source": F.col("source").isNull(), "source_key": F.coalesce(F.col("source").cast("string"), F.lit("")),
+        "__size": word_count("text"), "__order": order})
+
+
+def mix_plan(sized: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, max_epochs: float = MAX_EPOCHS) -> DataFrame:
+    """One row per source: target, whole epochs, the prefix in which the rest ends and what is left for it."""
+    sizes = sized.groupBy(*KEY).agg(F.sum("__size").alias("source_size"))
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0)).cast("long")
     sources = (source_targets(sizes, weights, share, max_epochs)
                .withColumn("whole", whole)
                .withColumn("left", F.round(F.col("target") - F.col("whole") * F.col("source_size")).cast("long"))
                .withColumn("last", F.lit("")))
     for level in (1, 2):
-        sources = _cut(sized, sources, key, level * PREFIX)
+        sources = _cut(sized, sources, KEY, level * PREFIX)
+    return sources
+
+
+def take(rows: DataFrame, plan: DataFrame) -> DataFrame:
+    """``rows`` (see ``marked``) with source_size, target and __taken, the words that the mix takes."""
     # documents before the last prefix are taken whole, behind it not at all
-    dealt = join_keyed(sized, sources, key)
-    prefix = F.substring("order", 1, 2 * PREFIX)
+    dealt = join_keyed(rows, plan, KEY)
+    prefix = F.substring("__order", 1, 2 * PREFIX)
     within = dealt.where(prefix == F.col("last"))
-    so_far = F.sum("size").over(Window.partitionBy(*key).orderBy("order", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1))
-    part = F.greatest(F.lit(0), F.least(F.col("size"), F.col("left") - F.coalesce(so_far, F.lit(0))))
-    others = dealt.where(prefix != F.col("last")).withColumn("more", F.when(prefix < F.col("last"), F.col("size")).otherwise(F.lit(0)))
-    return others.unionByName(within.withColumn("more", part)).select(
-        "doc_id", "size", "source_size", "target", (F.col("whole") * F.col("size") + F.col("more")).cast("long").alias("taken"))
+    so_far = F.sum("__size").over(Window.partitionBy(*KEY).orderBy("__order", "doc_id", "__size").rowsBetween(Window.unboundedPreceding, -1))
+    part = F.greatest(F.lit(0), F.least(F.col("__size"), F.col("left") - F.coalesce(so_far, F.lit(0))))
+    others = dealt.where(prefix != F.col("last")).withColumn("__more", F.when(prefix < F.col("last"), F.col("__size")).otherwise(F.lit(0)))
+    both = others.unionByName(within.withColumn("__more", part))
+    return both.withColumn("__taken", (F.col("whole") * F.col("__size") + F.col("__more")).cast("long"))
+
+
+def mix_sources(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE,
+                max_epochs: float = MAX_EPOCHS, seed: str = SEED) -> DataFrame:
+    """doc_id, size, source_size, target, taken, one row per row of ``docs``.
+
+    ``docs`` needs doc_id, text and source; other columns are ignored. A null or
+    empty text has size 0 and nothing taken; a null source is a source of its own; a
+    null doc_id hashes like an empty one; repeated rows are rows of their own, in any
+    order among themselves since they are equal; an empty table gives an empty one.
+    """
+    rows = marked(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "source", "text"), seed)
+    sized = cut_lineage(rows.select("doc_id", *KEY, "__size", "__order"))
+    taken = take(sized, mix_plan(sized, weights, share, max_epochs))
+    return taken.select("doc_id", F.col("__size").alias("size"), "source_size", "target", F.col("__taken").alias("taken"))
+
+
+def mixed_rows(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE,
+               max_epochs: float = MAX_EPOCHS, seed: str = SEED) -> DataFrame:
+    """The mix itself: rows of ``docs`` as often as the mix takes them whole, and a part of a document where it takes a part.
+
+    A part holds the document's first words, joined by one space; ``n_chars``, if there,
+    is that of the row's text. Documents of which nothing is taken are left out.
+    """
+    rows = marked(docs, seed)
+    sized = cut_lineage(rows.select("doc_id", *KEY, "__size", "__order"))
+    taken = take(rows, mix_plan(sized, weights, share, max_epochs)).where("__taken > 0")
+    times, rest = F.floor(F.col("__taken") / F.col("__size")).cast("int"), (F.col("__taken") % F.col("__size")).cast("int")
+    # 0: the whole text, else the number of its first words
+    turns = F.concat(F.array_repeat(F.lit(0), times), F.when(rest > 0, F.array(rest)).otherwise(F.array().cast("array<int>")))
+    repeats = taken.withColumn("__words", F.explode(turns))
+    first = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)), F.lit(1), F.col("__words")), " ")
+    out = repeats.withColumn("text", F.when(F.col("__words") > 0, first).otherwise(F.col("text")))
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return out.select(*docs.columns)
 
 
 def _cut(sized: DataFrame, sources: DataFrame, key: list[str], digits: int) -> DataFrame:
     """Of each source the next prefix in which its budget ends: ``last``, and what is ``left`` for it."""
-    inside = join_keyed(sized, sources, key).where(F.substring("order", 1, digits - PREFIX) == F.col("last"))
-    words = inside.groupBy(*key, F.substring("order", 1, digits).alias("prefix"), "left").agg(F.sum("size").alias("words"))
+    inside = join_keyed(sized, sources, key).where(F.substring("__order", 1, digits - PREFIX) == F.col("last"))
+    words = inside.groupBy(*key, F.substring("__order", 1, digits).alias("prefix"), "left").agg(F.sum("__size").alias("words"))
     up_to = words.withColumn("sum", F.sum("words").over(Window.partitionBy(*key).orderBy("prefix")))
     ends = (up_to.where(F.col("sum") >= F.col("left")).groupBy(*key)
             .agg(F.min_by(F.struct("prefix", (F.col("left") - F.col("sum") + F.col("words")).alias("left")), "prefix").alias("end")))

@@ -366,6 +366,17 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     return rows.select("doc_id", F.col("n").cast("long").alias("n_shingles"), own.alias("component_id"))
 
 
+def keep_one_each(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` (all columns) without the near duplicates: of each component the smallest doc_id stays.
+
+    Rows with a null doc_id stay.
+    """
+    found = jaccard_components(docs)
+    others = stored(found.where("component_id <> doc_id").select("doc_id").distinct(), "others")
+    kept = docs.join(F.broadcast(others) if others.count() <= BROADCAST_IDS else others, "doc_id", "left_anti")
+    return kept.select(*docs.columns)
+
+
 def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shingle set size and near-duplicate component of every document."""
     return jaccard_components(table(spark, sf_dir, "documents", "doc_id", "text"))
@@ -373,7 +384,8 @@ def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 SQL = r"""
 WITH RECURSIVE worded AS (
-  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ 	-]+') AS ws
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ 	-
+]+') AS ws
   FROM documents),
 placed AS (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 3, least(len(ws), 1) + 1))) AS i FROM worded),
 shingles AS (SELECT DISTINCT doc_id, array_to_string(ws[i:i + 4], ' ') AS s FROM placed),
