@@ -123,18 +123,17 @@ def mixed_rows(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: flo
     A part holds the document's first words, joined by one space; ``n_chars``, if there,
     is that of the row's text. Documents of which nothing is taken are left out.
     """
-    rows = marked(docs, seed)
+    # the row goes along as one value, so its columns cannot clash with those of the mix
+    rows = marked(docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("__row"), "doc_id", "source", "text"), seed)
     sized = cut_lineage(rows.select("doc_id", *KEY, "__size", "__order"))
     taken = take(rows, mix_plan(sized, weights, share, max_epochs)).where("__taken > 0")
     times, rest = F.floor(F.col("__taken") / F.col("__size")).cast("int"), (F.col("__taken") % F.col("__size")).cast("int")
     # 0: the whole text, else the number of its first words
     turns = F.concat(F.array_repeat(F.lit(0), times), F.when(rest > 0, F.array(rest)).otherwise(F.array().cast("array<int>")))
-    repeats = taken.withColumn("__words", F.explode(turns))
     first = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)), F.lit(1), F.col("__words")), " ")
-    out = repeats.withColumn("text", F.when(F.col("__words") > 0, first).otherwise(F.col("text")))
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return out.select(*docs.columns)
+    out = taken.withColumn("__words", F.explode(turns)).select("__row", F.when(F.col("__words") > 0, first).otherwise(F.col("text")).alias("__text"))
+    made = {"text": F.col("__text"), "n_chars": F.length("__text")}
+    return out.select(*[made[c].cast(docs.schema[c].dataType).alias(c) if c in made else F.col("__row").getField(c).alias(c) for c in docs.columns])
 
 
 def _cut(sized: DataFrame, sources: DataFrame, key: list[str], digits: int) -> DataFrame:

@@ -9,7 +9,7 @@ import pytest
 
 from cohortwatch.llm import bpe, html_extract, langid, secret_scan, url_filter
 
-from .edge import DOCS, SCHEMA, edge_docs
+from .edge import DOCS, edge_docs
 
 
 @pytest.fixture(scope="module")
