@@ -18,26 +18,31 @@ def _c(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def hash_u32(key: Column | str, seed: int, stream: str = "") -> Column:
-    """32-bit unsigned integer from md5 of 'key|seed|stream' (first 8 hex digits)."""
+# Bits of a draw: 15 hex digits, the most that fit a long without its sign.
+DRAW_DIGITS = 15
+DRAW_RANGE = 16 ** DRAW_DIGITS
+
+
+def hash_draw(key: Column | str, seed: int, stream: str = "") -> Column:
+    """60-bit unsigned integer from md5 of 'key|seed|stream' (first 15 hex digits)."""
     h = F.md5(F.concat_ws("|", _c(key).cast("string"), F.lit(str(seed)), F.lit(stream)))
-    return F.conv(F.substring(h, 1, 8), 16, 10).cast("long")
+    return F.conv(F.substring(h, 1, DRAW_DIGITS), 16, 10).cast("long")
 
 
 def hash_uniform(key: Column | str, seed: int, stream: str = "") -> Column:
     """Uniform double in [0, 1) from the row key."""
-    return hash_u32(key, seed, stream) / F.lit(4294967296.0)
+    return hash_draw(key, seed, stream) / F.lit(float(DRAW_RANGE))
 
 
 def hash_int(key: Column | str, seed: int, low: int, high: int, stream: str = "") -> Column:
     """Integer in [low, high) from the row key."""
-    return (F.lit(low) + hash_u32(key, seed, stream) % F.lit(high - low)).cast("long")
+    return (F.lit(low) + hash_draw(key, seed, stream) % F.lit(high - low)).cast("long")
 
 
 def hash_choice(key: Column | str, seed: int, choices: Sequence, stream: str = "") -> Column:
     """One of ``choices`` picked by the row key."""
     arr = F.array(*[F.lit(v) for v in choices])
-    idx = hash_u32(key, seed, stream) % F.lit(len(choices))
+    idx = hash_draw(key, seed, stream) % F.lit(len(choices))
     return F.element_at(arr, (idx + 1).cast("int"))
 
 
@@ -73,6 +78,16 @@ def join_labels(*labels: Column, sep: str = ", ", empty: str = "-") -> Column:
     return F.when(F.size(arr) == 0, F.lit(empty)).otherwise(F.array_join(arr, sep))
 
 
+# Decimal numbers as the usual table readers take them: no digit groups, no type suffix.
+NUMBER_PATTERN = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
+
+
+def to_number(c: Column | str, to: str = "double") -> Column:
+    """Text (or a number) -> number; anything that is not a plain number -> null."""
+    text = _c(c).cast("string")
+    return F.when(text.rlike(NUMBER_PATTERN), F.trim(text).try_cast(to))
+
+
 def json_field(c: Column | str, path: str, cast: str | None = None) -> Column:
     """Read one field from a JSON text column."""
     v = F.get_json_object(_c(c), path)
@@ -105,7 +120,7 @@ def split_prefixed_name(name: Column | str, prefixes: Sequence[str], sep: str =
     for p in prefixes:
         hit = n.startswith(p + sep)
         source = F.when(hit, F.lit(p)) if source is None else source.when(hit, F.lit(p))
-        rest = F.substring(n, len(p) + len(sep) + 1, 1 << 20)
+        rest = F.substr(n, F.lit(len(p) + len(sep) + 1))
         category = F.when(hit, rest) if category is None else category.when(hit, rest)
     if source is None:
         return n, F.lit(None).cast("string")

@@ -24,6 +24,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from cohortwatch.operators.clean import has_order
+
 DEFAULT_BUCKET_SECONDS = 86400
 
 
@@ -41,6 +43,12 @@ def asof_join(entities: DataFrame, features: DataFrame, key: str, entity_ts: str
     payload_names = [feature_ts] + [c for c in feature_cols if c != feature_ts]
     fpack = F.struct(_micros(feature_ts).alias("__us"), *tie,
                      *[F.col(c).alias(f"__f_{c}") for c in payload_names])
+    # rows are compared by time, tie breaker, then whatever payload has an order (maps have none)
+    ranked = ["__us"] + (["__tie"] if tie else []) + [f"__f_{c}" for c in payload_names if has_order(features.schema[c].dataType)]
+
+    def newest(r: str = "__r"):
+        return F.max_by(r, F.struct(*[F.col(f"{r}.{c}") for c in ranked]))
+
     feats = features.select(F.col(key).alias("__k"), F.floor(_micros(feature_ts) / width).alias("__b"),
                             fpack.alias("__r"))
 
@@ -49,14 +57,14 @@ def asof_join(entities: DataFrame, features: DataFrame, key: str, entity_ts: str
                            _micros(entity_ts).alias("__us"), F.struct(*[F.col(c) for c in ent_cols]).alias("__e"))
 
     # 1. last feature row per (key, bucket)
-    last_per_bucket = feats.groupBy("__k", "__b").agg(F.max("__r").alias("__r"))
+    last_per_bucket = feats.groupBy("__k", "__b").agg(newest().alias("__r"))
     # 2. carry-in: latest feature in an earlier bucket, for buckets that hold entities
     rtype = last_per_bucket.schema["__r"].dataType
     ent_buckets = ents.select("__k", "__b").distinct()
     marks = (ent_buckets.select("__k", "__b", F.lit(0).alias("__side"), F.lit(None).cast(rtype).alias("__r"))
              .unionByName(last_per_bucket.select("__k", "__b", F.lit(1).alias("__side"), "__r")))
     w_keys = Window.partitionBy("__k").orderBy("__b", "__side").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    carry = (marks.withColumn("__carry", F.max("__r").over(w_keys))
+    carry = (marks.withColumn("__carry", newest().over(w_keys))
                   .filter((F.col("__side") == 0) & F.col("__carry").isNotNull())
                   .select("__k", "__b", F.col("__carry").alias("__r")))
 
@@ -69,7 +77,7 @@ def asof_join(entities: DataFrame, features: DataFrame, key: str, entity_ts: str
                                       F.lit(None).cast(etype).alias("__e"), "__r")))
     w = (Window.partitionBy("__k", "__b").orderBy(F.asc_nulls_first("__us"), "__side")
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    matched = rows.withColumn("__m", F.max("__r").over(w)).filter(F.col("__side") == 2)
+    matched = rows.withColumn("__m", newest().over(w)).filter(F.col("__side") == 2)
     ok = F.col("__m").isNotNull()
     if ttl_seconds is not None:
         ok = ok & ((F.col("__us") - F.col("__m.__us")) <= F.lit(int(ttl_seconds * 1_000_000)))
@@ -89,8 +97,10 @@ def latest_per_key(features: DataFrame, key: str, ts: str, cols: Sequence[str],
             src = src.filter(F.col(ts).cast("timestamp") >= floor_ts)
     tie = [F.col(tie_breaker)] if tie_breaker else []
     names = [ts] + [c for c in cols if c != ts]
-    packed = F.struct(F.col(ts).alias("__ts"), *[t.alias("__tie") for t in tie], *[F.col(c).alias(f"__f_{c}") for c in names])
-    agg = src.groupBy(key).agg(F.max(packed).alias("__r"))
+    row = F.struct(*[F.col(c).alias(f"__f_{c}") for c in names])
+    order = F.struct(F.col(ts).alias("__ts"), *[t.alias("__tie") for t in tie],
+                     *[F.col(c).alias(f"__o_{c}") for c in names if has_order(features.schema[c].dataType)])
+    agg = src.groupBy(key).agg(F.max_by(row, order).alias("__r"))
     return agg.select(F.col(key), *[F.col(f"__r.__f_{c}").alias(c) for c in names])
 
 

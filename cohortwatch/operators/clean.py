@@ -10,11 +10,21 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cohortwatch.functions.codes import not_equal_keep_null, not_in_keep_null
+from cohortwatch.functions.values import to_number
+
+
+def has_order(dtype: T.DataType) -> bool:
+    """Whether values of the type can be compared (maps cannot, nor what holds them)."""
+    if isinstance(dtype, T.StructType):
+        return all(has_order(f.dataType) for f in dtype.fields)
+    if isinstance(dtype, T.ArrayType):
+        return has_order(dtype.elementType)
+    return not isinstance(dtype, (T.MapType, T.VariantType))
 
 
 def string_columns(df: DataFrame) -> list[str]:
@@ -34,12 +44,6 @@ def placeholder_to_null(df: DataFrame, token: str = "?", columns: Sequence[str]
     return df.withColumns({c: F.when(F.col(c) == token, F.lit(None)).otherwise(F.col(c)) for c in cols})
 
 
-def normalise_na_tokens(df: DataFrame, tokens: Sequence[str], columns: Sequence[str] | None = None) -> DataFrame:
-    """Several NA spellings -> null after a CSV read."""
-    cols = list(columns) if columns is not None else string_columns(df)
-    return df.withColumns({c: F.when(F.col(c).isin(list(tokens)), F.lit(None)).otherwise(F.col(c)) for c in cols})
-
-
 def drop_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """P02."""
     return df.drop(*columns)
@@ -74,8 +78,9 @@ def first_per_key(df: DataFrame, key: str | Sequence[str], order: str | Sequence
 
     pandas' ``sort_values(order).drop_duplicates(key, keep='first')``: null keys
     form one group, null ordering values sort last. Expressed as a
-    partial+final ``min``/``max`` over a struct, so skewed keys are combined
-    map-side.
+    partial+final ``min_by``/``max_by``, so skewed keys are combined map-side. The other
+    columns break ties, map columns (which have no order) aside; the row itself is
+    only carried, so it may hold any type.
     """
     keys = [key] if isinstance(key, str) else list(key)
     orders = [order] if isinstance(order, str) else list(order)
@@ -83,15 +88,16 @@ def first_per_key(df: DataFrame, key: str | Sequence[str], order: str | Sequence
     if descending:
         # largest first, nulls still last: null flag sorts lowest under max
         lead = [F.col(o).isNotNull().alias(f"__nn{i}") for i, o in enumerate(orders)]
-        agg = F.max
+        agg = F.max_by
     else:
         lead = [F.col(o).isNull().alias(f"__isnull{i}") for i, o in enumerate(orders)]
-        agg = F.min
+        agg = F.min_by
     ordered = []
     for i, o in enumerate(orders):
         ordered += [lead[i], F.col(o).alias(f"__ord{i}")]
-    packed = F.struct(*ordered, *[F.col(c) for c in rest]).alias("__row")
-    out = df.groupBy(*keys).agg(agg(packed).alias("__row"))
+    ties = [F.col(c).alias(f"__tie{i}") for i, c in enumerate(rest) if has_order(df.schema[c].dataType)]
+    row = F.struct(*[F.col(c) for c in rest])
+    out = df.groupBy(*keys).agg(agg(row, F.struct(*ordered, *ties)).alias("__row"))
     return out.select(*[F.col(k) for k in keys], *[F.col("__row")[c].alias(c) for c in rest]).select(*df.columns)
 
 
@@ -109,13 +115,7 @@ def add_absent_columns(df: DataFrame, schema: T.StructType) -> DataFrame:
 
 def coerce_numeric(df: DataFrame, columns: Sequence[str], to: str = "double") -> DataFrame:
     """Bad values -> null (P10)."""
-    return df.withColumns({c: F.col(c).cast("string").try_cast(to) for c in columns})
-
-
-def null_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """One row: null count per column (P17 input)."""
-    cols = list(columns) if columns is not None else df.columns
-    return df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in cols])
+    return df.withColumns({c: to_number(c, to) for c in columns})
 
 
 def clean_pipeline(raw: DataFrame, *, placeholder: str, drop: Sequence[str],
@@ -144,6 +144,3 @@ def swap_columns(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
         m[a], m[b] = b, a
     return df.select(*[F.col(m.get(c, c)).cast(df.schema[c].dataType).alias(c) for c in df.columns])
 
-
-def col_or_lit(c) -> Column:
-    return c if isinstance(c, Column) else F.col(c)

@@ -60,6 +60,18 @@ def long_form(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str],
     return long.filter(F.when(F.col("kind") == "num", ok_num).otherwise(F.col("vtxt").isNotNull()))
 
 
+def expected_columns(current: DataFrame, numeric: Sequence[str], categorical: Sequence[str],
+                     group: str | None = None) -> DataFrame:
+    """(g, column, kind): every listed column for every group of the current sample, with or without values."""
+    if group:
+        groups = current.select(F.col(group).cast("string").alias(G)).where(F.col(G).isNotNull()).distinct()
+    else:
+        groups = current.sparkSession.range(1).select(F.lit("").alias(G))
+    listed = [F.struct(F.lit(c).alias("column"), F.lit(kind).alias("kind"))
+              for kind, names in (("num", numeric), ("cat", categorical)) for c in names]
+    return groups.select(G, F.inline(F.array(*listed)))
+
+
 def value_grid(reference: DataFrame, current: DataFrame, numeric: Sequence[str], categorical: Sequence[str],
                group: str | None = None) -> DataFrame:
     """(g, column, kind, vnum, vtxt, n_r, n_c) over the union of values per (g, column)."""
@@ -72,16 +84,18 @@ def value_grid(reference: DataFrame, current: DataFrame, numeric: Sequence[str],
                                           F.sum(1 - F.col("__r")).cast("long").alias("n_c"))
     ref = long_form(reference, numeric, categorical).groupBy(*keys).agg(F.count(F.lit(1)).alias("n_r"))
     cur = long_form(current, numeric, categorical, group).groupBy(G, *keys).agg(F.count(F.lit(1)).alias("n_c"))
-    groups = cur.select(G, "column").distinct()
+    groups = expected_columns(current, numeric, categorical, group).select(G, "column")
     ref_g = ref.join(groups, "column", "inner")  # reference counts attached to every group
     both = (ref_g.select(G, *keys, "n_r", F.lit(0).cast("long").alias("n_c"))
             .unionByName(cur.select(G, *keys, F.lit(0).cast("long").alias("n_r"), "n_c")))
     return both.groupBy(G, *keys).agg(F.sum("n_r").alias("n_r"), F.sum("n_c").alias("n_c"))
 
 
-def _column_totals(grid: DataFrame) -> DataFrame:
-    return grid.groupBy(G, "column", "kind").agg(
+def _column_totals(grid: DataFrame, expected: DataFrame) -> DataFrame:
+    """Sizes per (g, column); a column without any value keeps its row, with zeros."""
+    found = grid.groupBy(G, "column", "kind").agg(
         F.sum("n_r").alias("n_ref"), F.sum("n_c").alias("n_cur"), F.count(F.lit(1)).alias("n_values"))
+    return expected.join(found, [G, "column", "kind"], "left").fillna(0, ["n_ref", "n_cur", "n_values"])
 
 
 def reference_std(grid: DataFrame, totals: DataFrame) -> DataFrame:
@@ -139,22 +153,31 @@ def categorical_stats(grid: DataFrame, totals: DataFrame) -> DataFrame:
                       same_single.alias("__same"))
 
 
-def select_test(kind, n_ref, n_values):
-    """Default test per column."""
+def select_test(kind, n_ref, n_values, regime: str = "auto"):
+    """Default test per column (D06); ``regime`` "pvalue" or "distance" overrides the choice by reference size."""
+    if regime not in ("auto", "pvalue", "distance"):
+        raise ValueError(f"regime {regime!r}: auto, pvalue or distance")
+    small = {"auto": n_ref <= SMALL_REFERENCE_ROWS, "pvalue": F.lit(True), "distance": F.lit(False)}[regime]
     numeric_many = (kind == "num") & (n_values > FEW_VALUES)
-    return (F.when(n_ref <= SMALL_REFERENCE_ROWS,
-                   F.when(numeric_many, "ks").when(n_values > BINARY_VALUES, "chisquare").otherwise("z"))
+    return (F.when(small, F.when(numeric_many, "ks").when(n_values > BINARY_VALUES, "chisquare").otherwise("z"))
             .otherwise(F.when(numeric_many, "wasserstein").otherwise("jensenshannon")))
 
 
 def drift_table(reference: DataFrame, current: DataFrame, numeric: Sequence[str], categorical: Sequence[str],
-                group: str | None = None) -> DataFrame:
-    """Per (group, column): kind, sizes, test, statistic, p_value, score, drifted."""
+                group: str | None = None, regime: str = "auto") -> DataFrame:
+    """Per (group, column): kind, sizes, test, statistic, p_value, score, drifted.
+
+    Every listed column has a row in every group. A column with values on one side only
+    has drifted (its statistics are null); one without any value has not. ``test``,
+    ``statistic`` and ``p_value`` follow the chosen test; ``ks_p`` (numeric columns),
+    ``chi2_p`` (categorical columns, and numeric ones of few values) and ``z_p`` (two
+    values at most) are there at any size.
+    """
     # The grid (value counts) is the one heavy pass over both samples; it is written once to
     # the shared checkpoint folder so every statistic below reads it instead of recomputing.
     grid = cut_lineage(value_grid(reference, current, numeric, categorical, group))
     # one row per (group, column): counted once, broadcast when small
-    totals = broadcast_if_small(_column_totals(grid), materialize=False)
+    totals = broadcast_if_small(_column_totals(grid, expected_columns(current, numeric, categorical, group)), materialize=bool(group))
     cat = categorical_stats(grid, totals)
     out = totals.join(cat, [G, "column"], "left")
     if numeric:
@@ -162,22 +185,26 @@ def drift_table(reference: DataFrame, current: DataFrame, numeric: Sequence[str]
     else:
         out = out.withColumns({"ks_d": F.lit(None).cast("double"), "w1": F.lit(None).cast("double"),
                                "w1_norm": F.lit(None).cast("double")})
-    test = select_test(F.col("kind"), F.col("n_ref"), F.col("n_values"))
+    test = select_test(F.col("kind"), F.col("n_ref"), F.col("n_values"), regime)
     out = out.withColumn("test", test)
-    ks_p = ks_p_value(F.col("ks_d"), F.col("n_ref"), F.col("n_cur"))
-    chi_p = chi2_sf(F.col("chi2"), F.col("chi2_df"))
-    z_p = F.when(F.col("__same"), F.lit(1.0)).otherwise(normal_two_sided_p(F.col("z")))
-    statistic = (F.when(test == "ks", F.col("ks_d")).when(test == "chisquare", F.col("chi2"))
-                 .when(test == "z", F.col("z")).when(test == "wasserstein", F.col("w1_norm")).otherwise(F.col("js")))
-    p_value = F.when(test == "ks", ks_p).when(test == "chisquare", chi_p).when(test == "z", z_p)
+    few = (F.col("kind") == "cat") | (F.col("n_values") <= FEW_VALUES)
+    out = out.withColumns({
+        "ks_p": F.when(F.col("kind") == "num", ks_p_value(F.col("ks_d"), F.col("n_ref"), F.col("n_cur"))),
+        "chi2_p": F.when(few, chi2_sf(F.col("chi2"), F.col("chi2_df"))),
+        "z_p": F.when(F.col("n_values") <= BINARY_VALUES, F.when(F.col("__same"), F.lit(1.0)).otherwise(normal_two_sided_p(F.col("z"))))})
+    name = F.col("test")
+    statistic = (F.when(name == "ks", F.col("ks_d")).when(name == "chisquare", F.col("chi2"))
+                 .when(name == "z", F.col("z")).when(name == "wasserstein", F.col("w1_norm")).otherwise(F.col("js")))
+    p_value = F.when(name == "ks", F.col("ks_p")).when(name == "chisquare", F.col("chi2_p")).when(name == "z", F.col("z_p"))
     out = out.withColumns({"statistic": statistic, "p_value": p_value})
     score = F.coalesce(F.col("p_value"), F.col("statistic"))
-    drifted = F.when(F.col("test").isin("ks", "chisquare", "z"), F.col("p_value") < P_VALUE_THRESHOLD).otherwise(
+    by_test = F.when(name.isin("ks", "chisquare", "z"), F.col("p_value") < P_VALUE_THRESHOLD).otherwise(
         F.col("statistic") >= DISTANCE_THRESHOLD)
-    out = out.withColumns({"score": score, "drifted": F.coalesce(drifted, F.lit(False))})
+    one_sided = (F.col("n_ref") == 0) != (F.col("n_cur") == 0)
+    out = out.withColumns({"score": score, "drifted": one_sided | F.coalesce(by_test, F.lit(False))})
     cols = ([F.col(G).alias(group)] if group else []) + [
         "column", "kind", "n_ref", "n_cur", "n_values", "test", "statistic", "p_value", "score", "drifted",
-        "ks_d", "w1_norm", "js", "chi2", "chi2_df", "z"]
+        "ks_d", "w1_norm", "js", "chi2", "chi2_df", "z", "ks_p", "chi2_p", "z_p"]
     return out.select(*cols)
 
 

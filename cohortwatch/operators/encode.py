@@ -15,11 +15,16 @@ from dataclasses import asdict, dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cohortwatch.functions.codes import ordinal_encode
+from cohortwatch.functions.values import to_number
+from cohortwatch.operators.clean import add_absent_columns
 from cohortwatch.operators.profile import mode_per_column
 
 UNKNOWN_ORDINAL = -1
+# One-hot columns that a fitted spec may have; more is an error, not a cut.
+MAX_VOCABULARY = 10_000
 
 
 @dataclass
@@ -43,7 +48,7 @@ class TransformSpec:
 
 def impute(df: DataFrame, numeric_fill: dict, categorical_fill: dict) -> DataFrame:
     """Numeric -> coerce then fill with the mean; categorical -> fill with the mode."""
-    cols = {c: F.coalesce(F.col(c).cast("string").try_cast("double"), F.lit(float(v)))
+    cols = {c: F.coalesce(to_number(c), F.lit(float(v)))
             for c, v in numeric_fill.items() if c in df.columns}
     cols.update({c: F.coalesce(F.col(c).cast("string"), F.lit(v)) for c, v in categorical_fill.items() if c in df.columns})
     return df.withColumns(cols)
@@ -60,7 +65,9 @@ def vocabularies(df: DataFrame, columns: Sequence[str]) -> dict[str, list[str]]:
     long = df.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value"))
                                         for c in columns])))
     rows = (long.filter(F.col("value").isNotNull()).groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
-            .orderBy("column", F.desc("n"), "value").collect())
+            .orderBy("column", F.desc("n"), "value").limit(MAX_VOCABULARY + 1).collect())
+    if len(rows) > MAX_VOCABULARY:
+        raise ValueError(f"{', '.join(columns)}: more than {MAX_VOCABULARY} values, too many for one-hot columns")
     out: dict[str, list[str]] = {c: [] for c in columns}
     for r in rows:
         out[r["column"]].append(r["value"])
@@ -90,10 +97,9 @@ def fit_spec(df: DataFrame, feature_columns: Sequence[str], numeric: Sequence[st
 
 def apply_spec(df: DataFrame, spec: TransformSpec, keep: Sequence[str] = ()) -> DataFrame:
     """Impute -> ordinal -> one-hot -> conform to the fitted output columns, one projection."""
-    base = df
-    for c in spec.numeric_columns + spec.categorical_columns:
-        if c not in base.columns:  # P09: absent raw column -> null, then imputed
-            base = base.withColumn(c, F.lit(None).cast("string"))
+    # Absent raw column -> null, then imputed
+    raw = T.StructType([T.StructField(c, T.StringType()) for c in spec.numeric_columns + spec.categorical_columns])
+    base = add_absent_columns(df, raw)
     imp = impute(base, spec.numeric_fill, spec.categorical_fill)
     exprs = {c: F.col(c) for c in spec.numeric_columns}
     if spec.ordinal_column:
@@ -133,9 +139,9 @@ def unseen_values(df: DataFrame, spec: TransformSpec, columns: Sequence[str]) ->
     known_df = spark.createDataFrame(known, "column string, value string")
     long = df.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value"))
                                         for c in columns]))).filter(F.col("value").isNotNull())
-    # the known list is the fitted vocabulary: bounded, so broadcast it
-    return (long.join(F.broadcast(known_df), ["column", "value"], "left_anti")
-                .groupBy("column", "value").agg(F.count(F.lit(1)).alias("n")))
+    # counted first, so the join sees one row per value; the planner sizes the known list
+    counts = long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
+    return counts.join(known_df, ["column", "value"], "left_anti")
 
 
 def dummies_long(df: DataFrame, key: str, column: str, categories: Sequence[str], sep: str = "_") -> DataFrame:

@@ -15,7 +15,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-AUC_BUCKETS = 65536
+from cohortwatch.operators.scan import ordered_scan
+
 
 
 def _safe_div(a: Column, b: Column) -> Column:
@@ -82,28 +83,29 @@ def class_report(df: DataFrame, label: str, pred: str) -> DataFrame:
     return per.drop("tp").unionByName(avgs)
 
 
-def roc_auc(df: DataFrame, label: str, score: str, by: Sequence[str] = (), buckets: int = AUC_BUCKETS) -> DataFrame:
-    """ROC AUC with tied scores counted one half (G18); one row per ``by`` group."""
+def roc_auc(df: DataFrame, label: str, score: str, by: Sequence[str] = ()) -> DataFrame:
+    """ROC AUC with tied scores counted one half (G18); one row per ``by`` group.
+
+    Rows with a null label or a null or NaN score have no place in the ranking: they are
+    left out, and ``n_skipped`` tells how many.
+    """
     by = list(by)
+    s = F.col(score).cast("double")
+    fit = F.col(label).isNotNull() & s.isNotNull() & ~F.isnan(s)
     y = F.col(label).cast("long")
-    g = df.groupBy(*by, F.col(score).alias("__s")).agg(F.sum(y).alias("__pos"), F.sum(1 - y).alias("__neg"))
-    lo = df.agg(F.min(score)).scalar()
-    hi = df.agg(F.max(score)).scalar()
-    bk = F.when(hi == lo, F.lit(0)).otherwise(
-        F.least(F.floor((F.col("__s") - lo) / (hi - lo) * buckets), F.lit(buckets - 1))).cast("long")
-    g = g.withColumn("__bk", bk)
-    bt = g.groupBy(*by, "__bk").agg(F.sum("__neg").alias("__bneg"))
-    wb = (Window.partitionBy(*by).orderBy("__bk") if by else Window.orderBy("__bk")).rowsBetween(
-        Window.unboundedPreceding, -1)
-    off = bt.select(*[F.col(c).alias(f"__by{i}") for i, c in enumerate(by)], F.col("__bk").alias("__obk"),
-                    F.coalesce(F.sum("__bneg").over(wb), F.lit(0)).alias("__off"))
-    cond = [F.col("__bk") == F.col("__obk")] + [F.col(c).eqNullSafe(F.col(f"__by{i}")) for i, c in enumerate(by)]
-    j = g.join(off, cond, "inner")
-    wi = Window.partitionBy(*by, "__bk").orderBy("__s").rowsBetween(Window.unboundedPreceding, -1)
-    below = F.col("__off") + F.coalesce(F.sum("__neg").over(wi), F.lit(0))
-    j = j.withColumn("__area", F.col("__pos").cast("double") * (below + 0.5 * F.col("__neg")))
-    out = j.groupBy(*by).agg(F.sum("__area").alias("__a"), F.sum("__pos").alias("n_pos"), F.sum("__neg").alias("n_neg"))
-    return out.select(*by, "n_pos", "n_neg",
+    skipped = df.groupBy(*by).agg(F.count_if(~fit).alias("n_skipped"))
+    counts = df.where(fit).groupBy(*by, s.alias("__s")).agg(F.sum(y).alias("__pos"), F.sum(1 - y).alias("__neg"))
+    scanned = ordered_scan(counts, by, "__s", ["__neg"])
+    below = F.col("cum___neg") - F.col("__neg")
+    area = F.col("__pos").cast("double") * (below + 0.5 * F.col("__neg"))
+    out = scanned.groupBy(*by).agg(F.sum(area).alias("__a"), F.sum("__pos").alias("n_pos"), F.sum("__neg").alias("n_neg"))
+    cond = [skipped[c].eqNullSafe(out[c]) for c in by] or F.lit(True)
+    if by:
+        out = skipped.join(out, cond, "left").select(*[skipped[c] for c in by], "n_pos", "n_neg", "n_skipped", "__a")
+    else:
+        out = out.withColumn("n_skipped", skipped.scalar())
+    out = out.fillna(0, ["n_pos", "n_neg"])
+    return out.select(*by, "n_pos", "n_neg", "n_skipped",
                       F.when((F.col("n_pos") == 0) | (F.col("n_neg") == 0), F.lit(None))
                       .otherwise(F.col("__a") / (F.col("n_pos").cast("double") * F.col("n_neg"))).alias("auc"))
 

@@ -1,11 +1,11 @@
 """Ordered scan inside groups without one task per group (helper for CDFs).
 
-``ordered_scan`` adds inclusive running sums and the next ordering value
-inside each group. The ordering range of every group is cut into ``buckets``
-equal-width buckets: bucket totals are aggregated, a running sum over one row
-per bucket gives each bucket's offset, and the exact running sum inside a
-bucket is a window over (group, bucket). A group whose rows are a third of the
-data is therefore spread over up to ``buckets`` window partitions.
+``ordered_scan`` adds inclusive running sums and the next ordering value inside
+each group. Every group is cut into buckets at approximate quantiles of its own
+rows, so buckets hold about equal numbers of rows whatever the values (an outlier
+does not widen them). Bucket totals are aggregated, a running sum over one row per
+bucket gives each bucket's offset, and the exact running sum inside a bucket is a
+window over (group, bucket). The number of buckets follows the number of rows.
 """
 
 from __future__ import annotations
@@ -19,24 +19,42 @@ from pyspark.sql.window import Window
 from cohortwatch.operators.split import broadcast_if_small
 
 
+# Rows that one window partition should hold, and the most buckets a group is cut into.
+BUCKET_ROWS = 4096
+MOST_BUCKETS = 4096
+# Cuts are searched in two steps of about the square root of their number.
+STRIDE = 64
+
+
+def bucket_of(x, cuts):
+    """Number of ``cuts`` (sorted array column) at or below ``x``, by blocks of STRIDE."""
+    blocks = F.transform(F.sequence(F.lit(1), F.greatest(F.size(cuts), F.lit(1)), F.lit(STRIDE)), lambda i: F.get(cuts, i - 1))
+    block = F.greatest(F.size(F.filter(blocks, lambda c: c <= x)) - 1, F.lit(0))
+    part = F.slice(cuts, block * STRIDE + 1, F.lit(STRIDE))
+    return (block * STRIDE + F.size(F.filter(part, lambda c: c <= x))).cast("long")
+
+
 def ordered_scan(df: DataFrame, by: Sequence[str], order: str, sums: Sequence[str],
-                 buckets: int = 1024, cum_prefix: str = "cum_", next_col: str = "next_value",
-                 stored_input: bool = False) -> DataFrame:
+                 cum_prefix: str = "cum_", next_col: str = "next_value", stored_input: bool = False) -> DataFrame:
     """Inclusive running sums of ``sums`` and the next ``order`` value inside ``by`` groups.
 
-    ``stored_input``: the input is read from a stored table, so the per-group
-    range need not be materialised before it is counted.
+    Rows without an ordering value are left out. ``stored_input``: the input is read
+    from a stored table, so the cuts need not be materialised before they are counted.
     """
     by = list(by)
-    if by:
-        rng = df.groupBy(*by).agg(F.min(order).alias("__lo"), F.max(order).alias("__hi"))
-        d = df.join(broadcast_if_small(rng, materialize=not stored_input), by, "inner")
-    else:  # one group: the range is two scalar subqueries
-        d = df.withColumns({"__lo": df.agg(F.min(order)).scalar(), "__hi": df.agg(F.max(order)).scalar()})
+    df = df.where(F.col(order).isNotNull())
     x = F.col(order).cast("double")
-    lo, hi = F.col("__lo").cast("double"), F.col("__hi").cast("double")
-    d = d.withColumn("__bk", F.when(hi == lo, F.lit(0)).otherwise(
-        F.least(F.floor((x - lo) / (hi - lo) * buckets), F.lit(buckets - 1))).cast("long")).drop("__lo", "__hi")
+    # every bound of MOST_BUCKETS is kept; small groups thin them to one per BUCKET_ROWS rows
+    shares = [i / MOST_BUCKETS for i in range(1, MOST_BUCKETS)]
+    grain = F.greatest(F.lit(1), F.floor(F.lit(MOST_BUCKETS * BUCKET_ROWS) / F.greatest(F.col("__n"), F.lit(1)))).cast("int")
+    cuts = df.groupBy(*by).agg(F.percentile_approx(x, shares, F.lit(4 * MOST_BUCKETS)).alias("__q"), F.count(F.lit(1)).alias("__n"))
+    thin = F.array_distinct(F.filter("__q", lambda c, i: (i + 1) % grain == 0))
+    cuts = cuts.select(*by, thin.alias("__cuts"))
+    if by:
+        d = df.join(broadcast_if_small(cuts, materialize=not stored_input), by, "inner")
+        d = d.withColumn("__bk", bucket_of(x, F.col("__cuts"))).drop("__cuts")
+    else:  # one group: the cuts are a scalar subquery
+        d = df.withColumn("__cuts", cuts.scalar()).withColumn("__bk", bucket_of(x, F.col("__cuts"))).drop("__cuts")
     bt = d.groupBy(*by, "__bk").agg(F.min(order).alias("__bmin"), *[F.sum(c).alias(f"__bs_{c}") for c in sums])
     wb = Window.partitionBy(*by).orderBy("__bk") if by else Window.orderBy("__bk")  # one row per bucket
     wb_prev = wb.rowsBetween(Window.unboundedPreceding, -1)

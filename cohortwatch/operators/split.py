@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from cohortwatch.functions.values import hash_order, hash_u32
+from cohortwatch.functions.values import hash_order, hash_draw
 from cohortwatch.session import cut_lineage
 
 # Tables below this many rows are broadcast; beyond it the join shuffles.
@@ -93,7 +93,7 @@ def sample_with_replacement(spark, df: DataFrame, key: str, n: int, seed: int, s
     numbered = number_rows(df, key, seed, "__pos")
     total = df.agg(F.count(F.lit(1))).scalar()
     draws = spark.range(n).select(F.col("id").alias("draw_id"),
-                                  (hash_u32("id", seed, stream) % total).alias("__pos"))
+                                  (hash_draw("id", seed, stream) % total).alias("__pos"))
     return draws.join(numbered, "__pos", "inner").drop("__pos")
 
 

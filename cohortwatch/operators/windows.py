@@ -14,19 +14,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from cohortwatch.operators.scan import ordered_scan
+
 
 def rolling_rows(df: DataFrame, seq: str, value: str, n: int, decimal_scale: int | None = None) -> DataFrame:
     """Per row: count, sum of ``value`` over the last ``n`` rows by ``seq`` (inclusive).
 
-    ``seq`` must be a dense integer arrival counter (each value once, no gaps),
-    which is what a served-row counter is. With ``decimal_scale`` the sums are
+    ``seq`` gives the order only: rows are numbered by it first (``ordered_scan``), so it
+    may have gaps. With ``decimal_scale`` the sums are
     exact decimals (the values have that many decimal places).
     """
     x = F.col(value)
     if decimal_scale is not None:
         x = x.cast(f"decimal(18,{decimal_scale})")
-    start = df.agg(F.min(seq)).scalar()
-    base = df.select(F.col(seq), x.alias("__v"), (F.col(seq) - start).alias("__p"))
+    rows = df.select(F.col(seq), x.alias("__v"), F.lit(1).cast("long").alias("__one"))
+    base = ordered_scan(rows, [], seq, ["__one"]).select(F.col(seq), "__v", (F.col("cum___one") - 1).alias("__p"))
     base = base.withColumns({"__b": F.floor(F.col("__p") / n).cast("long"),
                              "__o": (F.col("__p") % n).cast("long")})
     w_run = Window.partitionBy("__b").orderBy("__o").rowsBetween(Window.unboundedPreceding, Window.currentRow)

@@ -51,24 +51,28 @@ def chi2_p_sql(x: str, df: str) -> str:
 
 def drift_ctes(ref: str, cur: str, numeric, categorical, group: str | None = None) -> dict[str, str]:
     """CTEs ending in `dt`: the per-(g, column) drift table."""
+    listed = ", ".join([f"('{c}', 'num')" for c in numeric] + [f"('{c}', 'cat')" for c in categorical])
+    every = f"SELECT DISTINCT CAST({group} AS VARCHAR) AS g FROM {cur} WHERE {group} IS NOT NULL" if group else "SELECT '' AS g"
     return {
+        "expected": f"SELECT g, column_name, kind FROM ({every}), (VALUES {listed}) AS listed(column_name, kind)",
         "ref_long": _long(ref, numeric, categorical, None),
         "cur_long": _long(cur, numeric, categorical, group),
         "ref_counts": "SELECT column_name, kind, vnum, vtxt, count(*) AS n_r FROM ref_long GROUP BY ALL",
         "cur_counts": "SELECT g, column_name, kind, vnum, vtxt, count(*) AS n_c FROM cur_long GROUP BY ALL",
         "grid": """SELECT g, column_name, kind, vnum, vtxt, sum(n_r) AS n_r, sum(n_c) AS n_c FROM (
             SELECT gr.g, r.column_name, r.kind, r.vnum, r.vtxt, r.n_r, 0 AS n_c
-            FROM ref_counts r JOIN (SELECT DISTINCT g, column_name FROM cur_counts) gr ON r.column_name = gr.column_name
+            FROM ref_counts r JOIN expected gr ON r.column_name = gr.column_name
             UNION ALL SELECT g, column_name, kind, vnum, vtxt, 0, n_c FROM cur_counts) GROUP BY ALL""",
-        "totals": """SELECT g, column_name, kind, CAST(sum(n_r) AS BIGINT) AS n_ref, CAST(sum(n_c) AS BIGINT) AS n_cur,
-            count(*) AS n_values FROM grid GROUP BY ALL""",
+        "totals": """SELECT e.g, e.column_name, e.kind, CAST(COALESCE(sum(n_r), 0) AS BIGINT) AS n_ref,
+            CAST(COALESCE(sum(n_c), 0) AS BIGINT) AS n_cur, count(v.g) AS n_values
+            FROM expected e LEFT JOIN grid v ON v.g = e.g AND v.column_name = e.column_name GROUP BY ALL""",
         "std": "SELECT column_name, stddev_pop(vnum) AS std_ref FROM ref_long WHERE kind = 'num' GROUP BY ALL",
         "scan": """SELECT g, column_name, vnum, sum(n_r) OVER w AS cr, sum(n_c) OVER w AS cc,
             lead(vnum) OVER (PARTITION BY g, column_name ORDER BY vnum) AS nv
             FROM grid WHERE kind = 'num'
             WINDOW w AS (PARTITION BY g, column_name ORDER BY vnum ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""",
-        "num": f"""SELECT s.g, s.column_name, max(abs(cr / t.n_ref - cc / t.n_cur)) AS ks_d,
-            sum(abs(cr / t.n_ref - cc / t.n_cur) * COALESCE(nv - vnum, 0)) / GREATEST(max(st.std_ref), {D.STD_FLOOR})
+        "num": f"""SELECT s.g, s.column_name, max(abs(cr / nullif(t.n_ref, 0) - cc / nullif(t.n_cur, 0))) AS ks_d,
+            sum(abs(cr / nullif(t.n_ref, 0) - cc / nullif(t.n_cur, 0)) * COALESCE(nv - vnum, 0)) / GREATEST(max(st.std_ref), {D.STD_FLOOR})
               AS w1_norm
             FROM scan s JOIN totals t ON s.g = t.g AND s.column_name = t.column_name
             LEFT JOIN std st ON s.column_name = st.column_name GROUP BY s.g, s.column_name""",
@@ -81,12 +85,12 @@ def drift_ctes(ref: str, cur: str, numeric, categorical, group: str | None = Non
             CASE WHEN max(kind) = 'num' THEN arg_min(n_c, vnum) ELSE arg_min(n_c, vtxt) END AS kc,
             max(n_ref) AS nr, max(n_cur) AS nc,
             count(*) FILTER (WHERE n_r > 0) AS ur, count(*) FILTER (WHERE n_c > 0) AS uc, count(*) AS u
-            FROM (SELECT gr.*, t.n_ref, t.n_cur, gr.n_r / t.n_ref AS p, gr.n_c / t.n_cur AS q,
-                         (gr.n_r / t.n_ref + gr.n_c / t.n_cur) / 2.0 AS m, gr.n_r * (t.n_cur / t.n_ref) AS e
+            FROM (SELECT gr.*, t.n_ref, t.n_cur, gr.n_r / nullif(t.n_ref, 0) AS p, gr.n_c / nullif(t.n_cur, 0) AS q,
+                         (gr.n_r / nullif(t.n_ref, 0) + gr.n_c / nullif(t.n_cur, 0)) / 2.0 AS m, gr.n_r * (t.n_cur / nullif(t.n_ref, 0)) AS e
                   FROM grid gr JOIN totals t ON gr.g = t.g AND gr.column_name = t.column_name)
             GROUP BY g, column_name""",
         "catz": """SELECT *, CASE WHEN u = 1 AND ur = 1 AND uc = 1 THEN 0.0 ELSE
-              (kr / nr - kc / nc) / sqrt(((kr + kc) / (nr + nc)) * (1 - (kr + kc) / (nr + nc)) * (1.0 / nr + 1.0 / nc))
+              (kr / nullif(nr, 0) - kc / nullif(nc, 0)) / nullif(sqrt(((kr + kc) / (nr + nc)) * (1 - (kr + kc) / (nr + nc)) * (1.0 / nullif(nr, 0) + 1.0 / nullif(nc, 0))), 0)
               END AS z, (u = 1 AND ur = 1 AND uc = 1) AS same FROM cat""",
         "sel": f"""SELECT t.*, c.js, c.chi2, c.chi2_df, c.z, c.same, n.ks_d, n.w1_norm,
             CASE WHEN t.n_ref <= {D.SMALL_REFERENCE_ROWS} THEN
@@ -96,15 +100,17 @@ def drift_ctes(ref: str, cur: str, numeric, categorical, group: str | None = Non
                            ELSE 'jensenshannon' END END AS test
             FROM totals t LEFT JOIN catz c ON t.g = c.g AND t.column_name = c.column_name
             LEFT JOIN num n ON t.g = n.g AND t.column_name = n.column_name""",
-        "pv": f"""SELECT *,
+        "ps": f"""SELECT *,
+            CASE WHEN kind = 'num' THEN {ks_p_sql('ks_d', 'n_ref', 'n_cur')} END AS ks_p,
+            CASE WHEN kind = 'cat' OR n_values <= {D.FEW_VALUES} THEN {chi2_p_sql('chi2', 'chi2_df')} END AS chi2_p,
+            CASE WHEN n_values <= {D.BINARY_VALUES} THEN
+              (CASE WHEN same THEN 1.0 ELSE {erfc_sql(f'abs(z) / {math.sqrt(2.0)}')} END) END AS z_p FROM sel""",
+        "pv": """SELECT *,
             CASE test WHEN 'ks' THEN ks_d WHEN 'chisquare' THEN chi2 WHEN 'z' THEN z
                       WHEN 'wasserstein' THEN w1_norm ELSE js END AS statistic,
-            CASE test WHEN 'ks' THEN {ks_p_sql('ks_d', 'n_ref', 'n_cur')}
-                      WHEN 'chisquare' THEN {chi2_p_sql('chi2', 'chi2_df')}
-                      WHEN 'z' THEN (CASE WHEN same THEN 1.0 ELSE {erfc_sql(f'abs(z) / {math.sqrt(2.0)}')} END)
-                      END AS p_value FROM sel""",
+            CASE test WHEN 'ks' THEN ks_p WHEN 'chisquare' THEN chi2_p WHEN 'z' THEN z_p END AS p_value FROM ps""",
         "dt": f"""SELECT *, COALESCE(p_value, statistic) AS score,
-            COALESCE(CASE WHEN test IN ('ks', 'chisquare', 'z') THEN p_value < {D.P_VALUE_THRESHOLD}
+            (n_ref = 0) <> (n_cur = 0) OR COALESCE(CASE WHEN test IN ('ks', 'chisquare', 'z') THEN p_value < {D.P_VALUE_THRESHOLD}
                           ELSE statistic >= {D.DISTANCE_THRESHOLD} END, false) AS drifted FROM pv""",
     }
 

@@ -12,9 +12,11 @@ from cohortwatch.plans.registry import register, with_ctes
 # lineitem split in time: reference period (shipped before mid-1998) vs current period;
 # together the two samples are the whole table, and the reference is large (>1000 rows)
 PERIOD_SPLIT = "1998-06-01"
-REF_HALF = f"SELECT * FROM lineitem WHERE l_shipdate < TIMESTAMP '{PERIOD_SPLIT} 00:00:00'"
-CUR_HALF = f"SELECT * FROM lineitem WHERE l_shipdate >= TIMESTAMP '{PERIOD_SPLIT} 00:00:00'"
-HALF_NUM = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_linenumber"]
+# l_gone has values in the reference period only: the verdict must report it
+GONE = f"CASE WHEN l_shipdate < TIMESTAMP '{PERIOD_SPLIT} 00:00:00' THEN l_quantity END AS l_gone"
+REF_HALF = f"SELECT *, {GONE} FROM lineitem WHERE l_shipdate < TIMESTAMP '{PERIOD_SPLIT} 00:00:00'"
+CUR_HALF = f"SELECT *, {GONE} FROM lineitem WHERE l_shipdate >= TIMESTAMP '{PERIOD_SPLIT} 00:00:00'"
+HALF_NUM = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_linenumber", "l_gone"]
 HALF_CAT = ["l_returnflag", "l_linestatus"]
 
 # suppliers (small reference, <= 1000 rows up to sf0.1) vs customers
@@ -47,29 +49,29 @@ SMALL_CTES = dict(ref=REF_SMALL, cur=CUR_SMALL, **drift_ctes("ref", "cur", SMALL
 
 
 @register("ks_stat", with_ctes(
-    "SELECT column_name, n_ref, n_cur, round(ks_d, 6) AS ks_d, round(p_value, 6) AS p_value "
+    "SELECT column_name, n_ref, n_cur, round(ks_d, 6) AS ks_d, round(ks_p, 6) AS p_value "
     "FROM dt WHERE column_name = 'acctbal'", **SMALL_CTES))
 def q_ks_stat(spark, sf_dir):
     t = _small(spark, sf_dir).filter(F.col("column") == "acctbal")
     return t.select(F.col("column").alias("column_name"), "n_ref", "n_cur", r6("ks_d").alias("ks_d"),
-                    r6("p_value").alias("p_value"))
+                    r6("ks_p").alias("p_value"))
 
 
 @register("chi2_stat", with_ctes(
-    "SELECT column_name, round(chi2, 6) AS chi2, chi2_df, round(p_value, 6) AS p_value "
+    "SELECT column_name, round(chi2, 6) AS chi2, chi2_df, round(chi2_p, 6) AS p_value "
     "FROM dt WHERE column_name = 'nation'", **SMALL_CTES))
 def q_chi2_stat(spark, sf_dir):
     t = _small(spark, sf_dir).filter(F.col("column") == "nation")
     return t.select(F.col("column").alias("column_name"), r6("chi2").alias("chi2"), "chi2_df",
-                    r6("p_value").alias("p_value"))
+                    r6("chi2_p").alias("p_value"))
 
 
 @register("z_stat", with_ctes(
-    "SELECT column_name, round(z, 6) AS z, round(p_value, 6) AS p_value FROM dt WHERE column_name = 'rich'",
+    "SELECT column_name, round(z, 6) AS z, round(z_p, 6) AS p_value FROM dt WHERE column_name = 'rich'",
     **SMALL_CTES))
 def q_z_stat(spark, sf_dir):
     t = _small(spark, sf_dir).filter(F.col("column") == "rich")
-    return t.select(F.col("column").alias("column_name"), r6("z").alias("z"), r6("p_value").alias("p_value"))
+    return t.select(F.col("column").alias("column_name"), r6("z").alias("z"), r6("z_p").alias("p_value"))
 
 
 @register("wasserstein_norm", with_ctes(

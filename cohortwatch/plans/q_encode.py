@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from cohortwatch import schemas as S
-from cohortwatch.functions.codes import DIAGNOSIS_GROUPS, ordinal_encode, py_float
+from cohortwatch.functions.codes import DIAGNOSIS_GROUPS, ordinal_encode
 from cohortwatch.functions.values import split_prefixed_name
 from cohortwatch.operators import clean as C
 from cohortwatch.operators import corrupt as X
@@ -212,13 +212,18 @@ def q_conform_columns(spark, sf_dir):
     return C.conform_columns(test, [KEY, "num_medications", "time_in_hospital", "weight_kg", "gender"])
 
 
+# diag_1 with spellings mixed in that look like numbers to one parser or another
+AWKWARD_SQL = ("CASE encounter_id % 7 WHEN 0 THEN '12d' WHEN 1 THEN '1_000' WHEN 2 THEN ' 7 ' WHEN 3 THEN '1e3' "
+               "WHEN 4 THEN '0x1F' ELSE diag_1 END")
+
+
 @register("coerce_numeric", with_ctes(
-    "SELECT encounter_id, diag_1, CASE WHEN regexp_matches(diag_1, '^\\s*[+-]?[0-9]+(\\.[0-9]*)?\\s*$') "
-    "THEN TRY_CAST(trim(diag_1) AS DOUBLE) END AS diag_num FROM enc", enc=ENCOUNTERS_SQL))
+    f"SELECT encounter_id, diag_1, CASE WHEN regexp_full_match({AWKWARD_SQL}, '\\s*[+-]?([0-9]+\\.?[0-9]*|\\.[0-9]+)([eE][+-]?[0-9]+)?\\s*') "
+    f"THEN TRY_CAST(trim({AWKWARD_SQL}) AS DOUBLE) END AS diag_num FROM enc", enc=ENCOUNTERS_SQL))
 def q_coerce_numeric(spark, sf_dir):
-    """P10: text to number the way Python's float() reads it; bad values -> null."""
-    enc = encounters(spark, sf_dir)
-    return enc.select("encounter_id", "diag_1", py_float(F.col("diag_1")).alias("diag_num"))
+    """P10: text to number; bad values (a suffix, digit groups, words) -> null."""
+    enc = encounters(spark, sf_dir).withColumn("diag_num", F.expr(AWKWARD_SQL))
+    return C.coerce_numeric(enc, ["diag_num"]).select("encounter_id", "diag_1", "diag_num")
 
 
 @register("unseen_categories", with_ctes(

@@ -22,7 +22,7 @@ from cohortwatch.operators import evaluate as EV
 from cohortwatch.operators import split as SP
 from cohortwatch.plans.drift_sql import drift_ctes, verdict_sql
 from cohortwatch.plans.q_clean import FEATURE_CTES, feature_table
-from cohortwatch.plans.q_split import md5_sql, u32_sql
+from cohortwatch.plans.q_split import md5_sql, draw_sql
 from cohortwatch.plans.registry import register, with_ctes
 from cohortwatch.session import cut_lineage
 
@@ -73,7 +73,7 @@ def scenario_frames(spark, sf_dir):
 # ---- oracle text ----------------------------------------------------------
 
 def _hint(stream, low, high):
-    return f"({low} + {u32_sql(KEY, SEED, stream)} % {high - low})"
+    return f"({low} + {draw_sql(KEY, SEED, stream)} % {high - low})"
 
 
 _RISK_SQL = " + ".join(f"CAST({c} AS DOUBLE) * CAST({w} AS DOUBLE)" for c, w in RISK_WEIGHTS)
@@ -91,9 +91,9 @@ SCENARIO_SQL = {
     "column_swap": _replace({"num_medications": "num_lab_procedures", "num_lab_procedures": "num_medications",
                              "num_procedures": "time_in_hospital", "time_in_hospital": "num_procedures"}),
     "schema_change": _replace({
-        "gender": f"CASE WHEN {u32_sql(KEY, SEED, 'schema_change:gender')} / 4294967296.0 < 0.4 THEN 'UNKNOWN' "
+        "gender": f"CASE WHEN {draw_sql(KEY, SEED, 'schema_change:gender')} / 1152921504606846976.0 < 0.4 THEN 'UNKNOWN' "
                   f"ELSE gender END",
-        "diag_1_category": f"['ZZZ', 'NEW_CODE', 'Unmapped'][{u32_sql(KEY, SEED, 'schema_change:diag')} % 3 + 1]",
+        "diag_1_category": f"['ZZZ', 'NEW_CODE', 'Unmapped'][{draw_sql(KEY, SEED, 'schema_change:diag')} % 3 + 1]",
         "medical_specialty_grouped": "'BrandNewSpecialty'"}),
     "dist_shift": _replace({
         "age_ordinal": f"CASE WHEN age_ordinal IS NOT NULL THEN "

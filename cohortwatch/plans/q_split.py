@@ -18,8 +18,8 @@ def md5_sql(key: str, seed=SEED, stream: str | None = None) -> str:
     return f"md5(CAST({key} AS VARCHAR) || {tail})"
 
 
-def u32_sql(key: str, seed=SEED, stream: str = "") -> str:
-    return f"CAST(('0x' || substr({md5_sql(key, seed, stream)}, 1, 8)) AS BIGINT)"
+def draw_sql(key: str, seed=SEED, stream: str = "") -> str:
+    return f"CAST(('0x' || substr({md5_sql(key, seed, stream)}, 1, 15)) AS BIGINT)"
 
 
 SPLIT_SQL = f"""
@@ -62,7 +62,7 @@ NUMBERED_CUST = f"""SELECT c_custkey, row_number() OVER (ORDER BY {md5_sql('c_cu
 
 @register("sample_replace", f"""
 SELECT d.draw_id, c.c_custkey
-FROM (SELECT range AS draw_id, {u32_sql('range', SEED, 'draw')} % (SELECT count(*) FROM customer) AS pos
+FROM (SELECT range AS draw_id, {draw_sql('range', SEED, 'draw')} % (SELECT count(*) FROM customer) AS pos
       FROM range(0, 2000)) d
 JOIN ({NUMBERED_CUST}) c ON d.pos = c.pos
 """)
@@ -74,7 +74,7 @@ def q_sample_replace(spark, sf_dir):
 def _blend_side(status, n, stream):
     return f"""SELECT d.draw_id, o.o_orderkey, '{stream}' AS source
       FROM (SELECT range AS draw_id,
-                   {u32_sql('range', SEED, stream)} % (SELECT count(*) FROM orders WHERE o_orderstatus = '{status}') AS pos
+                   {draw_sql('range', SEED, stream)} % (SELECT count(*) FROM orders WHERE o_orderstatus = '{status}') AS pos
             FROM range(0, {n})) d
       JOIN (SELECT o_orderkey, row_number() OVER (ORDER BY {md5_sql('o_orderkey')}, o_orderkey) - 1 AS pos
             FROM orders WHERE o_orderstatus = '{status}') o ON d.pos = o.pos"""
@@ -104,7 +104,7 @@ def q_batch_ids(spark, sf_dir):
         "o_orderkey", "position", "batch_id")
 
 
-REF_ROWS = 500
+REF_ROWS = S.DRIFT_REFERENCE_ROWS
 _feat_cols = ", ".join(S.FEATURE_COLUMNS)
 
 

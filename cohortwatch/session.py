@@ -84,6 +84,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return os.path.dirname(str(current.get()).rstrip("/"))
     base = conf_dir or _OWN_DIRS.get(app)
     if base is None:
+        # executors on other machines cannot see a folder of this one
+        if sc.master != "local" and not sc.master.startswith("local["):
+            raise RuntimeError("spark.checkpoint.dir is not set: name a folder that all executors share")
         base = tempfile.mkdtemp(prefix="cohortwatch-ckpt-")
         _OWN_DIRS[app] = base
     sc.setCheckpointDir(base)

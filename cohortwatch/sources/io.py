@@ -20,20 +20,31 @@ NA_TOKENS = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan
 # ---------------------------------------------------------------------------
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType, na_tokens: Sequence[str] = NA_TOKENS) -> DataFrame:
-    """Headered CSV with a fixed schema; every NA spelling -> null.
+def csv_text(spark: SparkSession, path: str, schema: T.StructType, **options) -> DataFrame:
+    """A headered CSV as text columns under the names of its own header.
 
-    Columns are read as text first so that each NA spelling can be matched,
-    then cast to the schema types.
+    The header (one line) gives the names, so files may hold the columns in any order and
+    more than asked for; a column of ``schema`` that the header lacks is an error. Files of
+    one read must agree on the header (``enforceSchema`` off: Spark checks each).
     """
-    text_schema = T.StructType([T.StructField(f.name, T.StringType(), True) for f in schema.fields])
-    raw = spark.read.option("header", True).schema(text_schema).csv(path)
+    names = spark.read.options(header=True, **options).csv(path).columns
+    absent = [f.name for f in schema.fields if f.name not in names]
+    if absent:
+        raise ValueError(f"{path}: the header lacks {', '.join(absent)}")
+    text = T.StructType([T.StructField(n, T.StringType(), True) for n in names])
+    return spark.read.options(header=True, enforceSchema=False, **options).schema(text).csv(path)
+
+
+def typed_cells(schema: T.StructType, na_tokens: Sequence[str] = NA_TOKENS) -> list:
+    """Text columns -> the schema's types by name, every NA spelling -> null."""
     tokens = list(na_tokens)
-    cols = []
-    for f in schema.fields:
-        c = F.when(F.col(f.name).isin(tokens), F.lit(None)).otherwise(F.col(f.name))
-        cols.append(c.cast(f.dataType).alias(f.name))
-    return raw.select(*cols)
+    return [F.when(F.col(f"`{f.name}`").isin(tokens), F.lit(None)).otherwise(F.col(f"`{f.name}`")).cast(f.dataType).alias(f.name)
+            for f in schema.fields]
+
+
+def read_csv(spark: SparkSession, path: str, schema: T.StructType, na_tokens: Sequence[str] = NA_TOKENS) -> DataFrame:
+    """Headered CSV, columns by name, with a fixed schema; every NA spelling -> null."""
+    return csv_text(spark, path, schema).select(*typed_cells(schema, na_tokens))
 
 
 def write_csv(df: DataFrame, path: str) -> None:
@@ -67,14 +78,15 @@ def read_scenario_files(spark: SparkSession, pattern: str, schema: T.StructType,
     The name comes from the hidden ``_metadata.file_path`` column, so a filter
     on it happens in the scan rather than in a driver loop over files.
     """
-    reader = spark.read.schema(schema).option("recursiveFileLookup", True)
     if fmt == "csv":
-        reader = reader.option("header", True)
-    df = reader.format(fmt).load(pattern)
+        df, cells = csv_text(spark, pattern, schema, recursiveFileLookup=True), typed_cells(schema)
+    else:
+        df = spark.read.schema(schema).option("recursiveFileLookup", True).format(fmt).load(pattern)
+        cells = [F.col(f"`{f.name}`") for f in schema.fields]
     path = F.col("_metadata.file_path")
     stem = F.regexp_extract(path, r"([^/=]+)=([^/]+)/[^/]+$", 2)
     base = F.regexp_extract(path, r"([^/]+?)(\.[^./]*)?$", 1)
-    return df.withColumn(name_col, F.when(stem != "", stem).otherwise(base))
+    return df.select(*cells, F.when(stem != "", stem).otherwise(base).alias(name_col))
 
 
 def write_json_document(df: DataFrame, path: str) -> None:

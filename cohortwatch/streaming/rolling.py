@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortwatch.operators import drift as D
+from cohortwatch.operators.scan import ordered_scan
 
 
 @dataclass(frozen=True)
@@ -97,12 +98,13 @@ def replay(reference: DataFrame, served: DataFrame, seq: str, numeric, categoric
            window: int, min_new: int, min_window: int) -> tuple[DataFrame, Schedule]:
     """Verdict per due check over the last ``window`` rows.
 
-    ``seq`` is a dense arrival counter of the served rows.
+    ``seq`` orders the served rows; they are numbered by it, so it may have gaps.
     """
-    agg = served.agg(F.count(F.lit(1)).alias("n"), F.min(seq).alias("lo")).first()
-    sch = schedule(int(agg["n"]), batch, window, min_new, min_window)
+    sch = schedule(served.count(), batch, window, min_new, min_window)
     spark = served.sparkSession
-    tagged = check_windows(served, seq, sch, int(agg["lo"] or 0))
+    numbered = ordered_scan(served.withColumn("__one", F.lit(1).cast("long")), [], seq, ["__one"])
+    numbered = numbered.withColumn("__seq", F.col("cum___one") - 1).drop("__one", "cum___one", "next_value")
+    tagged = check_windows(numbered, "__seq", sch, 0).drop("__seq")
     table = D.drift_table(reference, tagged, numeric, categorical, group="check_id")
     verdict = D.dataset_verdict(table, "check_id").withColumn("check_id", F.col("check_id").cast("long"))
     sizes = tagged.groupBy("check_id").agg(F.count(F.lit(1)).alias("n_window"))

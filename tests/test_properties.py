@@ -88,7 +88,7 @@ def test_rolling_rows_matches_window(spark, small_dir):
 def test_ordered_scan_matches_window(spark, small_dir):
     li = read_table(spark, small_dir, "lineitem").select("l_returnflag", "l_orderkey", F.lit(1).alias("one"))
     got = ordered_scan(li.dropDuplicates(["l_returnflag", "l_orderkey"]), ["l_returnflag"], "l_orderkey",
-                       ["one"], buckets=7)
+                       ["one"])
     w = Window.partitionBy("l_returnflag").orderBy("l_orderkey")
     ref = li.dropDuplicates(["l_returnflag", "l_orderkey"]).withColumns(
         {"c": F.count("*").over(w.rowsBetween(Window.unboundedPreceding, 0)), "nx": F.lead("l_orderkey").over(w)})
@@ -101,7 +101,7 @@ def test_roc_auc_matches_evaluator(spark, small_dir):
     from pyspark.ml.evaluation import BinaryClassificationEvaluator
     li = read_table(spark, small_dir, "lineitem").select(
         (F.col("l_returnflag") == "R").cast("double").alias("label"), (F.col("l_discount") * 10).alias("score"))
-    ours = EV.roc_auc(li, "label", "score", buckets=4).first().auc
+    ours = EV.roc_auc(li, "label", "score").first().auc
     theirs = BinaryClassificationEvaluator(rawPredictionCol="score", labelCol="label").evaluate(li)
     assert abs(ours - theirs) < 1e-9
 
