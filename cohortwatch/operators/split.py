@@ -14,9 +14,9 @@ n_class / 16**digits rows per window partition.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -40,36 +40,49 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, materi
     return F.broadcast(df) if df.count() <= max_rows else df
 
 
-def hash_rank(df: DataFrame, key: str, seed: int, by: Sequence[str] = (), digits: int = 4,
-              rank_col: str = "__rank") -> DataFrame:
-    """Add ``rank_col``: 1-based rank by (md5('key|seed'), key) within ``by`` groups."""
+def _hash_buckets(df: DataFrame, key: str, seed: int, by: Sequence[str], digits: int) -> DataFrame:
+    """``df`` with its hash __h, bucket __bk, and of the bucket: rows before it (__off), its own (__bn), its class's (__total)."""
     by = list(by)
     h = hash_order(key, seed)
     base = df.withColumns({"__h": h, "__bk": F.substring(h, 1, digits)})
-    counts = base.groupBy(*by, "__bk").agg(F.count(F.lit(1)).alias("__n"))
-    w = Window.partitionBy(*by).orderBy("__bk") if by else Window.orderBy("__bk")
-    offsets = counts.select(*[F.col(c).alias(f"__by{i}") for i, c in enumerate(by)],
-                            F.col("__bk").alias("__obk"), (F.sum("__n").over(w) - F.col("__n")).alias("__off"))
+    counts = base.groupBy(*by, "__bk").agg(F.count(F.lit(1)).alias("__bn"))
+    group = Window.partitionBy(*by)
+    w = group.orderBy("__bk")
+    offsets = counts.select(*[F.col(c).alias(f"__by{i}") for i, c in enumerate(by)], F.col("__bk").alias("__obk"), "__bn",
+                            (F.sum("__bn").over(w) - F.col("__bn")).alias("__off"), F.sum("__bn").over(group).alias("__total"))
     # nulls in `by` must meet nulls: join on null-safe equality
     cond = [F.col("__bk") == F.col("__obk")] + [F.col(c).eqNullSafe(F.col(f"__by{i}")) for i, c in enumerate(by)]
-    joined = base.join(broadcast_if_small(offsets), cond, "inner").drop(
-        "__obk", *[f"__by{i}" for i in range(len(by))])
+    return base.join(broadcast_if_small(offsets), cond, "inner").drop("__obk", *[f"__by{i}" for i in range(len(by))])
+
+
+def hash_rank(df: DataFrame, key: str, seed: int, by: Sequence[str] = (), digits: int = 4,
+              rank_col: str = "__rank") -> DataFrame:
+    """Add ``rank_col``: 1-based rank by (md5('key|seed'), key) within ``by`` groups."""
+    joined = _hash_buckets(df, key, seed, by, digits)
     w_in = Window.partitionBy(*by, "__bk").orderBy("__h", key)
-    return joined.withColumn(rank_col, F.col("__off") + F.row_number().over(w_in)).drop("__h", "__bk", "__off")
+    return joined.withColumn(rank_col, F.col("__off") + F.row_number().over(w_in)).drop("__h", "__bk", "__off", "__bn", "__total")
+
 
+def hash_first(df: DataFrame, key: str, seed: int, by: Sequence[str], cut: Callable[[Column], Column],
+               digits: int = 4) -> DataFrame:
+    """Add ``__first``: whether the row is among the first ``cut(class size)`` of its class by hash order.
 
-def class_sizes(df: DataFrame, by: Sequence[str]) -> DataFrame:
-    return df.groupBy(*by).agg(F.count(F.lit(1)).alias("__class_n"))
+    Whole buckets before or behind the cut need no rank; only the bucket in which a class
+    is cut (one per class, about class size / 16**digits rows) is shuffled and ranked.
+    """
+    joined = _hash_buckets(df, key, seed, by, digits).withColumn("__cut", cut(F.col("__total")))
+    straddles = (F.col("__off") < F.col("__cut")) & (F.col("__off") + F.col("__bn") > F.col("__cut"))
+    w_in = Window.partitionBy(*by, "__bk").orderBy("__h", key)
+    settled = joined.where(~straddles).withColumn("__first", F.col("__off") < F.col("__cut"))
+    ranked = joined.where(straddles).withColumn("__first", F.col("__off") + F.row_number().over(w_in) <= F.col("__cut"))
+    return settled.unionByName(ranked).drop("__h", "__bk", "__off", "__bn", "__total", "__cut")
 
 
 def stratified_split(df: DataFrame, key: str, label: str, test_size: float, seed: int,
                      split_col: str = "split") -> DataFrame:
     """Per class the first round(test_size * n) rows by hash order are 'test' (W03)."""
-    ranked = hash_rank(df, key, seed, [label])
-    sizes = class_sizes(df, [label]).withColumnRenamed(label, "__lbl")
-    j = ranked.join(broadcast_if_small(sizes), F.col(label).eqNullSafe(F.col("__lbl"))).drop("__lbl")
-    is_test = F.col("__rank") <= F.round(F.col("__class_n") * float(test_size))
-    return j.withColumn(split_col, F.when(is_test, "test").otherwise("train")).drop("__rank", "__class_n")
+    marked = hash_first(df, key, seed, [label], lambda n: F.round(n * float(test_size)))
+    return marked.withColumn(split_col, F.when(F.col("__first"), "test").otherwise("train")).drop("__first")
 
 
 def stratified_folds(df: DataFrame, key: str, label: str, k: int, seed: int, fold_col: str = "fold") -> DataFrame:
@@ -80,7 +93,7 @@ def stratified_folds(df: DataFrame, key: str, label: str, k: int, seed: int, fol
 
 def hash_sample(df: DataFrame, key: str, n: int, seed: int) -> DataFrame:
     """min(n, len) rows without replacement, first by hash order."""
-    return hash_rank(df, key, seed).filter(F.col("__rank") <= n).drop("__rank")
+    return hash_first(df, key, seed, [], lambda _: F.lit(n)).where("__first").drop("__first")
 
 
 def number_rows(df: DataFrame, key: str, seed: int, col: str = "position") -> DataFrame:

@@ -59,7 +59,7 @@ def _gauges(spark, sf_dir, name):
     dirs, stream = _staged(spark, sf_dir, name)
     ST.batch_gauges(_score(stream), "ts", "prediction", dirs["sink"], dirs["checkpoint"],
                     labels={"model_version": "rule-1"})
-    return spark.read.parquet(dirs["sink"])
+    return ST.read_batches(spark, dirs["sink"])
 
 
 @register("stream_batch_ratio", """

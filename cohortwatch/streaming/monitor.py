@@ -3,17 +3,19 @@
 Used as the ``foreachBatch`` function of a streaming query. Per micro-batch:
 
 1. rows get arrival numbers after the rows seen so far (order inside the
-   batch by ``order_col``) and are appended to a buffer table partitioned by
-   block of ``window`` rows, so a window read prunes to two blocks;
-2. the control row (rows seen, rows since the last check) is advanced and
-   written as the next version;
-3. when due (>= ``min_new`` rows since the last check and >= ``min_window``
-   rows buffered) the drift verdict of the last ``window`` rows is appended to
-   the verdict table and the counter resets.
-
-Batches run one after another, so the "analysis already running" case of a
-threaded monitor cannot occur. All state lives in the shared folder: a
-restarted query resumes from the last control version.
+   batch by ``order_col``) and go to the batch's own folder of a buffer table,
+   partitioned by block of ``window`` rows, so a window read prunes to two blocks;
+2. when due (>= ``min_new`` rows since the last check and >= ``min_window``
+   rows buffered) the drift verdict of the last ``window`` rows is written to the
+   batch's folder of the verdict table and the counter resets;
+3. the control row (rows seen, rows since the last check) is written as the batch's
+   version, last: it makes the batch final. Buffer folders that no window can reach
+   any more are removed.
+
+A batch that failed at any step starts from the control version before it and
+overwrites its own folders, so a replay counts no row twice. Batches run one after
+another, so the "analysis already running" case of a threaded monitor cannot occur.
+All state lives in the shared folder.
 """
 
 from __future__ import annotations
@@ -26,13 +28,7 @@ from pyspark.sql.window import Window
 
 from cohortwatch.operators import drift as D
 from cohortwatch.operators.scan import ordered_scan
-from cohortwatch.streaming.stream import _list_dirs
-
-
-def _exists(spark, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hpath)
+from cohortwatch.streaming.stream import _list_dirs, batch_path, complete_versions, path_exists, read_batches, remove_path
 
 
 class RollingDriftMonitor:
@@ -48,7 +44,7 @@ class RollingDriftMonitor:
         return os.path.join(self.folder, name)
 
     def _control(self, spark):
-        versions = sorted(p for p in _list_dirs(spark, self._path("control")) if "v=" in os.path.basename(p))
+        versions = complete_versions(spark, self._path("control"))
         if not versions:
             return 0, 0, -1
         r = spark.read.parquet(versions[-1]).first()
@@ -66,31 +62,45 @@ class RollingDriftMonitor:
             numbered = numbered.withColumn("__seq", F.lit(seen) + F.col("cum___one") - 1).drop(
                 "__one", "cum___one", "next_value")
             numbered = numbered.withColumn("__block", F.floor(F.col("__seq") / self.window))
-            numbered.write.mode("append").partitionBy("__block").parquet(self._path("buffer"))
+            numbered.write.mode("overwrite").partitionBy("__block").parquet(batch_path(self._path("buffer"), batch_id))
+        elif path_exists(spark, batch_path(self._path("buffer"), batch_id)):
+            remove_path(spark, batch_path(self._path("buffer"), batch_id))
         seen, since = seen + n, since + n
         due = since >= self.min_new and min(seen, self.window) >= self.min_window
         if due:
             lo = seen - self.window
-            buf = spark.read.parquet(self._path("buffer")).filter(
+            buf = read_batches(spark, self._path("buffer")).filter(
                 (F.col("__block") >= F.floor(F.lit(max(lo, 0)) / self.window)) & (F.col("__seq") >= lo))
             table = D.drift_table(self.reference, buf, self.numeric, self.categorical)
             verdict = D.dataset_verdict(table).select(
                 F.lit(batch_id).cast("long").alias("batch_id"), F.lit(seen).cast("long").alias("rows_seen"),
                 "n_columns", "n_drifted", "drift_share", "dataset_drift", "drifted_columns")
-            verdict.write.mode("append").parquet(self._path("verdicts"))
+            verdict.write.mode("overwrite").parquet(batch_path(self._path("verdicts"), batch_id))
             since = 0
         (spark.createDataFrame([(batch_id, seen, since, due)], "batch_id long, rows_seen long, rows_since long, "
                                                                "checked boolean")
          .write.mode("overwrite").parquet(os.path.join(self._path("control"), f"v={batch_id:08d}")))
+        self._prune(spark, seen)
+
+    def _prune(self, spark, seen: int) -> None:
+        """Remove the buffer folders of batches whose last row lies before any later window."""
+        folders = sorted(_list_dirs(spark, self._path("buffer")))
+        if len(folders) < 2:
+            return
+        done = spark.read.parquet(self._path("control")).where(F.col("rows_seen") <= seen - self.window)
+        last = done.agg(F.max("batch_id")).first()[0]
+        for folder in folders if last is not None else []:
+            if int(os.path.basename(folder)[2:]) <= last:
+                remove_path(spark, folder)
 
     VERDICT_SCHEMA = ("batch_id long, rows_seen long, n_columns long, n_drifted long, drift_share double, "
                       "dataset_drift boolean, drifted_columns string")
 
     def verdicts(self, spark) -> DataFrame:
         """Verdict rows so far; empty (typed) while no check has been due."""
-        if not _exists(spark, self._path("verdicts")):
+        if not path_exists(spark, self._path("verdicts")):
             return spark.createDataFrame([], self.VERDICT_SCHEMA)
-        return spark.read.parquet(self._path("verdicts"))
+        return read_batches(spark, self._path("verdicts"))
 
     def states(self, spark) -> DataFrame:
         """State after every batch from the control versions and the verdicts."""

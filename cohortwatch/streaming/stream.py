@@ -16,9 +16,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cohortwatch.operators.clean import has_order
 from cohortwatch.session import shared_path
 
-
 def file_stream(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet",
                 files_per_batch: int | None = 1) -> DataFrame:
     """Streaming scan of a folder; ``files_per_batch`` files make one micro-batch."""
@@ -59,20 +59,64 @@ def running_totals(stream: DataFrame, keys, value: str, table_path: str, checkpo
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(os.path.join(table_path, f"v={batch_id:08d}"))
+        prune_versions(batch.sparkSession, table_path)
 
     foreach_batch(agg, write, checkpoint, mode="complete")
 
 
+def batch_path(path: str, batch_id: int) -> str:
+    """Folder of one micro-batch inside a table; a replayed batch overwrites its own folder."""
+    return os.path.join(path, f"b={batch_id:012d}")
+
+
+def read_batches(spark: SparkSession, path: str) -> DataFrame:
+    """All rows that batches have written under ``path``, without the folder's own column."""
+    return spark.read.parquet(path).drop("b")
+
+
+def complete_versions(spark: SparkSession, table_path: str, before: int | None = None) -> list[str]:
+    """``v=...`` folders whose write was committed (they hold ``_SUCCESS``), oldest first."""
+    found = sorted(p for p in _list_dirs(spark, table_path) if os.path.basename(p).startswith("v="))
+    if before is not None:
+        found = [p for p in found if int(os.path.basename(p)[2:]) < before]
+    return [p for p in found if path_exists(spark, os.path.join(p, "_SUCCESS"))]
+
+
 def latest_version(spark: SparkSession, table_path: str) -> DataFrame:
-    """Read the newest ``v=...`` version of a versioned table."""
-    versions = sorted(p for p in _list_dirs(spark, table_path) if os.path.basename(p).startswith("v="))
-    return spark.read.parquet(versions[-1])
+    """Read the newest complete ``v=...`` version of a versioned table."""
+    return spark.read.parquet(complete_versions(spark, table_path)[-1])
+
+
+def prune_versions(spark: SparkSession, table_path: str, keep: int = 2) -> None:
+    """Remove all but the newest ``keep`` complete versions (readers may still hold the one before)."""
+    for old in complete_versions(spark, table_path)[:-keep]:
+        remove_path(spark, old)
+
+
+def _hadoop(spark: SparkSession, path: str):
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hpath, hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    hpath, fs = _hadoop(spark, path)
+    return fs.exists(hpath)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    hpath, fs = _hadoop(spark, path)
+    fs.delete(hpath, True)
+
+
+def newest_row(rows: DataFrame, key: str, ts: str) -> DataFrame:
+    """Newest row per key by ``ts``; equal times are settled by the other columns, so reruns agree."""
+    cols = [c for c in rows.columns if c != key]
+    order = F.struct(F.col(ts), *[F.col(c) for c in cols if c != ts and has_order(rows.schema[c].dataType)])
+    return rows.groupBy(key).agg(F.max_by(F.struct(*cols), order).alias("r")).select(key, "r.*")
 
 
 def _list_dirs(spark: SparkSession, path: str) -> list[str]:
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    hpath, fs = _hadoop(spark, path)
     if not fs.exists(hpath):
         return []
     return [str(s.getPath().toString()) for s in fs.listStatus(hpath) if s.isDirectory()]
@@ -82,9 +126,10 @@ def batch_gauges(stream: DataFrame, ts: str, flag: str, samples_path: str, check
                  labels: dict | None = None) -> None:
     """Per micro-batch: rows scored and the positive ratio as metric samples.
 
-    Each batch appends (ts, name, labels, value) rows: the sample time is the
-    latest event time of the batch, so the current value of a gauge is
-    ``max_by(value, ts)`` whatever order the batches ran in.
+    Each batch writes (ts, name, labels, value) rows to its own folder, so a replay
+    replaces them (read with ``read_batches``). The sample time is the latest event time
+    of the batch, so the current value of a gauge is ``max_by(value, ts)`` whatever
+    order the batches ran in.
     """
     lab = F.create_map(*[x for k, v in (labels or {}).items() for x in (F.lit(k), F.lit(v))]) if labels else \
         F.create_map().cast("map<string,string>")
@@ -95,25 +140,25 @@ def batch_gauges(stream: DataFrame, ts: str, flag: str, samples_path: str, check
         samples = stats.filter(F.col("n") > 0).select("ts", F.inline(F.array(
             F.struct(F.lit("rows_scored").alias("name"), F.col("n").cast("double").alias("value")),
             F.struct(F.lit("predicted_positive_ratio").alias("name"), F.col("ratio").alias("value")))))
-        samples.select("ts", "name", lab.alias("labels"), "value").write.mode("append").parquet(samples_path)
+        samples.select("ts", "name", lab.alias("labels"), "value").write.mode("overwrite").parquet(batch_path(samples_path, batch_id))
 
     foreach_batch(stream, publish, checkpoint)
 
 
 def push_latest(stream: DataFrame, key: str, ts: str, history_path: str, latest_path: str, checkpoint: str) -> None:
-    """Each batch: append to history; latest = newest row per key over old latest + batch.
+    """Each batch: its rows to history; latest = newest row per key over old latest + batch.
 
-    The new latest table is written as the next version; readers take the
-    newest complete version.
+    History holds one folder per batch (read with ``read_batches``); the latest table is
+    written as the batch's own version over the newest complete one before it. A replayed
+    batch rewrites both and changes nothing else; versions before the last two go.
     """
     def push(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        batch.write.mode("append").parquet(history_path)
-        old = _list_dirs(spark, latest_path)
-        merged = batch if not old else latest_version(spark, latest_path).unionByName(batch)
-        cols = [c for c in batch.columns if c != key]
-        newest = merged.groupBy(key).agg(F.max_by(F.struct(*cols), F.col(ts)).alias("r")).select(key, "r.*")
-        newest.write.mode("overwrite").parquet(os.path.join(latest_path, f"v={batch_id:08d}"))
+        batch.write.mode("overwrite").parquet(batch_path(history_path, batch_id))
+        old = complete_versions(spark, latest_path, before=batch_id)
+        merged = batch if not old else spark.read.parquet(old[-1]).unionByName(batch)
+        newest_row(merged, key, ts).write.mode("overwrite").parquet(os.path.join(latest_path, f"v={batch_id:08d}"))
+        prune_versions(spark, latest_path)
 
     foreach_batch(stream, push, checkpoint)
 
@@ -134,15 +179,15 @@ def materialize_incremental(spark: SparkSession, source: DataFrame, key: str, ts
     if low is not None:
         new = new.filter(F.col(ts) > F.lit(low).cast(source.schema[ts].dataType))
     n_new = new.count()
-    cols = [c for c in source.columns if c != key]
-    old = _list_dirs(spark, latest_path)
-    merged = new if not old else latest_version(spark, latest_path).unionByName(new)
-    newest = merged.groupBy(key).agg(F.max_by(F.struct(*cols), F.col(ts)).alias("r")).select(key, "r.*")
-    version = len(old)
-    newest.write.mode("overwrite").parquet(os.path.join(latest_path, f"v={version:08d}"))
+    # the control run that follows a version makes it final; a version without one is written anew
+    version = len(runs)
+    old = complete_versions(spark, latest_path, before=version)
+    merged = new if not old else spark.read.parquet(old[-1]).unionByName(new)
+    newest_row(merged, key, ts).write.mode("overwrite").parquet(os.path.join(latest_path, f"v={version:08d}"))
+    prune_versions(spark, latest_path)
     (spark.createDataFrame([(end_ts, n_new)], "end_ts string, n_rows long")
      .withColumn("end_ts", F.col("end_ts").cast(source.schema[ts].dataType))
-     .write.mode("append").parquet(os.path.join(control_path, f"run={version:08d}")))
+     .write.mode("overwrite").parquet(os.path.join(control_path, f"run={version:08d}")))
     return n_new
 
 
