@@ -167,8 +167,9 @@ def drift_table(reference: DataFrame, current: DataFrame, numeric: Sequence[str]
                 group: str | None = None, regime: str = "auto") -> DataFrame:
     """Per (group, column): kind, sizes, test, statistic, p_value, score, drifted.
 
-    Every listed column has a row in every group. A column with values on one side only
-    has drifted (its statistics are null); one without any value has not. ``test``,
+    Every listed column has a row in every group. A column that has lost all its values
+    has drifted (its statistics are null); one without reference values cannot be judged
+    and has not. ``test``,
     ``statistic`` and ``p_value`` follow the chosen test; ``ks_p`` (numeric columns),
     ``chi2_p`` (categorical columns, and numeric ones of few values) and ``z_p`` (two
     values at most) are there at any size.
@@ -189,7 +190,7 @@ def drift_table(reference: DataFrame, current: DataFrame, numeric: Sequence[str]
     out = out.withColumn("test", test)
     few = (F.col("kind") == "cat") | (F.col("n_values") <= FEW_VALUES)
     out = out.withColumns({
-        "ks_p": F.when(F.col("kind") == "num", ks_p_value(F.col("ks_d"), F.col("n_ref"), F.col("n_cur"))),
+        "ks_p": F.when((F.col("kind") == "num") & F.col("ks_d").isNotNull(), ks_p_value(F.col("ks_d"), F.col("n_ref"), F.col("n_cur"))),
         "chi2_p": F.when(few, chi2_sf(F.col("chi2"), F.col("chi2_df"))),
         "z_p": F.when(F.col("n_values") <= BINARY_VALUES, F.when(F.col("__same"), F.lit(1.0)).otherwise(normal_two_sided_p(F.col("z"))))})
     name = F.col("test")
@@ -200,8 +201,8 @@ def drift_table(reference: DataFrame, current: DataFrame, numeric: Sequence[str]
     score = F.coalesce(F.col("p_value"), F.col("statistic"))
     by_test = F.when(name.isin("ks", "chisquare", "z"), F.col("p_value") < P_VALUE_THRESHOLD).otherwise(
         F.col("statistic") >= DISTANCE_THRESHOLD)
-    one_sided = (F.col("n_ref") == 0) != (F.col("n_cur") == 0)
-    out = out.withColumns({"score": score, "drifted": one_sided | F.coalesce(by_test, F.lit(False))})
+    emptied = (F.col("n_ref") > 0) & (F.col("n_cur") == 0)
+    out = out.withColumns({"score": score, "drifted": emptied | F.coalesce(by_test, F.lit(False))})
     cols = ([F.col(G).alias(group)] if group else []) + [
         "column", "kind", "n_ref", "n_cur", "n_values", "test", "statistic", "p_value", "score", "drifted",
         "ks_d", "w1_norm", "js", "chi2", "chi2_df", "z", "ks_p", "chi2_p", "z_p"]

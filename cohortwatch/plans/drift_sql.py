@@ -101,7 +101,7 @@ def drift_ctes(ref: str, cur: str, numeric, categorical, group: str | None = Non
             FROM totals t LEFT JOIN catz c ON t.g = c.g AND t.column_name = c.column_name
             LEFT JOIN num n ON t.g = n.g AND t.column_name = n.column_name""",
         "ps": f"""SELECT *,
-            CASE WHEN kind = 'num' THEN {ks_p_sql('ks_d', 'n_ref', 'n_cur')} END AS ks_p,
+            CASE WHEN kind = 'num' AND ks_d IS NOT NULL THEN {ks_p_sql('ks_d', 'n_ref', 'n_cur')} END AS ks_p,
             CASE WHEN kind = 'cat' OR n_values <= {D.FEW_VALUES} THEN {chi2_p_sql('chi2', 'chi2_df')} END AS chi2_p,
             CASE WHEN n_values <= {D.BINARY_VALUES} THEN
               (CASE WHEN same THEN 1.0 ELSE {erfc_sql(f'abs(z) / {math.sqrt(2.0)}')} END) END AS z_p FROM sel""",
@@ -110,7 +110,7 @@ def drift_ctes(ref: str, cur: str, numeric, categorical, group: str | None = Non
                       WHEN 'wasserstein' THEN w1_norm ELSE js END AS statistic,
             CASE test WHEN 'ks' THEN ks_p WHEN 'chisquare' THEN chi2_p WHEN 'z' THEN z_p END AS p_value FROM ps""",
         "dt": f"""SELECT *, COALESCE(p_value, statistic) AS score,
-            (n_ref = 0) <> (n_cur = 0) OR COALESCE(CASE WHEN test IN ('ks', 'chisquare', 'z') THEN p_value < {D.P_VALUE_THRESHOLD}
+            (n_ref > 0 AND n_cur = 0) OR COALESCE(CASE WHEN test IN ('ks', 'chisquare', 'z') THEN p_value < {D.P_VALUE_THRESHOLD}
                           ELSE statistic >= {D.DISTANCE_THRESHOLD} END, false) AS drifted FROM pv""",
     }
 
