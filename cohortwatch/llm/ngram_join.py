@@ -3,14 +3,16 @@
 Two documents link when their sets of five-word shingles have a Jaccard likeness of
 three quarters or more. The work is dealt in steps that lose no link:
 
-1. One pass gives each document's set size and digest, and counts all shingles in a
-   table of ``CELLS`` cells (an upper bound of each shingle's frequency, the same size
-   for any corpus). Documents of equal sets are one class, whose smallest id stands
-   for it.
-2. Shingles are ordered by cell count, then hash: frequent ones last. A link needs a
-   common shingle among the first n - ceil(3n/4) + 1 of both sets (prefix filter), so only
-   those are posted, by shingle. Since a common line or passage sorts last, posting
-   lists are short even if a third of all documents hold it.
+1. Documents of equal sets are one class, whose smallest id stands for it.
+2. All shingles are counted: a batch of documents sends the low 32 bits of its hashes, in
+   one binary row per bucket of the hash space, and gets back those that occur elsewhere,
+   with their frequency (shingles that a batch repeats are sent once with their count).
+   A link needs three quarters of a document's shingles elsewhere, so all other documents
+   are done. Shingles are ordered by frequency, then hash: a link needs a common one
+   among the first n - ceil(3n/4) + 1 of both sets (prefix filter), and only these are
+   posted. A hash that meets another one's low bits only adds a candidate. Since a common
+   line or passage sorts last, posting lists are short even if a third of all documents
+   hold it.
 3. Lists of up to ``SHORT`` documents give all their pairs, counted over lists; the count
    bounds the overlap (prefix tokens of the set whose prefix ends first that are not
    common to both prefixes cannot be in the other set at all), and pairs that cannot
@@ -37,6 +39,7 @@ from math import log2
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,8 +49,10 @@ from cohortwatch.llm.shingles import set_digest, shingle_set
 
 # Likeness of at least LEAST_PERCENT / 100, in whole numbers.
 LEAST_PERCENT = 75
-CELLS, SLICES = 1 << 18, 64
-MERGED_ROWS = 512
+# Documents whose shingles are counted at once.
+CHUNK_ROWS = 1024
+# Buckets of the hash space for each shuffle partition.
+BUCKETS_A_PARTITION = 4
 SHORT = 8
 BLOCK_PAIRS = 400
 # Weight of a probe against a merge step when lists are divided.
@@ -119,69 +124,131 @@ def divide_skip(query: list[int], index: dict[int, list[int]], least: int) -> li
     return found
 
 
-def profile(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
-    """(doc_id, n, digest) of every row, stored, and the shingle counts per cell."""
-    def scanned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(CELLS, dtype=np.int64)
-        for batch in batches:
-            sizes, digests = [], []
-            for text in batch.column("text").to_pylist():
-                s = shingle_set(text)
-                counts += np.bincount((s & np.uint64(CELLS - 1)).astype(np.int64), minlength=CELLS) if len(s) > CELLS // 8 else 0
-                if len(s) <= CELLS // 8:
-                    np.add.at(counts, (s & np.uint64(CELLS - 1)).astype(np.int64), 1)
-                sizes.append(len(s))
-                digests.append(set_digest(s))
-            none = pa.nulls(len(sizes), pa.int32())
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sizes, pa.int32()), pa.array(digests, pa.binary()), none], names)
-        if counts.any():
-            parts = [x.tobytes() for x in counts.reshape(SLICES, -1)]
-            yield pa.RecordBatch.from_arrays([pa.nulls(SLICES, pa.int64()), pa.nulls(SLICES, pa.int32()), pa.array(parts, pa.binary()), pa.array(range(SLICES), pa.int32())], names)
-
-    names = ["doc_id", "n", "digest", "slice"]
+def profile(docs: DataFrame) -> DataFrame:
+    """(doc_id, n, digest) of every row, stored."""
+    def scanned(batch: pa.RecordBatch) -> dict:
+        sets = [shingle_set(t) for t in batch.column("text").to_pylist()]
+        return {"doc_id": batch.column("doc_id"), "n": [len(s) for s in sets], "digest": [set_digest(s) for s in sets]}
+
+    return stored(map_arrow(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), scanned, "doc_id long, n int, digest binary"), "sets")
+
+
+# Rows of the frequency count: singles of a chunk with their documents, repeated shingles of
+# a chunk with their counts, all places of the repeated ones, and the chunk's documents.
+SINGLE, REPEATED, PLACES, HEADER = range(4)
+PARTS = "bucket int, chunk long, kind int, a binary, b binary, c binary"
+
+
+def _u(values: np.ndarray, kind=np.uint32) -> bytes:
+    return values.astype(kind).tobytes()
+
+
+def chunk_parts(buckets: int):
+    """A batch of documents as one part per bucket of the hash space, one row each."""
+    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task = TaskContext.get().partitionId()
+        slices = (batch.slice(at, CHUNK_ROWS) for batch in batches for at in range(0, batch.num_rows, CHUNK_ROWS))
+        for turn, batch in enumerate(slices):
+            chunk = (task << 32) | turn
+            sets = [shingle_set(t) for t in batch.column("text").to_pylist()]
+            size = np.array([len(s) for s in sets], dtype=np.int64)
+            rows = [(chunk % buckets, chunk, HEADER, _u(batch.column("doc_id").to_numpy(), np.int64), _u(size), b"")]
+            token = np.concatenate(sets) if size.sum() else np.zeros(0, dtype=np.uint64)
+            token = (((token >> np.uint64(32)) % np.uint64(buckets)) << np.uint64(32)) | (token & np.uint64(0xFFFFFFFF))
+            order = np.argsort(token, kind="stable")
+            token, owner = token[order], np.repeat(np.arange(len(sets)), size)[order]
+            first = np.flatnonzero(np.diff(token, prepend=token[:1] + np.uint64(1)) != 0)
+            times = np.diff(np.append(first, len(token)))
+            alone, many = first[times == 1], first[times > 1]
+            again = np.repeat(times > 1, times)
+            rows.append((chunk % buckets, chunk, PLACES, _u(token[again], np.uint64), _u(owner[again]), b""))
+            for kind, at, other in ((SINGLE, alone, owner[alone]), (REPEATED, many, times[times > 1])):
+                bounds = np.searchsorted(token[at], np.arange(buckets + 1, dtype=np.uint64) << np.uint64(32))
+                for k in np.flatnonzero(np.diff(bounds)).tolist():
+                    lo, hi = bounds[k], bounds[k + 1]
+                    rows.append((k, chunk, kind, _u(token[at[lo:hi]] & np.uint64(0xFFFFFFFF)), _u(other[lo:hi]), b""))
+            yield _parts_batch(rows)
+
+    return made
+
+
+def _parts_batch(rows: list[tuple]) -> pa.RecordBatch:
+    cols = list(zip(*rows)) if rows else [[]] * 6
+    kinds = (pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary())
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], ["bucket", "chunk", "kind", "a", "b", "c"])
+
+
+def count_bucket(group: pa.Table) -> pa.Table:
+    """Frequencies of a bucket's shingles; of each chunk those that some other document has too."""
+    rows = list(zip(*[group.column(c).to_pylist() for c in ("bucket", "chunk", "kind", "a", "b", "c")]))
+    out = [r for r in rows if r[2] in (PLACES, HEADER)]
+    counted = [r for r in rows if r[2] in (SINGLE, REPEATED)]
+    if counted:
+        low = [np.frombuffer(r[3], dtype=np.uint32) for r in counted]
+        times = [np.ones(len(x)) if r[2] == SINGLE else np.frombuffer(r[4], dtype=np.uint32) for r, x in zip(counted, low)]
+        _, which = np.unique(np.concatenate(low), return_inverse=True)
+        count = np.bincount(which, weights=np.concatenate(times))[which].astype(np.int64)
+        ends = np.cumsum([len(x) for x in low])
+        for r, x, hi in zip(counted, low, ends.tolist()):
+            n = count[hi - len(x):hi]
+            keep = n > 1
+            token = x[keep].astype(np.uint64) | (np.uint64(r[0]) << np.uint64(32))
+            owner = _u(np.frombuffer(r[4], dtype=np.uint32)[keep]) if r[2] == SINGLE else b""
+            out.append((r[0], r[1], r[2], token.tobytes(), owner, _u(n[keep])))
+    return pa.Table.from_batches([_parts_batch(out)])
+
+
+PREFIX = "doc_id long, n int, last double, offset int, tokens array<long>"
+PREFIX_ARROW = pa.schema([("doc_id", pa.int64()), ("n", pa.int32()), ("last", pa.float64()), ("offset", pa.int32()), ("tokens", pa.list_(pa.int64()))])
+
+
+def chunk_prefixes(group: pa.Table) -> pa.Table:
+    """The chunk's documents that can link at all, with the shared part of their prefix."""
+    parts: dict[int, list[tuple]] = {k: [] for k in range(4)}
+    for kind, a, b, c in zip(*[group.column(x).to_pylist() for x in ("kind", "a", "b", "c")]):
+        parts[kind].append((a, b, c))
+    join = lambda kind, at, dtype: np.frombuffer(b"".join(p[at] for p in parts[kind]), dtype=dtype)
+    doc_id, size = join(HEADER, 0, np.int64), join(HEADER, 1, np.uint32).astype(np.int64)
+    many, many_count = join(REPEATED, 0, np.uint64), join(REPEATED, 2, np.uint32)
+    order = np.argsort(many)
+    many, many_count = many[order], many_count[order]
+    places = join(PLACES, 0, np.uint64)
+    token = np.concatenate([join(SINGLE, 0, np.uint64), places])
+    owner = np.concatenate([join(SINGLE, 1, np.uint32), join(PLACES, 1, np.uint32)]).astype(np.int64)
+    count = np.concatenate([join(SINGLE, 2, np.uint32), many_count[np.searchsorted(many, places)] if len(places) else many_count[:0]]).astype(np.int64)
+    shared = np.bincount(owner, minlength=len(size))
+    least = -(-LEAST_PERCENT * size // 100)
+    fit = (size > 0) & (shared >= least)
+    keep = fit[owner]
+    token, owner, count = token[keep], owner[keep], count[keep]
+    order = np.lexsort((token, count, owner))
+    token, owner, count = token[order], owner[order], count[order]
+    start = np.searchsorted(owner, np.arange(len(size) + 1))
+    out: dict[str, list] = {k: [] for k in ("doc_id", "n", "last", "offset", "tokens")}
+    for d in np.flatnonzero(fit).tolist():
+        lo = int(start[d])
+        hi = lo + int(shared[d] - least[d]) + 1
+        out["doc_id"].append(int(doc_id[d]))
+        out["n"].append(int(size[d]))
+        out["last"].append(float(count[hi - 1]) + float(token[hi - 1]) / 2.0 ** 64)
+        out["offset"].append(int(size[d] - shared[d]))
+        out["tokens"].append(token[lo:hi].view(np.int64))
+    return pa.table(out, schema=PREFIX_ARROW)
+
+
+def prefixes(docs: DataFrame) -> DataFrame:
+    """(doc_id, n, last, offset, tokens): documents of whose shingles enough occur elsewhere.
+
+    tokens are those of the first n - ceil(3n/4) + 1 shingles, in order of frequency, that
+    occur elsewhere; ``offset`` of them occur nowhere else and come before; ``last`` is the
+    place of the last in the order.
+    """
     importable(docs.sparkSession)
-    rows = stored(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(scanned, "doc_id long, n int, digest binary, slice int"), "sets")
-    return rows.where("slice is null").drop("slice"), summed_slices(rows.where("slice is not null").select("slice", F.col("digest").alias("part")))
-
-
-def summed_slices(parts: DataFrame) -> np.ndarray:
-    """Sum of the count slices that the tasks wrote, at most MERGED_ROWS of them at a time."""
-    def add(group: pa.Table) -> pa.Table:
-        total = np.zeros(CELLS // SLICES, dtype=np.int64)
-        for part in group.column("part").to_pylist():
-            total += np.frombuffer(part, dtype=np.int64)
-        return pa.table({"slice": group.column("slice")[:1], "part": pa.array([total.tobytes()], pa.binary())})
-
-    while True:
-        groups = -(-parts.count() // (SLICES * MERGED_ROWS))
-        parts = parts.withColumn("turn", F.pmod(F.xxhash64("part"), F.lit(max(1, groups))))
-        parts = parts.groupBy("slice", "turn").applyInArrow(add, "slice int, part binary")
-        if groups <= 1:
-            break
-        parts = stored(parts, "slices")
-    counts = np.zeros((SLICES, CELLS // SLICES), dtype=np.int64)
-    for r in parts.collect():  # CELLS numbers
-        counts[r["slice"]] = np.frombuffer(r["part"], dtype=np.int64)
-    return counts.ravel()
-
-
-def prefixes(docs: DataFrame, counts: np.ndarray) -> DataFrame:
-    """(doc_id, n, digest, last, tokens): the rarest n - ceil(3n/4) + 1 shingles, and the place of the last in the order."""
-    def cut(batch: pa.RecordBatch) -> dict:
-        out = {"doc_id": batch.column("doc_id"), "n": [], "digest": [], "last": [], "tokens": []}
-        for text in batch.column("text").to_pylist():
-            s = shingle_set(text)
-            count = counts[(s & np.uint64(CELLS - 1)).astype(np.int64)]
-            size = len(s) - least_overlap(len(s)) + 1 if len(s) else 0
-            order = np.lexsort((s, count))[:size]
-            out["n"].append(len(s))
-            out["digest"].append(set_digest(s))
-            out["last"].append(float(count[order[-1]]) + float(s[order[-1]]) / 2.0 ** 64 if size else 0.0)
-            out["tokens"].append(s[order].view(np.int64))
-        return out
-
-    return map_arrow(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), cut,
-                     "doc_id long, n int, digest binary, last double, tokens array<long>")
+    buckets = BUCKETS_A_PARTITION * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null")
+    parts = rows.mapInArrow(chunk_parts(buckets), PARTS)
+    counted = parts.groupBy("bucket").applyInArrow(count_bucket, PARTS)
+    return counted.groupBy("chunk").applyInArrow(chunk_prefixes, PREFIX)
 
 
 def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray, np.ndarray, bool, bool]]:
@@ -270,7 +337,11 @@ def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
 
 
 def search_block(group: pa.Table) -> pa.Table:
-    """T-occurrence search of a block's queries in the inverted index of its other sets."""
+    """T-occurrence search of a block's queries in the inverted index of its other sets.
+
+    Of the links found those that join two parts of the block come back; the others would
+    not change a component.
+    """
     rows = list(zip(group.column("doc_id").to_pylist(), group.column("asks").to_pylist(), group.column("items").to_pylist()))
     sets = {(d, asks): np.frombuffer(x, dtype=np.uint64).tolist() for d, asks, x in rows}
     ids = sorted(d for d, asks in sets if not asks)
@@ -278,14 +349,24 @@ def search_block(group: pa.Table) -> pa.Table:
     for d in ids:
         for t in sets[d, False]:
             index.setdefault(t, []).append(d)
+    root: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while root.setdefault(x, x) != x:
+            root[x] = x = root[root[x]]
+        return x
+
     a, b = [], []
     for (d, asks), items in sets.items():
         if not asks:
             continue
         for other, overlap in divide_skip(items, index, least_overlap(len(items))):
             if other != d and linked(overlap, len(items), len(sets[other, False])):
-                a.append(d)
-                b.append(other)
+                low, high = sorted((find(d), find(other)))
+                if low != high:
+                    root[high] = low
+                    a.append(d)
+                    b.append(other)
     return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
 
@@ -296,13 +377,13 @@ def link_space(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     rows, and the links (a, b) between class ids: all of them up to links inside a
     component of the others.
     """
-    sets, counts = profile(docs)
+    sets = profile(docs)
     usable = (F.col("n") > 0) & F.col("doc_id").isNotNull()
     classes = stored(sets.where(usable).groupBy("digest").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("rows")).where("rows > 1").drop("rows"), "classes")
-    firsts = join_keyed(prefixes(docs, counts).where(usable), classes, ["digest"], "left").where("class_id is null or class_id = doc_id")
-    firsts = stored(firsts.select("doc_id", "n", "last", "tokens"), "prefixes")
-    place = F.shiftleft(F.col("n").cast("long"), 32).bitwiseOR(F.col("pos").cast("long")).alias("np")
-    postings = firsts.select("doc_id", "n", F.posexplode("tokens").alias("pos", "token")).select("token", place, "doc_id")
+    copies = join_keyed(sets.where(usable).select("doc_id", "digest"), classes, ["digest"]).where("doc_id <> class_id").select("doc_id").distinct()
+    firsts = stored(prefixes(docs).join(copies, "doc_id", "left_anti"), "prefixes")
+    place = F.shiftleft(F.col("n").cast("long"), 32).bitwiseOR((F.col("offset") + F.col("pos")).cast("long")).alias("np")
+    postings = firsts.select("doc_id", "n", "offset", F.posexplode("tokens").alias("pos", "token")).select("token", place, "doc_id")
     postings = postings.repartition("token").sortWithinPartitions("token", "np", "doc_id")
     importable(docs.sparkSession)
     lists = stored(postings.mapInArrow(pair_lists, "kind int, a long, b long, np long"), "lists")
