@@ -15,8 +15,8 @@ document or another, is removed. The collection is never sorted as a whole:
    windows that occur twice are the repeated intervals of the merge of the shards' transforms
    (see ``bwt_merge``).
 4. An anchor with more than ``GROUP_PIECES`` different pieces (a passage that very many
-   documents share, at the edge where they part) is resolved by counting the hash of each
-   of its windows, which combines before the shuffle and gathers nothing.
+   documents share, at the edge where they part) is resolved by counting hashes of ever
+   smaller ranges of windows, which combines before the shuffle and gathers nothing.
 5. Repeated windows go back to all places of their pieces, and the bytes that they cover
    are cut from each document.
 
@@ -43,6 +43,8 @@ STRETCH = 1 << 22
 PLACE_BITS = 23
 GROUP_BYTES = 1_500_000
 GROUP_PIECES = 2000
+# Widths of the ranges in which the windows of crowded anchors are compared, the last one a window each.
+CROWD_WIDTHS = (64, 16, 4, 1)
 BROADCAST_IDS = 200_000
 ANCHORS = "key long, piece long, doc_id long, text_hash long, first int, last int, times int"
 
@@ -191,22 +193,61 @@ def resolve_group(window: int):
     return found
 
 
-def resolve_crowded(bodies: DataFrame, window: int) -> DataFrame:
-    """The same for pieces of crowded anchors, by counting window hashes."""
-    def windows(batch: pa.RecordBatch) -> dict:
-        out: dict[str, list] = {"key": [], "piece": [], "low": [], "hash": []}
-        for k, p, body in zip(*[batch.column(c).to_pylist() for c in ("key", "piece", "body")]):
-            every = RollingHash(np.frombuffer(body, dtype=np.uint8)).every(window).view(np.int64)
-            out["key"].append(np.full(len(every), k))
-            out["piece"].append(np.full(len(every), p))
-            out["low"].append(np.arange(len(every)))
-            out["hash"].append(every)
+def split_ranges(width: int, window: int, gram: int):
+    """The windows of a piece in ranges of ``width`` places before the anchor, each with two hashes.
+
+    A window is named by the anchor's place in it, so equal windows of different pieces fall
+    into the same range. ``whole`` is the hash of all bytes of the range's windows, ``core``
+    of the bytes that any window of the range holds.
+    """
+    def made(batch: pa.RecordBatch) -> dict:
+        out: dict[str, list] = {k: [] for k in ("key", "piece", "at", "low", "high", "near", "far", "whole", "core")}
+        for key, piece, near, far, body in zip(*[batch.column(c).to_pylist() for c in ("key", "piece", "near", "far", "body")]):
+            data = np.frombuffer(body, dtype=np.uint8)
+            rolling = RollingHash(data)
+            grams = rolling.every(gram)[:window - gram + 1]
+            anchor = int(np.flatnonzero(grams.view(np.int64) == key)[-1])
+            near, far = max(near, anchor - (len(data) - window)), min(far, anchor)
+            at = np.arange(near // width, far // width + 1) * width
+            lo, hi = np.maximum(at, near), np.minimum(at + width - 1, far)
+            out["at"].append(at)
+            out["near"].append(lo)
+            out["far"].append(hi)
+            out["low"].append(anchor - hi)
+            out["high"].append(anchor - lo)
+            out["whole"].append(rolling.of(anchor - hi, anchor - lo + window).view(np.int64))
+            out["core"].append(rolling.of(anchor - at, anchor - at + window - width + 1).view(np.int64) if width < window else np.zeros(len(at), dtype=np.int64))
+            out["key"].append(np.full(len(at), key))
+            out["piece"].append(np.full(len(at), piece))
         return {c: np.concatenate(v) if v else [] for c, v in out.items()}
 
-    rows = map_arrow(bodies, windows, "key long, piece long, low int, hash long")
-    many = rows.groupBy("key", "hash").agg(F.count("*").alias("n")).where("n > 1").select("key", "hash")
-    hits = rows.join(many, ["key", "hash"], "left_semi")
-    return hits.select("key", "piece", "low", F.col("low").alias("high"))
+    return made
+
+
+def resolve_crowded(bodies: DataFrame, window: int, gram: int) -> DataFrame:
+    """The same as ``resolve_group`` for pieces of crowded anchors, by counts of hashes only.
+
+    Ranges of windows shrink from level to level. A range whose bytes occur twice is
+    repeated as a whole; of different ranges with a common core one each goes on to the
+    next level; a range whose core no other has holds no repeated window. At the last
+    level a range is one window. Counts combine before the shuffle, and a piece costs a few
+    rows a level, not one for each window.
+    """
+    rows = "key long, piece long, at int, low int, high int, near int, far int, whole long, core long"
+    todo = bodies.select("key", "piece", "body", F.lit(0).alias("near"), F.lit(window).alias("far"))
+    hits = None
+    for width in CROWD_WIDTHS:
+        parts = stored(map_arrow(todo, split_ranges(width, window, gram), rows), "ranges")
+        same = ["key", "at", "near", "far", "whole"]
+        kinds = stored(parts.groupBy(*same, "core").agg(F.min("piece").alias("one"), F.count("*").alias("n")), "kinds")
+        twice = parts.join(kinds.where("n > 1").select(*same), same, "left_semi").select("key", "piece", "low", "high")
+        hits = twice if hits is None else hits.unionByName(twice)
+        if width == 1:
+            return hits
+        cores = kinds.groupBy("key", "at", "core").agg(F.count("*").alias("n")).where("n > 1").select("key", "at", "core")
+        left = kinds.join(cores, ["key", "at", "core"], "left_semi").select("key", F.col("one").alias("piece"), "near", "far")
+        todo = left.join(bodies, ["key", "piece"])
+    return hits
 
 
 def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
@@ -229,7 +270,7 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> D
     group = F.pmod(F.xxhash64("key"), F.lit(groups)).alias("group")
     found = plain.select(group, "key", "piece", "body").groupBy("group").applyInArrow(resolve_group(window), "key long, piece long, low int, high int")
     if not crowded.isEmpty():
-        found = found.unionByName(resolve_crowded(bodies.join(crowded, "key", "left_semi"), window))
+        found = found.unionByName(resolve_crowded(stored(bodies.join(crowded, "key", "left_semi"), "crowd"), window, gram))
     whole = kinds.where("times > 1").select("key", "piece", F.lit(0).alias("low"), (F.col("one.last") - F.col("one.first")).cast("int").alias("high"))
     hits = stored(found.unionByName(whole), "hits")
     places = rows.select("key", "piece", "doc_id", "text_hash", "first")
@@ -268,7 +309,7 @@ def cut_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:
 def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every row of ``docs`` (doc_id, text).
 
-    ``window`` is a multiple of 16 and at least ``gram`` + 1. Null texts count as empty;
+    ``window`` is a multiple of 40 and at least ``gram`` + 1. Null texts count as empty;
     texts shorter than the window lose nothing; repeated rows count as repeats of each
     other; a null doc_id is a row like others. Windows are compared by 64-bit hashes of
     their pieces and symbols. An empty table gives an empty one.
