@@ -21,7 +21,8 @@ from dataclasses import dataclass
 
 import numpy as np
 
-STEP = 16
+STEP = 40
+_FACTOR = np.uint64(0x9E3779B97F4A7C15)
 UNSET = np.int16(-1)
 
 
@@ -137,13 +138,19 @@ def repeated(strings: list[bytes], window: int) -> list[np.ndarray]:
 
 
 def _symbols(s: bytes) -> np.ndarray:
-    """Hash of the STEP bytes from each byte on."""
+    """Hash of the STEP bytes from each byte on, put together from stretches of powers of two."""
     b = np.frombuffer(s, dtype=np.uint8).astype(np.uint64)
-    h, width = b + np.uint64(1), 1
-    while width < STEP:  # STEP is a power of two
-        h = _mix(h[:-width] * np.uint64(0x9E3779B97F4A7C15) + h[width:])
-        width *= 2
-    return h
+    n = len(b) - STEP + 1
+    power, width = b + np.uint64(1), 1
+    total, done = np.zeros(n, dtype=np.uint64), 0
+    while done < STEP:
+        if STEP & width:
+            total = _mix(total * _FACTOR + power[done:done + n])
+            done += width
+        if done < STEP:
+            power = _mix(power[:-width] * _FACTOR + power[width:])
+            width *= 2
+    return total
 
 
 def _mix(h: np.ndarray) -> np.ndarray:

@@ -280,7 +280,7 @@ def repeats_by_hand(texts, window):
 @pytest.mark.parametrize("crowd", [2000, 2])
 def test_repeats(spark, docs, crowd, monkeypatch):
     monkeypatch.setattr(suffix_dedup, "GROUP_PIECES", crowd)
-    monkeypatch.setattr(suffix_dedup, "GROUP_BYTES", 3000)
+    monkeypatch.setattr(suffix_dedup, "GROUP_BYTES", 6000)
     random.seed(7)
     base = ["".join(random.choice("ab é") for _ in range(160)) for _ in range(6)]
     texts = []
@@ -289,8 +289,8 @@ def test_repeats(spark, docs, crowd, monkeypatch):
         texts.append(t)
     texts += ["a" * 300, "ab" * 200, texts[0], "", "short"]
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)] + [(900, None)], "doc_id long, text string")
-    got = {r["doc_id"]: tuple(r)[1:] for r in suffix_dedup.remove_repeats(df, window=48, gram=17).collect()}
-    assert [got[i] for i in range(len(texts))] == repeats_by_hand(texts, 48)
+    got = {r["doc_id"]: tuple(r)[1:] for r in suffix_dedup.remove_repeats(df, window=80, gram=33).collect()}
+    assert [got[i] for i in range(len(texts))] == repeats_by_hand(texts, 80)
     assert got[900] == (0, 0, 0, hashlib.sha256(b"").hexdigest())
     rows = [r for r in plain_docs(DOCS) if len(r[1]) < 20000]
     edge = spark.createDataFrame(rows, "doc_id long, text string")
@@ -308,10 +308,10 @@ def test_merged_transforms_equal_counting():
     random.seed(8)
     for _ in range(80):
         window = STEP * random.choice([1, 2, 3])
-        base = "".join(random.choice("ab") for _ in range(150))
+        base = "".join(random.choice("ab") for _ in range(260))
         strings = []
         for _ in range(random.randint(1, 7)):
-            s = list(base[random.randrange(90):][:random.randrange(95)]) if random.random() < 0.7 else [random.choice("abcd") for _ in range(random.randrange(90))]
+            s = list(base[random.randrange(90):][:random.randrange(200)]) if random.random() < 0.7 else [random.choice("abcd") for _ in range(random.randrange(190))]
             if s and random.random() < 0.5:
                 s[random.randrange(len(s))] = "z"
             strings.append("".join(s).encode())
