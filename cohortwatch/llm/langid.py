@@ -24,7 +24,7 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -45,21 +45,36 @@ EPOCHS = 6
 BATCH = 64
 RATE = 0.5
 SEED = 7
-CACHE_WORDS = 300_000
+CACHE_WORDS = 200_000
 UNKNOWN = "und"
-REJECT_MOST = 0.4
+REJECT_MOST = 0.34
 REJECT_SHARE = 0.001
 # Runs of letters with combining marks: no digits, signs or white space.
 LETTERS = re.compile(r"[^\W\d_]+")
 
 
+class _Grams(dict):
+    """Bucket of each character n-gram met."""
+
+    def __missing__(self, gram: str) -> int:
+        if len(self) >= CACHE_WORDS:
+            self.clear()
+        at = self[gram] = zlib.crc32(gram.encode("utf-8", "surrogatepass")) % BUCKETS
+        return at
+
+
+_grams = _Grams()
+
+
 def subwords(word: str) -> list[int]:
-    """Buckets of a word's character n-grams, with marks at both ends."""
+    """Buckets of a word's character n-grams, with marks at both ends, and of the word itself."""
     marked = f"<{word}>"
-    found = [marked] if len(marked) > max(NGRAMS) else []
-    for n in NGRAMS:
-        found += [marked[i:i + n] for i in range(len(marked) - n + 1)]
-    return [zlib.crc32(g.encode("utf-8", "surrogatepass")) % BUCKETS for g in found if g not in ("<", ">")]
+    n = len(marked)
+    found = [marked] if n > max(NGRAMS) else []
+    found += word
+    for size in NGRAMS[1:]:
+        found += [marked[i:i + size] for i in range(n - size + 1)]
+    return list(map(_grams.__getitem__, found))
 
 
 def words_of(text: str) -> list[str]:
@@ -90,31 +105,25 @@ class LanguageModel:
     reject_below: float = 0.0
 
     def __post_init__(self) -> None:
-        self.cache: dict[str, tuple[np.ndarray, int]] = {}
+        self.known = _Words(self.bucket_logits)
 
     def __reduce__(self):
         return LanguageModel, (self.classes, self.bucket_logits, self.bias, self.temperature, self.reject_below)
 
-    def _word(self, word: str) -> tuple[np.ndarray, int]:
-        got = self.cache.get(word)
-        if got is None:
-            if len(self.cache) >= CACHE_WORDS:
-                self.cache.clear()
-            ids = subwords(word)
-            got = self.cache[word] = (self.bucket_logits[ids].sum(axis=0), len(ids))
-        return got
-
     def logits(self, text: str) -> np.ndarray | None:
         """Of a whole text; None without a letter."""
-        counted = Counter(words_of(text))
-        if not counted:
+        words = words_of(text)
+        if not words:
             return None
-        total, n = np.zeros(len(self.classes)), 0
-        for word, times in counted.items():
-            share, k = self._word(word)
-            total += times * share
-            n += times * k
-        return total / n + self.bias
+        total = np.zeros(len(self.classes) + 1)
+        for at in range(0, len(words), CACHE_WORDS // 4):
+            if len(self.known) > CACHE_WORDS // 2:
+                self.known = _Words(self.bucket_logits)
+            some = words[at:at + CACHE_WORDS // 4]
+            self.known.meet(some)
+            places = list(map(self.known.__getitem__, some))
+            total += self.known.rows[places].sum(axis=0)
+        return total[:-1] / total[-1] + self.bias
 
     def predict(self, text: str | None) -> tuple[str, float, bool]:
         """(class, calibrated score, accepted); (und, 0, False) for null and for texts without a letter."""
@@ -126,6 +135,33 @@ class LanguageModel:
         return self.classes[k], float(p[k]), bool(p[k] >= self.reject_below)
 
 
+class _Words(dict):
+    """Row number of each word met; a row holds the word's summed logits and its number of subwords."""
+
+    def __init__(self, bucket_logits: np.ndarray):
+        super().__init__()
+        self.bucket_logits = bucket_logits
+        self.rows = np.zeros((1024, bucket_logits.shape[1] + 1))
+
+    def meet(self, words: list[str]) -> None:
+        """Add the words that are new."""
+        new = [w for w in dict.fromkeys(words) if w not in self]
+        if not new:
+            return
+        ids: list[int] = []
+        ends = []
+        for w in new:
+            ids += subwords(w)
+            ends.append(len(ids))
+        at = len(self)
+        while at + len(new) > len(self.rows):
+            self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
+        size = np.diff(ends, prepend=0)
+        self.rows[at:at + len(new), :-1] = np.add.reduceat(self.bucket_logits[ids], np.cumsum(size) - size, axis=0)
+        self.rows[at:at + len(new), -1] = size
+        self.update(zip(new, range(at, at + len(new))))
+
+
 def softmax(z: np.ndarray) -> np.ndarray:
     e = np.exp(z - z.max(axis=1, keepdims=True))
     return e / e.sum(axis=1, keepdims=True)
@@ -264,8 +300,10 @@ def keep_identified(docs: DataFrame, model: LanguageModel) -> DataFrame:
     importable(docs.sparkSession)
 
     @F.pandas_udf("boolean")
-    def accepted(text: pd.Series) -> pd.Series:
-        return pd.Series([bool(model.classes) and model.predict(t)[2] for t in text], dtype=bool)
+    def accepted(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for text in texts:
+            yield pd.Series([bool(model.classes) and model.predict(t)[2] for t in text], dtype=bool)
+        _grams.clear()
 
     return docs.where(accepted(F.col("text")))
 
