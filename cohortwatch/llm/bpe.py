@@ -28,8 +28,8 @@ from pyspark.sql import functions as F
 
 from cohortwatch.llm.common import importable, map_arrow, table
 
-# Encoded pieces kept by one Python worker; on overflow the cache starts anew.
-CACHE_PIECES = 600_000
+# Encoded pieces kept by one Python worker.
+CACHE_PIECES = 500_000
 NO_RANK = 1 << 60
 
 
@@ -86,6 +86,27 @@ class PairTree:
             node[i] = rank
 
 
+class _Pieces(dict):
+    """Ids and tokens of pieces met, each a line; two generations, so that frequent pieces stay."""
+
+    def __init__(self, codec: BpeCodec):
+        super().__init__()
+        self.codec = codec
+        self.before: dict[str, str] = {}
+
+    def __missing__(self, piece: str) -> str:
+        kept = self.before.get(piece)
+        if kept is None:
+            ids = self.codec.merge(piece)
+            tokens = self.codec.tokens
+            kept = " ".join(map(str, ids)) + "\n" + " ".join([tokens[i] for i in ids])
+        if 2 * len(self) >= CACHE_PIECES:
+            self.before = dict(self)
+            self.clear()
+        self[piece] = kept
+        return kept
+
+
 class BpeCodec:
     """Encoder and decoder of a tokenizer file of kind BPE with word ends."""
 
@@ -96,47 +117,53 @@ class BpeCodec:
         self.suffix = model["end_of_word_suffix"] or ""
         self.ids: dict[str, int] = model["vocab"]
         self.tokens = {i: t for t, i in self.ids.items()}
-        self.pairs: dict[tuple[int, int], tuple[int, int]] = {}
+        self.rank_of: dict[tuple[int, int], int] = {}
+        self.merged: list[int] = []
         for rank, (a, b) in enumerate(model["merges"]):
-            merged = self.ids[a + b]
-            self.pairs.setdefault((self.ids[a], self.ids[b]), (rank, merged))
+            self.rank_of.setdefault((self.ids[a], self.ids[b]), rank)
+            self.merged.append(self.ids[a + b])
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.tokens |= {i: t for t, i in self.special.items()}
-        self.symbols = byte_symbols()
+        symbols = byte_symbols()
+        self.byte_id = [self.ids[c] for c in symbols]
+        self.last_byte_id = [self.ids[c + self.suffix] for c in symbols]
         split = spec["pre_tokenizer"]["pretokenizers"][0]
         self.pieces_of = regex.compile(split["pattern"]["Regex"]).findall
         self.spaces = regex.compile(r"\s+")
         self.specials = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")")
-        self.cache: dict[str, tuple[int, str, str]] = {}
+        self.known = _Pieces(self)
+
+    def forget(self) -> None:
+        """Drop the cached pieces."""
+        self.known = _Pieces(self)
 
     def merge(self, piece: str) -> list[int]:
         """Ids of one piece."""
-        chars = [self.symbols[b] for b in piece.encode("utf-8")]
-        chars[-1] += self.suffix
-        symbol = [self.ids[c] for c in chars]
+        data = piece.encode("utf-8")
+        symbol = [self.byte_id[b] for b in data]
+        symbol[-1] = self.last_byte_id[data[-1]]
         n = len(symbol)
         if n == 1:
             return symbol
-        pairs = self.pairs
-        ranks = [pairs[p][0] if p in pairs else NO_RANK for p in zip(symbol, symbol[1:])]
-        tree = PairTree(ranks)
+        rank_of = self.rank_of.get
+        tree = PairTree([rank_of(p, NO_RANK) for p in zip(symbol, symbol[1:])])
+        put, node = tree.put, tree.node
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        while (at := tree.lowest()) >= 0:
+        while (rank := node[1]) != NO_RANK:
+            at = tree.lowest()
             gone = after[at]
-            merged = symbol[at] = pairs[symbol[at], symbol[gone]][1]
+            merged = symbol[at] = self.merged[rank]
             symbol[gone] = -1
             right = after[at] = after[gone]
             if right < n:
                 before[right] = at
-                tree.put(gone, NO_RANK)
-                p = (merged, symbol[right])
-                tree.put(at, pairs[p][0] if p in pairs else NO_RANK)
+                put(gone, NO_RANK)
+                put(at, rank_of((merged, symbol[right]), NO_RANK))
             else:
-                tree.put(at, NO_RANK)
+                put(at, NO_RANK)
             left = before[at]
             if left >= 0:
-                p = (symbol[left], merged)
-                tree.put(left, pairs[p][0] if p in pairs else NO_RANK)
+                put(left, rank_of((symbol[left], merged), NO_RANK))
         return [i for i in symbol if i >= 0]
 
     def normalise(self, text: str) -> str:
@@ -144,24 +171,19 @@ class BpeCodec:
         # lower case by code point: no final sigma
         return text.replace("Σ", "σ").lower()
 
-    def _kept(self, piece: str) -> tuple[int, str, str]:
-        ids = self.merge(piece)
-        if len(self.cache) >= CACHE_PIECES:
-            self.cache.clear()
-        kept = self.cache[piece] = (len(ids), " ".join(map(str, ids)), " ".join(self.tokens[i] for i in ids))
-        return kept
-
     def encoded(self, text: str | None) -> tuple[int, str, str]:
         """Number of tokens, ids joined by a space, and the decoded text."""
-        found: list[tuple[int, str, str]] = []
-        cache = self.cache
+        found: list[str] = []
         for part in self.specials.split(text) if text and any(s in text for s in self.special) else (text or "",):
             if part in self.special:
-                found.append((1, str(self.special[part]), part))
-                continue
-            for piece in self.pieces_of(self.normalise(part)):
-                found.append(cache.get(piece) or self._kept(piece))
-        return sum(x[0] for x in found), " ".join(x[1] for x in found), " ".join(x[2] for x in found)
+                found.append(f"{self.special[part]}\n{part}")
+            else:
+                found += map(self.known.__getitem__, self.pieces_of(self.normalise(part)))
+        if not found:
+            return 0, "", ""
+        lines = "\n".join(found).split("\n")
+        ids = " ".join(lines[::2])
+        return ids.count(" ") + 1, ids, " ".join(lines[1::2])
 
     def encode(self, text: str | None) -> list[int]:
         ids = self.encoded(text)[1]
@@ -239,7 +261,8 @@ def bpe_tokens(docs: DataFrame, vocab_path: str) -> DataFrame:
         }
 
     return map_arrow(docs.select("doc_id", "source", "lang", "text"), tokens,
-                     "doc_id long, source string, lang string, token_ids array<int>, n_tokens long, decoded_sha256 string")
+                     "doc_id long, source string, lang string, token_ids array<int>, n_tokens long, decoded_sha256 string",
+                     done=lambda: codec(vocab_path).forget())
 
 
 def op10_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:

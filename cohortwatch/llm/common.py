@@ -16,6 +16,7 @@ from cohortwatch.session import cut_lineage, shared_path
 # Rows of a keyed table that may be broadcast; such tables have a handful of narrow columns.
 BROADCAST_ROWS = 50_000
 SALTS = 16
+MAP_ROWS = 2048
 
 
 PACKAGE_HOME = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -33,18 +34,24 @@ def importable(spark: SparkSession) -> None:
         env["PYTHONPATH"] = os.pathsep.join([PACKAGE_HOME, *paths])
 
 
-def map_arrow(df: DataFrame, make: Callable[[pa.RecordBatch], dict], schema: str) -> DataFrame:
+def map_arrow(df: DataFrame, make: Callable[[pa.RecordBatch], dict], schema: str, done: Callable[[], None] | None = None) -> DataFrame:
     """``mapInArrow`` with ``make`` giving the columns of each batch as lists or arrays.
 
-    Arrow carries null ids and 64-bit values unchanged, which pandas would not.
+    Arrow carries null ids and 64-bit values unchanged, which pandas would not. Batches
+    are taken in slices of MAP_ROWS rows, which bounds what a worker holds of long texts.
+    ``done`` runs at the end of a task: Python workers live on, and so would their caches.
     """
     importable(df.sparkSession)
     arrow = to_arrow_schema(StructType.fromDDL(schema))
 
     def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = make(batch)
-            yield pa.RecordBatch.from_arrays([column(made[f.name], f.type) for f in arrow], schema=arrow)
+            for at in range(0, batch.num_rows, MAP_ROWS):
+                made = make(batch.slice(at, MAP_ROWS))
+                yield pa.RecordBatch.from_arrays([column(made[f.name], f.type) for f in arrow], schema=arrow)
+        if done:
+            done()
+        pa.default_memory_pool().release_unused()
 
     return df.mapInArrow(mapped, schema)
 
