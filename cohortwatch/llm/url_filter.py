@@ -3,9 +3,12 @@
 Words. Names in a host are cut at hyphens, digits and dots, and what is left is split by
 a unigram Viterbi: the split of highest product of word probabilities, where an unknown
 stretch of n letters costs 10 / (N * UNKNOWN_BASE^n). Word counts come from all pages: pieces of
-hyphenated names, path tokens and the seed words first; then undivided names that those
-do not explain are words too. Counts are over distinct hosts, so that a host with a
-third of the pages counts once. The model keeps the ``LEXICON`` commonest words.
+hyphenated names, path tokens and the seed words first; then what those leave over of
+undivided names, where two registered domains have it. A name that holds a seed and a rest
+(casinoqzr, freshpokerhub) is split, not learned whole; as a piece or path token it is a word only if two
+domains have it. The seeds together weigh as much as all other words. Counts are over
+distinct hosts, so that a host with a third of the pages counts once. The model keeps the
+``LEXICON`` commonest words.
 
 Classes. There are no labelled URLs, so seed words label the pages: a page whose words
 hold a blocked seed is of class block, any other of class allow. Multinomial naive
@@ -21,6 +24,7 @@ import math
 import re
 import zlib
 from collections import Counter
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -45,8 +49,12 @@ PLAIN_WORDS = (
     "room", "sale", "school", "shop", "site", "sport", "store", "super", "the", "time", "top", "travel", "video", "web", "wiki", "win",
     "winner", "work", "world", "your", "zone")
 LEXICON = 100_000
+SEEDS = tuple(dict.fromkeys(PLAIN_WORDS + BLOCKED_WORDS))
+# seeds long enough to mean themselves inside an unknown name; the longest first
+SEED_INSIDE = re.compile("(" + "|".join(sorted((w for w in SEEDS if len(w) >= 5), key=lambda w: (-len(w), w))) + ")")
 LONGEST_WORD = 24
 UNKNOWN_BASE = 4
+SEED_COUNT = 5.0
 BUCKETS = 1 << 16
 CACHE_NAMES = 100_000
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -125,11 +133,17 @@ class Segmenter:
         self.cache[name] = found
         return found
 
-    def known(self, name: str) -> bool:
-        return all(w in self.cost and len(w) > 1 for w in self.split(name))
+    def whole(self, name: str) -> bool:
+        """Whether no word is found as a part of ``name``."""
+        words = self.words(name)
+        return len(words) == 1 or not any(w in self.cost for w in words)
 
     def host_words(self, host: str) -> list[str]:
-        return [w for name in LETTERS.findall(host) for w in self.split(name)]
+        return [w for name in LETTERS.findall(host) for w in self.words(name)]
+
+    def words(self, name: str) -> list[str]:
+        """The split, with unknown pieces cut around the seeds in them: two unknown stretches cost more than a short seed saves."""
+        return [p for w in self.split(name) for p in ([w] if w in self.cost else SEED_INSIDE.split(w)) if p]
 
 
 def path_tokens(path: str) -> list[str]:
@@ -168,48 +182,61 @@ class UrlModel:
         return 1 / (1 + math.exp(-max(-60.0, min(60.0, z)))), found
 
 
+def domain(host: str = "host") -> F.Column:
+    """Registered domain: the last two labels, three below a second level such as co.uk; else the host."""
+    found = F.regexp_extract(host, r"([^.]+\.(?:ac|co|com|edu|gov|net|org)\.[a-z]{2}|[^.]+\.[^.]+)$", 1)
+    return F.when(found == "", F.col(host)).otherwise(found)
+
+
+def with_seeds(counts: dict[str, float]) -> Segmenter:
+    """Word model in which the seeds together weigh half at least, so that a large corpus does not make them rare."""
+    least = max(SEED_COUNT, sum(counts.values()) / len(SEEDS))
+    return Segmenter({**counts, **{w: counts.get(w, 0.0) + least for w in SEEDS}})
+
+
 def learn_words(hosts: DataFrame, paths: DataFrame, limit: int = LEXICON) -> Segmenter:
-    """Word counts over distinct hosts and paths, in two rounds (see the module's text)."""
-    def count(df: DataFrame, make) -> dict[str, float]:
-        words = map_arrow(df, make, "word string").groupBy("word").count()
-        return {r["word"]: float(r["count"]) for r in words.orderBy(F.desc("count"), "word").limit(limit).collect()}
-
-    def pieces(batch: pa.RecordBatch) -> dict:
-        found = []
-        for host in batch.column(0).to_pylist():
-            for label in host.split("."):
-                names = LETTERS.findall(label)
-                if len(names) > 1:
-                    found += [n for n in names if len(n) <= LONGEST_WORD]
-        return {"word": found}
-
-    def path_words(batch: pa.RecordBatch) -> dict:
-        return {"word": [w for p in batch.column(0).to_pylist() for w in LETTERS.findall(p.lower()) if 2 < len(w) <= LONGEST_WORD]}
-
-    seeds = dict.fromkeys(PLAIN_WORDS + BLOCKED_WORDS, 5.0)
-    counts = Counter(seeds)
-    counts.update(count(hosts, pieces))
-    counts.update(count(paths, path_words))
-    first = Segmenter(dict(counts.most_common(limit)))
-
-    def names(batch: pa.RecordBatch) -> dict:
-        found = []
-        for host in batch.column(0).to_pylist():
-            for label in host.split("."):
-                alone = LETTERS.findall(label)
-                if len(alone) == 1 and len(alone[0]) <= LONGEST_WORD and not first.known(alone[0]):
-                    found.append(alone[0])
-        return {"word": found}
-
-    counts.update(count(hosts, names))
-    return Segmenter(dict(counts.most_common(limit)))
+    """Word counts over distinct hosts (host, domain) and paths (path, a first and a last domain), in two rounds (see the module's text)."""
+    def count(df: DataFrame, words_of: Callable[[str], Iterable[str]], sure: Callable[[str], bool]) -> dict[str, float]:
+        """Counts of the words that are sure or stand in two registered domains."""
+        def found(batch: pa.RecordBatch) -> dict:
+            out = {"word": [], "low": [], "high": [], "sure": []}
+            for text, low, high in zip(*(batch.column(i).to_pylist() for i in (0, 1, -1))):
+                for word in words_of(text):
+                    out["word"].append(word)
+                    out["low"].append(low)
+                    out["high"].append(high)
+                    out["sure"].append(sure(word))
+            return out
+
+        words = map_arrow(df, found, "word string, low string, high string, sure boolean").groupBy("word").agg(
+            F.count("*").alias("n"), (F.max("sure") | (F.min("low") < F.max("high"))).alias("kept")).where("kept")
+        return {r["word"]: float(r["n"]) for r in words.orderBy(F.desc("n"), "word").limit(limit).collect()}
+
+    def pieces(host: str) -> list[str]:
+        return [n for label in host.split(".") if len(names := LETTERS.findall(label)) > 1 for n in names if len(n) <= LONGEST_WORD]
+
+    def path_words(path: str) -> list[str]:
+        return [w for w in LETTERS.findall(path.lower()) if 2 < len(w) <= LONGEST_WORD]
+
+    seeds = with_seeds({})
+    counts = Counter(count(hosts, pieces, seeds.whole))
+    counts.update(count(paths, path_words, seeds.whole))
+    first = with_seeds(dict(counts.most_common(limit)))
+
+    def unlearned(host: str) -> list[str]:
+        names = [alone[0] for label in host.split(".") if len(alone := LETTERS.findall(label)) == 1]
+        return [w for name in names for w in first.words(name) if w not in first.cost and w not in SEEDS and 2 < len(w) <= LONGEST_WORD]
+
+    # an unlearned name, or the rest of one around words, is a word if several domains have it
+    counts.update(count(hosts, unlearned, lambda word: False))
+    return with_seeds(dict(counts.most_common(limit)))
 
 
 def learn_urls(parts: DataFrame) -> UrlModel:
     """Fit segmenter and naive Bayes on all rows of ``parts`` (host, path); block and allow start with one pseudo page each."""
     parts = parts.where(F.col("host") != "")
-    hosts = parts.select("host").distinct()
-    shapes = parts.select(F.regexp_replace("path", r"\d+", "0").alias("path")).distinct()
+    hosts = parts.select("host").distinct().withColumn("domain", domain())
+    shapes = parts.groupBy(F.regexp_replace("path", r"\d+", "0").alias("path")).agg(F.min(domain()).alias("low"), F.max(domain()).alias("high"))
     segmenter = learn_words(hosts, shapes)
 
     def counted(batch: pa.RecordBatch) -> dict:

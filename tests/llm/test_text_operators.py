@@ -208,3 +208,22 @@ def test_segmentation_is_the_cheapest_split():
         assert "".join(words) == name
         assert sum(s.cost.get(w) or s.unknown(len(w)) for w in words) == pytest.approx(cheapest(name))
     assert s.split("freebets") == ("free", "bets")
+
+
+def test_names_with_an_unlearned_part_are_split(spark):
+    clean = [f"http://{n}.example.{t}/en/{i}" for i, n in enumerate(("acmefoo", "gardenias", "blog.zimmer")) for t in ("com", "org")]
+    bad = ["http://freshpokerhub.com/a", "http://casinoqzr.net/b", "http://www.casinoqzr.org/c", "http://wvxkcasino.co.uk/d", "http://casinoqzr-win.com/e", "http://x.com/casinoqzr/f"]
+    plain = [f"http://{n}.org/{i}" for i, n in enumerate(("acmefoo", "bookshop", "openwikizone"))] * 5
+    df = spark.createDataFrame(list(enumerate(clean + plain + bad)), "page_id long, url string")
+    host, path = url_filter.url_parts()
+    model = url_filter.learn_urls(df.select(host.alias("host"), path.alias("path")))
+    rows = {r["page_id"]: r for r in url_filter.judge_urls(df, model, ()).collect()}
+    got = {r["host"]: r for r in rows.values()}
+    assert "poker" in got["freshpokerhub.com"]["words"].split()
+    for name in ("casinoqzr.net", "www.casinoqzr.org", "wvxkcasino.co.uk", "casinoqzr-win.com"):
+        assert "casino" in got[name]["words"].split(), name
+    assert [got[h]["verdict"] for h in ("freshpokerhub.com", "casinoqzr.net", "www.casinoqzr.org", "wvxkcasino.co.uk", "casinoqzr-win.com")] == ["block"] * 5
+    assert all(got[re.match("http://([^/]*)", u)[1]]["verdict"] == "allow" for u in clean + plain)
+    # seeds do not get rare in a large corpus
+    large = url_filter.with_seeds({f"word{i}": 1e5 for i in range(1000)})
+    assert large.split("casinoqzr") == ("casino", "qzr")
