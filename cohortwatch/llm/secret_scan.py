@@ -7,9 +7,9 @@ characters of the base64 or URL-safe alphabet; inside it, for each character cla
 a window slides over every stretch of that class. Symbol counts change by one symbol
 in and one out, and with them the sum of c * log2(c), so each step costs constant
 time. Windows of a class at or above its threshold that mix letters and digits are
-joined into spans. Candidates on the allow-list (UUIDs, dates, running alphabets,
-paths and hosts of links, names that say placeholder) and spans inside a base span
-are left out.
+joined into spans. What is on the allow-list (UUIDs, dates, running alphabets, hosts and
+paths of links but not their user info and query, parts between = or / with a name that
+says placeholder) and spans inside a base span are left out.
 """
 
 from __future__ import annotations
@@ -17,6 +17,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_right
 from dataclasses import dataclass
 
 import pandas as pd
@@ -37,7 +38,12 @@ ASSIGN_LEAST, ACCESS_LEAST = 12, 18
 WINDOW = 20
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % WINDOW)
 DIGITS = frozenset("0123456789")
-PLACEHOLDERS = ("example", "sample", "placeholder", "changeme", "dummy", "redacted", "xxxx")
+PLACEHOLDER = re.compile("example|sample|placeholder|changeme|dummy|redacted|x{4,}", re.IGNORECASE | re.ASCII)
+# at the edge of a word: a name, not chance
+NAMED = re.compile(rf"(?<![A-Za-z0-9])(?:{PLACEHOLDER.pattern})|(?:{PLACEHOLDER.pattern})(?![A-Za-z0-9])", re.IGNORECASE | re.ASCII)
+PART = re.compile(r"[^/=]+")
+LINK_END = re.compile(r"""[\s"'`<>(){}\[\]|\\^,;?#&]|://""")
+PORT = re.compile(r"[^:]*(:\d*)?$|\[")
 RUNNING = "abcdefghijklmnopqrstuvwxyz0123456789abcdefghijklmnopqrstuvwxyz"
 ALLOWED = (
     re.compile(r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}"),  # UUID
@@ -88,27 +94,81 @@ def high_windows(s: str, bits: float) -> list[tuple[int, int]]:
     return spans
 
 
-def allowed(text: str, start: int, end: int) -> bool:
-    """Whether a candidate is on the allow-list."""
-    s = text[start:end]
+def link_parts(text: str) -> list[tuple[int, int]]:
+    """Hosts and paths of the links in ``text``, with the slashes in front.
+
+    A link ends at white space, quotes, commas, brackets and the like. User info, query
+    and fragment are no part of it, nor is what follows an ``@`` in the path: they hold keys.
+    """
+    parts, at = [], text.find("://")
+    while at >= 0:
+        start = at + 3
+        found = LINK_END.search(text, start)
+        end = found.start() if found else len(text)
+        slash = text.find("/", start, end)
+        slash = end if slash < 0 else slash
+        user = text.rfind("@", start, slash)
+        if user < 0 and not PORT.match(text[start:slash]):
+            user = text.find("@", slash, end)  # a password with a slash
+        start = max(start, user + 1)
+        sign = text.find("@", start, end)
+        parts += [(at + 1, at + 3), (start, end if sign < 0 else sign)]
+        at = text.find("://", end)
+    return parts
+
+
+def blanks(s: str) -> list[tuple[int, int]]:
+    """Stretches of a candidate that are known to be no key; what = or / joins to them is judged by itself.
+
+    A part between = or / that is a UUID or date, or has a placeholder name at the edge of
+    a word; a placeholder amid other letters; a running alphabet.
+    """
+    found = []
+    for m in PART.finditer(s):
+        if any(p.fullmatch(m.group()) for p in ALLOWED[:2]) or NAMED.search(m.group()):
+            found.append(m.span())
+    found += [m.span() for m in PLACEHOLDER.finditer(s)]
     low = s.lower()
-    if any(p.fullmatch(s) for p in ALLOWED) or any(p in low for p in PLACEHOLDERS):
-        return True
-    if any(low[i:i + 8] in RUNNING for i in range(0, len(low) - 7, 4)):
-        return True
-    word = text[max(0, start - 200):start].split()[-1:] if start and not text[start - 1].isspace() else []
-    return bool(word) and "://" in word[0]
+    found += [(i, i + 8) for i in range(len(low) - 7) if low[i:i + 8] in RUNNING]
+    return sorted(found)
+
+
+def without(start: int, end: int, gaps: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """What the sorted ``gaps`` leave of a stretch."""
+    left = []
+    for a, b in gaps:
+        if b <= start:
+            continue
+        if a >= end:
+            break
+        left.append((start, a))
+        start = b
+    return [(a, b) for a, b in [*left, (start, end)] if b - a >= WINDOW]
+
+
+def random_spans(s: str) -> list[tuple[int, int]]:
+    """Windows of ``s`` that count as random in one of the classes."""
+    if len(s) < WINDOW or s.isalpha() or s.isdigit() or any(p.fullmatch(s) for p in ALLOWED):
+        return []
+    return [(run.start() + a, run.start() + b) for kind in CLASSES for run in kind.run.finditer(s) for a, b in high_windows(run.group(), kind.bits)]
 
 
 def entropy_spans(text: str) -> list[tuple[int, int]]:
     found: list[tuple[int, int]] = []
+    links, ends = None, []
     for m in CANDIDATE.finditer(text):
-        s = m.group()
-        if s.isalpha() or s.isdigit() or allowed(text, m.start(), m.end()):
+        if m.group().isalpha() or m.group().isdigit():
             continue
-        for kind in CLASSES:
-            for run in kind.run.finditer(s):
-                found += [(m.start() + run.start() + a, m.start() + run.start() + b) for a, b in high_windows(run.group(), kind.bits)]
+        if links is None:
+            links = link_parts(text)
+            ends = [b for _, b in links]
+        near = links[bisect_right(ends, m.start()):bisect_right(ends, m.end()) + 1]
+        for a, b in without(m.start(), m.end(), near):
+            s = text[a:b]
+            spans = random_spans(s)
+            if spans and (gaps := blanks(s)):
+                spans = [(x + i, x + j) for x, y in without(0, len(s), gaps) for i, j in random_spans(s[x:y])]
+            found += [(a + i, a + j) for i, j in spans]
     joined: list[tuple[int, int]] = []
     for a, b in sorted(found):
         if joined and a <= joined[-1][1]:

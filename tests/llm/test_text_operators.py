@@ -112,6 +112,20 @@ def test_entropy_finds_keys_and_leaves_prose():
         assert not secret_scan.entropy_spans(clean), clean
 
 
+def test_keys_beside_links_and_placeholders_are_found():
+    key = "Zx9kQ2mW7vB4nR8tLp3Yc6Hd"
+    for text in (f"https://u:{key}@host.org/x", f"https://{key}@host.org/x", f"https://u:ab/{key}@host.org/x", f"https://x.org/a?sig={key}", f"https://x.org/a#t={key}",
+                 '{"url":"https://x.org/a","k":"%s"}' % key, f"https://x.org/a,{key}", f"(https://x.org/a)/{key}", f"SAMPLE_KEY={key}", f"dummy/{key}",
+                 f"{key}/sample", f"sample-text={key}", f"{key}xxxx{key}", f"https://a.org/https://u:{key}@b.org"):
+        assert [text[a:b] for a, b in secret_scan.entropy_spans(text)] and all(key in text[a:b] for a, b in secret_scan.entropy_spans(text)), text
+    for n in (0, 150, 250, 5000):
+        assert not secret_scan.entropy_spans(f"see https://x.org/{'ab/' * (n // 3)}{key} there"), n
+    for clean in (f"sample_{key}", f"a=example-{key}", "https://x.org/a?id=550e8400-e29b-41d4-a716-446655440000", "https://u:p@x.org:80/" + key, f"http://x.org:8080/{key}/{key}"):
+        assert not secret_scan.entropy_spans(clean), clean
+    # in linear time
+    assert secret_scan.entropy_spans(("://a" * 50000) + " " + key)
+
+
 def test_redaction(spark, docs):
     assert secret_scan.redact('a token = "04dbebab91ab85687d33eeaaf9ac699e1188f962" z', "[X]") == 'a [X]" z'
     assert secret_scan.redact(None, "[X]") is None and secret_scan.redact("plain", "[X]") == "plain"
