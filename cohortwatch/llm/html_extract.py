@@ -8,11 +8,12 @@ rest, and runs of content lines form regions. Lines inside boilerplate container
 (menus, page headers and footers, sidebars, notices, adverts, forms, comments,
 scripts, styles) never count.
 
-Regions choose the content's container: the innermost ``article``, ``main`` or
-content-named element that holds most of the regions' text, or, on pages without
-one, the stretch from the first to the last region. Every line of that container that
-is no boilerplate belongs to the article, short paragraphs too; nothing else is
-dropped and nothing is cut.
+Regions choose the content's container and nothing else: all ``article`` and ``main``
+elements, if they hold most of the regions' text; else the innermost content-named element
+that does, with other content-named ones that have regions or the same name; else the innermost element
+around all regions that has more than one line. Every line of the container that is no
+boilerplate belongs to the article, short paragraphs too; nothing else is dropped and
+nothing is cut.
 """
 
 from __future__ import annotations
@@ -39,6 +40,8 @@ HIDDEN = frozenset(("head", "script", "style", "noscript", "template", "title",
 FURNITURE = frozenset(("nav", "footer", "aside", "form", "menu", "dialog"))
 # ``header`` is furniture outside an article; inside, it holds the article's heading
 ROOTS = frozenset(("article", "main"))
+# Elements that may hold a whole article; the others are its paragraphs, headings, lists.
+FRAMES = frozenset(("article", "body", "center", "div", "html", "main", "section", "table", "td"))
 ROLES = frozenset(("navigation", "banner", "contentinfo", "complementary", "search", "form", "alert", "dialog", "menu", "menubar"))
 # Whole words of class and id values.
 NOISE = frozenset((
@@ -63,15 +66,17 @@ class Line:
     tags: int
     root: int
     noise: bool
+    frame: int
 
 
 @dataclass
 class Open:
-    """An open element: its container number (0: none) and whether it is boilerplate."""
+    """An open element: its container number (0: none), whether it is boilerplate, and the number of the frame it is in."""
 
     tag: str
     root: int
     noise: bool
+    frame: int
 
 
 @dataclass
@@ -80,6 +85,7 @@ class Root:
 
     parent: int
     strong: bool
+    names: frozenset = frozenset()
     lines: list[int] = field(default_factory=list)
 
 
@@ -90,7 +96,8 @@ class LineParser(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.lines: list[Line] = []
         self.roots = [Root(-1, False)]
-        self.stack: list[Open] = [Open("", 0, False)]
+        self.frames = [(-1, 0)]  # parent and depth
+        self.stack: list[Open] = [Open("", 0, False, 0)]
         self.pieces: list[str] = []
         self.tags = 0
 
@@ -99,7 +106,7 @@ class LineParser(HTMLParser):
         if text:
             top = self.stack[-1]
             self.roots[top.root].lines.append(len(self.lines))
-            self.lines.append(Line(text, self.tags, top.root, top.noise))
+            self.lines.append(Line(text, self.tags, top.root, top.noise, top.frame))
         self.pieces, self.tags = [], 0
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
@@ -117,9 +124,13 @@ class LineParser(HTMLParser):
         noise = top.noise or tag in HIDDEN or tag in FURNITURE or (tag == "header" and not self._in_strong(top.root)) or self._noisy(tag, names, attrs)
         root = top.root
         if not noise and (tag in ROOTS or tag in ("div", "section", "td") and not CONTENT.isdisjoint(names)):
-            self.roots.append(Root(root, tag in ROOTS))
+            self.roots.append(Root(root, tag in ROOTS, CONTENT.intersection(names)))
             root = len(self.roots) - 1
-        self.stack.append(Open(tag, root, noise))
+        frame = top.frame
+        if tag in FRAMES:
+            self.frames.append((frame, self.frames[frame][1] + 1))
+            frame = len(self.frames) - 1
+        self.stack.append(Open(tag, root, noise, frame))
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if tag in BLOCKS:
@@ -227,18 +238,18 @@ def extract(html: str | None) -> str:
             weight[root] += len(lines[i].text)
             root = parser.roots[root].parent
     whole = weight[0]
-    strong = [r for r in range(1, len(weight)) if parser.roots[r].strong and weight[r]]
+    strong = {r for r in range(1, len(weight)) if parser.roots[r].strong}
     named = [r for r in range(1, len(weight)) if 2 * weight[r] > whole]
-    if strong and 2 * sum(weight[r] for r in strong if not _inside(parser, parser.roots[r].parent, set(strong))) > whole:
-        # pages may hold several articles: all of them are content; the innermost marked ones win over a frame around them
-        inner = [r for r in strong if not any(o != r and _inside(parser, o, {r}) and 2 * weight[o] > weight[r] for o in strong)]
-        chosen = set(inner)
-        return " ".join(lines[i].text for i in kept if _inside(parser, lines[i].root, chosen))
-    if named:
-        chosen = {max(named)}
-        return " ".join(lines[i].text for i in kept if _inside(parser, lines[i].root, chosen))
-    first, last = content[0], content[-1]
-    return " ".join(lines[i].text for i in kept if first <= i <= last)
+    outer = (r for r in strong if weight[r] and not _inside(parser, parser.roots[r].parent, strong))
+    if 2 * sum(weight[r] for r in outer) > whole:
+        chosen = strong
+    elif named:
+        best = max(named)
+        alike = (r for r in range(1, len(weight)) if weight[r] or parser.roots[r].names == parser.roots[best].names)
+        chosen = {best} | {r for r in alike if not _inside(parser, best, {r})}
+    else:
+        return " ".join(lines[i].text for i in _around(parser, content, kept))
+    return " ".join(lines[i].text for i in kept if _inside(parser, lines[i].root, chosen))
 
 
 def _inside(parser: LineParser, root: int, chosen: set[int]) -> bool:
@@ -249,6 +260,29 @@ def _inside(parser: LineParser, root: int, chosen: set[int]) -> bool:
     return False
 
 
+def _around(parser: LineParser, content: list[int], kept: list[int]) -> list[int]:
+    """The ``kept`` lines of the innermost frame around all ``content`` lines; a frame of one line alone is a paragraph, not a container."""
+    frames, lines = parser.frames, parser.lines
+    common = lines[content[0]].frame
+    for at in {lines[i].frame for i in content}:
+        while at != common:
+            if frames[at][1] >= frames[common][1]:
+                at = frames[at][0]
+            else:
+                common = frames[common][0]
+    count = [0] * len(frames)
+    for i in kept:
+        count[lines[i].frame] += 1
+    for n in range(len(frames) - 1, 0, -1):
+        count[frames[n][0]] += count[n]
+    while common > 0 and count[common] < 2:
+        common = frames[common][0]
+    held = [n == common for n in range(len(frames))]
+    for n in range(common + 1, len(frames)):
+        held[n] = held[frames[n][0]]
+    return [i for i in kept if held[lines[i].frame]]
+
+
 def extract_main_text(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars of every row of ``pages`` (page_id, url, html).
 

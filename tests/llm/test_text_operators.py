@@ -179,6 +179,25 @@ def test_html(spark):
     assert html_extract.extract_main_text(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
+def test_html_keeps_short_paragraphs_around_the_regions():
+    def p(n, tag="p"):
+        return f"<{tag}>{('word' + str(n) + ' ') * (n // 6 + 1)}</{tag}>"
+
+    def text(*sizes):
+        return " ".join(("word" + str(n) + " ") * (n // 6 + 1) for n in sizes).replace("  ", " ").strip()
+
+    page = p(30, "h1") + p(800) + p(40) + p(900) + p(31)
+    foot = "<footer>me</footer>"
+    assert html_extract.extract(f"<body>{page}{foot}</body>") == text(30, 800, 40, 900, 31)
+    assert html_extract.extract(f"<body><div class=nav>x y z</div><div>{page}</div>{foot}</body>") == text(30, 800, 40, 900, 31)
+    # one long paragraph in a frame of its own
+    assert html_extract.extract(f"<body>{p(30, 'h1')}<div>{p(900)}</div><div>{p(31)}</div>{foot}</body>") == text(30, 900, 31)
+    # a short article beside a long one, a main's own paragraphs around an article, two posts
+    assert html_extract.extract(f"<article>{p(900)}{p(901)}</article><p>out</p><article>{p(20)}{p(21)}</article>") == text(900, 901, 20, 21)
+    assert html_extract.extract(f"<main>{p(22)}<article>{p(900)}</article>{p(23)}</main>") == text(22, 900, 23)
+    assert html_extract.extract(f"<div class=post>{p(900)}{p(20)}</div><div class=post>{p(901)}{p(902)}{p(903)}</div>") == text(900, 20, 901, 902, 903)
+
+
 URLS = [
     (1, "http://x.example.net/en/1"), (2, "https://WWW.Example.COM/de/2?x=/fr/"), (3, "http://a.org/fr/x#y"), (4, "http://a.org/FR/x"), (5, None), (6, "no scheme"), (7, "http://notnet/x"),
     (8, "http://net/x"), (9, "http://foo.net"), (10, "http://foo.net?x=1"), (11, "x?u=http://bar.net/z"), (12, "http://myexample.com/de/1"), (13, "http://casino-win.example.com/en/1"),
