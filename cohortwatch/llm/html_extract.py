@@ -6,7 +6,9 @@ containers around it. The text-to-tag ratio of the lines, smoothed with a Gaussi
 kernel, is split by a threshold (two clusters in one dimension) into content and the
 rest, and runs of content lines form regions. Lines inside boilerplate containers
 (menus, page headers and footers, sidebars, notices, adverts, forms, comments,
-scripts, styles) never count.
+scripts, styles) never count. Words of class and id (``NOISE``) mark a container only where
+that leaves the page its text: not one that holds the page's only articles, or most of
+the text and no content-named element stands elsewhere (see ``excuse``).
 
 Regions choose the content's container and nothing else: all ``article`` and ``main``
 elements, if they hold most of the regions' text; else the innermost content-named element
@@ -49,6 +51,8 @@ NOISE = frozenset((
     "comments", "commentlist", "consent", "cookie", "cookies", "disqus", "footer", "gdpr", "hidden", "masthead", "menu", "modal", "nav",
     "navbar", "navigation", "newsletter", "notice", "notices", "pager", "pagination", "popup", "promo", "promoted", "recommended", "related",
     "replies", "respond", "share", "sharing", "sidebar", "signup", "skip", "social", "sponsor", "sponsored", "subscribe", "toolbar", "widget"))
+APART = frozenset(("has", "no", "with", "without"))
+WHOLE = frozenset(("html", "body", "article", "main"))
 CONTENT = frozenset(("article", "content", "entry", "main", "post", "story"))
 NAME_WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 # An opening tag of the key closes an open element of the value, up to the list's container.
@@ -67,16 +71,29 @@ class Line:
     root: int
     noise: bool
     frame: int
+    mark: int
 
 
 @dataclass
 class Open:
-    """An open element: its container number (0: none), whether it is boilerplate, and the number of the frame it is in."""
+    """An open element: its container number (0: none), whether it is boilerplate by tag or role, the numbers of the frame and of the marked element it is in."""
 
     tag: str
     root: int
     noise: bool
     frame: int
+    mark: int
+
+
+@dataclass
+class Mark:
+    """An element that is boilerplate by its class or id words, and the one around it."""
+
+    parent: int
+    named: bool
+    text: int = 0
+    rooted: int = 0
+    noise: bool = True
 
 
 @dataclass
@@ -86,6 +103,7 @@ class Root:
     parent: int
     strong: bool
     names: frozenset = frozenset()
+    mark: int = 0
     lines: list[int] = field(default_factory=list)
 
 
@@ -97,7 +115,8 @@ class LineParser(HTMLParser):
         self.lines: list[Line] = []
         self.roots = [Root(-1, False)]
         self.frames = [(-1, 0)]  # parent and depth
-        self.stack: list[Open] = [Open("", 0, False, 0)]
+        self.marks = [Mark(-1, False, noise=False)]
+        self.stack: list[Open] = [Open("", 0, False, 0, 0)]
         self.pieces: list[str] = []
         self.tags = 0
 
@@ -106,7 +125,7 @@ class LineParser(HTMLParser):
         if text:
             top = self.stack[-1]
             self.roots[top.root].lines.append(len(self.lines))
-            self.lines.append(Line(text, self.tags, top.root, top.noise, top.frame))
+            self.lines.append(Line(text, self.tags, top.root, top.noise, top.frame, top.mark))
         self.pieces, self.tags = [], 0
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
@@ -121,16 +140,19 @@ class LineParser(HTMLParser):
             self._close("head")
         top = self.stack[-1]
         names = self._names(attrs) if attrs else ()
-        noise = top.noise or tag in HIDDEN or tag in FURNITURE or (tag == "header" and not self._in_strong(top.root)) or self._noisy(tag, names, attrs)
-        root = top.root
+        noise = top.noise or tag in HIDDEN or tag in FURNITURE or (tag == "header" and not self._in_strong(top.root)) or self._noisy(tag, attrs)
+        root, mark = top.root, top.mark
+        if not noise and tag not in WHOLE and not NOISE.isdisjoint(names):
+            self.marks.append(Mark(mark, not CONTENT.isdisjoint(names)))
+            mark = len(self.marks) - 1
         if not noise and (tag in ROOTS or tag in ("div", "section", "td") and not CONTENT.isdisjoint(names)):
-            self.roots.append(Root(root, tag in ROOTS, CONTENT.intersection(names)))
+            self.roots.append(Root(root, tag in ROOTS, CONTENT.intersection(names), mark))
             root = len(self.roots) - 1
         frame = top.frame
         if tag in FRAMES:
             self.frames.append((frame, self.frames[frame][1] + 1))
             frame = len(self.frames) - 1
-        self.stack.append(Open(tag, root, noise, frame))
+        self.stack.append(Open(tag, root, noise, frame, mark))
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if tag in BLOCKS:
@@ -174,23 +196,78 @@ class LineParser(HTMLParser):
 
     @staticmethod
     def _names(attrs: list[tuple[str, str | None]]) -> set[str]:
-        return {w.lower() for k, v in attrs if k in ("class", "id") and v for w in NAME_WORDS.findall(v)}
+        """Words of class and id values; those behind has-, no-, with- or without- say nothing of the element."""
+        found = set()
+        for k, v in attrs:
+            if k in ("class", "id") and v:
+                for name in v.split():
+                    for w in NAME_WORDS.findall(name):
+                        w = w.lower()
+                        if w in APART:
+                            break
+                        found.add(w)
+        return found
 
     @staticmethod
-    def _noisy(tag: str, names, attrs: list[tuple[str, str | None]]) -> bool:
-        if tag in ("html", "body", "article", "main"):
+    def _noisy(tag: str, attrs: list[tuple[str, str | None]]) -> bool:
+        if tag in WHOLE:
             return False
-        if names and not NOISE.isdisjoint(names):
-            return True
         return any(k == "role" and (v or "").lower() in ROLES or k == "hidden" or k == "aria-hidden" and v == "true"
                    or k == "style" and v and re.search(r"display\s*:\s*none", v) for k, v in attrs)
 
+    def excuse(self) -> None:
+        """Settle which marked elements are boilerplate, and pass it on to their lines.
+
+        Where all articles with text are in marked elements, those that hold them are
+        excused. So is one with more than half of the page's text, if it has a content name
+        or holds most of that text in content-named elements, or if no line of an article or
+        content-named element is outside of marked ones.
+        """
+        marks, roots = self.marks, self.roots
+        if len(marks) == 1:
+            return
+        whole = 0
+        for x in self.lines:
+            if not x.noise:
+                whole += len(x.text)
+                marks[x.mark].text += len(x.text)
+                # in a root that is inside of the marked element
+                if x.root and roots[x.root].mark == x.mark and x.mark:
+                    marks[x.mark].rooted += len(x.text)
+        strong, other = [False] * len(marks), [False] * len(marks)
+        for x in self.lines:
+            if not x.noise and x.root:
+                other[x.mark] = True
+                strong[x.mark] = strong[x.mark] or self._in_strong(x.root)
+        depth, least = [0] * len(marks), 0
+        for n, m in enumerate(marks[1:], 1):
+            depth[n] = depth[m.parent] + 1
+        if any(strong):
+            least = min(d for d, held in zip(depth, strong) if held)
+        for n in range(len(marks) - 1, 0, -1):
+            m, up = marks[n], marks[n].parent
+            marks[up].text += m.text
+            marks[up].rooted += m.rooted
+            strong[up] = strong[up] or strong[n]
+            m.noise = not (strong[n] and depth[n] <= least)
+        # a line is free if all marked elements around it are excused
+        free = any(other[n] for n, m in enumerate(marks) if not m.noise)
+        for n, m in enumerate(marks):
+            if m.noise and 2 * m.text > whole and not marks[m.parent].noise and (m.named or 2 * m.rooted > whole or not free):
+                m.noise = False
+                free = free or other[n]
+        for m in marks[1:]:
+            m.noise = m.noise or marks[m.parent].noise
+        for x in self.lines:
+            x.noise = x.noise or marks[x.mark].noise
+
 
 def parse(html: str) -> LineParser:
     parser = LineParser()
     parser.feed(html)
     parser.close()
     parser.end_line()
+    parser.excuse()
     return parser
 
 

@@ -198,6 +198,21 @@ def test_html_keeps_short_paragraphs_around_the_regions():
     assert html_extract.extract(f"<div class=post>{p(900)}{p(20)}</div><div class=post>{p(901)}{p(902)}{p(903)}</div>") == text(900, 20, 901, 902, 903)
 
 
+def test_html_layout_names_do_not_drop_the_article():
+    body = "<h1>Head</h1>" + "<p>" + "Real content text. " * 20 + "</p><p>End.</p>"
+    want = "Head " + ("Real content text. " * 20).strip() + " End."
+    side = "<div class=sidebar>Side notes of the page</div>"
+    for name in ("content has-sidebar", "no-sidebar", "page-with-nav", "widget-area-main", "related-content", "without-left-menu", "layout hasSidebar", "widget"):
+        for inner in (body, f"<article>{body}</article>", f"<main>{body}</main>"):
+            assert html_extract.extract(f"<body><div class='{name}'>{inner}</div>{side}<footer>me</footer></body>") == want, (name, inner)
+            assert html_extract.extract(f"<body>{side}<div class='{name}'><div class='x'>{inner}</div>{side}</div></body>") == want, (name, inner)
+    # beside an article, marked elements stay boilerplate, with articles of their own and more text too
+    more = "<article><p>" + "Comment text. " * 90 + "</p></article>"
+    assert html_extract.extract(f"<article>{body}</article><div class=comments>{more}</div><div class=related>{more}</div>") == want
+    assert html_extract.extract(f"<div id=content>{body}<div class=comments><p>{'Comment text. ' * 90}</p></div></div>") == want
+    assert html_extract.extract(f"<div class=widget role=navigation><article>{body}</article></div>") == ""
+
+
 URLS = [
     (1, "http://x.example.net/en/1"), (2, "https://WWW.Example.COM/de/2?x=/fr/"), (3, "http://a.org/fr/x#y"), (4, "http://a.org/FR/x"), (5, None), (6, "no scheme"), (7, "http://notnet/x"),
     (8, "http://net/x"), (9, "http://foo.net"), (10, "http://foo.net?x=1"), (11, "x?u=http://bar.net/z"), (12, "http://myexample.com/de/1"), (13, "http://casino-win.example.com/en/1"),
