@@ -11,10 +11,13 @@ bounded sample of labelled rows:
 * of each, up to ``SEGMENTS`` windows of ``SEGMENT_WORDS`` words, spread over the text,
   and the text's own length up to that, so that short texts are learned too.
 
-A temperature is fitted on a calibration part of the sample that was not trained on. The
-rejection level is the calibrated score that all but one in a thousand of the
-correctly named calibration texts reach, REJECT_MOST at most; texts without any letter are
-rejected outright (``und``). Prediction reads whole texts. Because the model is linear,
+A temperature is fitted on a calibration part of the sample that was not trained on. Two
+levels reject a text, both reached by all but REJECT_SHARE of the calibration texts: the
+calibrated score, and the share of its 3- and 4-grams that training met. The second sees
+text that is no learned language too: calibration texts with their letters shuffled, and
+those of each language against the n-grams of the others. Where these stay below, the level
+is the middle of the gap. It holds for one language as well, whose score is always 1. Texts
+without any letter are rejected outright (``und``). Prediction reads whole texts. Because the model is linear,
 a word's share is its summed logits (embedding x weights), kept per worker in a bounded
 cache, and the text's logits are their sum over the number of subwords. The model is
 BUCKETS x classes numbers; it does not grow with the corpus.
@@ -25,7 +28,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
@@ -47,19 +50,18 @@ RATE = 0.5
 SEED = 7
 CACHE_WORDS = 200_000
 UNKNOWN = "und"
-REJECT_MOST = 0.34
 REJECT_SHARE = 0.001
 # Runs of letters with combining marks: no digits, signs or white space.
 LETTERS = re.compile(r"[^\W\d_]+")
 
 
 class _Grams(dict):
-    """Bucket of each character n-gram met."""
+    """Hash of each character n-gram met."""
 
     def __missing__(self, gram: str) -> int:
         if len(self) >= CACHE_WORDS:
             self.clear()
-        at = self[gram] = zlib.crc32(gram.encode("utf-8", "surrogatepass")) % BUCKETS
+        at = self[gram] = zlib.crc32(gram.encode("utf-8", "surrogatepass"))
         return at
 
 
@@ -67,7 +69,7 @@ _grams = _Grams()
 
 
 def subwords(word: str) -> list[int]:
-    """Buckets of a word's character n-grams, with marks at both ends, and of the word itself."""
+    """Hashes of a word's character n-grams, with marks at both ends, and of the word itself; the last ``n_long`` are 3- and 4-grams."""
     marked = f"<{word}>"
     n = len(marked)
     found = [marked] if n > max(NGRAMS) else []
@@ -77,6 +79,10 @@ def subwords(word: str) -> list[int]:
     return list(map(_grams.__getitem__, found))
 
 
+def n_long(letters: int, words: int = 1) -> int:
+    return 2 * letters - words
+
+
 def words_of(text: str) -> list[str]:
     return LETTERS.findall(text.lower())
 
@@ -96,52 +102,56 @@ def segments(text: str) -> list[str]:
 
 @dataclass
 class LanguageModel:
-    """Classes, logits per bucket, temperature and rejection level."""
+    """Classes, logits per bucket, temperature, rejection level; hashes of the 3- and 4-grams met, sorted, and the least share of them."""
 
     classes: list[str]
     bucket_logits: np.ndarray
     bias: np.ndarray
     temperature: float = 1.0
     reject_below: float = 0.0
+    grams: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
+    least_known: float = 0.0
 
     def __post_init__(self) -> None:
-        self.known = _Words(self.bucket_logits)
+        self.known = _Words(self.bucket_logits, self.grams)
 
     def __reduce__(self):
-        return LanguageModel, (self.classes, self.bucket_logits, self.bias, self.temperature, self.reject_below)
+        return LanguageModel, (self.classes, self.bucket_logits, self.bias, self.temperature, self.reject_below, self.grams, self.least_known)
 
-    def logits(self, text: str) -> np.ndarray | None:
-        """Of a whole text; None without a letter."""
+    def logits(self, text: str) -> tuple[np.ndarray, float] | None:
+        """Of a whole text, and the share of its 3- and 4-grams that were met; None without a letter."""
         words = words_of(text)
         if not words:
             return None
-        total = np.zeros(len(self.classes) + 1)
+        total = np.zeros(self.known.rows.shape[1])
         for at in range(0, len(words), CACHE_WORDS // 4):
             if len(self.known) > CACHE_WORDS // 2:
-                self.known = _Words(self.bucket_logits)
+                self.known = _Words(self.bucket_logits, self.grams)
             some = words[at:at + CACHE_WORDS // 4]
             self.known.meet(some)
             places = list(map(self.known.__getitem__, some))
             total += self.known.rows[places].sum(axis=0)
-        return total[:-1] / total[-1] + self.bias
+        return total[:-2] / total[-2] + self.bias, float(total[-1]) / n_long(sum(map(len, words)), len(words))
 
     def predict(self, text: str | None) -> tuple[str, float, bool]:
         """(class, calibrated score, accepted); (und, 0, False) for null and for texts without a letter."""
-        z = self.logits(text) if text else None
-        if z is None:
+        found = self.logits(text) if text else None
+        if found is None:
             return UNKNOWN, 0.0, False
+        z, known = found
         p = softmax(z[None, :] / self.temperature)[0]
         k = int(p.argmax())
-        return self.classes[k], float(p[k]), bool(p[k] >= self.reject_below)
+        return self.classes[k], float(p[k]), bool(p[k] >= self.reject_below and known >= self.least_known)
 
 
 class _Words(dict):
-    """Row number of each word met; a row holds the word's summed logits and its number of subwords."""
+    """Row number of each word met; a row holds the word's summed logits, its number of subwords and that of its 3- and 4-grams met in training."""
 
-    def __init__(self, bucket_logits: np.ndarray):
+    def __init__(self, bucket_logits: np.ndarray, grams: np.ndarray):
         super().__init__()
         self.bucket_logits = bucket_logits
-        self.rows = np.zeros((1024, bucket_logits.shape[1] + 1))
+        self.grams = grams
+        self.rows = np.zeros((1024, bucket_logits.shape[1] + 2))
 
     def meet(self, words: list[str]) -> None:
         """Add the words that are new."""
@@ -157,8 +167,13 @@ class _Words(dict):
         while at + len(new) > len(self.rows):
             self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
         size = np.diff(ends, prepend=0)
-        self.rows[at:at + len(new), :-1] = np.add.reduceat(self.bucket_logits[ids], np.cumsum(size) - size, axis=0)
-        self.rows[at:at + len(new), -1] = size
+        hashes, first = np.array(ids, dtype=np.int64), np.cumsum(size) - size
+        self.rows[at:at + len(new), :-2] = np.add.reduceat(self.bucket_logits[hashes % BUCKETS], first, axis=0)
+        self.rows[at:at + len(new), -2] = size
+        if len(self.grams):
+            long = np.repeat(np.array(ends), size) - np.arange(len(hashes)) <= np.repeat([n_long(len(w)) for w in new], size)
+            met = self.grams[np.minimum(np.searchsorted(self.grams, hashes), len(self.grams) - 1)] == hashes
+            self.rows[at:at + len(new), -1] = np.add.reduceat(met & long, first, dtype=np.int64)
         self.update(zip(new, range(at, at + len(new))))
 
 
@@ -176,25 +191,29 @@ def bags(texts: list[str]) -> list[np.ndarray]:
             if w not in known:
                 known[w] = subwords(w)
             ids += known[w]
-        out.append(np.array(ids, dtype=np.int64))
+        out.append(np.array(ids, dtype=np.int64) % BUCKETS)
     return out
 
 
 def train(texts: list[str], labels: list[str], seed: int = SEED) -> LanguageModel:
     """Fit the embeddings, the softmax, the temperature and the rejection level.
 
-    One class gives a model that always names it; no rows give a model without
-    classes, whose use predicts ``und``.
+    One class gives a model that names no other; no rows give a model without
+    classes, whose use predicts ``und``. With no more than two rows a class there is no
+    calibration part, and every text with a letter is accepted.
     """
     classes = sorted(set(labels))
     rng = np.random.default_rng(seed)
     y = np.array([classes.index(x) for x in labels], dtype=np.int64)
-    if len(classes) < 2:
-        return LanguageModel(classes, np.zeros((BUCKETS, max(1, len(classes)))), np.zeros(max(1, len(classes))))
-    bag = bags(texts)
+    if not classes:
+        return LanguageModel(classes, np.zeros((BUCKETS, 1)), np.zeros(1))
+    bag = bags(texts) if len(classes) > 1 else texts
     order = rng.permutation(len(bag))
     held = order[:max(len(classes), len(bag) // 8)]
     fit = order[len(held):] if len(order) > 2 * len(held) else order
+    grams, least_known = known_grams(texts, y, fit, held if len(fit) < len(order) else held[:0])
+    if len(classes) < 2:
+        return LanguageModel(classes, np.zeros((BUCKETS, 1)), np.zeros(1), grams=grams, least_known=least_known)
     embedding = rng.normal(0, 0.1, (BUCKETS, DIM))
     weight, bias = rng.normal(0, 0.1, (DIM, len(classes))), np.zeros(len(classes))
     share = np.bincount(y[fit], minlength=len(classes)).astype(float)
@@ -219,17 +238,47 @@ def train(texts: list[str], labels: list[str], seed: int = SEED) -> LanguageMode
             bias -= rate * gap.mean(axis=0)
             np.add.at(embedding, ids, -rate * back[at] * 8)
         fit = rng.permutation(fit)
-    model = LanguageModel(classes, embedding @ weight, bias)
+    model = LanguageModel(classes, embedding @ weight, bias, grams=grams, least_known=least_known)
     z = np.stack([model.bucket_logits[bag[r]].mean(axis=0) + bias for r in held])
     truth = y[held]
     model.temperature = calibrate(z, truth)
     p = softmax(z / model.temperature)
     right = p.argmax(axis=1) == truth
     if right.any():
-        model.reject_below = min(REJECT_MOST, float(np.quantile(p.max(axis=1)[right], REJECT_SHARE)))
+        model.reject_below = float(np.quantile(p.max(axis=1)[right], REJECT_SHARE))
     return model
 
 
+def known_grams(texts: list[str], y: np.ndarray, fit: np.ndarray, held: np.ndarray) -> tuple[np.ndarray, float]:
+    """Sorted hashes of the 3- and 4-grams of the ``fit`` texts, and the least share of them that a text must have (see the module's text)."""
+    def long_grams(text: str) -> list[int]:
+        return [g for w in text.split() for g in subwords(w)[-n_long(len(w)):]]
+
+    # the class that alone has the n-gram, or -1
+    owner: dict[int, int] = {}
+    for r in fit:
+        k = int(y[r])
+        for g in set(long_grams(texts[r])):
+            if owner.setdefault(g, k) != k:
+                owner[g] = -1
+    grams = np.array(sorted(owner), dtype=np.int64)
+    if not len(held):
+        return grams, 0.0
+    rng = np.random.default_rng(SEED)
+    clean, strange = [], []
+    several = len(set(y.tolist())) > 1
+    for r in held:
+        found = long_grams(texts[r])
+        clean.append(sum(g in owner for g in found) / len(found))
+        if several:
+            strange.append(sum(owner.get(g, y[r]) != y[r] for g in found) / len(found))
+        letters = iter(rng.permutation([c for c in texts[r] if c != " "]).tolist())
+        found = long_grams("".join(c if c == " " else next(letters) for c in texts[r]))
+        strange.append(sum(g in owner for g in found) / len(found))
+    least, most = float(np.quantile(clean, REJECT_SHARE)), float(np.quantile(strange, 0.99))
+    return grams, (least + most) / 2 if most < least else least
+
+
 def calibrate(z: np.ndarray, truth: np.ndarray) -> float:
     """The temperature of least cross-entropy on held rows, by a grid in the logarithm."""
     def loss(t: float) -> float:

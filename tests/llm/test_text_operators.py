@@ -147,6 +147,23 @@ def test_languages(spark, docs, small_dir):
     assert (again.bucket_logits == model.bucket_logits).all()
 
 
+def test_unlearned_scripts_and_junk_are_rejected(spark, small_dir):
+    table = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    junk = ["Привет мир как дела сегодня в городе", "你好世界", "qwrt zxcvb plkjh mnbv xcvz", "def f(x): return x[i+1] for i in range(n) if foo_bar(baz) != None",
+            "Ζητώ συγγνώμη για την καθυστέρηση", "xkcd jqzv wpfg hhjk vbnm qqzx"]
+    for langs in (["en"], ["en", "fr"], ["de", "en", "fr"], ["de", "en", "es", "fr"]):
+        some = table.where(table.lang.isin(langs))
+        model = langid.fit_languages(some)
+        assert model.classes == langs
+        assert not any(model.predict(x)[2] for x in junk), langs
+        held = [r["accepted"] for r in langid.identify(some, model).where("held_out").collect()]
+        assert sum(held) >= 0.99 * len(held), langs
+    # a language that was not learned
+    model = langid.fit_languages(table.where("lang in ('de', 'en', 'fr')"))
+    other = [model.predict(r["text"])[2] for r in table.where("lang = 'es'").collect()]
+    assert sum(other) < 0.05 * len(other)
+
+
 def test_languages_learn_only_from_the_allowed_rows(spark):
     import zlib
 
