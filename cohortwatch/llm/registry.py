@@ -1,7 +1,7 @@
 """Queries of the training-data operators and their DuckDB SQL."""
 
 import corpus_pipeline
-from cohortwatch.llm import bpe, html_extract, langid, mixing, multi_index, ngram_join, secret_scan, suffix_dedup, url_filter, winnowing
+from cohortwatch.llm import bpe, html_extract, langid, mixing, multi_index, ngram_join, secret_scan, shallot, suffix_dedup, url_filter, winnowing
 
 QUERIES = {
     "op1_multi_index": multi_index.op1_multi_index,
@@ -14,11 +14,13 @@ QUERIES = {
     "op8_secret_scan": secret_scan.op8_secret_scan,
     "op9_suffix_dedup": suffix_dedup.op9_suffix_dedup,
     "op10_bpe_codec": bpe.op10_bpe_codec,
+    "op11_shallot": shallot.op11_shallot,
     "pipeline": corpus_pipeline.run,
 }
 ORACLES: dict[str, str] = {
     "op5_mix_sources": mixing.SQL,
     "op7_ngram_jaccard": ngram_join.SQL,
+    "op11_shallot": shallot.SQL,
 }
 if corpus_pipeline.ORACLE_SQL:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL

@@ -1,0 +1,96 @@
+"""Centroid clustering, spelling variants and quality rules against plain versions."""
+
+import hashlib
+import math
+import random
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+
+from cohortwatch.llm import shallot
+
+from .edge import DOCS, edge_docs
+
+
+# -- centroid clustering ------------------------------------------------------------------
+
+def plain_clusters(rows, k, rounds):
+    """(final centroids, cluster and distance of each row) by looking at every centroid."""
+    points = [[math.floor(64 * x) for x in v] for _, v in rows]
+    order = sorted(range(len(rows)), key=lambda i: (hashlib.sha256(f"1:{'' if rows[i][0] is None else rows[i][0]}".encode()).hexdigest(), points[i]))
+    cents = [points[i] for i in order[:k]]
+
+    def nearest(p):
+        return min((sum((a - b) ** 2 for a, b in zip(p, c)), j) for j, c in enumerate(cents))
+
+    for _ in range(rounds):
+        got = [nearest(p)[1] for p in points]
+        for j in range(len(cents)):
+            own = [p for p, g in zip(points, got) if g == j]
+            if own:
+                cents[j] = [sum(x) // len(own) for x in zip(*own)]
+    return cents, [nearest(p) for p in points]
+
+
+def vectors(spark, rows):
+    return spark.createDataFrame(rows, "vec_id long, embedding array<double>").selectExpr("*", "'x' as cluster", "1 as point", "2.0 as upper")
+
+
+@pytest.mark.parametrize("kind", ["spread", "clumped", "tied"])
+def test_shallot_equals_a_plain_scan(spark, kind):
+    rng = np.random.default_rng(5)
+    if kind == "spread":
+        m = rng.normal(0, 0.2, (300, 64))
+    elif kind == "clumped":
+        m = rng.normal(0, 2, (9, 64))[rng.integers(0, 9, 300)] + rng.normal(0, 0.05, (300, 64))
+    else:  # few different integers: equal distances, equal and empty centroids
+        m = rng.integers(-1, 2, (300, 1)) / 64.0 * np.ones((1, 64))
+    rows = [(i, v.tolist()) for i, v in enumerate(m)]
+    cents, want = plain_clusters(rows, 16, 3)
+    points, state = shallot.fit_clusters(vectors(spark, rows))
+    got = {r["vec_id"]: (r["distance"], r["cluster"]) for r in state.collect()}
+    assert points.tolist() == cents and [got[i] for i in range(len(rows))] == want
+    out = shallot.cluster_vectors(vectors(spark, rows)).collect()
+    assert {r["inertia"] for r in out} == {sum(d for d, _ in want)}
+    assert {r["cluster"]: r["cluster_inertia"] for r in out} == {j: sum(d for d, c in want if c == j) for j in {c for _, c in want}}
+    assert all(r["centroid_sha256"] == hashlib.sha256(",".join(map(str, cents[r["cluster"]])).encode()).hexdigest() for r in out)
+    if kind == "clumped":  # the bounds spare most of the 16 distances
+        assert sum(r["scanned"] for r in out) / len(out) < 8
+
+
+def test_shallot_bounds_hold_when_centroids_move(spark):
+    """The state of each pass bounds the true distances, so that nothing is skipped wrongly."""
+    rng = np.random.default_rng(9)
+    points = rng.integers(-40, 40, (500, 64))
+    before = points[:16].copy()
+    state = {"cluster": np.zeros(500, int), "second": np.ones(500, int), "upper": np.full(500, np.inf), "lower": np.zeros(500)}
+    cents = shallot.Centroids(before, np.zeros(16))
+    for _ in range(4):
+        best, other, d1, d2, _ = cents.search(points, state["cluster"], state["second"])
+        every = ((points[:, None] - cents.points[None]) ** 2).sum(2)
+        order = np.argsort(every, axis=1, kind="stable")
+        assert (best == order[:, 0]).all() and (d1 == every.min(axis=1)).all() and (d2 == np.sort(every, axis=1)[:, 1]).all()
+        after = np.stack([points[best == j].sum(axis=0) // max(1, (best == j).sum()) if (best == j).any() else cents.points[j] for j in range(16)])
+        cents = shallot.Centroids(after, shallot.above(shallot.squared(after, cents.points)))
+        upper, lower = shallot.above(d1) + cents.moved[best], shallot.below(d2) - cents.others[best]
+        every = np.sqrt(((points[:, None] - after[None]) ** 2).sum(2))
+        own = every[np.arange(500), best]
+        every[np.arange(500), best] = np.inf
+        assert (own <= upper).all() and (every.min(axis=1) >= lower).all()
+        state["cluster"], state["second"] = best, other
+
+
+def test_shallot_awkward_vectors(spark):
+    v = [0.5] * 64
+    rows = [(1, v), (1, v), (None, [0.25] * 64), (2, None), (3, []), (4, [0.5] * 63), (5, [float("nan")] + v[1:]), (6, [float("inf")] + v[1:]),
+            (7, [None] + v[1:]), (8, [1e300] + v[1:]), (9, [-0.001] * 64)]
+    out = shallot.cluster_vectors(vectors(spark, rows))
+    cents, want = plain_clusters([rows[0], rows[1], rows[2], rows[10]], 16, 3)
+    got = sorted(((r["vec_id"] or 0, r["distance"], r["cluster"]) for r in out.collect()))
+    assert got == sorted((i, d, c) for i, (d, c) in zip([1, 1, 0, 9], want))
+    assert shallot.cluster_vectors(vectors(spark, rows).limit(0)).collect() == []
+    one = shallot.cluster_vectors(vectors(spark, rows[:1])).collect()
+    assert [(r["cluster"], r["distance"], r["inertia"]) for r in one] == [(0, 0, 0)]
