@@ -1,7 +1,7 @@
 """Queries of the training-data operators and their DuckDB SQL."""
 
 import corpus_pipeline
-from cohortwatch.llm import bpe, html_extract, langid, mixing, multi_index, ngram_join, secret_scan, shallot, suffix_dedup, url_filter, winnowing
+from cohortwatch.llm import bpe, html_extract, langid, mixing, multi_index, ngram_join, quality, secret_scan, shallot, suffix_dedup, url_filter, variants, winnowing
 
 QUERIES = {
     "op1_multi_index": multi_index.op1_multi_index,
@@ -15,6 +15,8 @@ QUERIES = {
     "op9_suffix_dedup": suffix_dedup.op9_suffix_dedup,
     "op10_bpe_codec": bpe.op10_bpe_codec,
     "op11_shallot": shallot.op11_shallot,
+    "op12_variants": variants.op12_variants,
+    "op13_quality": quality.op13_quality,
     "pipeline": corpus_pipeline.run,
 }
 ORACLES: dict[str, str] = {

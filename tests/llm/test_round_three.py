@@ -10,7 +10,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
-from cohortwatch.llm import shallot
+from cohortwatch.llm import shallot, variants
 
 from .edge import DOCS, edge_docs
 
@@ -94,3 +94,90 @@ def test_shallot_awkward_vectors(spark):
     assert shallot.cluster_vectors(vectors(spark, rows).limit(0)).collect() == []
     one = shallot.cluster_vectors(vectors(spark, rows[:1])).collect()
     assert [(r["cluster"], r["distance"], r["inertia"]) for r in one] == [(0, 0, 0)]
+
+
+# -- spelling variants --------------------------------------------------------------------
+
+def plain_words(rows):
+    n = Counter()
+    for doc_id, text in rows:
+        for run in re.findall("[A-Za-z\u00C0-\u00FF]+", text or ""):
+            run = re.sub("[A-Z]", lambda m: m.group().lower(), run)
+            h = zlib.crc32(f"{'' if doc_id is None else doc_id}:{run}".encode())
+            if h % 31 == 0:
+                run = run[:h % len(run)] + run[h % len(run) + 1:]
+            n[run] += 1
+    return {w: c for w, c in n.items() if len(w) >= 7 and c >= 2}
+
+
+def one_edit(a, b):
+    if len(a) > len(b):
+        a, b = b, a
+    if len(b) - len(a) > 1 or a == b:
+        return False
+    i = next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), len(a))
+    return a[i + (len(a) == len(b)):] == b[i + 1:]
+
+
+def plain_variants(rows):
+    n = plain_words(rows)
+    out = {}
+    for w in n:
+        near = [x for x in n if one_edit(w, x)]
+        form = min(near, key=lambda x: (-n[x], x), default=None)
+        if form is not None and n[form] < 10 * n[w]:
+            form = None
+        out[w] = [form, None, n[w], len(near), n[form] if form else None]
+    for w in out:
+        root = w
+        while out[root][0]:
+            root = out[root][0]
+        out[w][1] = root
+    return {w: tuple(v) for w, v in out.items()}
+
+
+def got_variants(df):
+    rows = df.collect()
+    assert len({r["word"] for r in rows}) == len(rows)
+    return {r["word"]: (r["form"], r["root"], r["n"], r["n_near"], r["form_n"]) for r in rows}
+
+
+def damaged_texts(seed, shared=""):
+    """Words of several lengths with edits at every place, some of them a hundred times as frequent as others."""
+    rng = random.Random(seed)
+    letters = "abcdeé\u00ff\u00d7"
+    words = [shared + "".join(rng.choices(letters[:3], k=rng.randint(7, 10))) for _ in range(60)]
+    rows = []
+    for i in range(400):
+        text = []
+        for _ in range(30):
+            w = words[min(59, int(rng.expovariate(0.1)))]
+            for _ in range(rng.choice([0, 0, 0, 1, 2])):
+                at = rng.randrange(len(w) + 1)
+                w = rng.choice([w[:at] + rng.choice(letters) + w[at:], w[:at] + w[at + 1:], w[:at] + rng.choice(letters) + w[at + 1:]])
+            text.append(w.upper() if rng.random() < 0.1 else w)
+        rows.append((i, " ".join(text)))
+    return rows
+
+
+@pytest.mark.parametrize("crowd", [4096, 3])
+def test_variants_equal_all_pairs(spark, crowd):
+    rows = damaged_texts(1) + damaged_texts(2, "stampede") + [(None, "Übergröße Übergröße übergröße"), (5, None), (6, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "'x' as word", "1 as n", "'k' as key", "'r' as rest")
+    want = plain_variants(rows)
+    assert got_variants(variants.group_variants(df, crowd=crowd)) == want
+    assert sum(v[3] for v in want.values()) > 500 and sum(v[0] is not None for v in want.values()) > 20
+
+
+def test_variant_chains_end_at_their_root(spark):
+    """Forms of forms: each ten times as frequent as the one before."""
+    chain = ["abcdefgh", "abcdefghi", "abcdefghij", "abcdefghijk"]
+    rows = [(i, w) for w, n in zip(chain, (2, 25, 300, 3100)) for i in range(n)]
+    got = got_variants(variants.group_variants(spark.createDataFrame(rows, "doc_id long, text string"), damage=1 << 40))
+    assert [got[w][0] for w in chain] == [*chain[1:], None] and {got[w][1] for w in chain} == {chain[-1]}
+
+
+def test_variants_awkward_rows(spark):
+    df = edge_docs(spark)
+    assert got_variants(variants.group_variants(df)) == plain_variants([(r[0], r[1]) for r in DOCS])
+    assert variants.group_variants(df.limit(0)).collect() == []
