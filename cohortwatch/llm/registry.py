@@ -23,6 +23,7 @@ ORACLES: dict[str, str] = {
     "op5_mix_sources": mixing.SQL,
     "op7_ngram_jaccard": ngram_join.SQL,
     "op11_shallot": shallot.SQL,
+    "op13_quality": quality.SQL,
 }
 if corpus_pipeline.ORACLE_SQL:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL

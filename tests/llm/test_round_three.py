@@ -9,8 +9,12 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+import regex
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
-from cohortwatch.llm import shallot, variants
+from cohortwatch.llm import quality, shallot, variants
 
 from .edge import DOCS, edge_docs
 
@@ -181,3 +185,108 @@ def test_variants_awkward_rows(spark):
     df = edge_docs(spark)
     assert got_variants(variants.group_variants(df)) == plain_variants([(r[0], r[1]) for r in DOCS])
     assert variants.group_variants(df.limit(0)).collect() == []
+
+
+# -- quality rules ------------------------------------------------------------------------
+
+WORDS13 = re.compile("[^\\x20\\x09-\\x0D]+")
+
+
+def plain_repeats(words):
+    spots = defaultdict(list)
+    for i in range(len(words) - 4):
+        spots[tuple(words[i:i + 5])].append(i)
+    return len({j for p in spots.values() if len(p) > 1 for i in p for j in range(i, i + 5)})
+
+
+def plain_base(text):
+    text = text or ""
+    words = WORDS13.findall(text)
+    lines = [x for x in text.split("\n") if WORDS13.search(x)]
+    repeats = plain_repeats(words)
+    return (len(words), sum(map(len, words)), sum(c in "#*$%&|<>" for c in text), len(lines) - len(set(lines)), repeats,
+            len(words) < 10 or 100 * repeats > 20 * len(words))
+
+
+def jensen_shannon(p, q):
+    part = lambda a, b: a * math.log2(2 * a / (a + b)) if a > 0 else 0.0
+    return math.sqrt(max(0.0, sum(part(a, b) + part(b, a) for a, b in zip(p, q)) / 2))
+
+
+def plain_quality(rows):
+    """doc_id, base counts and kept, distances by counting everything in dictionaries."""
+    def classes(text):
+        kinds = [regex.compile(k).findall for k in (r"\p{Lu}", r"\p{Nd}", r"[.,;:!?()\"'-]", r"[\x20\x09-\x0D]", r"[^\p{Lu}\P{L}]")]
+        upper, digits, points, spaces, lower = (len(k(text)) for k in kinds)
+        return [upper, digits, points, len(text) - upper - digits - points - spaces - lower, spaces, lower]
+
+    plain = lambda text: [w.lower().strip(quality.PUNCTUATION) for w in WORDS13.findall(text)]
+    total, words = defaultdict(lambda: [0] * 6), defaultdict(Counter)
+    for _, text, lang in rows:
+        if text and lang is not None:
+            total[lang] = [a + b for a, b in zip(total[lang], classes(text))]
+            words[lang].update(plain(text))
+    refs = {}
+    for lang, n in words.items():
+        size = sum(n.values())
+        if size >= quality.REFERENCE_WORDS:
+            top = sorted((w for w in n if w), key=lambda w: (-n[w], w))[:quality.COMMON]
+            refs[lang] = (size, [c / max(1, sum(total[lang])) for c in total[lang]], top, [n[w] / size for w in top])
+    largest = sorted(refs.items(), key=lambda x: (-x[1][0], x[0]))[:quality.LARGEST]
+    out = []
+    for doc_id, text, lang in rows:
+        text = text or ""
+        base = plain_base(text)
+        against = [refs[lang]] if lang in refs else [r for _, r in largest]
+        own, found = classes(text), plain(text)
+        shares, n = [c / max(1, len(text)) for c in own], Counter(found)
+        rest = lambda p: [*p, max(0.0, 1 - sum(p))]
+        by_class = min((jensen_shannon(shares, r[1]) for r in against), default=None) if len(text) >= quality.MIN_CHARS else None
+        by_word = min((jensen_shannon(rest([n[w] / max(1, len(found)) for w in r[2]]), rest(r[3])) for r in against), default=None) if len(found) >= quality.MIN_WORDS else None
+        limit = lambda level, bins, size: math.sqrt(level ** 2 + bins / (8 * math.log(2) * max(1, size)))
+        far = (by_class or 0) > limit(quality.CLASS_LIMIT, 6, len(text)) or (by_word or 0) > limit(quality.WORD_LIMIT, quality.COMMON + 1, len(found))
+        out.append((doc_id, *base, not base[-1] and not far, by_class, by_word))
+    return out
+
+
+def shown(rows):
+    return sorted((tuple(round(v, 9) if isinstance(v, float) else v for v in r) for r in rows), key=str)
+
+
+def test_quality_equals_plain_counts(spark, small_dir):
+    table = [(r["doc_id"], r["text"], r["lang"]) for r in spark.read.parquet(f"{small_dir}/documents.parquet").collect()]
+    extra = [(9001, table[3][1], None), (9002, table[4][1], "xx"), (9003, "a b c d e f g h i j " * 40, "en"), (9004, "ab\n" * 30 + "cd ef", "de")]
+    df = spark.createDataFrame(table + extra, "doc_id long, text string, lang string")
+    got = quality.quality_rules(df).collect()
+    assert shown(map(tuple, got)) == shown(plain_quality(table + extra))
+    assert {r["kept"] for r in got} == {True, False}
+
+
+def test_quality_tells_junk_from_prose(spark):
+    """Shouting, signs and word lists go; prose of every language stays."""
+    folder = "/root/testdata/sf0.01"
+    rows = [(r["doc_id"], r["text"], r["lang"]) for r in spark.read.parquet(f"{folder}/documents.parquet").join(
+        spark.read.parquet(f"{folder}/labels.parquet").where("quality = 1"), "doc_id").collect()]
+    long = [r for r in rows if r[1] and 300 < len(r[1].split()) < 600][:12]
+    made = {"shout": lambda t: t.upper().replace(" ", "!! "), "signs": lambda t: t.replace(" ", "*** ").replace("e", "$"),
+            "list": lambda t: " | ".join(w for w in t.split() if len(w) > 6)}
+    junk = [(10_000 + 100 * k + i, f(t), lang) for k, f in enumerate(made.values()) for i, (_, t, lang) in enumerate(long)]
+    kept = {r["doc_id"]: r["kept"] for r in quality.quality_rules(spark.createDataFrame(rows + junk, "doc_id long, text string, lang string")).collect()}
+    assert sum(kept[r[0]] for r in junk) <= 0.05 * len(junk)
+    clean = [r for r in rows if not plain_base(r[1])[-1]]
+    assert sum(kept[r[0]] for r in clean) >= 0.99 * len(clean)
+
+
+def test_quality_awkward_rows(spark):
+    got = quality.quality_rules(edge_docs(spark)).collect()
+    assert shown(map(tuple, got)) == shown(plain_quality([(r[0], r[1], r[2]) for r in DOCS]))
+    assert quality.quality_rules(edge_docs(spark).limit(0)).collect() == []
+    few = quality.quality_rules(edge_docs(spark).where("doc_id = 14")).collect()
+    assert [(r["n_words"], r["kept"], r["class_distance"]) for r in few] == [(3, False, None)]
+
+
+@given(st.lists(st.sampled_from("abc"), max_size=40))
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+def test_repeated_words_by_every_window(spark, words):
+    df = spark.createDataFrame([(words,)], "w array<string>")
+    assert df.select(quality.repeated_words(F.col("w"))).first()[0] == plain_repeats(words)
