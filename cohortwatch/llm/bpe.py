@@ -28,8 +28,9 @@ from pyspark.sql import functions as F
 
 from cohortwatch.llm.common import importable, map_arrow, table
 
-# Encoded pieces kept by one Python worker.
-CACHE_PIECES = 500_000
+# Bytes of encoded pieces kept by one Python worker, and what a piece takes beside its characters.
+CACHE_BYTES = 96_000_000
+PIECE_BYTES = 200
 NO_RANK = 1 << 60
 
 
@@ -93,6 +94,7 @@ class _Pieces(dict):
         super().__init__()
         self.codec = codec
         self.before: dict[str, str] = {}
+        self.held = 0
 
     def __missing__(self, piece: str) -> str:
         kept = self.before.get(piece)
@@ -100,10 +102,13 @@ class _Pieces(dict):
             ids = self.codec.merge(piece)
             tokens = self.codec.tokens
             kept = " ".join(map(str, ids)) + "\n" + " ".join([tokens[i] for i in ids])
-        if 2 * len(self) >= CACHE_PIECES:
-            self.before = dict(self)
+        size = PIECE_BYTES + len(piece) + len(kept)
+        if 2 * (self.held + size) > CACHE_BYTES:
+            self.before, self.held = dict(self), 0
             self.clear()
-        self[piece] = kept
+        if 2 * size <= CACHE_BYTES:
+            self[piece] = kept
+            self.held += size
         return kept
 
 

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 from collections.abc import Callable, Iterator
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,6 +37,27 @@ def importable(spark: SparkSession) -> None:
         env["PYTHONPATH"] = os.pathsep.join([PACKAGE_HOME, *paths])
 
 
+def release_memory() -> None:
+    """Give what a finished task has freed back to the system: Python workers live on beside the next stage's."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def text_udf(make: Callable[[pd.Series], pd.Series], returns: str):
+    """A pandas UDF of one text column that releases its memory at the end of a task."""
+    @F.pandas_udf(returns)
+    def mapped(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for text in texts:
+            parts = [make(text.iloc[at:at + MAP_ROWS]) for at in range(0, len(text), MAP_ROWS)]
+            yield parts[0] if len(parts) == 1 else pd.concat(parts)
+        release_memory()
+
+    return mapped
+
+
 def map_arrow(df: DataFrame, make: Callable[[pa.RecordBatch], dict], schema: str, done: Callable[[], None] | None = None) -> DataFrame:
     """``mapInArrow`` with ``make`` giving the columns of each batch as lists or arrays.
 
@@ -51,7 +75,7 @@ def map_arrow(df: DataFrame, make: Callable[[pa.RecordBatch], dict], schema: str
                 yield pa.RecordBatch.from_arrays([column(made[f.name], f.type) for f in arrow], schema=arrow)
         if done:
             done()
-        pa.default_memory_pool().release_unused()
+        release_memory()
 
     return df.mapInArrow(mapped, schema)
 
