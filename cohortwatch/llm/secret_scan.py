@@ -6,10 +6,11 @@ length on. The entropy scan adds spans: a candidate is a run of at least ``WINDO
 characters of the base64 or URL-safe alphabet; inside it, for each character class,
 a window slides over every stretch of that class. Symbol counts change by one symbol
 in and one out, and with them the sum of c * log2(c), so each step costs constant
-time. Windows of a class at or above its threshold that mix letters and digits are
-joined into spans. What is on the allow-list (UUIDs, dates, running alphabets, hosts and
+time. A window counts as random where its entropy, and its number of changes between capitals,
+small letters and digits, reach what all but ``MISSED`` of random windows of the class's
+alphabet reach; such windows are joined into spans. What is on the allow-list (UUIDs, dates, running alphabets, hosts and
 paths of links but not their user info and query, parts between = or / with a name that
-says placeholder) and spans inside a base span are left out.
+says placeholder, names joined of words) and spans inside a base span are left out.
 """
 
 from __future__ import annotations
@@ -20,12 +21,13 @@ import re
 from bisect import bisect_right
 from dataclasses import dataclass
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortwatch.llm.common import importable, map_arrow, table
+from cohortwatch.llm.common import importable, map_arrow, table, text_udf
 
 KINDS = ("assign", "access", "hex", "entropy")
 NAMES = ("password", "passwd", "secret", "token", "apikey", "api_key")
@@ -48,49 +50,78 @@ RUNNING = "abcdefghijklmnopqrstuvwxyz0123456789abcdefghijklmnopqrstuvwxyz"
 ALLOWED = (
     re.compile(r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}"),  # UUID
     re.compile(r"[-_/=+]*(\d{1,4}[-_/])+\d[\dTZ_/+-]*"),  # dates and numbers
-    re.compile(r"[A-Za-z]+([-_/+=][A-Za-z]+)*[-_/+=]*\d{0,4}"),  # words, at most a number behind
+    re.compile(r"(?:[A-Z]?[a-z]+|[A-Z]+)(?:[-_/+=](?:[A-Z]?[a-z]+|[A-Z]+))*[-_/+=]*\d{0,4}"),  # words, at most a number behind
 )
 
+# Joined names (someNameOfAThing): words with a vowel, a capital at most in front, that fill so much of a span.
+NAME_PART = re.compile(r"(?=[A-Z]?[a-z]*[aeiouy]|[AEIOU])[A-Z]?[a-z]{2,}")
+NAMED_SHARE = 0.75
+
 
 @dataclass(frozen=True)
 class CharClass:
-    """Characters, and the bits per character from which a window counts as random."""
+    """Stretches of one class of characters, and its alphabet."""
 
     run: re.Pattern
-    bits: float
+    alphabet: str
+    # whether names of words with capitals in between look like it
+    names: bool = False
 
 
+UPPER, LOWER, NUMBERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz", "0123456789"
 CLASSES = (
-    CharClass(re.compile(r"[0-9a-f]{%d,}|[0-9A-F]{%d,}" % (WINDOW, WINDOW)), 3.0),
-    CharClass(re.compile(r"[A-Z0-9]{%d,}|[a-z0-9]{%d,}" % (WINDOW, WINDOW)), 3.6),
-    CharClass(re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % WINDOW), 3.9),
+    CharClass(re.compile(r"[0-9a-f]{%d,}|[0-9A-F]{%d,}|[0-9a-fA-F]{%d,}" % (WINDOW, WINDOW, WINDOW)), NUMBERS + "abcdef"),
+    CharClass(re.compile(r"[A-Z0-9]{%d,}|[a-z0-9]{%d,}" % (WINDOW, WINDOW)), NUMBERS + LOWER),
+    CharClass(re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % WINDOW), UPPER + LOWER + NUMBERS, True),
+    CharClass(re.compile(r"[A-Za-z]{%d,}" % WINDOW), UPPER + LOWER, True),
 )
 C_LOG_C = [0.0] + [c * math.log2(c) for c in range(1, WINDOW + 1)]
+# Share of random windows that may fall short of each of the two levels of their class.
+MISSED = 0.01
+KIND = {c: k for k, group in enumerate((LOWER, UPPER, NUMBERS)) for c in group}
+
+
+def levels(alphabet: str, missed: float = MISSED, draws: int = 20_000) -> tuple[float, int]:
+    """(most sum of c * log2(c), least changes between capitals, small letters and digits) of all but ``missed`` of random windows.
+
+    Found by seeded draws from the alphabet, so the levels follow from its size and make-up and from the
+    rate of misses alone.
+    """
+    rng = np.random.default_rng(17)
+    drawn = rng.integers(0, len(alphabet), (draws, WINDOW))
+    counts = np.stack([(drawn == i).sum(axis=1) for i in range(len(alphabet))], axis=1)
+    sums = np.array(C_LOG_C)[counts].sum(axis=1)
+    kinds = np.array([KIND[c] for c in alphabet])[drawn]
+    changes = (kinds[:, 1:] != kinds[:, :-1]).sum(axis=1)
+    return float(np.quantile(sums, 1 - missed)) + 1e-9, int(np.quantile(changes, missed))
 
 
-def high_windows(s: str, bits: float) -> list[tuple[int, int]]:
-    """Joined windows of ``s`` whose Shannon entropy is at least ``bits`` and that mix letters and digits."""
+LEVELS = [levels(kind.alphabet) for kind in CLASSES]
+
+
+def high_windows(s: str, most: float, least: int) -> list[tuple[int, int]]:
+    """Joined windows of ``s`` whose sum of c * log2(c) is at most ``most`` (so their entropy high) with at least ``least`` changes of kind."""
     counts: dict[str, int] = {}
-    total, digits, spans = 0.0, 0, []
-    most = WINDOW * (math.log2(WINDOW) - bits) + 1e-9  # the sum of c * log2(c) allowed
+    total, changes, spans = 0.0, 0, []
+    kinds = [KIND.get(c, 3) for c in s]
     for i, c in enumerate(s):
         n = counts.get(c, 0)
         total += C_LOG_C[n + 1] - C_LOG_C[n]
         counts[c] = n + 1
-        digits += c in DIGITS
+        changes += i > 0 and kinds[i] != kinds[i - 1]
         if i < WINDOW - 1:
             continue
-        if total <= most and 2 <= digits <= WINDOW - 2:
-            start = i - WINDOW + 1
+        start = i - WINDOW + 1
+        if total <= most and changes >= least:
             if spans and start <= spans[-1][1]:
                 spans[-1] = (spans[-1][0], i + 1)
             else:
                 spans.append((start, i + 1))
-        out = s[i - WINDOW + 1]
+        out = s[start]
         n = counts[out]
         total += C_LOG_C[n - 1] - C_LOG_C[n]
         counts[out] = n - 1
-        digits -= out in DIGITS
+        changes -= kinds[start] != kinds[start + 1]
     return spans
 
 
@@ -148,16 +179,17 @@ def without(start: int, end: int, gaps: list[tuple[int, int]]) -> list[tuple[int
 
 def random_spans(s: str) -> list[tuple[int, int]]:
     """Windows of ``s`` that count as random in one of the classes."""
-    if len(s) < WINDOW or s.isalpha() or s.isdigit() or any(p.fullmatch(s) for p in ALLOWED):
+    if len(s) < WINDOW or s.islower() and s.isalpha() or s.isdigit() or any(p.fullmatch(s) for p in ALLOWED):
         return []
-    return [(run.start() + a, run.start() + b) for kind in CLASSES for run in kind.run.finditer(s) for a, b in high_windows(run.group(), kind.bits)]
+    found = [(run.start() + a, run.start() + b, kind) for kind, level in zip(CLASSES, LEVELS) for run in kind.run.finditer(s) for a, b in high_windows(run.group(), *level)]
+    return [(a, b) for a, b, kind in found if not kind.names or sum(map(len, NAME_PART.findall(s, a, b))) < NAMED_SHARE * (b - a)]
 
 
 def entropy_spans(text: str) -> list[tuple[int, int]]:
     found: list[tuple[int, int]] = []
     links, ends = None, []
     for m in CANDIDATE.finditer(text):
-        if m.group().isalpha() or m.group().isdigit():
+        if m.group().isalpha() and (m.group()[1:].islower() or m.group().isupper()) or m.group().isdigit():
             continue
         if links is None:
             links = link_parts(text)
@@ -235,14 +267,17 @@ def redact(text: str | None, mark: str) -> str | None:
 
 
 def redact_secrets(docs: DataFrame, text_col: str = "text", mark: str = "[SECRET]") -> DataFrame:
-    """``docs`` with secrets in ``text_col`` replaced by ``mark``; a null text stays null."""
+    """``docs`` with secrets in ``text_col`` replaced by ``mark``; a null text stays null.
+
+    Repeated rows get equal texts, a text of any length is read whole, other columns stay as they
+    are, and an empty table gives an empty one.
+    """
     importable(docs.sparkSession)
 
-    @F.pandas_udf("string")
     def clean(text: pd.Series) -> pd.Series:
         return pd.Series([redact(t, mark) for t in text], dtype=object)
 
-    return docs.withColumn(text_col, clean(F.col(text_col)))
+    return docs.withColumn(text_col, text_udf(clean, "string")(F.col(text_col)))
 
 
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -92,15 +92,16 @@ def test_entropy_windows_equal_a_plain_count():
     random.seed(2)
     for _ in range(60):
         s = "".join(random.choice(random.choice(["ab1", "abcdefghijklmnopqrstuvwxyz0123456789", "ABCxyz0189+/"])) for _ in range(random.randrange(20, 70)))
-        for bits in (2.0, 3.0, 3.9):
+        kind = lambda c: 0 if c.islower() else 1 if c.isupper() else 2 if c.isdigit() else 3
+        for bits, least in ((2.0, 0), (3.0, 4), (3.9, 7)):
             marked = [False] * len(s)
             for i in range(len(s) - secret_scan.WINDOW + 1):
                 w = s[i:i + secret_scan.WINDOW]
                 h = -sum(c / len(w) * math.log2(c / len(w)) for c in (w.count(x) for x in set(w)))
-                if h >= bits - 1e-12 and 2 <= sum(x.isdigit() for x in w) <= len(w) - 2:
+                if h >= bits - 1e-12 and sum(kind(x) != kind(y) for x, y in zip(w, w[1:])) >= least:
                     marked[i:i + len(w)] = [True] * len(w)
             got = [False] * len(s)
-            for a, b in secret_scan.high_windows(s, bits):
+            for a, b in secret_scan.high_windows(s, len(w) * (math.log2(len(w)) - bits) + 1e-9, least):
                 got[a:b] = [True] * (b - a)
             assert got == marked
 
@@ -112,6 +113,21 @@ def test_entropy_finds_keys_and_leaves_prose():
         assert not secret_scan.entropy_spans(clean), clean
 
 
+def test_detection_rates():
+    """Random keys of several alphabets and lengths; identifiers of words stay."""
+    rng = random.Random(8)
+    small, capital, digits = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
+    for alphabet in (small + capital + digits, small + digits, capital + digits, small + capital, digits + "abcdefABCDEF"):
+        for n, rate in ((20, 0.93 if alphabet.isalpha() else 0.95), (24, 0.97), (32, 0.99), (40, 0.99)):
+            hits = sum(any(b - a >= secret_scan.WINDOW for a, b in secret_scan.entropy_spans(f"the key {''.join(rng.choices(alphabet, k=n))} is")) for _ in range(400))
+            assert hits >= rate * 400, (alphabet, n, hits)
+    published = "ghp_16C7e42F292c6912E7710c838347Ae178B4a"
+    assert secret_scan.entropy_spans(f"x {published} y") and secret_scan.entropy_spans(f"https://{published}@host.org/a")
+    for clean in ("getUserNameFromDatabaseConnection", "GetUserByIdAndNameOrEmail", "AbstractSingletonProxyFactoryBean",
+                  "SHA256WithRSAEncryptionAlgorithm", "get_user_by_id_and_name_or_email", "Donaudampfschifffahrtsgesellschaft", "THIS_IS_A_CONSTANT_NAME_42"):
+        assert not secret_scan.entropy_spans(clean), clean
+
+
 def test_keys_beside_links_and_placeholders_are_found():
     key = "Zx9kQ2mW7vB4nR8tLp3Yc6Hd"
     for text in (f"https://u:{key}@host.org/x", f"https://{key}@host.org/x", f"https://u:ab/{key}@host.org/x", f"https://x.org/a?sig={key}", f"https://x.org/a#t={key}",
