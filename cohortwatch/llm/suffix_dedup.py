@@ -280,39 +280,43 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> D
 
 
 def cut_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every row of ``keyed_docs``."""
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256, n_kept, kept_text of every row of ``keyed_docs``."""
     by_doc = spans.groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
     met = docs.join(by_doc, _same_doc(docs, by_doc), "left").select(docs["doc_id"], docs["text"], by_doc["spans"])
 
     def kept(batch: pa.RecordBatch) -> dict:
-        out: dict[str, list] = {"doc_id": batch.column("doc_id"), "n_bytes": [], "n_removed": [], "n_spans": [], "kept_sha256": []}
+        out: dict[str, list] = {"doc_id": batch.column("doc_id"), "n_bytes": [], "n_removed": [], "n_spans": [], "kept_sha256": [], "n_kept": [], "kept_text": []}
         lists = batch.column("spans")
         for i, text in enumerate(batch.column("text").to_pylist()):
             data = text_bytes(text).tobytes()
             flat = lists[i].values
             runs = [] if flat is None or not len(flat) else joined_spans(flat.field("start").to_numpy(), flat.field("end").to_numpy())
-            digest, at, removed = hashlib.sha256(), 0, 0
+            left, at = [], 0
             for a, b in runs:
-                digest.update(data[at:a])
+                left.append(data[at:a])
                 at = b
-                removed += b - a
-            digest.update(data[at:])
+            rest = b"".join([*left, data[at:]])
             out["n_bytes"].append(len(data))
-            out["n_removed"].append(removed)
+            out["n_removed"].append(len(data) - len(rest))
             out["n_spans"].append(len(runs))
-            out["kept_sha256"].append(digest.hexdigest())
+            out["kept_sha256"].append(hashlib.sha256(rest).hexdigest())
+            out["n_kept"].append(len(rest))
+            # a character that lost some of its bytes goes as a whole
+            out["kept_text"].append(rest.decode("utf-8", "ignore") if runs else text or "")
         return out
 
-    return map_arrow(met, kept, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    return map_arrow(met, kept, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, n_kept long, kept_text string")
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every row of ``docs`` (doc_id, text).
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256, n_kept, kept_text of every row of ``docs`` (doc_id, text).
 
     ``window`` is a multiple of 40 and at least ``gram`` + 1. Null texts count as empty;
     texts shorter than the window lose nothing; repeated rows count as repeats of each
     other; a null doc_id is a row like others. Windows are compared by 64-bit hashes of
-    their pieces and symbols. An empty table gives an empty one.
+    their pieces and symbols. Other columns are ignored, whatever their names; a text of any
+    length is read whole. ``kept_text`` holds the remaining bytes as text, without characters of
+    which a part was removed. An empty table gives an empty one.
     """
     rows = keyed_docs(docs)
     return cut_spans(rows, repeated_spans(rows, window, gram))

@@ -289,13 +289,16 @@ def test_repeats(spark, docs, crowd, monkeypatch):
         texts.append(t)
     texts += ["a" * 300, "ab" * 200, texts[0], "", "short"]
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)] + [(900, None)], "doc_id long, text string")
-    got = {r["doc_id"]: tuple(r)[1:] for r in suffix_dedup.remove_repeats(df, window=80, gram=33).collect()}
+    got = {r["doc_id"]: tuple(r)[1:5] for r in suffix_dedup.remove_repeats(df, window=80, gram=33).collect()}
     assert [got[i] for i in range(len(texts))] == repeats_by_hand(texts, 80)
     assert got[900] == (0, 0, 0, hashlib.sha256(b"").hexdigest())
     rows = [r for r in plain_docs(DOCS) if len(r[1]) < 20000]
     edge = spark.createDataFrame(rows, "doc_id long, text string")
     want = Counter((k, *x) for (k, _), x in zip(rows, repeats_by_hand([t for _, t in rows], 400)))
-    assert Counter(map(tuple, suffix_dedup.remove_repeats(edge).collect())) == want
+    out = suffix_dedup.remove_repeats(edge).collect()
+    assert Counter(tuple(r)[:5] for r in out) == want
+    assert all(r["n_kept"] == r["n_bytes"] - r["n_removed"] and len(r["kept_text"].encode()) <= r["n_kept"] for r in out)
+    assert all(hashlib.sha256(r["kept_text"].encode()).hexdigest() == r["kept_sha256"] for r in out if len(r["kept_text"].encode()) == r["n_kept"])
 
 
 def test_repeats_clash_and_empty(spark, docs):
