@@ -10,7 +10,7 @@ source table (one row per source) replace the rounds.
 
 Documents. A target of e source sizes takes every document floor(e) times and a
 further ``target - floor(e) * source_size`` words: documents in the order of
-md5(seed, doc_id) whole while they fit, the last one in part. The running sum is cut
+md5(seed, doc_id, text) whole while they fit, the last one in part. The running sum is cut
 by hash prefix: words per (source, prefix) give the prefix in which the budget ends,
 a second prefix cuts that one, and only documents of the last prefix (about 1 in
 16.7 million of a source) meet in a window. A source with a third of all rows is
@@ -69,7 +69,8 @@ KEY = ["no_source", "source_key"]
 
 def marked(docs: DataFrame, seed: str) -> DataFrame:
     """``docs`` with the mix's own columns: source key, __size in words and __order, the draw of a document."""
-    order = F.md5(F.concat_ws(":", F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
+    # the text is part of the draw, so that rows without an id, or of one id, do not draw alike
+    order = F.md5(F.concat_ws(":", F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.md5(F.coalesce("text", F.lit("")))))
     return docs.withColumns({
         "no_source": F.col("source").isNull(), "source_key": F.coalesce(F.col("source").cast("string"), F.lit("")),
         "__size": word_count("text"), "__order": order})
@@ -107,8 +108,8 @@ def mix_sources(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: fl
 
     ``docs`` needs doc_id, text and source; other columns are ignored. A null or
     empty text has size 0 and nothing taken; a null source is a source of its own; a
-    null doc_id hashes like an empty one; repeated rows are rows of their own, in any
-    order among themselves since they are equal; an empty table gives an empty one.
+    null doc_id hashes like an empty one; repeated rows (equal id and text) are rows of their own,
+    in any order among themselves since they are equal; an empty table gives an empty one.
     """
     rows = marked(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "source", "text"), seed)
     sized = cut_lineage(rows.select("doc_id", *KEY, "__size", "__order"))
@@ -157,7 +158,7 @@ def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 SQL = r"""
 WITH sized AS (
   SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
-         md5('mix-1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS ord
+         md5('mix-1:' || coalesce(CAST(doc_id AS VARCHAR), '') || ':' || md5(coalesce(text, ''))) AS ord
   FROM documents),
 sizes AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM sized GROUP BY source),
 weighed AS (
