@@ -5,15 +5,17 @@ with feature_ts <= entity_ts, dropped when older than a TTL; no match -> nulls.
 
 Plan (no cross join, no all-pairs, skew-safe):
 
-1. Time is cut into buckets of ``bucket_seconds`` per key. The last feature
-   row of every (key, bucket) is an aggregate (max over a struct led by the
-   timestamp), combined map-side.
-2. For every (key, bucket) that holds entity rows, the carry-in is the latest
-   feature from any earlier bucket: a running max over one row per
-   (key, bucket) -- tiny next to the data.
-3. Entity rows, feature rows and carry-in rows are unioned and a running max
-   runs over ``partitionBy(key, bucket) orderBy(ts, side)``. A key that holds a
-   third of all rows is spread over as many tasks as it has buckets.
+1. Entity and feature rows are unioned; the last feature row at or before an entity row
+   is a running ``last`` in the order of (time, side). Keys of up to ``scan.PLAIN_ROWS`` rows are
+   one window partition each, which such a size bounds.
+2. Where a key is larger, the rows are dealt by Spark's range partitioning over (key, time), whose
+   cuts come from the rows themselves: ranges of about ``scan.RANGE_ROWS`` rows, however many of
+   them fall on one key or one day. The last feature of every (key, range) is an aggregate,
+   its running ``last`` over one row per range the carry-in of the next ranges, and
+   the scan runs inside (key, range).
+
+Keys are compared as in a join: a null key matches nothing. Features without a time, and
+entities without one, match nothing either.
 """
 
 from __future__ import annotations
@@ -24,9 +26,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from cohortwatch.operators.clean import has_order
-
-DEFAULT_BUCKET_SECONDS = 86400
+from cohortwatch.operators import scan
+from cohortwatch.operators.clean import row_hash
+from cohortwatch.session import cut_lineage
 
 
 def _micros(c):
@@ -34,56 +36,47 @@ def _micros(c):
 
 
 def asof_join(entities: DataFrame, features: DataFrame, key: str, entity_ts: str, feature_ts: str,
-              feature_cols: Sequence[str], ttl_seconds: float | None = None,
-              bucket_seconds: int | None = None, tie_breaker: str | None = None,
+              feature_cols: Sequence[str], ttl_seconds: float | None = None, tie_breaker: str | None = None,
               prefix: str = "") -> DataFrame:
-    """Left as-of join; returns entity columns + ``prefix``+feature columns (+ feature ts)."""
-    width = int((bucket_seconds or DEFAULT_BUCKET_SECONDS) * 1_000_000)
-    tie = [F.col(tie_breaker).alias("__tie")] if tie_breaker else []
-    payload_names = [feature_ts] + [c for c in feature_cols if c != feature_ts]
-    fpack = F.struct(_micros(feature_ts).alias("__us"), *tie,
-                     *[F.col(c).alias(f"__f_{c}") for c in payload_names])
-    # rows are compared by time, tie breaker, then whatever payload has an order (maps have none)
-    ranked = ["__us"] + (["__tie"] if tie else []) + [f"__f_{c}" for c in payload_names if has_order(features.schema[c].dataType)]
-
-    def newest(r: str = "__r"):
-        return F.max_by(r, F.struct(*[F.col(f"{r}.{c}") for c in ranked]))
-
-    feats = features.select(F.col(key).alias("__k"), F.floor(_micros(feature_ts) / width).alias("__b"),
-                            fpack.alias("__r"))
-
-    ent_cols = entities.columns
-    ents = entities.select(F.col(key).alias("__k"), F.floor(_micros(entity_ts) / width).alias("__b"),
-                           _micros(entity_ts).alias("__us"), F.struct(*[F.col(c) for c in ent_cols]).alias("__e"))
-
-    # 1. last feature row per (key, bucket)
-    last_per_bucket = feats.groupBy("__k", "__b").agg(newest().alias("__r"))
-    # 2. carry-in: latest feature in an earlier bucket, for buckets that hold entities
-    rtype = last_per_bucket.schema["__r"].dataType
-    ent_buckets = ents.select("__k", "__b").distinct()
-    marks = (ent_buckets.select("__k", "__b", F.lit(0).alias("__side"), F.lit(None).cast(rtype).alias("__r"))
-             .unionByName(last_per_bucket.select("__k", "__b", F.lit(1).alias("__side"), "__r")))
-    w_keys = Window.partitionBy("__k").orderBy("__b", "__side").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    carry = (marks.withColumn("__carry", newest().over(w_keys))
-                  .filter((F.col("__side") == 0) & F.col("__carry").isNotNull())
-                  .select("__k", "__b", F.col("__carry").alias("__r")))
-
-    # 3. running max inside each (key, bucket)
-    etype = ents.schema["__e"].dataType
-    rows = (ents.select("__k", "__b", "__us", F.lit(2).alias("__side"), "__e", F.lit(None).cast(rtype).alias("__r"))
-            .unionByName(feats.select("__k", "__b", F.col("__r.__us").alias("__us"), F.lit(1).alias("__side"),
-                                      F.lit(None).cast(etype).alias("__e"), "__r"))
-            .unionByName(carry.select("__k", "__b", F.lit(None).cast("long").alias("__us"), F.lit(0).alias("__side"),
-                                      F.lit(None).cast(etype).alias("__e"), "__r")))
-    w = (Window.partitionBy("__k", "__b").orderBy(F.asc_nulls_first("__us"), "__side")
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    matched = rows.withColumn("__m", newest().over(w)).filter(F.col("__side") == 2)
-    ok = F.col("__m").isNotNull()
+    """Left as-of join; returns entity columns + ``prefix``+feature columns (+ feature ts).
+
+    Among features of equal time the largest ``tie_breaker`` wins, then the largest hash of the
+    other columns, so reruns agree.
+    """
+    payload = [feature_ts] + [c for c in feature_cols if c != feature_ts]
+    ties = [F.col(tie_breaker).alias("__tie")] if tie_breaker else [F.lit(0).alias("__tie")]
+    feats = features.where(F.col(key).isNotNull()).select(
+        F.col(key).alias("__k"), _micros(feature_ts).alias("__us"), F.lit(1).alias("__side"), *ties, row_hash(features, payload).alias("__hash"),
+        F.struct(_micros(feature_ts).alias("__us"), *[F.col(c).alias(f"__f_{c}") for c in payload]).alias("__r")).where("__us is not null")
+    ents = entities.select(F.col(key).alias("__k"), _micros(entity_ts).alias("__us"), F.lit(2).alias("__side"), F.struct(*entities.columns).alias("__e"))
+    rows = last_known(ents.unionByName(feats, allowMissingColumns=True), "__k", ["__us", "__side", "__tie", "__hash"], "__r")
+    matched = rows.where("__side = 2")
+    ok = F.col("__known").isNotNull()
     if ttl_seconds is not None:
-        ok = ok & ((F.col("__us") - F.col("__m.__us")) <= F.lit(int(ttl_seconds * 1_000_000)))
-    out_cols = [F.col(f"__e.{c}").alias(c) for c in ent_cols]
-    out_cols += [F.when(ok, F.col(f"__m.__f_{c}")).alias(f"{prefix}{c}") for c in payload_names]
-    return matched.select(*out_cols)
+        ok = ok & ((F.col("__us") - F.col("__known.__us")) <= F.lit(int(ttl_seconds * 1_000_000)))
+    out = [F.col(f"__e.{c}").alias(c) for c in entities.columns]
+    return matched.select(*out, *[F.when(ok, F.col(f"__known.__f_{c}")).alias(f"{prefix}{c}") for c in payload])
+
+
+def last_known(rows: DataFrame, key: str, order: Sequence[str], value: str) -> DataFrame:
+    """``rows`` with ``__known``, the last non-null ``value`` of the key up to the row by ``order`` (nulls first)."""
+    by = [F.asc_nulls_first(c) for c in order]
+    largest = rows.groupBy(key).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").alias("most"), F.sum("n").alias("rows")).first()
+
+    def running(keys: list[str]):
+        return F.last(value, ignorenulls=True).over(Window.partitionBy(*keys).orderBy(*by).rowsBetween(Window.unboundedPreceding, Window.currentRow))
+
+    if (largest["most"] or 0) <= scan.PLAIN_ROWS:
+        return rows.withColumn("__known", running([key]))
+    # rows of one key and time stay together; the ranges come from a sample, so they are written
+    dealt = rows.repartitionByRange(-(-largest["rows"] // scan.RANGE_ROWS), F.col(key), by[0]).withColumn("__b", F.spark_partition_id())
+    dealt = cut_lineage(dealt)
+    newest = F.max_by(value, F.when(F.col(value).isNotNull(), F.struct(*order)))
+    per_range = dealt.groupBy(key, "__b").agg(newest.alias("__last"))  # one row per range
+    before = Window.partitionBy(key).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+    carry = per_range.select(F.col(key).alias("__ck"), F.col("__b").alias("__cb"), F.last("__last", ignorenulls=True).over(before).alias("__carry"))
+    met = dealt.join(carry, (F.col("__b") == F.col("__cb")) & F.col(key).eqNullSafe(F.col("__ck")))
+    return met.withColumn("__known", F.coalesce(running([key, "__b"]), "__carry")).drop("__b", "__ck", "__cb", "__carry")
 
 
 def latest_per_key(features: DataFrame, key: str, ts: str, cols: Sequence[str], as_of=None,
@@ -98,8 +91,7 @@ def latest_per_key(features: DataFrame, key: str, ts: str, cols: Sequence[str],
     tie = [F.col(tie_breaker)] if tie_breaker else []
     names = [ts] + [c for c in cols if c != ts]
     row = F.struct(*[F.col(c).alias(f"__f_{c}") for c in names])
-    order = F.struct(F.col(ts).alias("__ts"), *[t.alias("__tie") for t in tie],
-                     *[F.col(c).alias(f"__o_{c}") for c in names if has_order(features.schema[c].dataType)])
+    order = F.struct(F.col(ts).alias("__ts"), *[t.alias("__tie") for t in tie], row_hash(features, names).alias("__hash"))
     agg = src.groupBy(key).agg(F.max_by(row, order).alias("__r"))
     return agg.select(F.col(key), *[F.col(f"__r.__f_{c}").alias(c) for c in names])
 

@@ -72,15 +72,20 @@ def not_equal_filter_keep_null(df: DataFrame, column: str, value) -> DataFrame:
     return df.filter(not_equal_keep_null(column, value))
 
 
+def row_hash(df: DataFrame, columns: Sequence[str]):
+    """A hash of those of the columns that have an order, to settle ties."""
+    return F.xxhash64(F.lit(0), *[F.col(c) for c in columns if has_order(df.schema[c].dataType)])
+
+
 def first_per_key(df: DataFrame, key: str | Sequence[str], order: str | Sequence[str],
                   descending: bool = False) -> DataFrame:
     """One row per key: the smallest (or largest) by ``order``, nulls last.
 
     pandas' ``sort_values(order).drop_duplicates(key, keep='first')``: null keys
     form one group, null ordering values sort last. Expressed as a
-    partial+final ``min_by``/``max_by``, so skewed keys are combined map-side. The other
-    columns break ties, map columns (which have no order) aside; the row itself is
-    only carried, so it may hold any type.
+    partial+final ``min_by``/``max_by``, so skewed keys are combined map-side. A hash of the
+    other columns breaks ties (map columns, which have none, aside), so that a row is in the
+    buffer once and reruns agree; the row itself is only carried and may hold any type.
     """
     keys = [key] if isinstance(key, str) else list(key)
     orders = [order] if isinstance(order, str) else list(order)
@@ -95,9 +100,9 @@ def first_per_key(df: DataFrame, key: str | Sequence[str], order: str | Sequence
     ordered = []
     for i, o in enumerate(orders):
         ordered += [lead[i], F.col(o).alias(f"__ord{i}")]
-    ties = [F.col(c).alias(f"__tie{i}") for i, c in enumerate(rest) if has_order(df.schema[c].dataType)]
+    tie = row_hash(df, rest).alias("__tie")
     row = F.struct(*[F.col(c) for c in rest])
-    out = df.groupBy(*keys).agg(agg(row, F.struct(*ordered, *ties)).alias("__row"))
+    out = df.groupBy(*keys).agg(agg(row, F.struct(*ordered, tie)).alias("__row"))
     return out.select(*[F.col(k) for k in keys], *[F.col("__row")[c].alias(c) for c in rest]).select(*df.columns)
 
 

@@ -111,6 +111,28 @@ def apply_spec(df: DataFrame, spec: TransformSpec, keep: Sequence[str] = ()) ->
     return imp.select(*keep, *cols)
 
 
+def sparse_rows(df: DataFrame, spec: TransformSpec, keep: Sequence[str] = ()) -> DataFrame:
+    """Each record as the positions and values of its features that are not zero, in the fitted column order.
+
+    A category is looked up in the fitted vocabulary instead of being compared with every category, so a
+    row is as long as its record and not as the vocabulary. Positions are those of the training
+    columns: unseen categories have none, columns that the frame lacks are imputed.
+    """
+    raw = T.StructType([T.StructField(c, T.StringType()) for c in spec.numeric_columns + spec.categorical_columns])
+    imp = impute(add_absent_columns(df, raw), spec.numeric_fill, spec.categorical_fill)
+    at = {c: i for i, c in enumerate(spec.output_columns)}
+    entries = [F.struct(F.lit(at[c]).alias("position"), F.col(c).cast("double").alias("value")) for c in spec.numeric_columns if c in at]
+    if spec.ordinal_column in at:
+        code = ordinal_encode(spec.ordinal_column, spec.ordinal_map, UNKNOWN_ORDINAL)
+        entries.append(F.struct(F.lit(at[spec.ordinal_column]).alias("position"), code.cast("double").alias("value")))
+    for c, cats in spec.onehot.items():
+        if cats:
+            places = F.map_from_arrays(F.array(*[F.lit(v) for v in cats]), F.array(*[F.lit(at[f"{c}_{v}"]) for v in cats]))
+            entries.append(F.struct(F.try_element_at(places, F.col(c).cast("string")).alias("position"), F.lit(1.0).alias("value")))
+    held = F.array_sort(F.filter(F.array(*entries), lambda e: e["position"].isNotNull() & (e["value"] != 0)))
+    return imp.select(*keep, held.alias("__e")).select(*keep, F.col("__e.position").alias("positions"), F.col("__e.value").alias("values"))
+
+
 def spec_table(spark: SparkSession, spec: TransformSpec) -> DataFrame:
     """The spec as rows: (output_column, position, source_column, role, category, fill_num, fill_text)."""
     rows = []

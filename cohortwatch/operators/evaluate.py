@@ -1,10 +1,8 @@
 """Model evaluation operators.
 
 Metrics come from one aggregation of the scored rows; AUC is a rank-sum over
-*grouped* scores. The grouped scores are spread over score buckets, and the
-running count of negatives is a bucket offset (a running sum over one row per
-bucket) plus a window inside the bucket, so no task ever sees every distinct
-score.
+*grouped* scores, whose running count of negatives comes from ``scan.ordered_scan``,
+so no task ever sees an unbounded number of distinct scores.
 """
 
 from __future__ import annotations
@@ -95,7 +93,7 @@ def roc_auc(df: DataFrame, label: str, score: str, by: Sequence[str] = ()) -> Da
     y = F.col(label).cast("long")
     skipped = df.groupBy(*by).agg(F.count_if(~fit).alias("n_skipped"))
     counts = df.where(fit).groupBy(*by, s.alias("__s")).agg(F.sum(y).alias("__pos"), F.sum(1 - y).alias("__neg"))
-    scanned = ordered_scan(counts, by, "__s", ["__neg"])
+    scanned = ordered_scan(counts, by, "__s", ["__neg"], most=df.count())
     below = F.col("cum___neg") - F.col("__neg")
     area = F.col("__pos").cast("double") * (below + 0.5 * F.col("__neg"))
     out = scanned.groupBy(*by).agg(F.sum(area).alias("__a"), F.sum("__pos").alias("n_pos"), F.sum("__neg").alias("n_neg"))

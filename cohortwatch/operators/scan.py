@@ -1,11 +1,14 @@
 """Ordered scan inside groups without one task per group (helper for CDFs).
 
-``ordered_scan`` adds inclusive running sums and the next ordering value inside
-each group. Every group is cut into buckets at approximate quantiles of its own
-rows, so buckets hold about equal numbers of rows whatever the values (an outlier
-does not widen them). Bucket totals are aggregated, a running sum over one row per
-bucket gives each bucket's offset, and the exact running sum inside a bucket is a
-window over (group, bucket). The number of buckets follows the number of rows.
+``ordered_scan`` adds inclusive running sums and the next ordering value inside each
+group, null groups included. Groups of up to ``PLAIN_ROWS`` rows are one window partition
+each, which such a size bounds. Where one is larger, the rows are dealt by Spark's range
+partitioning over (group, order): ranges of about ``RANGE_ROWS`` rows, whatever the groups and
+values, so a group with a third of all rows takes a third of the ranges. Totals per
+(group, range) are aggregated, a running sum over one row per range gives each range's
+offset, and the exact running sum inside a range is a window over (group, range). The number
+of ranges follows the number of rows and has no bound; equal ordering values of one group
+share a range.
 """
 
 from __future__ import annotations
@@ -16,55 +19,47 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from cohortwatch.operators.split import broadcast_if_small
+from cohortwatch.session import cut_lineage
 
+# Rows that one window partition may hold.
+PLAIN_ROWS = 1_000_000
+# Rows of a range of larger groups.
+RANGE_ROWS = 250_000
 
-# Rows that one window partition should hold, and the most buckets a group is cut into.
-BUCKET_ROWS = 4096
-MOST_BUCKETS = 4096
-# Cuts are searched in two steps of about the square root of their number.
-STRIDE = 64
 
-
-def bucket_of(x, cuts):
-    """Number of ``cuts`` (sorted array column) at or below ``x``, by blocks of STRIDE."""
-    blocks = F.transform(F.sequence(F.lit(1), F.greatest(F.size(cuts), F.lit(1)), F.lit(STRIDE)), lambda i: F.get(cuts, i - 1))
-    block = F.greatest(F.size(F.filter(blocks, lambda c: c <= x)) - 1, F.lit(0))
-    part = F.slice(cuts, block * STRIDE + 1, F.lit(STRIDE))
-    return (block * STRIDE + F.size(F.filter(part, lambda c: c <= x))).cast("long")
-
-
-def ordered_scan(df: DataFrame, by: Sequence[str], order: str, sums: Sequence[str],
-                 cum_prefix: str = "cum_", next_col: str = "next_value", stored_input: bool = False) -> DataFrame:
+def ordered_scan(df: DataFrame, by: Sequence[str], order: str, sums: Sequence[str], cum_prefix: str = "cum_",
+                 next_col: str = "next_value", stored_input: bool = False, most: int | None = None, peers: bool = False) -> DataFrame:
     """Inclusive running sums of ``sums`` and the next ``order`` value inside ``by`` groups.
 
-    Rows without an ordering value are left out. ``stored_input``: the input is read
-    from a stored table, so the cuts need not be materialised before they are counted.
+    Rows without an ordering value are left out. ``most`` is a known bound of the rows of a
+    group; without it the groups are counted, for which the input is written first unless it
+    is ``stored_input``. With ``peers`` the sums of rows of equal ``order`` include all of them.
     """
     by = list(by)
     df = df.where(F.col(order).isNotNull())
-    x = F.col(order).cast("double")
-    # every bound of MOST_BUCKETS is kept; small groups thin them to one per BUCKET_ROWS rows
-    shares = [i / MOST_BUCKETS for i in range(1, MOST_BUCKETS)]
-    grain = F.greatest(F.lit(1), F.floor(F.lit(MOST_BUCKETS * BUCKET_ROWS) / F.greatest(F.col("__n"), F.lit(1)))).cast("int")
-    cuts = df.groupBy(*by).agg(F.percentile_approx(x, shares, F.lit(4 * MOST_BUCKETS)).alias("__q"), F.count(F.lit(1)).alias("__n"))
-    thin = F.array_distinct(F.filter("__q", lambda c, i: (i + 1) % grain == 0))
-    cuts = cuts.select(*by, thin.alias("__cuts"))
-    if by:
-        d = df.join(broadcast_if_small(cuts, materialize=not stored_input), by, "inner")
-        d = d.withColumn("__bk", bucket_of(x, F.col("__cuts"))).drop("__cuts")
-    else:  # one group: the cuts are a scalar subquery
-        d = df.withColumn("__cuts", cuts.scalar()).withColumn("__bk", bucket_of(x, F.col("__cuts"))).drop("__cuts")
-    bt = d.groupBy(*by, "__bk").agg(F.min(order).alias("__bmin"), *[F.sum(c).alias(f"__bs_{c}") for c in sums])
-    wb = Window.partitionBy(*by).orderBy("__bk") if by else Window.orderBy("__bk")  # one row per bucket
-    wb_prev = wb.rowsBetween(Window.unboundedPreceding, -1)
-    bt = bt.select(*by, "__bk", F.lead("__bmin").over(wb).alias("__next_bmin"),
-                   *[F.coalesce(F.sum(f"__bs_{c}").over(wb_prev), F.lit(0)).alias(f"__off_{c}") for c in sums])
-    d = d.join(bt, by + ["__bk"], "inner")
-    wi = Window.partitionBy(*by, "__bk").orderBy(order)
-    wi_run = wi.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    out = d.withColumns({
-        **{f"{cum_prefix}{c}": F.col(f"__off_{c}") + F.sum(c).over(wi_run) for c in sums},
-        next_col: F.coalesce(F.lead(order).over(wi), F.col("__next_bmin")),
-    })
-    return out.drop("__bk", "__next_bmin", *[f"__off_{c}" for c in sums])
+    if most is None or most > PLAIN_ROWS:
+        df = df if stored_input else cut_lineage(df)
+        sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").alias("most"), F.sum("n").alias("rows")).first()
+        most = sizes["most"] or 0
+    if most <= PLAIN_ROWS:
+        return _running(df, by, order, sums, cum_prefix, next_col, peers)
+    dealt = df.repartitionByRange(-(-sizes["rows"] // RANGE_ROWS), *by, order).withColumn("__bk", F.spark_partition_id())
+    # the ranges come from a sample: written, so that totals and rows see the same ones
+    dealt = cut_lineage(dealt)
+    totals = dealt.groupBy(*by, "__bk").agg(F.min(order).alias("__least"), *[F.sum(c).alias(f"__bs_{c}") for c in sums])
+    over = Window.partitionBy(*by).orderBy("__bk")  # one row per range
+    before = over.rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(*[F.col(c).alias(f"__by{i}") for i, c in enumerate(by)], F.col("__bk").alias("__obk"),
+                            F.lead("__least").over(over).alias("__beyond"),
+                            *[F.coalesce(F.sum(f"__bs_{c}").over(before), F.lit(0)).alias(f"__off_{c}") for c in sums])
+    same = [F.col("__bk") == F.col("__obk")] + [F.col(c).eqNullSafe(F.col(f"__by{i}")) for i, c in enumerate(by)]
+    scanned = _running(dealt.join(offsets, same), [*by, "__bk"], order, sums, cum_prefix, next_col, peers)
+    out = scanned.withColumns({**{f"{cum_prefix}{c}": F.col(f"__off_{c}") + F.col(f"{cum_prefix}{c}") for c in sums},
+                               next_col: F.coalesce(next_col, "__beyond")})
+    return out.drop("__bk", "__obk", "__beyond", *[f"__by{i}" for i in range(len(by))], *[f"__off_{c}" for c in sums])
+
+
+def _running(df: DataFrame, by: Sequence[str], order: str, sums: Sequence[str], cum_prefix: str, next_col: str, peers: bool) -> DataFrame:
+    w = Window.partitionBy(*by).orderBy(order)
+    upto = (w.rangeBetween if peers else w.rowsBetween)(Window.unboundedPreceding, Window.currentRow)
+    return df.withColumns({**{f"{cum_prefix}{c}": F.sum(c).over(upto) for c in sums}, next_col: F.lead(order).over(w)})

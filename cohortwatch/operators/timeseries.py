@@ -1,12 +1,12 @@
 """Metric time-series operators.
 
-Samples are rows (ts, name, labels/series key, value). Range windows over a
-series ("the last minute") are evaluated in time buckets with a halo: every
-sample belongs to its bucket, and samples in the last ``halo`` seconds of a
-bucket are also copied into the next bucket as context. A window of length
-``halo`` then never leaves its partition, so a series that holds a third of
-all samples spreads over as many tasks as it has buckets, at the cost of
-copying halo/bucket of the rows.
+Samples are rows (ts, name, labels/series key, value). A range window over a series ("the last
+minute") is a window frame while every series has at most ``FRAME_ROWS`` samples, which bounds
+its partition and what a frame may hold. Where a series is larger, what the window holds is a difference of two running sums:
+up to the sample, and up to the last sample before the window. The sums come from
+``scan.ordered_scan`` and the second one is found by the as-of join, both of which deal a series
+over ranges of its own rows, so a burst, however short, is spread over many tasks and no row
+is copied into neighbouring windows.
 """
 
 from __future__ import annotations
@@ -17,52 +17,76 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from cohortwatch.operators.asof import asof_join
 from cohortwatch.operators.scan import ordered_scan
 
-DEFAULT_BUCKET_SECONDS = 3600
+# Samples of a series up to which a range window is a frame; a frame is summed up anew for each row.
+FRAME_ROWS = 25_000
 
 
 def _us(ts: str):
     return F.unix_micros(F.col(ts).cast("timestamp"))
 
 
-def with_halo(df: DataFrame, ts: str, halo_seconds: int, bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
-    """Rows tagged with ``__pb`` (partition bucket) and ``__halo`` (context copy)."""
-    width = bucket_seconds * 1_000_000
-    b = F.floor(_us(ts) / width)
-    own = df.withColumns({"__pb": b, "__halo": F.lit(False)})
-    near_end = (_us(ts) >= (b + 1) * width - halo_seconds * 1_000_000)
-    copy = df.filter(near_end).withColumns({"__pb": b + 1, "__halo": F.lit(True)})
-    return own.unionByName(copy)
+def _largest(df: DataFrame, series: Sequence[str]) -> int:
+    return df.groupBy(*series).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
 
 
-def counter_rate(df: DataFrame, series: Sequence[str], ts: str, value: str, range_seconds: int = 60,
-                 bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
+def _sum_before(rows: DataFrame, series: Sequence[str], back: int, total: str) -> DataFrame:
+    """``rows`` (with __t, __o and a running sum ``total``) with ``__before``: the sum at the last sample earlier than ``back`` microseconds before."""
+    key = F.struct(*series)
+    asked = rows.withColumns({"__key": key, "__from": F.timestamp_micros(F.col("__t") - back - 1)})
+    known = rows.select(key.alias("__key"), F.timestamp_micros("__t").alias("__at"), F.col("__o").alias("__tie"), F.col(total).alias("__before"))
+    return asof_join(asked, known, "__key", "__from", "__at", ["__before"], tie_breaker="__tie").drop("__key", "__from", "__at")
+
+
+def counter_rate(df: DataFrame, series: Sequence[str], ts: str, value: str, range_seconds: int = 60) -> DataFrame:
     """Per sample: reset-aware increase over the last ``range_seconds`` and rate = increase / range.
 
     increase = sum over consecutive sample pairs inside [t - range, t] of
-    (v - prev if v >= prev else v). No extrapolation to the window edges.
+    (v - prev if v >= prev else v). No extrapolation to the window edges. Samples of one time
+    are in the order of their values.
     """
-    series = list(series)
-    h = with_halo(df, ts, range_seconds, bucket_seconds).withColumn("__t", _us(ts))
-    w = Window.partitionBy(*series, "__pb").orderBy("__t")
-    prev = F.lag(value).over(w)
-    h = h.withColumn("__inc", F.when(prev.isNull(), F.lit(None)).when(F.col(value) >= prev, F.col(value) - prev)
-                     .otherwise(F.col(value)))
-    wr = w.rangeBetween(-range_seconds * 1_000_000, 0)
-    inc = F.coalesce(F.sum("__inc").over(wr), F.lit(0.0)) - F.coalesce(F.first("__inc").over(wr), F.lit(0.0))
-    out = h.withColumn("increase", inc).filter(~F.col("__halo"))
-    return out.withColumn("rate", F.col("increase") / float(range_seconds)).drop("__pb", "__halo", "__t", "__inc")
-
-
-def window_count_rate(df: DataFrame, series: Sequence[str], ts: str, range_seconds: int = 60,
-                      bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
+    series, back = list(series), range_seconds * 1_000_000
+    rows = df.withColumn("__t", _us(ts))
+    if _largest(df, series) <= FRAME_ROWS:
+        w = Window.partitionBy(*series).orderBy("__t", value)
+        step = _step(F.lag(value).over(w), F.col(value))
+        rows = rows.withColumn("__inc", step)
+        wr = Window.partitionBy(*series).orderBy("__t").rangeBetween(-back, 0)
+        # the first pair of the window starts before it
+        first = F.min_by(F.coalesce("__inc", F.lit(0.0)), F.struct("__t", value)).over(wr)
+        rows = rows.withColumn("increase", F.coalesce(F.sum("__inc").over(wr), F.lit(0.0)) - first).drop("__inc")
+    else:
+        # __o orders the samples; a sample carries the step to the next one
+        rows = rows.withColumn("__o", F.struct("__t", F.col(value).alias("v")))
+        rows = ordered_scan(rows, series, "__o", [], next_col="__next").withColumn("__inc", F.coalesce(_step(F.col(value), F.col("__next.v")), F.lit(0.0)))
+        upto = ordered_scan(rows.drop("__next"), series, "__o", ["__inc"], next_col="__next").drop("__next")
+        # a running sum without the sample's own step has all steps up to it
+        upto = _sum_before(upto, series, back, "cum___inc")
+        last = upto.groupBy(*[F.col(c).alias(f"__s{i}") for i, c in enumerate(series)], F.col("__t").alias("__lt")).agg(F.max(F.col("cum___inc") - F.col("__inc")).alias("__upto"))
+        same = [F.col("__t") == F.col("__lt")] + [F.col(c).eqNullSafe(F.col(f"__s{i}")) for i, c in enumerate(series)]
+        rows = upto.join(last, same).withColumn("increase", F.col("__upto") - F.coalesce("__before", F.lit(0.0)))
+    out = rows.select(*df.columns, "increase")
+    return out.withColumn("rate", F.col("increase") / float(range_seconds))
+
+
+def _step(prev, value):
+    return F.when(prev.isNull() | value.isNull(), F.lit(None)).when(value >= prev, value - prev).otherwise(value)
+
+
+def window_count_rate(df: DataFrame, series: Sequence[str], ts: str, range_seconds: int = 60) -> DataFrame:
     """Per sample: events in the last ``range_seconds`` and events per second."""
-    series = list(series)
-    h = with_halo(df, ts, range_seconds, bucket_seconds).withColumn("__t", _us(ts))
-    wr = Window.partitionBy(*series, "__pb").orderBy("__t").rangeBetween(-range_seconds * 1_000_000, 0)
-    out = h.withColumn("n_window", F.count(F.lit(1)).over(wr)).filter(~F.col("__halo"))
-    return out.withColumn("per_second", F.col("n_window") / float(range_seconds)).drop("__pb", "__halo", "__t")
+    series, back = list(series), range_seconds * 1_000_000
+    rows = df.withColumn("__t", _us(ts))
+    if _largest(df, series) <= FRAME_ROWS:
+        wr = Window.partitionBy(*series).orderBy("__t").rangeBetween(-back, 0)
+        rows = rows.withColumn("n_window", F.count(F.lit(1)).over(wr))
+    else:
+        rows = rows.withColumns({"__one": F.lit(1).cast("long"), "__o": F.col("__t")})
+        upto = ordered_scan(rows, series, "__t", ["__one"], next_col="__next", peers=True).drop("__next")
+        rows = _sum_before(upto, series, back, "cum___one").withColumn("n_window", F.col("cum___one") - F.coalesce("__before", F.lit(0)))
+    return rows.select(*df.columns, "n_window").withColumn("per_second", F.col("n_window") / float(range_seconds))
 
 
 def sustained_intervals(df: DataFrame, series: Sequence[str], ts: str, condition, min_seconds) -> DataFrame:
@@ -77,7 +101,7 @@ def sustained_intervals(df: DataFrame, series: Sequence[str], ts: str, condition
     series = list(series)
     d = df.select(*series, F.col(ts).alias("__ts"), _us(ts).alias("__t"),
                   condition.alias("__ok")).withColumn("__bad", F.when(F.col("__ok"), 0).otherwise(1).cast("long"))
-    sc = ordered_scan(d, series, "__t", ["__bad"], next_col="__next")
+    sc = ordered_scan(d, series, "__t", ["__bad"], next_col="__next", most=df.count())
     isl = sc.filter(F.col("__ok")).groupBy(*series, F.col("cum___bad").alias("__island")).agg(
         F.min("__ts").alias("start_ts"), F.max("__ts").alias("end_ts"), F.count(F.lit(1)).alias("n_samples"),
         ((F.max("__t") - F.min("__t")) / 1e6).alias("held_seconds"))

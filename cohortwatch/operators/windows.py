@@ -28,7 +28,7 @@ def rolling_rows(df: DataFrame, seq: str, value: str, n: int, decimal_scale: int
     if decimal_scale is not None:
         x = x.cast(f"decimal(18,{decimal_scale})")
     rows = df.select(F.col(seq), x.alias("__v"), F.lit(1).cast("long").alias("__one"))
-    base = ordered_scan(rows, [], seq, ["__one"]).select(F.col(seq), "__v", (F.col("cum___one") - 1).alias("__p"))
+    base = ordered_scan(rows, [], seq, ["__one"], stored_input=True, most=df.count()).select(F.col(seq), "__v", (F.col("cum___one") - 1).alias("__p"))
     base = base.withColumns({"__b": F.floor(F.col("__p") / n).cast("long"),
                              "__o": (F.col("__p") % n).cast("long")})
     w_run = Window.partitionBy("__b").orderBy("__o").rowsBetween(Window.unboundedPreceding, Window.currentRow)

@@ -204,6 +204,28 @@ def q_transform_apply(spark, sf_dir):
                        category.alias("category"))
 
 
+@register("sparse_encode", with_ctes(
+    f"SELECT a.{KEY}, a.scenario, CAST(i.position AS INT) AS position, a.value FROM applied a JOIN "
+    "(SELECT output_column, row_number() OVER (ORDER BY fi, si) - 1 AS position FROM items) i ON a.feature = i.output_column "
+    "WHERE a.value <> 0", **ENC_CTES, applied=_apply_sql(), items=_spec_items_sql()))
+def q_sparse_encode(spark, sf_dir):
+    """The encoded records as sparse rows in the training column order, shown entry by entry."""
+    train, test = _frames(spark, sf_dir)
+    rows = EN.sparse_rows(_current(test), _spec(train), keep=[KEY, "scenario"])
+    entries = rows.select(KEY, "scenario", F.inline(F.arrays_zip("positions", "values")))
+    return entries.select(KEY, "scenario", F.col("positions").alias("position"), r6("values").alias("value"))
+
+
+@register("transform_lacking", with_ctes(
+    f"SELECT {KEY}, (SELECT round(avg(num_medications), 6) FROM train0) AS num_medications, "
+    f"round(COALESCE(CAST(time_in_hospital AS DOUBLE), (SELECT avg(time_in_hospital) FROM train0)), 6) AS time_in_hospital FROM test", **ENC_CTES))
+def q_transform_lacking(spark, sf_dir):
+    """A frame without one of the fitted columns gets it imputed."""
+    train, test = _frames(spark, sf_dir)
+    out = EN.apply_spec(test.drop("num_medications"), _spec(train), keep=[KEY])
+    return out.select(KEY, r6(F.col("num_medications").cast("double")).alias("num_medications"), r6(F.col("time_in_hospital").cast("double")).alias("time_in_hospital"))
+
+
 @register("conform_columns", with_ctes(
     f"SELECT {KEY}, num_medications, time_in_hospital, 0 AS weight_kg, gender FROM test", **ENC_CTES))
 def q_conform_columns(spark, sf_dir):

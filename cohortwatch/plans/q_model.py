@@ -13,8 +13,10 @@ from cohortwatch.operators import encode as EN
 from cohortwatch.operators import evaluate as EV
 from cohortwatch.operators import model as ML
 from cohortwatch.operators import split as SP
+from cohortwatch.operators import trees as TR
 from cohortwatch.plans.q_encode import _frames, _spec
-from cohortwatch.plans.registry import register
+from cohortwatch.plans.q_scenario import SPLIT_CTES
+from cohortwatch.plans.registry import register, with_ctes
 from cohortwatch.session import cut_lineage, shared_path
 
 KEY, LABEL, SEED = S.ENTITY_KEY, S.TARGET, S.SPLIT_SEED
@@ -44,24 +46,62 @@ def q_train_gbt(spark, sf_dir):
     return out.select(KEY, LABEL, F.round("probability", 6).alias("probability"), "prediction")
 
 
-@register("score_batch")
-def q_score_batch(spark, sf_dir):
-    """Scored batches of 100 rows (hash order) with positive ratio; an empty batch; rank sanity."""
+def _batches(spark, sf_dir):
     model, tr, te, spec = _model(spark, sf_dir)
-    scored = ML.score(model, te, S.PREDICTION_THRESHOLD, keep=[KEY])
+    ensemble = TR.export(model, spec.output_columns)
+    scored = TR.score(ensemble, te, S.PREDICTION_THRESHOLD, keep=[KEY])
     batches = SP.batch_ids(SP.number_rows(scored, KEY, SEED), "position", 100)
     summary = ML.batch_summary(batches, "batch_id")
     empty = ML.batch_summary(scored.limit(0)).select(F.lit(-1).cast("long").alias("batch_id"), "n", "positive_ratio")
     # rank sanity: a record at the training maxima of the risk counts scores above the typical record
     typical = tr.agg(*[F.avg(c).alias(c) for c in spec.output_columns])
-    risky = typical.withColumns({c: F.lit(float(tr.agg(F.max(c)).first()[0]))
-                                 for c in ["number_inpatient", "number_emergency", "number_diagnoses"]})
-    p = ML.score(model, typical.withColumn("__k", F.lit("typical")).unionByName(
+    risk = ["number_inpatient", "number_emergency", "number_diagnoses"]
+    most = tr.agg(*[F.max(c).cast("double").alias(c) for c in risk]).first()
+    risky = typical.withColumns({c: F.lit(most[c]) for c in risk})
+    p = TR.score(ensemble, typical.withColumn("__k", F.lit("typical")).unionByName(
         risky.withColumn("__k", F.lit("high_risk"))), keep=["__k"]).collect()
     probs = {r["__k"]: r["probability"] for r in p}
     ok = bool(probs["high_risk"] >= probs["typical"])
-    return summary.unionByName(empty).withColumn("rank_sanity_ok", F.lit(ok)).select(
-        "batch_id", "n", F.round("positive_ratio", 6).alias("positive_ratio"), "rank_sanity_ok")
+    return summary.unionByName(empty).withColumn("rank_sanity_ok", F.lit(ok))
+
+
+@register("score_batch")
+def q_score_batch(spark, sf_dir):
+    """Scored batches of 100 rows (hash order) with positive ratio; an empty batch; rank sanity."""
+    return _batches(spark, sf_dir).select("batch_id", "n", F.round("positive_ratio", 6).alias("positive_ratio"), "rank_sanity_ok")
+
+
+@register("score_batch_sizes", with_ctes("""
+SELECT range AS batch_id, LEAST(100, (SELECT count(*) FROM test) - 100 * range) AS n, true AS ratio_ok
+FROM range(0, CAST(ceil((SELECT count(*) FROM test) / 100) AS BIGINT))
+UNION ALL SELECT -1, 0, true
+""", **SPLIT_CTES))
+def q_score_batch_sizes(spark, sf_dir):
+    """The parts of the scored batches that do not depend on the fitted trees."""
+    ratio = F.col("positive_ratio")
+    sound = F.when(F.col("n") == 0, ratio.isNull()).otherwise(ratio.between(0, 1))
+    return _batches(spark, sf_dir).select("batch_id", "n", sound.alias("ratio_ok"))
+
+
+@register("score_checks", with_ctes("""
+SELECT 'rows scored' AS check_name, count(*) AS n FROM test
+UNION ALL SELECT 'probabilities outside 0 to 1', 0 UNION ALL SELECT 'predictions off the threshold', 0
+UNION ALL SELECT 'scores of the loaded model that differ', 0 UNION ALL SELECT 'scores of the compiled trees that differ', 0
+""", **SPLIT_CTES))
+def q_score_checks(spark, sf_dir):
+    """Every test row scored by the model, the reloaded one and its compiled trees; what differs by over 1e-9."""
+    model, _, te, spec = _model(spark, sf_dir)
+    loaded = ML.save_load(model, shared_path(spark, "models", "gbt"))
+    compiled = TR.probability(TR.export(model, spec.output_columns)).alias("p_trees")
+    both = (ML.score(model, te, S.PREDICTION_THRESHOLD, keep=[KEY]).withColumnRenamed("probability", "p")
+            .join(ML.score(loaded, te, keep=[KEY]).select(KEY, F.col("probability").alias("p_loaded")), KEY)
+            .join(te.select(KEY, compiled), KEY))
+    differs = lambda c: F.count_if(~F.coalesce(F.abs(F.col(c) - F.col("p")) <= S.REPLAY_TOLERANCE, F.lit(False)))
+    counts = {"rows scored": F.count(F.lit(1)), "probabilities outside 0 to 1": F.count_if(~F.coalesce(F.col("p").between(0, 1), F.lit(False))),
+              "predictions off the threshold": F.count_if((F.col("p") >= S.PREDICTION_THRESHOLD).cast("int") != F.col("prediction")),
+              "scores of the loaded model that differ": differs("p_loaded"), "scores of the compiled trees that differ": differs("p_trees")}
+    one = both.agg(*[c.alias(f"c{i}") for i, c in enumerate(counts.values())])
+    return one.select(F.inline(F.array(*[F.struct(F.lit(name).alias("check_name"), F.col(f"c{i}").alias("n")) for i, name in enumerate(counts)])))
 
 
 @register("leaderboard")
@@ -91,14 +131,14 @@ def q_feature_importance(spark, sf_dir):
     return ML.feature_importance(model, spec.output_columns, spark)
 
 
-@register("model_roundtrip")
+@register("model_roundtrip", with_ctes("SELECT count(*) AS n, 0.0::DOUBLE AS max_abs_diff, true AS passed FROM test", **SPLIT_CTES))
 def q_model_roundtrip(spark, sf_dir):
     """Save, load, score both; probabilities must agree within 1e-9."""
     model, _, te, _ = _model(spark, sf_dir)
     loaded = ML.save_load(model, shared_path(spark, "models", "gbt"))
     a = ML.score(model, te, keep=[KEY]).withColumnRenamed("probability", "p_orig")
     b = ML.score(loaded, te, keep=[KEY]).withColumnRenamed("probability", "p_loaded")
-    return EV.paired_diff(a, b, [KEY], "p_orig", "p_loaded", tolerance=S.REPLAY_TOLERANCE)
+    return EV.paired_diff(a, b, [KEY], "p_orig", "p_loaded", tolerance=S.REPLAY_TOLERANCE).withColumn("max_abs_diff", F.round("max_abs_diff", 9))
 
 
 @register("scenario_summary_gbt")

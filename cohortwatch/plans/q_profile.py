@@ -42,14 +42,13 @@ def q_value_shares(spark, sf_dir):
     return out.select("medical_specialty", "n", r6("share").alias("share"))
 
 
-def _missing_sql():
-    parts = [f"SELECT '{c}' AS column_name, count(*) FILTER (WHERE {c} IS NULL) AS n_missing, "
-             f"round(count(*) FILTER (WHERE {c} IS NULL) * 100.0 / count(*), 6) AS pct_missing FROM p01"
-             for c in PROFILE_COLS]
-    return with_ctes(" UNION ALL ".join(parts), **ENC)
+def _missing_parts():
+    return [f"SELECT '{c}' AS column_name, count(*) FILTER (WHERE {c} IS NULL) AS n_missing, "
+            f"round(count(*) FILTER (WHERE {c} IS NULL) * 100.0 / count(*), 6) AS pct_missing FROM p01"
+            for c in PROFILE_COLS]
 
 
-@register("missing_profile", _missing_sql())
+@register("missing_profile", with_ctes(" UNION ALL ".join(_missing_parts()), **ENC))
 def q_missing_profile(spark, sf_dir):
     out = PR.missing_profile(_raw_enc(spark, sf_dir), PROFILE_COLS)
     return out.select(F.col("column").alias("column_name"), "n_missing", r6("pct_missing").alias("pct_missing"))
@@ -197,27 +196,45 @@ def q_top_k_groups(spark, sf_dir):
     return PR.top_k_groups(read_table(spark, sf_dir, "part"), "p_brand", 10)
 
 
+QUALITY_NUM = ["discharge_disposition_id", "num_lab_procedures", "num_medications", "number_outpatient"]
+QUALITY_COLS = PROFILE_COLS + [c for c in QUALITY_NUM if c not in PROFILE_COLS]
+
+
 def _quality_sql():
     parts = []
-    for c in PROFILE_COLS:
+    for c in QUALITY_COLS:
         t = f"CAST({c} AS STRING)"
+        number = c in QUALITY_NUM
+        quartiles = ", ".join(f"round(quantile_cont({c}, {q}), 6) AS q{round(100 * q)}" if number else f"CAST(NULL AS DOUBLE) AS q{round(100 * q)}"
+                              for q in (0.25, 0.5, 0.75))
+        strongest = "(SELECT {} FROM pairs WHERE a = '" + c + "' AND r IS NOT NULL ORDER BY round(abs(r), 12) DESC, b LIMIT 1)"
         parts.append(f"""SELECT '{c}' AS column_name, count(*) AS n_rows, count({c}) AS n_present,
           count(*) FILTER (WHERE {c} IS NULL) AS n_missing,
           round(count(*) FILTER (WHERE {c} IS NULL) * 100.0 / count(*), 6) AS pct_missing,
           count(DISTINCT {c}) AS n_distinct, min({t}) AS min_text, max({t}) AS max_text,
           (SELECT v FROM (SELECT {t} AS v, count(*) AS k FROM p01 WHERE {c} IS NOT NULL GROUP BY 1)
              ORDER BY k DESC, v LIMIT 1) AS most_common,
-          (SELECT max(k) FROM (SELECT count(*) AS k FROM p01 WHERE {c} IS NOT NULL GROUP BY {c})) AS most_common_n
+          (SELECT max(k) FROM (SELECT count(*) AS k FROM p01 WHERE {c} IS NOT NULL GROUP BY {c})) AS most_common_n,
+          {quartiles}, {strongest.format("b")} AS corr_with, round({strongest.format("r")}, 6) AS corr
           FROM p01""")
-    return with_ctes(" UNION ALL ".join(parts), **ENC)
+    pairs = " UNION ALL ".join(f"SELECT '{a}' AS a, '{b}' AS b, corr({a}, {b}) AS r FROM p01" for a in QUALITY_NUM for b in QUALITY_NUM if a != b)
+    return with_ctes(" UNION ALL ".join(parts), **ENC, pairs=pairs)
 
 
 @register("quality_profile", _quality_sql())
 def q_quality_profile(spark, sf_dir):
-    out = PR.quality_profile(_raw_enc(spark, sf_dir), PROFILE_COLS)
+    out = PR.quality_profile(_raw_enc(spark, sf_dir), QUALITY_COLS, QUALITY_NUM)
     return out.select(F.col("column").alias("column_name"), "n_rows", "n_present", "n_missing",
                       r6("pct_missing").alias("pct_missing"), "n_distinct", "min_text", "max_text",
-                      "most_common", "most_common_n")
+                      "most_common", "most_common_n", r6("q25").alias("q25"), r6("q50").alias("q50"), r6("q75").alias("q75"),
+                      "corr_with", r6("corr").alias("corr"))
+
+
+@register("missing_nonzero", with_ctes("SELECT * FROM (" + " UNION ALL ".join(_missing_parts()) + ") WHERE n_missing > 0", **ENC))
+def q_missing_nonzero(spark, sf_dir):
+    """Only the columns that lack values."""
+    out = PR.missing_profile(_raw_enc(spark, sf_dir), PROFILE_COLS, nonzero_only=True)
+    return out.select(F.col("column").alias("column_name"), "n_missing", r6("pct_missing").alias("pct_missing"))
 
 
 @register("null_assert", with_ctes(" UNION ALL ".join(
@@ -228,19 +245,29 @@ def q_null_assert(spark, sf_dir):
     return out.select(F.col("column").alias("column_name"), "n_null", "ok")
 
 
-@register("schema_listing", """
-SELECT column_name, data_type, column_name IN ('o_orderkey', 'o_custkey', 'o_totalprice') AS is_numeric,
-  CAST(row_number() OVER () - 1 AS INT) AS position
-FROM (SELECT column_name, CASE column_type WHEN 'BIGINT' THEN 'bigint' WHEN 'DOUBLE' THEN 'double'
+def _listing_sql():
+    counts = " UNION ALL ".join(f"SELECT '{c}' AS column_name, count({c}) AS n_present FROM orders" for c in ORDER_COLS)
+    return f"""
+SELECT column_name, data_type, column_name IN ('o_orderkey', 'o_custkey', 'o_totalprice') AS is_numeric, position, n_present
+FROM (SELECT column_name, CAST(row_number() OVER () - 1 AS INT) AS position, CASE column_type WHEN 'BIGINT' THEN 'bigint' WHEN 'DOUBLE' THEN 'double'
         WHEN 'VARCHAR' THEN 'string' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' ELSE lower(column_type) END AS data_type
-      FROM (DESCRIBE orders))
-""")
+      FROM (DESCRIBE orders)) JOIN ({counts}) USING (column_name)
+"""
+
+
+ORDER_COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
+
+
+@register("schema_listing", _listing_sql())
 def q_schema_listing(spark, sf_dir):
-    """Column list with types and the numeric role, from the schema (no data pass)."""
+    """Columns with type, numeric role and number of values."""
     od = read_table(spark, sf_dir, "orders")
     numeric = set(C.numeric_columns(od))
-    rows = [(f.name, f.dataType.simpleString(), f.name in numeric, i) for i, f in enumerate(od.schema.fields)]
-    return spark.createDataFrame(rows, "column_name string, data_type string, is_numeric boolean, position int")
+    roles = spark.createDataFrame([(f.name, f.dataType.simpleString(), f.name in numeric, i) for i, f in enumerate(od.schema.fields)],
+                                  "column string, data_type string, is_numeric boolean, position int")
+    rows = od.agg(F.count(F.lit(1))).scalar()
+    return (roles.join(PR.missing_profile(od), "column")
+            .select(F.col("column").alias("column_name"), "data_type", "is_numeric", "position", (rows - F.col("n_missing")).alias("n_present")))
 
 
 @register("preview_head", "SELECT * FROM orders ORDER BY o_orderkey LIMIT 5")

@@ -1,7 +1,7 @@
 """Queries: count-based rolling drift replay and monitor states.
 
-`events` in event_id order are the served rows, in batches of 300; the drift
-reference is a seeded 5000-row sample of them (L03).
+`events` in event_id order are the served rows, in batches of 300; all of them are
+the drift reference too.
 """
 
 from __future__ import annotations
@@ -9,23 +9,19 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from cohortwatch import schemas as S
-from cohortwatch.operators import split as SP
 from cohortwatch.plans.drift_sql import drift_ctes, verdict_sql
 from cohortwatch.plans.fixtures import read_table
-from cohortwatch.plans.q_split import md5_sql
 from cohortwatch.plans.registry import register, with_ctes
 from cohortwatch.streaming import rolling as R
 
 BATCH = 300
 W, NEW, MINW = S.ROLLING_WINDOW_ROWS, S.ROLLING_MIN_NEW_ROWS, S.ROLLING_MIN_WINDOW_ROWS
-REF_ROWS = S.DRIFT_REFERENCE_ROWS
 NUM, CAT = ["value"], ["event_type"]
 
 
 def _replay(spark, sf_dir):
     ev = read_table(spark, sf_dir, "events").select("event_id", "value", "event_type")
-    ref = SP.hash_sample(ev, "event_id", REF_ROWS, S.SPLIT_SEED)
-    return R.replay(ref, ev, "event_id", NUM, CAT, batch=BATCH, window=W, min_new=NEW, min_window=MINW)
+    return R.replay(ev, ev, "event_id", NUM, CAT, batch=BATCH, window=W, min_new=NEW, min_window=MINW)
 
 
 _STEP = -(-NEW // BATCH)
@@ -45,7 +41,7 @@ UNION ALL SELECT j_reg, nb, n FROM sched WHERE final_short
 """
 ROLL_CTES = dict(
     sched=SCHED_SQL, checks=CHECKS_SQL,
-    ref=f"SELECT event_id, value, event_type FROM events ORDER BY {md5_sql('event_id')}, event_id LIMIT {REF_ROWS}",
+    ref="SELECT event_id, value, event_type FROM events",
     cur=f"""SELECT e.event_id, e.value, e.event_type, c.check_id FROM events e, sched s, checks c
             WHERE e.event_id - s.lo >= c.end_row - {W} AND e.event_id - s.lo < c.end_row""",
     **drift_ctes("ref", "cur", NUM, CAT, "check_id"),
@@ -65,15 +61,27 @@ def q_rolling_drift_replay(spark, sf_dir):
                       F.round("drift_share", 6).alias("drift_share"), "dataset_drift")
 
 
-@register("drift_state", with_ctes(f"""
+def _state_sql(enabled):
+    told = "'disabled'" if not enabled else """CASE WHEN o.check_id IS NULL THEN 'warming up' WHEN o.dataset_drift THEN 'drift detected' ELSE 'healthy' END"""
+    return with_ctes(f"""
 SELECT b.range AS batch_index, LEAST(b.range * {BATCH}, s.n) AS rows_seen,
   LEAST(LEAST(b.range * {BATCH}, s.n), {W}) AS buffered,
   LEAST(b.range * {BATCH}, s.n) - COALESCE(o.end_row, 0) AS rows_since_check, o.check_id AS last_check,
-  CASE WHEN o.check_id IS NULL THEN 'warming up' WHEN o.dataset_drift THEN 'drift detected' ELSE 'healthy' END AS state
+  {told} AS state
 FROM sched s, range(1, (SELECT nb FROM sched) + 1) b
 LEFT JOIN out o ON o.check_id = (SELECT max(check_id) FROM checks c WHERE c.batch_index <= b.range)
-""", **ROLL_CTES))
+""", **ROLL_CTES)
+
+
+@register("drift_state", _state_sql(True))
 def q_drift_state(spark, sf_dir):
     """Monitor state after every batch."""
     out, sch = _replay(spark, sf_dir)
     return R.states(spark, out, sch)
+
+
+@register("drift_state_disabled", _state_sql(False))
+def q_drift_state_disabled(spark, sf_dir):
+    """A monitor that is switched off says so after every batch; its counters go on."""
+    out, sch = _replay(spark, sf_dir)
+    return R.states(spark, out, sch, enabled=False)

@@ -15,6 +15,8 @@ from cohortwatch.plans.fixtures import read_table
 from cohortwatch.plans.registry import register
 from cohortwatch.streaming import stream as ST
 
+# key-hash partitions of the latest tables here: a handful of users
+LATEST_PARTS = 4
 END_1 = "2024-01-15 00:00:00"
 END_2 = "2024-01-31 23:59:59"
 
@@ -104,8 +106,8 @@ def q_stream_push_latest(spark, sf_dir):
     """Every batch appended to history and merged into a latest-per-key table."""
     dirs, stream = _staged(spark, sf_dir, "push")
     ST.push_latest(stream.drop("day").select("user_id", "ts", "event_id", "event_type", "value"), "user_id", "ts",
-                   dirs["history"], dirs["latest"], dirs["checkpoint"])
-    return ST.latest_version(spark, dirs["latest"]).select("user_id", "ts", "event_id", "event_type", "value")
+                   dirs["history"], dirs["latest"], dirs["checkpoint"], parts=LATEST_PARTS)
+    return ST.LatestTable(spark, dirs["latest"], "user_id", "ts").read().select("user_id", "ts", "event_id", "event_type", "value")
 
 
 @register("stream_incremental", LATEST_SQL.format(where=f"WHERE ts <= TIMESTAMP '{END_2}'"))
@@ -114,8 +116,8 @@ def q_stream_incremental(spark, sf_dir):
     dirs = ST.new_stream_dirs(spark, "incremental")
     ev = read_table(spark, sf_dir, "events").select("user_id", "ts", "event_id", "event_type", "value")
     for end in (END_1, END_2):
-        ST.materialize_incremental(spark, ev, "user_id", "ts", end, dirs["control"], dirs["latest"])
-    return ST.latest_version(spark, dirs["latest"]).select("user_id", "ts", "event_id", "event_type", "value")
+        ST.materialize_incremental(spark, ev, "user_id", "ts", end, dirs["control"], dirs["latest"], parts=LATEST_PARTS)
+    return ST.LatestTable(spark, dirs["latest"], "user_id", "ts").read().select("user_id", "ts", "event_id", "event_type", "value")
 
 
 @register("stream_append_log", "SELECT event_id, event_type, value, CASE WHEN value >= 50 THEN 1 ELSE 0 END AS "
@@ -129,6 +131,22 @@ def q_stream_append_log(spark, sf_dir):
     return spark.read.parquet(dirs["sink"])
 
 
+@register("stream_score_and_log", "SELECT event_id, CASE WHEN value >= 50 THEN 1 ELSE 0 END AS prediction, true AS logged FROM events")
+def q_stream_score_and_log(spark, sf_dir):
+    """Scores and their audit log as two sinks; the log fails for the first two batches and catches up."""
+    dirs, stream = _staged(spark, sf_dir, "both", files_per_batch=5)
+    failures = iter(range(2))
+
+    def log(rows, path):
+        if next(failures, None) is not None:
+            raise OSError("log sink not available")
+        rows.write.mode("overwrite").parquet(path)
+
+    ST.score_and_log(stream, lambda b: _score(b).select("event_id", "prediction"), dirs["sink"], dirs["history"], dirs["checkpoint"], log)
+    logged = ST.read_batches(spark, dirs["history"]).select("event_id", F.lit(True).alias("logged"))
+    return ST.read_batches(spark, dirs["sink"]).join(logged, "event_id", "left").select("event_id", "prediction", F.coalesce("logged", F.lit(False)).alias("logged"))
+
+
 @register("stream_rolling_drift")
 def q_stream_rolling_drift(spark, sf_dir):
     """T05, T06 live: foreachBatch monitor over micro-batches of three day files; state after every batch.
@@ -137,12 +155,9 @@ def q_stream_rolling_drift(spark, sf_dir):
     source delivers the day files in.
     """
     from cohortwatch import schemas as S
-    from cohortwatch.operators import split as SP
     from cohortwatch.streaming.monitor import RollingDriftMonitor
     dirs, stream = _staged(spark, sf_dir, "rolling", files_per_batch=3)
-    ev = read_table(spark, sf_dir, "events")
-    ref = SP.hash_sample(ev.select("event_id", "value", "event_type"), "event_id", S.DRIFT_REFERENCE_ROWS,
-                         S.SPLIT_SEED)
+    ref = read_table(spark, sf_dir, "events").select("event_id", "value", "event_type")
     mon = RollingDriftMonitor(ref, ["value"], ["event_type"], dirs["sink"], "event_id", S.ROLLING_WINDOW_ROWS,
                               S.ROLLING_MIN_NEW_ROWS, S.ROLLING_MIN_WINDOW_ROWS)
     ST.foreach_batch(stream.select("event_id", "value", "event_type"), mon, dirs["checkpoint"])

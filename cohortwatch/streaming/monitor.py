@@ -27,10 +27,18 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from cohortwatch.operators import drift as D
+from cohortwatch.operators import drift_windows as W
 from cohortwatch.operators.scan import ordered_scan
+from cohortwatch.streaming.rolling import drift_of_windows
 from cohortwatch.streaming.stream import _list_dirs, batch_path, complete_versions, path_exists, read_batches, remove_path
 
 
+def window_counts(rows: DataFrame, numeric, categorical) -> DataFrame:
+    """One block: the value counts of the whole window."""
+    counts = D.long_form(rows, numeric, categorical).groupBy(*W.KEYS).agg(F.count(F.lit(1)).alias("n"))
+    return counts.withColumn("__seq", F.lit(0).cast("long"))
+
+
 class RollingDriftMonitor:
     def __init__(self, reference: DataFrame, numeric, categorical, folder: str, order_col: str,
                  window: int = 3000, min_new: int = 600, min_window: int = 2000):
@@ -58,7 +66,7 @@ class RollingDriftMonitor:
         n = batch.count()
         if n:
             # number the batch rows after the rows seen so far (bucketed scan: no single-task window)
-            numbered = ordered_scan(batch.withColumn("__one", F.lit(1)), [], self.order_col, ["__one"])
+            numbered = ordered_scan(batch.withColumn("__one", F.lit(1)), [], self.order_col, ["__one"], most=n)
             numbered = numbered.withColumn("__seq", F.lit(seen) + F.col("cum___one") - 1).drop(
                 "__one", "cum___one", "next_value")
             numbered = numbered.withColumn("__block", F.floor(F.col("__seq") / self.window))
@@ -71,8 +79,11 @@ class RollingDriftMonitor:
             lo = seen - self.window
             buf = read_batches(spark, self._path("buffer")).filter(
                 (F.col("__block") >= F.floor(F.lit(max(lo, 0)) / self.window)) & (F.col("__seq") >= lo))
-            table = D.drift_table(self.reference, buf, self.numeric, self.categorical)
-            verdict = D.dataset_verdict(table).select(
+            rows = buf.select("__seq", *self.numeric, *self.categorical)
+            table = drift_of_windows(
+                self.reference, rows, spark.range(1).select(F.col("id").alias("check_id")), lambda df: df.withColumn("check_id", F.lit(0).cast("long")),
+                self.numeric, self.categorical, lambda num, cat: window_counts(rows, num, cat), self._reference_counts(spark))
+            verdict = D.dataset_verdict(table, "check_id").select(
                 F.lit(batch_id).cast("long").alias("batch_id"), F.lit(seen).cast("long").alias("rows_seen"),
                 "n_columns", "n_drifted", "drift_share", "dataset_drift", "drifted_columns")
             verdict.write.mode("overwrite").parquet(batch_path(self._path("verdicts"), batch_id))
@@ -82,6 +93,13 @@ class RollingDriftMonitor:
          .write.mode("overwrite").parquet(os.path.join(self._path("control"), f"v={batch_id:08d}")))
         self._prune(spark, seen)
 
+    def _reference_counts(self, spark) -> DataFrame:
+        """Value counts of the whole reference, counted by the first check and kept."""
+        path = self._path("reference")
+        if not path_exists(spark, os.path.join(path, "_SUCCESS")):
+            W.value_counts(self.reference, self.numeric, self.categorical).write.mode("overwrite").parquet(path)
+        return spark.read.parquet(path)
+
     def _prune(self, spark, seen: int) -> None:
         """Remove the buffer folders of batches whose last row lies before any later window."""
         folders = sorted(_list_dirs(spark, self._path("buffer")))

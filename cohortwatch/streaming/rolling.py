@@ -7,11 +7,11 @@ resets at each check.
 
 ``replay`` evaluates that rule over a stored arrival sequence with a constant
 batch size. The due batches then follow a closed form (first due batch k0,
-then every s batches, plus possibly the final short batch), so every row can
-compute which check windows contain it arithmetically: rows are exploded into
-the (at most window / (s * batch) + 1) checks that see them and the drift of
-all checks is one grouped drift job -- no loop, no range join, no task that
-holds the whole sequence.
+then every s batches, plus possibly the final short batch), so every row and
+every block of rows can compute which check windows contain it arithmetically.
+All checks are one job against the whole reference (``operators.drift_windows``):
+no loop, no range join, no task that holds the whole sequence, and no copy of
+the reference per check.
 
 The live form (micro-batches of any size) is ``RollingDriftMonitor`` in
 ``cohortwatch.streaming.monitor``.
@@ -26,7 +26,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortwatch.operators import drift as D
+from cohortwatch.operators import drift_windows as W
 from cohortwatch.operators.scan import ordered_scan
+from cohortwatch.session import cut_lineage
 
 
 @dataclass(frozen=True)
@@ -94,24 +96,65 @@ def checks_table(spark: SparkSession, sch: Schedule) -> DataFrame:
     return reg
 
 
+def block_counts(numbered: DataFrame, sch: Schedule, numeric, categorical) -> DataFrame:
+    """(__seq, column, kind, vnum, vtxt, n): value counts per block, named by its first row.
+
+    Blocks are cut wherever a window of the schedule may start or end, so a window holds
+    whole blocks.
+    """
+    cuts = {0, -sch.window % sch.batch} | ({(sch.n_rows - sch.window) % sch.batch} if sch.final_short else set())
+    p = F.col("__seq")
+    start = F.array_max(F.filter(F.array(*[F.lit(c) for c in sorted(cuts)]), lambda c: c <= p % sch.batch))
+    named = numbered.withColumn("__block", p - p % sch.batch + start)
+    long = D.long_form(named, numeric, categorical, group="__block")
+    counts = long.groupBy(D.G, *W.KEYS).agg(F.count(F.lit(1)).alias("n"))
+    return counts.select(F.col(D.G).cast("long").alias("__seq"), *W.KEYS, "n")
+
+
 def replay(reference: DataFrame, served: DataFrame, seq: str, numeric, categorical, *, batch: int,
            window: int, min_new: int, min_window: int) -> tuple[DataFrame, Schedule]:
-    """Verdict per due check over the last ``window`` rows.
+    """Verdict per due check over the last ``window`` rows (T05), against the whole reference.
 
-    ``seq`` orders the served rows; they are numbered by it, so it may have gaps.
+    ``seq`` orders the served rows; they are numbered by it, so it may have gaps. Columns with
+    more than ``SMALL_REFERENCE_ROWS`` reference values are looked up in the reference
+    (``operators.drift_windows``); the values of others are few and go to every check.
     """
-    sch = schedule(served.count(), batch, window, min_new, min_window)
+    n = served.count()
+    sch = schedule(n, batch, window, min_new, min_window)
     spark = served.sparkSession
-    numbered = ordered_scan(served.withColumn("__one", F.lit(1).cast("long")), [], seq, ["__one"])
-    numbered = numbered.withColumn("__seq", F.col("cum___one") - 1).drop("__one", "cum___one", "next_value")
-    tagged = check_windows(numbered, "__seq", sch, 0).drop("__seq")
-    table = D.drift_table(reference, tagged, numeric, categorical, group="check_id")
-    verdict = D.dataset_verdict(table, "check_id").withColumn("check_id", F.col("check_id").cast("long"))
-    sizes = tagged.groupBy("check_id").agg(F.count(F.lit(1)).alias("n_window"))
-    out = checks_table(spark, sch).join(sizes, "check_id").join(verdict, "check_id")
+    numbered = ordered_scan(served.withColumn("__one", F.lit(1).cast("long")), [], seq, ["__one"], stored_input=True, most=n)
+    numbered = cut_lineage(numbered.select((F.col("cum___one") - 1).alias("__seq"), *numeric, *categorical))
+    checks = checks_table(spark, sch)
+    tag = lambda df: check_windows(df, "__seq", sch, 0)
+    table = drift_of_windows(reference, numbered, checks, tag, numeric, categorical, lambda num, cat: block_counts(numbered, sch, num, cat))
+    verdict = D.dataset_verdict(table, "check_id")
+    out = checks.withColumn("n_window", F.least("end_row", F.lit(sch.window)).cast("long")).join(verdict, "check_id")
     return out, sch
 
 
+def drift_of_windows(reference: DataFrame, rows: DataFrame, checks: DataFrame, tag, numeric, categorical, blocks, counts: DataFrame | None = None) -> DataFrame:
+    """(check_id, column, drifted) of every window and column, each by the method its reference size asks for.
+
+    ``blocks(numeric, categorical)`` counts values per block of ``rows``; ``counts`` are the
+    reference's value counts where they are kept already.
+    """
+    counts = W.value_counts(reference, numeric, categorical) if counts is None else counts
+    known = {r["column"]: r for r in W.reference_facts(counts).collect()}  # one row a column
+    large = {c for c, r in known.items() if r["n_ref"] > D.SMALL_REFERENCE_ROWS}
+    num, cat = [c for c in numeric if c in large], [c for c in categorical if c in large]
+    few = [c for c in num if known[c]["ref_values"] <= D.FEW_VALUES]
+    parts = []
+    if num or cat:
+        held = counts.where(F.col("column").isin(num + cat))
+        parts.append(W.windows_table(held, rows, blocks(few, cat), checks, num, cat, tag))
+    num, cat = [c for c in numeric if c not in large], [c for c in categorical if c not in large]
+    if num or cat:
+        small = D.drift_table(reference, tag(rows), num, cat, group="check_id")
+        parts.append(small.withColumn("check_id", F.col("check_id").cast("long")))
+    picked = [p.select("check_id", "column", "drifted") for p in parts]
+    return picked[0] if len(picked) == 1 else picked[0].unionByName(picked[1])
+
+
 def states(spark: SparkSession, verdicts: DataFrame, sch: Schedule, enabled: bool = True) -> DataFrame:
     """State after every batch: disabled / warming up / healthy / drift detected."""
     n_batches = math.ceil(sch.n_rows / sch.batch) if sch.n_rows else 0

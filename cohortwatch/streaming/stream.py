@@ -9,6 +9,7 @@ replaces are written as new versions, never overwritten in place.
 
 from __future__ import annotations
 
+import logging
 import os
 from collections.abc import Callable
 
@@ -16,9 +17,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cohortwatch.operators.clean import has_order
+from cohortwatch.operators.clean import row_hash
 from cohortwatch.session import shared_path
 
+# Key-hash partitions of a latest table.
+LATEST_PARTS = 64
+
+
 def file_stream(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet",
                 files_per_batch: int | None = 1) -> DataFrame:
     """Streaming scan of a folder; ``files_per_batch`` files make one micro-batch."""
@@ -109,9 +114,9 @@ def remove_path(spark: SparkSession, path: str) -> None:
 
 
 def newest_row(rows: DataFrame, key: str, ts: str) -> DataFrame:
-    """Newest row per key by ``ts``; equal times are settled by the other columns, so reruns agree."""
+    """Newest row per key by ``ts``; equal times are settled by a hash of the other columns, so reruns agree."""
     cols = [c for c in rows.columns if c != key]
-    order = F.struct(F.col(ts), *[F.col(c) for c in cols if c != ts and has_order(rows.schema[c].dataType)])
+    order = F.struct(F.col(ts), row_hash(rows, [c for c in cols if c != ts]).alias("hash"))
     return rows.groupBy(key).agg(F.max_by(F.struct(*cols), order).alias("r")).select(key, "r.*")
 
 
@@ -145,30 +150,88 @@ def batch_gauges(stream: DataFrame, ts: str, flag: str, samples_path: str, check
     foreach_batch(stream, publish, checkpoint)
 
 
-def push_latest(stream: DataFrame, key: str, ts: str, history_path: str, latest_path: str, checkpoint: str) -> None:
+class LatestTable:
+    """Newest row per key in key-hash partitions; a version rewrites the partitions that it touches only.
+
+    ``data/v=<version>/part=<p>`` holds what a version wrote, and ``manifest/v=<version>`` names for
+    every partition the version that holds it now. The manifest is written last and
+    makes the version final: a version that failed or is replayed starts from the manifest before it
+    and overwrites its own folders. Folders that none of the last two manifests names are removed.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, key: str, ts: str, parts: int = LATEST_PARTS):
+        self.spark, self.key, self.ts, self.parts = spark, key, ts, parts
+        self.data, self.manifests = os.path.join(path, "data"), os.path.join(path, "manifest")
+
+    def _folder(self, version: int, part: int | None = None) -> str:
+        folder = os.path.join(self.data, f"v={version:012d}")
+        return folder if part is None else os.path.join(folder, f"part={part}")
+
+    def manifest(self, before: int | None = None) -> dict[int, int]:
+        """Partition to version, of the newest final version (before ``before``); one entry a partition."""
+        found = complete_versions(self.spark, self.manifests, before)
+        return {r["part"]: r["version"] for r in self.spark.read.parquet(found[-1]).collect()} if found else {}
+
+    def merge(self, rows: DataFrame, version: int) -> set[int]:
+        """Take in ``rows`` as version ``version``; gives the partitions that were rewritten."""
+        rows = rows.withColumn("part", F.pmod(F.xxhash64(self.key), F.lit(self.parts)).cast("int"))
+        touched = {r["part"] for r in rows.select("part").distinct().collect()}  # at most ``parts``
+        held = self.manifest(before=version)
+        old = [self._folder(held[p], p) for p in sorted(touched & held.keys())]
+        merged = rows.drop("part")
+        if old:
+            merged = merged.unionByName(self.spark.read.schema(merged.schema).parquet(*old))
+        newest = newest_row(merged, self.key, self.ts).withColumn("part", F.pmod(F.xxhash64(self.key), F.lit(self.parts)).cast("int"))
+        remove_path(self.spark, self._folder(version))
+        if touched:
+            # one shuffle: the newest rows of a key are already where its partition is written
+            newest.repartition("part").write.partitionBy("part").parquet(self._folder(version))
+        now = {**held, **dict.fromkeys(touched, version)}
+        (self.spark.createDataFrame(sorted(now.items()), "part int, version long").coalesce(1)
+         .write.mode("overwrite").parquet(os.path.join(self.manifests, f"v={version:012d}")))
+        self._prune()
+        return touched
+
+    def _prune(self) -> None:
+        finals = complete_versions(self.spark, self.manifests)
+        named = {(r["version"], r["part"]) for f in finals[-2:] for r in self.spark.read.parquet(f).collect()}
+        for old in finals[:-2]:
+            remove_path(self.spark, old)
+        newest = int(os.path.basename(finals[-1])[2:])
+        for folder in _list_dirs(self.spark, self.data):
+            version = int(os.path.basename(folder)[2:])
+            if version > newest:
+                continue
+            parts = _list_dirs(self.spark, folder)
+            dead = [p for p in parts if (version, int(os.path.basename(p)[5:])) not in named]
+            for p in [folder] if len(dead) == len(parts) else dead:
+                remove_path(self.spark, p)
+
+    def read(self) -> DataFrame:
+        """The newest row of every key."""
+        return self.spark.read.parquet(*[self._folder(v, p) for p, v in sorted(self.manifest().items())])
+
+
+def push_latest(stream: DataFrame, key: str, ts: str, history_path: str, latest_path: str, checkpoint: str, parts: int = LATEST_PARTS) -> None:
     """Each batch: its rows to history; latest = newest row per key over old latest + batch.
 
-    History holds one folder per batch (read with ``read_batches``); the latest table is
-    written as the batch's own version over the newest complete one before it. A replayed
-    batch rewrites both and changes nothing else; versions before the last two go.
+    History holds one folder per batch (read with ``read_batches``); the latest table is a
+    ``LatestTable`` whose version is the batch. A replayed batch rewrites both and changes
+    nothing else.
     """
     def push(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
         batch.write.mode("overwrite").parquet(batch_path(history_path, batch_id))
-        old = complete_versions(spark, latest_path, before=batch_id)
-        merged = batch if not old else spark.read.parquet(old[-1]).unionByName(batch)
-        newest_row(merged, key, ts).write.mode("overwrite").parquet(os.path.join(latest_path, f"v={batch_id:08d}"))
-        prune_versions(spark, latest_path)
+        LatestTable(batch.sparkSession, latest_path, key, ts, parts).merge(batch, batch_id)
 
     foreach_batch(stream, push, checkpoint)
 
 
 def materialize_incremental(spark: SparkSession, source: DataFrame, key: str, ts: str, end_ts: str,
-                            control_path: str, latest_path: str) -> int:
+                            control_path: str, latest_path: str, parts: int = LATEST_PARTS) -> int:
     """Merge rows with low mark < ts <= end_ts into the latest table, then move the mark.
 
     Returns the number of rows taken in this run. The control table holds one
-    row per run (end mark); the latest table is versioned like ``push_latest``.
+    row per run (end mark); the latest table is a ``LatestTable`` like that of ``push_latest``.
     """
     runs = _list_dirs(spark, control_path)
     low = None
@@ -180,17 +243,43 @@ def materialize_incremental(spark: SparkSession, source: DataFrame, key: str, ts
         new = new.filter(F.col(ts) > F.lit(low).cast(source.schema[ts].dataType))
     n_new = new.count()
     # the control run that follows a version makes it final; a version without one is written anew
-    version = len(runs)
-    old = complete_versions(spark, latest_path, before=version)
-    merged = new if not old else spark.read.parquet(old[-1]).unionByName(new)
-    newest_row(merged, key, ts).write.mode("overwrite").parquet(os.path.join(latest_path, f"v={version:08d}"))
-    prune_versions(spark, latest_path)
+    LatestTable(spark, latest_path, key, ts, parts).merge(new, len(runs))
     (spark.createDataFrame([(end_ts, n_new)], "end_ts string, n_rows long")
      .withColumn("end_ts", F.col("end_ts").cast(source.schema[ts].dataType))
-     .write.mode("overwrite").parquet(os.path.join(control_path, f"run={version:08d}")))
+     .write.mode("overwrite").parquet(os.path.join(control_path, f"run={len(runs):08d}")))
     return n_new
 
 
+def score_and_log(stream: DataFrame, score: Callable[[DataFrame], DataFrame], scores_path: str, log_path: str, checkpoint: str,
+                  log: Callable[[DataFrame, str], None] | None = None) -> None:
+    """Each batch's scores and their audit log, two sinks with commit marks of their own.
+
+    Scores are written first and must succeed. A log that fails does not stop the stream: batches whose
+    scores are committed and whose log is not are tried again, oldest first, after every
+    later batch and when the stream starts, from the written scores. ``log(rows, path)`` writes the
+    log of one batch (default: Parquet). Both tables are read with ``read_batches``.
+    """
+    write = log or (lambda rows, path: rows.write.mode("overwrite").parquet(path))
+
+    def committed(spark: SparkSession, path: str) -> set[str]:
+        return {os.path.basename(p) for p in _list_dirs(spark, path) if path_exists(spark, os.path.join(p, "_SUCCESS"))}
+
+    def catch_up(spark: SparkSession) -> None:
+        for b in sorted(committed(spark, scores_path) - committed(spark, log_path)):
+            try:
+                write(spark.read.parquet(os.path.join(scores_path, b)), os.path.join(log_path, b))
+            except Exception as e:  # noqa: BLE001 - any failure of the log sink waits for the next batch
+                logging.getLogger(__name__).warning("log of batch %s failed, to be tried again: %s", b, e)
+                return
+
+    def both(batch: DataFrame, batch_id: int) -> None:
+        score(batch).write.mode("overwrite").parquet(batch_path(scores_path, batch_id))
+        catch_up(batch.sparkSession)
+
+    catch_up(stream.sparkSession)
+    foreach_batch(stream, both, checkpoint)
+
+
 def new_stream_dirs(spark: SparkSession, name: str) -> dict[str, str]:
     """Fresh source/sink/checkpoint folders under the shared checkpoint folder."""
     base = shared_path(spark, "streams", name)

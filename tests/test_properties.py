@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from cohortwatch.operators import asof as A
+from cohortwatch.operators import scan
 from cohortwatch.operators import clean as C
 from cohortwatch.operators import drift as D
 from cohortwatch.operators import evaluate as EV
@@ -56,14 +57,15 @@ def test_swap_twice_is_identity(spark, small_dir):
     assert twice.exceptAll(li).count() == 0 and li.exceptAll(twice).count() == 0
 
 
-@pytest.mark.parametrize("bucket", [600, 86400])
-def test_asof_matches_brute_force_and_never_looks_ahead(spark, small_dir, bucket):
+@pytest.mark.parametrize("plain_rows", [1_000_000, 20])
+def test_asof_matches_brute_force_and_never_looks_ahead(spark, small_dir, monkeypatch, plain_rows):
+    monkeypatch.setattr(scan, "PLAIN_ROWS", plain_rows)
+    monkeypatch.setattr(scan, "RANGE_ROWS", 50)
     ev = read_table(spark, small_dir, "events")
     clicks = ev.filter("event_type = 'click'").select("event_id", "user_id", "ts")
     buys = ev.filter("event_type = 'purchase'").select(F.col("event_id").alias("p_id"), "user_id",
                                                        F.col("ts").alias("p_ts"), F.col("value").alias("p_value"))
-    got = A.asof_join(clicks, buys, "user_id", "ts", "p_ts", ["p_id", "p_value"], ttl_seconds=3 * 86400,
-                      bucket_seconds=bucket, tie_breaker="p_id")
+    got = A.asof_join(clicks, buys, "user_id", "ts", "p_ts", ["p_id", "p_value"], ttl_seconds=3 * 86400, tie_breaker="p_id")
     rows = got.collect()
     assert all(r.p_ts is None or r.p_ts <= r.ts for r in rows)
     con = duckdb.connect()
@@ -106,13 +108,23 @@ def test_roc_auc_matches_evaluator(spark, small_dir):
     assert abs(ours - theirs) < 1e-9
 
 
-def test_counter_rate_independent_of_bucket(spark, small_dir):
-    ev = read_table(spark, small_dir, "events")
-    a = TS.counter_rate(ev, ["event_type"], "ts", "value", 3600, bucket_seconds=7200).select("event_id", "increase")
-    b = TS.counter_rate(ev, ["event_type"], "ts", "value", 3600, bucket_seconds=86400 * 40).select(
-        "event_id", F.col("increase").alias("i2"))
-    bad = a.join(b, "event_id").filter(F.abs(F.col("increase") - F.col("i2")) > 1e-9)
-    assert bad.count() == 0
+def test_range_windows_by_frames_and_by_running_sums_agree(spark, small_dir, monkeypatch):
+    """Null labels, equal times, series edges; every series dealt over ranges of 60 rows in the second run."""
+    ev = read_table(spark, small_dir, "events").select(
+        "event_id", F.when(F.col("event_type") != "view", F.col("event_type")).alias("event_type"),
+        F.date_trunc("minute", F.col("ts").cast("timestamp")).alias("ts"), "value")
+
+    def both():
+        a = TS.counter_rate(ev, ["event_type"], "ts", "value", 3600).select("event_id", "increase")
+        return a.join(TS.window_count_rate(ev, ["event_type"], "ts", 3600).select("event_id", "n_window"), "event_id").collect()
+
+    frames = {r.event_id: (r.increase, r.n_window) for r in both()}
+    monkeypatch.setattr(TS, "FRAME_ROWS", 0)
+    monkeypatch.setattr(scan, "PLAIN_ROWS", 10)
+    monkeypatch.setattr(scan, "RANGE_ROWS", 60)
+    sums = both()
+    assert len(sums) == len(frames) == ev.count() and max(n for _, n in frames.values()) > 1
+    assert all(abs(r.increase - frames[r.event_id][0]) < 1e-6 and r.n_window == frames[r.event_id][1] for r in sums)
 
 
 def test_drift_with_an_all_null_reference_column(spark):

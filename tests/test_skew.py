@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from cohortwatch.operators import asof as A
+from cohortwatch.operators import scan
 from cohortwatch.operators import split as SP
 from cohortwatch.operators import timeseries as TS
 from cohortwatch.plans.fixtures import read_table
@@ -36,12 +37,20 @@ def _spread(df, is_hot):
     return sum(1 for c in counts if c)
 
 
-def test_asof_spreads_hot_key(spark, small_dir, no_coalesce):
+@pytest.fixture()
+def ranges(monkeypatch):
+    """Small bounds, as if the tables were large."""
+    monkeypatch.setattr(scan, "PLAIN_ROWS", 20)
+    monkeypatch.setattr(scan, "RANGE_ROWS", 20)
+    monkeypatch.setattr(TS, "FRAME_ROWS", 20)
+
+
+def test_asof_spreads_hot_key(spark, small_dir, no_coalesce, ranges):
     ev = _hot_events(spark, small_dir)
     clicks = ev.filter("event_type = 'click'").select("event_id", "user_id", "ts")
     buys = ev.filter("event_type = 'purchase'").select(F.col("event_id").alias("p_id"), "user_id",
                                                        F.col("ts").alias("p_ts"))
-    out = A.asof_join(clicks, buys, "user_id", "ts", "p_ts", ["p_id"], bucket_seconds=86400, tie_breaker="p_id")
+    out = A.asof_join(clicks, buys, "user_id", "ts", "p_ts", ["p_id"], tie_breaker="p_id")
     naive = clicks.withColumn("r", F.row_number().over(Window.partitionBy("user_id").orderBy("ts")))
     assert _spread(naive, lambda r: r.user_id == 0) == 1
     assert _spread(out, lambda r: r.user_id == 0) >= 4
@@ -54,7 +63,28 @@ def test_hash_rank_spreads_hot_class(spark, small_dir, no_coalesce):
     assert _spread(ranked, lambda r: r.cls == "hot") >= 4
 
 
-def test_series_window_spreads_hot_series(spark, small_dir, no_coalesce):
+def test_series_window_spreads_hot_series(spark, small_dir, no_coalesce, ranges):
     ev = _hot_events(spark, small_dir)
-    out = TS.window_count_rate(ev, ["user_id"], "ts", 60, bucket_seconds=86400)
+    out = TS.window_count_rate(ev, ["user_id"], "ts", 60)
     assert _spread(out, lambda r: r.user_id == 0) >= 4
+
+
+def test_a_third_of_the_rows_in_one_key_and_one_day(spark, ranges, no_coalesce):
+    """No (key, range) of the as-of join holds more than a small share of the rows."""
+    rows = spark.range(3000).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k"),
+                                    F.timestamp_seconds(F.when(F.col("id") % 3 == 0, F.col("id") * 20).otherwise(F.col("id") * 90_000)).alias("t"), "id")
+    out = A.last_known(rows.select("k", F.unix_micros("t").alias("us"), F.when(F.col("id") % 2 == 0, F.col("id")).alias("v")), "k", ["us"], "v")
+    parts = out.rdd.mapPartitions(lambda it: [sum(1 for _ in it)]).collect()
+    assert max(parts) < 0.3 * 3000 and out.count() == 3000
+    hot = {r.us: r["__known"] for r in out.where("k = 0").collect()}
+    assert all(hot[us] == us // 20_000_000 // 6 * 6 for us in hot)
+
+
+def test_a_burst_hour_of_one_series(spark, ranges, no_coalesce):
+    """A third of the samples in one hour of one series: its window is a difference of sums over many ranges."""
+    df = spark.range(900).select(F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("s"), F.col("id") % 100)).alias("s"),
+                                 F.timestamp_seconds(F.when(F.col("id") % 3 == 0, F.col("id") * 4).otherwise(F.col("id") * 86_400)).alias("ts"), F.col("id").cast("double").alias("v"))
+    got = TS.window_count_rate(df, ["s"], "ts", 600)
+    assert _spread(got, lambda r: r.s == "hot") >= 3
+    rows = {r.v: r.n_window for r in got.where("s = 'hot'").collect()}
+    assert all(n == min(v // 3, 50) + 1 for v, n in rows.items())
