@@ -11,11 +11,13 @@ distinct hosts, so that a host with a third of the pages counts once. The model
 ``LEXICON`` commonest words.
 
 Classes. There are no labelled URLs, so seed words label the pages: a page whose words
-hold a blocked seed is of class block, any other of class allow. Multinomial naive
-Bayes counts the tokens of all pages per class (host words, and path tokens with their
-numbers blurred) in ``BUCKETS`` hashed cells, summed per batch before the shuffle. A page
-that no rule fits gets the class of higher posterior; tokens that were never seen say
-nothing. The seeds generalise: words that go with them, in hosts or paths, carry weight.
+hold a blocked seed is of class block, any other of class allow. The label's own words are
+masked: multinomial naive Bayes counts all other tokens of all pages per class (host words, and
+path tokens with their numbers blurred) in ``BUCKETS`` hashed cells, summed per batch before the
+shuffle, so it learns the company that seeds keep and cannot give the list back. A page that no
+rule fits gets the class of higher posterior, in which a seed takes the place of the prior with
+log-odds of ``SEED_ODDS``: a page without any seed is blocked by its company, and one with a seed is
+allowed where its company speaks against it more strongly. Tokens that were never seen say nothing.
 """
 
 from __future__ import annotations
@@ -55,6 +57,8 @@ SEED_INSIDE = re.compile("(" + "|".join(sorted((w for w in SEEDS if len(w) >= 5)
 LONGEST_WORD = 24
 UNKNOWN_BASE = 4
 SEED_COUNT = 5.0
+# Log-odds of block of a page with a blocked seed, before its other tokens: right in 99 of 100.
+SEED_ODDS = math.log(99)
 BUCKETS = 1 << 16
 CACHE_NAMES = 100_000
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -161,7 +165,11 @@ def bucket(token: str) -> int:
 
 def weak_label(words: list[str]) -> int:
     """1 (block) if a word, or a path token, is a blocked seed."""
-    return int(any(w.lstrip("/") in _BLOCKED for w in words))
+    return int(any(is_seed(w) for w in words))
+
+
+def is_seed(token: str) -> bool:
+    return token.lstrip("/") in _BLOCKED
 
 
 _BLOCKED = frozenset(BLOCKED_WORDS)
@@ -178,7 +186,8 @@ class UrlModel:
     def score(self, host: str, path: str) -> tuple[float, list[str]]:
         """Posterior of block, and the tokens."""
         found = tokens(self.segmenter, host, path)
-        z = self.prior + float(sum(self.odds[bucket(t)] for t in found))
+        start = SEED_ODDS if weak_label(found) else self.prior
+        z = start + float(sum(self.odds[bucket(t)] for t in found if not is_seed(t)))
         return 1 / (1 + math.exp(-max(-60.0, min(60.0, z)))), found
 
 
@@ -245,7 +254,7 @@ def learn_urls(parts: DataFrame) -> UrlModel:
             words = tokens(segmenter, host, path)
             label = weak_label(words)
             seen[label, -1] += 1
-            seen.update((label, bucket(w)) for w in words)
+            seen.update((label, bucket(w)) for w in words if not is_seed(w))
         return {"label": [k[0] for k in seen], "cell": [k[1] for k in seen], "n": list(seen.values())}
 
     # at most 2 * (BUCKETS + 1) rows
@@ -266,7 +275,8 @@ def judge_urls(pages: DataFrame, model: UrlModel, rules: tuple[tuple[str, str],
     """page_id, host, path, rule, verdict, score, words of every row of ``pages`` (page_id, url).
 
     A null url, or one without ``://``, has an empty host and path, fits no rule and is
-    judged by the prior. Equal urls get equal rows; an empty table gives an empty one.
+    judged by the prior. Equal urls get equal rows; a url of any length is read whole; columns
+    other than page_id and url are ignored; an empty table gives an empty one.
     """
     rule_set = RuleSet(rules)
     host, path = url_parts()
