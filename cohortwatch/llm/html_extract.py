@@ -14,8 +14,9 @@ Regions choose the content's container and nothing else: all ``article`` and ``m
 elements, if they hold most of the regions' text; else the innermost content-named element
 that does, with other content-named ones that have regions or the same name; else the innermost element
 around all regions that has more than one line. Every line of the container that is no
-boilerplate belongs to the article, short paragraphs too; nothing else is dropped and
-nothing is cut.
+boilerplate belongs to the article, short paragraphs too. Where no ``article`` or ``main`` says what
+the article is, menus may stand in it that no tag or name marks: runs of two and more lines below the
+threshold whose text is links (``LINKED``) are dropped. Nothing else is dropped and nothing is cut.
 """
 
 from __future__ import annotations
@@ -59,6 +60,8 @@ NAME_WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 SCOPES = frozenset(("ul", "ol", "dl", "table", "select", "menu"))
 SIGMA = 1.0
+# Share of a line's text in links from which it may be an entry of a menu.
+LINKED = 0.8
 TIGHT = 1e-9
 
 
@@ -72,17 +75,19 @@ class Line:
     noise: bool
     frame: int
     mark: int
+    linked: int = 0
 
 
 @dataclass
 class Open:
-    """An open element: its container number (0: none), whether it is boilerplate by tag or role, the numbers of the frame and of the marked element it is in."""
+    """An open element: its container number (0: none), whether it is boilerplate by tag or role, the numbers of the frame and of the marked element it is in, whether it is in a link."""
 
     tag: str
     root: int
     noise: bool
     frame: int
     mark: int
+    link: bool = False
 
 
 @dataclass
@@ -119,14 +124,15 @@ class LineParser(HTMLParser):
         self.stack: list[Open] = [Open("", 0, False, 0, 0)]
         self.pieces: list[str] = []
         self.tags = 0
+        self.linked = 0
 
     def end_line(self) -> None:
         text = " ".join("".join(self.pieces).split()) if self.pieces else ""
         if text:
             top = self.stack[-1]
             self.roots[top.root].lines.append(len(self.lines))
-            self.lines.append(Line(text, self.tags, top.root, top.noise, top.frame, top.mark))
-        self.pieces, self.tags = [], 0
+            self.lines.append(Line(text, self.tags, top.root, top.noise, top.frame, top.mark, self.linked))
+        self.pieces, self.tags, self.linked = [], 0, 0
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if tag in BLOCKS:
@@ -152,7 +158,7 @@ class LineParser(HTMLParser):
         if tag in FRAMES:
             self.frames.append((frame, self.frames[frame][1] + 1))
             frame = len(self.frames) - 1
-        self.stack.append(Open(tag, root, noise, frame, mark))
+        self.stack.append(Open(tag, root, noise, frame, mark, tag == "a" or top.link and tag not in BLOCKS))
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if tag in BLOCKS:
@@ -168,6 +174,8 @@ class LineParser(HTMLParser):
     def handle_data(self, data: str) -> None:
         if self.stack[-1].tag not in ("script", "style"):
             self.pieces.append(data)
+            if self.stack[-1].link:
+                self.linked += len(" ".join(data.split()))
 
     def _close(self, tag: str) -> None:
         """Pop to the innermost open ``tag``; a stray end tag closes nothing."""
@@ -307,6 +315,7 @@ def extract(html: str | None) -> str:
     smooth = smoothed(ratio)
     cut = threshold(smooth[kept])
     content = [i for i in kept if smooth[i] >= cut]
+    menus = unmarked_menus(lines, kept, smooth, cut)
     # text of the content regions inside each possible container, counted to the outer ones
     weight = [0] * len(parser.roots)
     for i in content:
@@ -325,8 +334,16 @@ def extract(html: str | None) -> str:
         alike = (r for r in range(1, len(weight)) if weight[r] or parser.roots[r].names == parser.roots[best].names)
         chosen = {best} | {r for r in alike if not _inside(parser, best, {r})}
     else:
-        return " ".join(lines[i].text for i in _around(parser, content, kept))
-    return " ".join(lines[i].text for i in kept if _inside(parser, lines[i].root, chosen))
+        return " ".join(lines[i].text for i in _around(parser, content, kept) if i not in menus)
+    if chosen is strong:
+        menus = set()
+    return " ".join(lines[i].text for i in kept if i not in menus and _inside(parser, lines[i].root, chosen))
+
+
+def unmarked_menus(lines: list[Line], kept: list[int], smooth: np.ndarray, cut: float) -> set[int]:
+    """Lines of runs of at least two links below the threshold."""
+    low = [bool(smooth[i] < cut and lines[i].linked >= LINKED * len(lines[i].text)) for i in kept]
+    return {i for n, i in enumerate(kept) if low[n] and (n and low[n - 1] or n + 1 < len(low) and low[n + 1])}
 
 
 def _inside(parser: LineParser, root: int, chosen: set[int]) -> bool:
@@ -364,8 +381,9 @@ def extract_main_text(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars of every row of ``pages`` (page_id, url, html).
 
     One pass without a shuffle. Null and empty html, and pages without content, give
-    an empty text; a null id or url is passed on; repeated rows give equal rows; an
-    empty table gives an empty one; other columns are ignored.
+    an empty text; a null id or url is passed on; repeated rows give equal rows; a page of any
+    length is read whole; an empty table gives an empty one; other columns are ignored, whatever
+    their names.
     """
     def extracted(batch: pa.RecordBatch) -> dict:
         texts = [extract(h) for h in batch.column("html").to_pylist()]
