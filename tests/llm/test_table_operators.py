@@ -354,3 +354,27 @@ def test_pipeline_stages(spark, small_dir):
     texts = Counter((r["doc_id"], tuple(c.encode(r["text"]))) for r in mixed.collect())
     assert Counter((r["doc_id"], tuple(r["token_ids"])) for r in coded) == texts
     assert all(r["n_tokens"] == len(r["token_ids"]) and hashlib.sha256(c.decode(r["token_ids"]).encode()).hexdigest() == r["decoded_sha256"] for r in coded)
+
+
+def test_pipeline_stages_on_empty_and_awkward_tables(spark, docs):
+    """Each stage takes an empty table, and one with nulls, repeated rows, long texts and clashing columns."""
+    import corpus_pipeline
+
+    stage = dict(corpus_pipeline.STAGES)
+    empty = docs.limit(0)
+    for name, fn in corpus_pipeline.STAGES:
+        out = fn(spark, empty, "")
+        assert out.count() == 0 and (name == "bpe_codec" or out.columns == docs.columns), name
+    # nothing to learn a language from: no text is accepted
+    assert stage["language_id"](spark, docs.withColumn("lang", docs["lang"].substr(0, 0)).where("lang is null"), "").columns == docs.columns
+    # null ids and texts without words stay; of the equal texts 4 and 5 (twice) the smallest id stays, and 7 of 7 and 8
+    left = Counter(r["doc_id"] for r in stage["near_duplicates"](spark, docs, "").collect())
+    assert left[None] == 1 and left[1] == left[2] == left[3] == 1 and left[4] == 1 and 5 not in left and left[7] == 1 and 8 not in left
+    clean = stage["secret_scan"](spark, docs, "").collect()
+    assert len(clean) == len(DOCS) and {r["n_chars"] for r in clean if r["text"] is None} == {None}
+    narrow = stage["secret_scan"](spark, docs.select("doc_id", "text"), "")
+    assert narrow.columns == ["doc_id", "text"] and narrow.count() == len(DOCS)
+    mixed = stage["mix_sources"](spark, docs, "").collect()
+    assert all(r["text"].split() for r in mixed) and {r["source"] for r in mixed} >= {"a", "b"}
+    coded = stage["bpe_codec"](spark, docs.select("doc_id", "text"), "").collect()
+    assert len(coded) == len(DOCS) and all(r["source"] is None for r in coded) and {r["n_tokens"] for r in coded if r["doc_id"] in (1, 2, 3)} == {0}

@@ -308,3 +308,50 @@ def test_names_with_an_unlearned_part_are_split(spark):
     # seeds do not get rare in a large corpus
     large = url_filter.with_seeds({f"word{i}": 1e5 for i in range(1000)})
     assert large.split("casinoqzr") == ("casino", "qzr")
+
+
+def test_the_posterior_departs_from_the_seeds(spark):
+    """Labels mask their own words: company decides for hosts without a seed, and against a seed; counts equal a plain recount."""
+    urls = [f"http://{w}-{s}.com/bonus/{i}" for i, s in enumerate(("casino", "poker", "slots") * 12) for w in ("royalspin", "megaspin")]
+    urls += [f"http://{w}.org/wiki/{i}" for i in range(40) for w in ("museum", "library", "archive")]
+    urls += ["http://royalspin.net/bonus/7", "http://megaspin.co.uk/bonus/9", "http://casino-museum-library.org/wiki/3", "http://newcasino.info/x", "http://garden.org/x"]
+    df = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    host, path = url_filter.url_parts()
+    model = url_filter.learn_urls(df.select(host.alias("host"), path.alias("path")))
+    got = {r["page_id"]: r for r in url_filter.judge_urls(df, model, ()).collect()}
+    verdict = [got[len(urls) - 5 + i]["verdict"] for i in range(5)]
+    by_list = ["block" if url_filter.weak_label(got[len(urls) - 5 + i]["words"].split()) else "allow" for i in range(5)]
+    assert verdict == ["block", "block", "allow", "block", "allow"] and by_list == ["allow", "allow", "block", "block", "allow"]
+    # naive Bayes, recounted from the tokens shown
+    pages, seen = [1, 1], [{}, {}]
+    for r in got.values():
+        words = r["words"].split()
+        label = int(any(w.lstrip("/") in url_filter.BLOCKED_WORDS for w in words))
+        pages[label] += 1
+        for w in words:
+            if w.lstrip("/") not in url_filter.BLOCKED_WORDS:
+                cell = url_filter.bucket(w)
+                seen[label][cell] = seen[label].get(cell, 0) + 1
+    cells = set(seen[0]) | set(seen[1])
+    assert model.prior == pytest.approx(math.log(pages[1] / pages[0]))
+    for cell in cells:
+        chance = [(seen[k].get(cell, 0) + 1) / (sum(seen[k].values()) + len(cells)) for k in (0, 1)]
+        assert model.odds[cell] == pytest.approx(math.log(chance[1] / chance[0]))
+    assert set(model.odds.nonzero()[0]) <= cells
+
+
+def test_menus_that_nothing_marks(spark):
+    """Link lists inside the text's own container go by their ratio, and stay where the threshold says nothing; links in prose stay."""
+    long = "<p>" + "A sentence of the article that runs on for a while. " * 8 + "</p>"
+    menu = "<div><a href=/a>Home</a></div><div><a href=/b>About us</a></div><div><a href=/c>Contact</a></div>"
+    prose = "<p>See <a href=/x>the other page</a> for more.</p>"
+    page = f"<body><div>{menu}{long}{prose}{long}<p>Short end.</p>{menu}</div></body>"
+    text = ("A sentence of the article that runs on for a while. " * 8).strip()
+    want = f"{text} See the other page for more. {text} Short end."
+    assert html_extract.extract(page) == want
+    real, html_extract.threshold = html_extract.threshold, lambda values: float("-inf")
+    try:
+        assert html_extract.extract(page) != want
+    finally:
+        html_extract.threshold = real
+    assert html_extract.extract(f"<body><article>{menu}{long}</article></body>") == "Home About us Contact " + text
