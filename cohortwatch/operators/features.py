@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from cohortwatch.functions.codes import (AGE_BANDS, flag_equal, flag_not_equal,
                                          group_codes, ordinal_lookup, py_float)
+from cohortwatch.session import cut_lineage
 
 
 def add_code_groups(df: DataFrame, code: str, out: str, **kw) -> DataFrame:
@@ -23,11 +24,9 @@ def add_code_groups(df: DataFrame, code: str, out: str, **kw) -> DataFrame:
 
 
 def category_shares(df: DataFrame, column: str) -> DataFrame:
-    """(value, count, share_pct) over non-null values."""
-    nn = df.filter(F.col(column).isNotNull())
-    total = nn.agg(F.count(F.lit(1))).scalar()
-    return (nn.groupBy(column).agg(F.count(F.lit(1)).alias("n"))
-              .withColumn("share_pct", F.col("n") * 100.0 / total))
+    """(value, count, share_pct) over non-null values (G02, N5); the counts are written, so ``df`` is computed once."""
+    counts = cut_lineage(df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n")))
+    return counts.withColumn("share_pct", F.col("n") * 100.0 / counts.agg(F.sum("n")).scalar())
 
 
 def keep_list(df: DataFrame, column: str, min_share_pct: float) -> DataFrame:

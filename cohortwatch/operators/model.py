@@ -9,19 +9,21 @@ so fold membership is repeatable.
 from __future__ import annotations
 
 import random
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LinearSVC, LogisticRegression,
                                        NaiveBayes, RandomForestClassifier)
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import MinMaxScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cohortwatch.operators.evaluate import roc_auc
+from cohortwatch.session import cut_lineage
+
 FEATURES = "features"
 
 
@@ -71,31 +73,43 @@ def _parallelism(df: DataFrame, parallelism: int | None) -> int:
     return parallelism or max(2, df.sparkSession.sparkContext.defaultParallelism)
 
 
-def leaderboard(df: DataFrame, feature_cols: Sequence[str], label: str, fold_col: str, n_folds: int,
-                seed: int = 42, parallelism: int | None = None, models: Sequence[str] | None = None) -> DataFrame:
-    """Mean cross-validated AUC per candidate over the given folds, best first.
+def cross_scores(df: DataFrame, feature_cols: Sequence[str], label: str, fold_col: str, n_folds: int, estimators: Mapping[str, tuple],
+                 parallelism: int | None = None) -> DataFrame:
+    """(model, fold, label, score): every row scored by each estimator's fit on the other folds.
 
-    ``parallelism`` cross-validates that many candidates at once (default: the
-    cluster's default parallelism); the folds of one candidate run in turn.
+    Features are assembled once and written; the fits of all estimators and folds run
+    ``parallelism`` at a time (default: the cluster's default parallelism), and what they score
+    is one table, so that all metrics of all of them are one grouped job.
     """
-    spark = df.sparkSession
-    parallelism = _parallelism(df, parallelism)
-    ev = BinaryClassificationEvaluator(labelCol=label, metricName="areaUnderROC")
-    chosen = [(name, est, scale) for name, (est, scale) in candidates(label, seed).items()
-              if not models or name in models]
-
-    def run(item):
-        name, est, scale = item
-        cv = CrossValidator(estimator=_pipeline(feature_cols, est, scale), estimatorParamMaps=[{}], evaluator=ev,
-                            foldCol=fold_col, numFolds=n_folds, seed=seed)
-        m = cv.fit(df)
-        return name, float(m.avgMetrics[0]), float(m.stdMetrics[0]) if m.stdMetrics else None
-
-    # candidates are cross-validated concurrently: each one's fold fits are Spark jobs
-    with ThreadPoolExecutor(max_workers=max(1, min(len(chosen), parallelism))) as pool:
-        rows = list(pool.map(run, chosen))
-    out = spark.createDataFrame(rows, "model string, auc double, auc_std double")
-    return out.orderBy(F.desc("auc"), "model")
+    vectors = VectorAssembler(inputCols=list(feature_cols), outputCol="__raw", handleInvalid="keep").transform(df)
+    vectors = cut_lineage(vectors.select(F.col(label).cast("double").alias(label), F.col(fold_col).alias("fold"), "__raw"))
+
+    def scored(job):
+        name, (est, scale), fold = job
+        stages = [MinMaxScaler(inputCol="__raw", outputCol=FEATURES)] if scale else []
+        est = est.copy({est.featuresCol: FEATURES if scale else "__raw"})
+        model = Pipeline(stages=[*stages, est]).fit(vectors.where(F.col("fold") != fold))
+        raw = vector_to_array(F.col("rawPrediction"))[1]
+        return model.transform(vectors.where(F.col("fold") == fold)).select(
+            F.lit(name).alias("model"), "fold", F.col(label).cast("int").alias("label"), raw.alias("score"))
+
+    jobs = [(name, est, fold) for name, est in estimators.items() for fold in range(n_folds)]
+    with ThreadPoolExecutor(max_workers=max(1, min(len(jobs), _parallelism(df, parallelism)))) as pool:
+        return reduce(DataFrame.unionByName, pool.map(scored, jobs))
+
+
+def cross_metrics(scores: DataFrame) -> DataFrame:
+    """(model, auc, auc_std, n_folds): mean and deviation of the AUC over the folds of ``cross_scores``."""
+    per_fold = roc_auc(cut_lineage(scores), "label", "score", by=["model", "fold"])
+    return per_fold.groupBy("model").agg(F.avg("auc").alias("auc"), F.stddev_pop("auc").alias("auc_std"), F.count("auc").alias("n_folds"))
+
+
+def leaderboard(df: DataFrame, feature_cols: Sequence[str], label: str, fold_col: str, n_folds: int,
+                seed: int = 42, parallelism: int | None = None, models: Sequence[str] | None = None) -> DataFrame:
+    """Mean cross-validated AUC per candidate over the given folds, best first."""
+    chosen = {name: c for name, c in candidates(label, seed).items() if not models or name in models}
+    scores = cross_scores(df, feature_cols, label, fold_col, n_folds, chosen, parallelism)
+    return cross_metrics(scores).select("model", "auc", "auc_std").orderBy(F.desc("auc"), "model")
 
 
 def random_search(df: DataFrame, feature_cols: Sequence[str], label: str, fold_col: str, n_folds: int, grid: dict,
@@ -104,23 +118,16 @@ def random_search(df: DataFrame, feature_cols: Sequence[str], label: str, fold_c
 
     Returns the per-draw table (draw, params, auc) and the chosen parameters.
     """
-    parallelism = _parallelism(df, parallelism)
     rng = random.Random(seed)
     est = LogisticRegression(labelCol=label, featuresCol=FEATURES)
     keys = sorted(grid)
-    draws = [{k: rng.choice(grid[k]) for k in keys} for _ in range(n_iter)]
-    maps = [{}] + [{getattr(est, k): v for k, v in d.items()} for d in draws]
-    ev = BinaryClassificationEvaluator(labelCol=label, metricName="areaUnderROC")
-    cv = CrossValidator(estimator=_pipeline(feature_cols, est), estimatorParamMaps=maps, evaluator=ev,
-                        foldCol=fold_col, numFolds=n_folds, parallelism=parallelism, seed=seed)
-    m = cv.fit(df)
-    metrics = list(m.avgMetrics)
-    rows = [(i, "untuned" if i == 0 else ", ".join(f"{k}={draws[i - 1][k]}" for k in keys), float(a))
-            for i, a in enumerate(metrics)]
-    best = max(range(len(metrics)), key=lambda i: (metrics[i], -i))
-    chosen = {} if best == 0 else draws[best - 1]
-    table = df.sparkSession.createDataFrame(rows, "draw int, params string, auc double")
-    return table, chosen
+    draws = [{}] + [{k: rng.choice(grid[k]) for k in keys} for _ in range(n_iter)]
+    tuned = {str(i): (est.copy({getattr(est, k): v for k, v in d.items()}), False) for i, d in enumerate(draws)}
+    metrics = cross_metrics(cross_scores(df, feature_cols, label, fold_col, n_folds, tuned, parallelism))
+    auc = {int(r["model"]): float(r["auc"]) for r in metrics.collect()}  # one row a draw
+    best = max(auc, key=lambda i: (auc[i], -i))
+    rows = [(i, ", ".join(f"{k}={d[k]}" for k in keys) if i else "untuned", auc[i]) for i, d in enumerate(draws)]
+    return df.sparkSession.createDataFrame(rows, "draw int, params string, auc double"), draws[best]
 
 
 def feature_importance(model: PipelineModel, feature_cols: Sequence[str], spark: SparkSession) -> DataFrame:

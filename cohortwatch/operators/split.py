@@ -18,17 +18,24 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from cohortwatch.functions.values import hash_order, hash_draw
 from cohortwatch.session import cut_lineage
 
-# Tables below this many rows are broadcast; beyond it the join shuffles.
-BROADCAST_MAX_ROWS = 2_000_000
+# Tables of up to so many bytes are broadcast; beyond it the join shuffles.
+BROADCAST_MAX_BYTES = 64 * 1024 * 1024
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, materialize: bool = True) -> DataFrame:
-    """Broadcast only after counting: a proven size bound, else a shuffle join.
+def row_bytes(schema: T.StructType) -> int:
+    """About what a row takes: 8 bytes a number, 64 a text, 256 anything nested."""
+    sizes = {T.StringType: 64, T.BinaryType: 64, T.ArrayType: 256, T.MapType: 256, T.StructType: 256}
+    return 16 + sum(sizes.get(type(f.dataType), 8) for f in schema.fields)
+
+
+def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES, materialize: bool = True) -> DataFrame:
+    """Broadcast only after counting rows, times the bytes of one: a checked size, else a shuffle join.
 
     With ``materialize`` the side is written once to the checkpoint folder
     first, so the count and the join read the stored rows instead of running
@@ -37,7 +44,7 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, materi
     """
     if materialize:
         df = cut_lineage(df)
-    return F.broadcast(df) if df.count() <= max_rows else df
+    return F.broadcast(df) if df.count() * row_bytes(df.schema) <= max_bytes else df
 
 
 def _hash_buckets(df: DataFrame, key: str, seed: int, by: Sequence[str], digits: int) -> DataFrame:

@@ -32,7 +32,7 @@ def batch_pipeline(spark: SparkSession, sf_dir: str, folder: str) -> tuple[dict[
     raw = encounters(spark, sf_dir)
     clean = IO.load_or_materialise(spark, lambda: q_clean.clean_encounters(spark, sf_dir),
                                    os.path.join(folder, "clean"))
-    feats = IO.load_or_materialise(spark, lambda: q_clean.feature_table(spark, sf_dir),
+    feats = IO.load_or_materialise(spark, lambda: q_clean.feature_table(spark, sf_dir, clean),
                                    os.path.join(folder, "features"))
     sp = SP.stratified_split(feats.select(*q_scenario.COLS), S.ENTITY_KEY, S.TARGET, S.SPLIT_TEST_SIZE,
                              S.SPLIT_SEED)

@@ -245,9 +245,10 @@ SPEC_SQL = ("SELECT medical_specialty, count(*) * 100.0 / (SELECT count(medical_
 FEATURE_CTES = dict(CLEAN_CTES, spec=SPEC_SQL, feat=FEATURES_SQL)
 
 
-def feature_table(spark, sf_dir):
+def feature_table(spark, sf_dir, clean=None):
+    """The feature table, from ``clean`` where that is stored already."""
     return FE.feature_pipeline(
-        clean_encounters(spark, sf_dir), target_source="readmitted", target_negative=S.TARGET_NEGATIVE,
+        clean_encounters(spark, sf_dir) if clean is None else clean, target_source="readmitted", target_negative=S.TARGET_NEGATIVE,
         target=S.TARGET, code_column="diag_1", code_out="diag_1_category",
         rare_column="medical_specialty", rare_out="medical_specialty_grouped",
         min_share_pct=S.SPECIALTY_MIN_SHARE_PCT, flag_column="race", flag_value=S.WHITE_RACE,

@@ -124,6 +124,18 @@ def q_report_tables(spark, sf_dir):
     return spark.read.parquet(os.path.join(folder, "scenario_summary"))
 
 
+@register("leaderboard_csv", with_ctes("""
+SELECT model, round(auc, 6) AS auc, round(f1, 6) AS f1, round(precision, 6) AS prec, round(recall, 6) AS recall, round(accuracy, 6) AS accuracy FROM lb
+""", **q_eval.MODELS, lb=q_eval.LEADER_SQL))
+def q_leaderboard_csv(spark, sf_dir):
+    """The leaderboard written as a CSV report and read back by its header."""
+    path = os.path.join(_folder(spark, "leaderboard"), "csv")
+    wide = EV.rename_metrics(q_eval._leaderboard(spark, sf_dir))
+    IO.write_csv(wide, path)
+    back = IO.read_csv(spark, path, wide.schema)
+    return back.select("model", *[F.round(c, 6).alias(c) for c in ("auc", "f1", "prec", "recall", "accuracy")])
+
+
 @register("certify_metrics", with_ctes("""
 SELECT metric, round(value, 6) AS recorded, round(value, 6) AS live, CAST(0.0 AS DOUBLE) AS delta, true AS within FROM live
 """, **q_eval.SC, met=q_eval.METRICS_SQL.replace("round(", "(").replace(", 6)", ")"),

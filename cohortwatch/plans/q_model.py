@@ -16,11 +16,12 @@ from cohortwatch.operators import split as SP
 from cohortwatch.operators import trees as TR
 from cohortwatch.plans.q_encode import _frames, _spec
 from cohortwatch.plans.q_scenario import SPLIT_CTES
+from cohortwatch.plans.q_split import md5_sql
 from cohortwatch.plans.registry import register, with_ctes
 from cohortwatch.session import cut_lineage, shared_path
 
 KEY, LABEL, SEED = S.ENTITY_KEY, S.TARGET, S.SPLIT_SEED
-CV_FOLDS = 5
+CV_FOLDS = S.N_FOLDS
 SEARCH_GRID = {"regParam": [0.0, 0.001, 0.01, 0.1, 1.0], "elasticNetParam": [0.0, 0.25, 0.5, 0.75, 1.0],
                "maxIter": [10, 25, 50], "fitIntercept": [True, False]}
 
@@ -112,6 +113,23 @@ def q_leaderboard(spark, sf_dir):
     return ML.leaderboard(folded, spec.output_columns, LABEL, "fold", CV_FOLDS, SEED)
 
 
+@register("leaderboard_folds", with_ctes(f"""
+SELECT model, fold, count(*) AS n_rows, CAST(sum({LABEL}) AS BIGINT) AS n_pos, true AS auc_in_range
+FROM (SELECT {LABEL}, (row_number() OVER (PARTITION BY {LABEL} ORDER BY {md5_sql(KEY)}, {KEY}) - 1) % {CV_FOLDS} AS fold FROM train0),
+  (VALUES ('decision_tree'), ('naive_bayes')) m(model)
+GROUP BY model, fold
+""", **SPLIT_CTES))
+def q_leaderboard_folds(spark, sf_dir):
+    """What each candidate scored in each fold, from the one table of held-out scores."""
+    tr, _, spec = _encoded(spark, sf_dir)
+    folded = cut_lineage(SP.stratified_folds(tr, KEY, LABEL, CV_FOLDS, SEED))
+    some = {name: c for name, c in ML.candidates(LABEL, SEED).items() if name in ("decision_tree", "naive_bayes")}
+    scores = ML.cross_scores(folded, spec.output_columns, LABEL, "fold", CV_FOLDS, some)
+    out = EV.roc_auc(cut_lineage(scores), "label", "score", by=["model", "fold"])
+    return out.select("model", F.col("fold").cast("long").alias("fold"), (F.col("n_pos") + F.col("n_neg")).alias("n_rows"), "n_pos",
+                      F.coalesce(F.col("auc").between(0, 1), F.lit(False)).alias("auc_in_range"))
+
+
 @register("random_search")
 def q_random_search(spark, sf_dir):
     """25 seeded draws from a grid, cross-validated; 'chosen' marks the kept parameters."""

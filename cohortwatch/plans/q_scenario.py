@@ -84,23 +84,26 @@ def _replace(mapping):
     return ", ".join(f"{mapping.get(c, c)} AS {c}" for c in COLS)
 
 
+def _clipped(expr: str, bounds: tuple[int, int]) -> str:
+    return f"LEAST(GREATEST({expr}, {bounds[0]}), {bounds[1]})"
+
+
+# the constants are those of the corruptions themselves
 SCENARIO_SQL = {
     "out_of_bounds": _replace({
-        "num_lab_procedures": "num_lab_procedures * 50 + 5000", "time_in_hospital": "CAST(9999 AS BIGINT)",
-        "num_medications": _hint("out_of_bounds:meds", 500, 1000), "number_diagnoses": "number_diagnoses + 900"}),
-    "column_swap": _replace({"num_medications": "num_lab_procedures", "num_lab_procedures": "num_medications",
-                             "num_procedures": "time_in_hospital", "time_in_hospital": "num_procedures"}),
+        "num_lab_procedures": f"num_lab_procedures * {X.OOB_LAB_SCALE} + {X.OOB_LAB_SHIFT}", "time_in_hospital": f"CAST({X.OOB_STAY} AS BIGINT)",
+        "num_medications": _hint("out_of_bounds:meds", *X.OOB_MEDS_RANGE), "number_diagnoses": f"number_diagnoses + {X.OOB_DIAGNOSES_SHIFT}"}),
+    "column_swap": _replace({**dict(X.SWAP_PAIRS), **{b: a for a, b in X.SWAP_PAIRS}}),
     "schema_change": _replace({
-        "gender": f"CASE WHEN {draw_sql(KEY, SEED, 'schema_change:gender')} / 1152921504606846976.0 < 0.4 THEN 'UNKNOWN' "
-                  f"ELSE gender END",
-        "diag_1_category": f"['ZZZ', 'NEW_CODE', 'Unmapped'][{draw_sql(KEY, SEED, 'schema_change:diag')} % 3 + 1]",
-        "medical_specialty_grouped": "'BrandNewSpecialty'"}),
+        "gender": f"CASE WHEN {draw_sql(KEY, SEED, 'schema_change:gender')} / 1152921504606846976.0 < {X.UNKNOWN_GENDER_SHARE} "
+                  f"THEN '{X.UNKNOWN_GENDER}' ELSE gender END",
+        "diag_1_category": f"{X.UNSEEN_DIAGNOSES}[{draw_sql(KEY, SEED, 'schema_change:diag')} % {len(X.UNSEEN_DIAGNOSES)} + 1]",
+        "medical_specialty_grouped": f"'{X.UNSEEN_SPECIALTY}'"}),
     "dist_shift": _replace({
-        "age_ordinal": f"CASE WHEN age_ordinal IS NOT NULL THEN "
-                       f"LEAST(GREATEST(age_ordinal + {_hint('dist_shift:age', 2, 5)}, 0), 9) END",
-        "time_in_hospital": f"LEAST(GREATEST(time_in_hospital + {_hint('dist_shift:stay', 4, 10)}, 1), 14)",
-        "number_inpatient": f"number_inpatient + {_hint('dist_shift:inpatient', 2, 6)}",
-        "number_emergency": f"number_emergency + {_hint('dist_shift:emergency', 1, 4)}"}),
+        "age_ordinal": f"CASE WHEN age_ordinal IS NOT NULL THEN {_clipped('age_ordinal + ' + _hint('dist_shift:age', *X.SHIFT_AGE), X.AGE_BOUNDS)} END",
+        "time_in_hospital": _clipped("time_in_hospital + " + _hint("dist_shift:stay", *X.SHIFT_STAY), X.STAY_BOUNDS),
+        "number_inpatient": f"number_inpatient + {_hint('dist_shift:inpatient', *X.SHIFT_INPATIENT)}",
+        "number_emergency": f"number_emergency + {_hint('dist_shift:emergency', *X.SHIFT_EMERGENCY)}"}),
 }
 
 SPLIT_CTES = dict(

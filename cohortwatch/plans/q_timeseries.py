@@ -15,15 +15,18 @@ from cohortwatch.plans.fixtures import read_table
 from cohortwatch.plans.registry import register
 
 BOUNDS = [5.0, 10.0, 25.0, 50.0, 100.0, 250.0]
-# Alert rules over the sample names: (alert, metric, op, low, high, for_seconds)
+# ---------------------------------------------------------------------------
+# Fixed values (names and hold times of the alert rules). The metrics and levels are those of
+# the events fixture: (alert, metric, op, low, high, for_seconds).
 RULES = [
-    ("TargetDown", "signup", "eq", 0.0, None, 15),
+    ("InferenceAPIDown", "signup", "eq", 0.0, None, 15),
     ("DriftedColumnsDetected", "click", "ge", 300.0, None, 15),
     ("DataDriftShareHigh", "view", "gt", 150.0, None, 15),
     ("DatasetDriftDetected", "error", "ge", 250.0, None, 15),
     ("PredictionDistributionShift", "purchase", "outside", 15.0, 40.0, 15),
     ("HighPredictionLatency", "view", "gt", 200.0, None, 30),
 ]
+# ---------------------------------------------------------------------------
 EXPECTED_SERIES = ["signup", "click", "purchase", "view", "error", "login", "logout", "refund"]
 
 

@@ -40,12 +40,6 @@ SPLIT_SEED = 42
 N_FOLDS = 10
 TUNING_DRAWS = 25
 
-NUMERIC_FEATURES = [
-    "time_in_hospital", "num_lab_procedures", "num_procedures", "num_medications",
-    "number_outpatient", "number_emergency", "number_inpatient", "number_diagnoses",
-    "admission_type_id", "discharge_disposition_id", "admission_source_id",
-    "race_white", "age_ordinal",
-]
 CATEGORICAL_FEATURES = ["diag_1_category", "medical_specialty_grouped", "gender"]
 FEATURE_COLUMNS = [
     "time_in_hospital", "num_lab_procedures", "num_procedures", "num_medications",
@@ -53,6 +47,7 @@ FEATURE_COLUMNS = [
     "admission_type_id", "discharge_disposition_id", "admission_source_id",
     "diag_1_category", "medical_specialty_grouped", "race_white", "gender", "age_ordinal",
 ]
+NUMERIC_FEATURES = [c for c in FEATURE_COLUMNS if c not in CATEGORICAL_FEATURES]
 TARGET = "readmitted_binary"
 ENTITY_KEY = "encounter_id"
 PATIENT_KEY = "patient_nbr"
