@@ -10,10 +10,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cohortwatch import schemas as S
 from cohortwatch.operators import timeseries as TS
+from cohortwatch.plans.drift_sql import drift_ctes, verdict_sql
 from cohortwatch.plans.fixtures import read_table
-from cohortwatch.plans.registry import register
+from cohortwatch.plans.registry import register, with_ctes
 from cohortwatch.streaming import stream as ST
+from cohortwatch.streaming.monitor import RollingDriftMonitor
 
 # key-hash partitions of the latest tables here: a handful of users
 LATEST_PARTS = 4
@@ -147,16 +150,34 @@ def q_stream_score_and_log(spark, sf_dir):
     return ST.read_batches(spark, dirs["sink"]).join(logged, "event_id", "left").select("event_id", "prediction", F.coalesce("logged", F.lit(False)).alias("logged"))
 
 
-@register("stream_rolling_drift")
+FILES_PER_CHECK_BATCH = 3
+LIVE_CTES = dict(
+    days="SELECT day, row_number() OVER (ORDER BY day) - 1 AS di FROM (SELECT DISTINCT CAST(ts AS DATE) AS day FROM events)",
+    arrived=f"""SELECT e.event_id, e.value, e.event_type, d.di // {FILES_PER_CHECK_BATCH} AS batch_id,
+                row_number() OVER (ORDER BY d.di // {FILES_PER_CHECK_BATCH}, e.event_id) - 1 AS seq
+                FROM events e JOIN days d ON CAST(e.ts AS DATE) = d.day""",
+    sizes="SELECT batch_id, n, sum(n) OVER (ORDER BY batch_id) AS seen FROM (SELECT batch_id, count(*) AS n FROM arrived GROUP BY batch_id)",
+    run=f"""SELECT batch_id, seen, n AS since, n >= {S.ROLLING_MIN_NEW_ROWS} AND LEAST(seen, {S.ROLLING_WINDOW_ROWS}) >= {S.ROLLING_MIN_WINDOW_ROWS} AS due
+            FROM sizes WHERE batch_id = 0
+            UNION ALL SELECT s.batch_id, s.seen, s.n + CASE WHEN r.due THEN 0 ELSE r.since END,
+              s.n + CASE WHEN r.due THEN 0 ELSE r.since END >= {S.ROLLING_MIN_NEW_ROWS} AND LEAST(s.seen, {S.ROLLING_WINDOW_ROWS}) >= {S.ROLLING_MIN_WINDOW_ROWS}
+            FROM run r JOIN sizes s ON s.batch_id = r.batch_id + 1""",
+    ref="SELECT event_id, value, event_type FROM events",
+    cur=f"""SELECT a.event_id, a.value, a.event_type, r.batch_id AS check_id FROM arrived a
+            JOIN run r ON r.due AND a.seq >= r.seen - {S.ROLLING_WINDOW_ROWS} AND a.seq < r.seen""",
+    **drift_ctes("ref", "cur", ["value"], ["event_type"], "check_id"),
+    verdict=verdict_sql(),
+)
+
+
+@register("stream_rolling_drift", with_ctes("""
+SELECT r.batch_id, CAST(r.seen AS BIGINT) AS rows_seen, CAST(CASE WHEN r.due THEN 0 ELSE r.since END AS BIGINT) AS rows_since, r.due AS checked,
+  CASE WHEN v.dataset_drift IS NULL THEN 'warming up' WHEN v.dataset_drift THEN 'drift detected' ELSE 'healthy' END AS state
+FROM run r LEFT JOIN verdict v ON CAST(v.g AS BIGINT) = (SELECT max(c.batch_id) FROM run c WHERE c.due AND c.batch_id <= r.batch_id)
+""", **LIVE_CTES).replace("WITH ", "WITH RECURSIVE ", 1))
 def q_stream_rolling_drift(spark, sf_dir):
-    """T05, T06 live: foreachBatch monitor over micro-batches of three day files; state after every batch.
-
-    Rows-only check: which rows a check sees depends on the order the file
-    source delivers the day files in.
-    """
-    from cohortwatch import schemas as S
-    from cohortwatch.streaming.monitor import RollingDriftMonitor
-    dirs, stream = _staged(spark, sf_dir, "rolling", files_per_batch=3)
+    """T05, T06 live: foreachBatch monitor over micro-batches of three day files, against all events; state after every batch."""
+    dirs, stream = _staged(spark, sf_dir, "rolling", files_per_batch=FILES_PER_CHECK_BATCH)
     ref = read_table(spark, sf_dir, "events").select("event_id", "value", "event_type")
     mon = RollingDriftMonitor(ref, ["value"], ["event_type"], dirs["sink"], "event_id", S.ROLLING_WINDOW_ROWS,
                               S.ROLLING_MIN_NEW_ROWS, S.ROLLING_MIN_WINDOW_ROWS)
