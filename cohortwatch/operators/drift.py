@@ -94,20 +94,11 @@ def value_grid(reference: DataFrame, current: DataFrame, numeric: Sequence[str],
 def _column_totals(grid: DataFrame, expected: DataFrame) -> DataFrame:
     """Sizes per (g, column); a column without any value keeps its row, with zeros."""
     found = grid.groupBy(G, "column", "kind").agg(
-        F.sum("n_r").alias("n_ref"), F.sum("n_c").alias("n_cur"), F.count(F.lit(1)).alias("n_values"))
+        F.sum("n_r").alias("n_ref"), F.sum("n_c").alias("n_cur"), F.count(F.lit(1)).alias("n_values"),
+        F.min(F.when(F.col("n_r") > 0, F.col("vnum"))).alias("least"))
     return expected.join(found, [G, "column", "kind"], "left").fillna(0, ["n_ref", "n_cur", "n_values"])
 
 
-def reference_std(grid: DataFrame, totals: DataFrame) -> DataFrame:
-    """Population std of the reference per (g, column), from the value counts (two passes over the grid)."""
-    num = grid.filter((F.col("kind") == "num") & (F.col("n_r") > 0)).join(totals, [G, "column"])
-    mean = num.groupBy(G, "column").agg(
-        F.try_divide(F.sum(F.col("n_r") * F.col("vnum")), F.first("n_ref")).alias("__mu"))
-    dev = num.join(mean, [G, "column"]).select(
-        G, "column", "n_ref", (F.col("n_r") * (F.col("vnum") - F.col("__mu")) ** 2).alias("__d2"))
-    return dev.groupBy(G, "column").agg(F.sqrt(F.try_divide(F.sum("__d2"), F.first("n_ref"))).alias("std_ref"))
-
-
 def numeric_distances(grid: DataFrame, totals: DataFrame) -> DataFrame:
     """(g, column, ks_d, w1, w1_norm) for numeric columns.
 
@@ -115,14 +106,17 @@ def numeric_distances(grid: DataFrame, totals: DataFrame) -> DataFrame:
     """
     num = grid.filter(F.col("kind") == "num").select(G, "column", "vnum", "n_r", "n_c")
     sc = ordered_scan(num, [G, "column"], "vnum", ["n_r", "n_c"], stored_input=True)
-    sc = sc.join(totals.select(G, "column", "n_ref", "n_cur"), [G, "column"])
+    sc = sc.join(totals.select(G, "column", "n_ref", "n_cur", "least"), [G, "column"])
+    # the spread of the reference is summed up from its least value, which keeps the digits
+    dev = F.col("vnum") - F.col("least")
     # try_divide: a column with no values on one side gives null statistics, not a failed job
     diff = F.abs(F.try_divide(F.col("cum_n_r"), F.col("n_ref")) - F.try_divide(F.col("cum_n_c"), F.col("n_cur")))
     per = sc.groupBy(G, "column").agg(
         F.max(diff).alias("ks_d"),
-        F.sum(diff * F.coalesce(F.col("next_value") - F.col("vnum"), F.lit(0.0))).alias("w1"))
-    per = per.join(reference_std(grid, totals), [G, "column"], "left")
-    return per.withColumn("w1_norm", F.col("w1") / F.greatest(F.col("std_ref"), F.lit(STD_FLOOR)))
+        F.sum(diff * F.coalesce(F.col("next_value") - F.col("vnum"), F.lit(0.0))).alias("w1"),
+        F.try_divide(F.sum(F.col("n_r") * dev), F.max("n_ref")).alias("m1"), F.try_divide(F.sum(F.col("n_r") * dev * dev), F.max("n_ref")).alias("m2"))
+    std_ref = F.sqrt(F.greatest(F.col("m2") - F.col("m1") * F.col("m1"), F.lit(0.0)))
+    return per.select(G, "column", "ks_d", "w1", (F.col("w1") / F.greatest(std_ref, F.lit(STD_FLOOR))).alias("w1_norm"))
 
 
 def categorical_stats(grid: DataFrame, totals: DataFrame) -> DataFrame:
