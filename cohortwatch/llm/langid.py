@@ -52,6 +52,8 @@ BATCH = 64
 RATE = 0.5
 SEED = 7
 PIECE_CHARS = 400_000
+# Training texts whose subwords are held as arrays at once.
+BAG_TEXTS = 500
 # Bits of the table of n-grams met, for each n-gram; a false meeting is one in so many.
 BITS_A_GRAM = 512
 UNKNOWN = "und"
@@ -258,15 +260,19 @@ def softmax(z: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=1, keepdims=True)
 
 
-def bags(texts: list[str], long: bool = False) -> list[np.ndarray]:
-    """Hashes of each text's subwords, or of its 3- and 4-grams only."""
-    kinds = [g for g in subwords(texts) if g.long or not long]
-    if not kinds:
-        return [np.zeros(0, np.uint64) for _ in texts]
-    text = np.concatenate([g.text for g in kinds])
-    order = np.argsort(text, kind="stable")
-    hashes = np.concatenate([g.hashes for g in kinds])[order]
-    return np.split(hashes, np.searchsorted(text[order], np.arange(1, len(texts))))
+def bags(texts: list[str], long: bool = False) -> Iterator[np.ndarray]:
+    """Hashes of each text's subwords, or of its 3- and 4-grams only; some texts at a time."""
+    for at in range(0, len(texts), BAG_TEXTS):
+        some = texts[at:at + BAG_TEXTS]
+        kinds = [g for g in subwords(some) if g.long or not long]
+        if not kinds:
+            yield from (np.zeros(0, np.uint64) for _ in some)
+            continue
+        text = np.concatenate([g.text for g in kinds])
+        order = np.argsort(text, kind="stable")
+        hashes = np.concatenate([g.hashes for g in kinds])[order]
+        for bag in np.split(hashes, np.searchsorted(text[order], np.arange(1, len(some)))):
+            yield bag.copy()
 
 
 def train(texts: list[str], labels: list[str], docs: list[str] | None = None, seed: int = SEED) -> LanguageModel:
@@ -290,7 +296,7 @@ def train(texts: list[str], labels: list[str], docs: list[str] | None = None, se
     grams, least_known = known_grams(texts, y, fit, held)
     if len(classes) < 2:
         return LanguageModel(classes, np.zeros((BUCKETS, 1)), np.zeros(1), grams=grams, least_known=least_known)
-    bag = [(b % np.uint64(BUCKETS)).astype(np.int64) for b in bags(texts)]
+    bag = [(b % np.uint64(BUCKETS)).astype(np.int32) for b in bags(texts)]
     fit = fit[[len(bag[r]) > 0 for r in fit]]
     held = held[[len(bag[r]) > 0 for r in held]] if len(held) else fit
     embedding = rng.normal(0, 0.1, (BUCKETS, DIM))
@@ -330,19 +336,22 @@ def train(texts: list[str], labels: list[str], docs: list[str] | None = None, se
 
 def known_grams(texts: list[str], y: np.ndarray, fit: np.ndarray, held: np.ndarray) -> tuple[np.ndarray, float]:
     """Bits of the 3- and 4-grams of the ``fit`` texts, and the least share of them that a text must have (see the module's text)."""
-    bag = bags(texts, long=True)
     if not len(fit):
         return np.zeros(0, np.uint8), 0.0
-    hashes = np.concatenate([bag[r] for r in fit])
-    grams, number = np.unique(hashes, return_inverse=True)
+    own = []  # the different n-grams of each class
+    for k in range(int(y.max()) + 1):
+        seen: set[int] = set()
+        for b in bags([texts[r] for r in fit if y[r] == k], long=True):
+            seen.update(b.tolist())
+        own.append(np.array(sorted(seen), dtype=np.uint64))
+    grams, classes_with = np.unique(np.concatenate(own), return_counts=True)
     if not len(held) or not len(grams):
         return bits_of(grams), 0.0
     # the class that alone has the n-gram, or -1
-    label = np.repeat(y[fit], [len(bag[r]) for r in fit])
-    low, high = np.full(len(grams), len(texts)), np.full(len(grams), -1)
-    np.minimum.at(low, number, label)
-    np.maximum.at(high, number, label)
-    owner = np.where(low == high, low, -1)
+    owner = np.full(len(grams), -1)
+    for k, g in enumerate(own):
+        owner[np.searchsorted(grams, g)] = k
+    owner[classes_with > 1] = -1
     rng = np.random.default_rng(SEED)
     shuffled = []
     for r in held:
@@ -359,8 +368,7 @@ def known_grams(texts: list[str], y: np.ndarray, fit: np.ndarray, held: np.ndarr
 
     clean, strange = [], []
     several = len(set(y.tolist())) > 1
-    for r, mess in zip(held, bags(shuffled, long=True)):
-        found = bag[r]
+    for r, found, mess in zip(held, bags([texts[r] for r in held], long=True), bags(shuffled, long=True)):
         if not len(found):
             continue
         at, met = place(found)
