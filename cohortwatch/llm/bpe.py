@@ -30,6 +30,8 @@ from cohortwatch.llm.common import importable, map_arrow, table
 
 # Bytes of encoded pieces kept by one Python worker, and what a piece takes beside its characters.
 CACHE_BYTES = 96_000_000
+# The same for rows of token ids, whose batches take more memory themselves.
+TOKENS_CACHE_BYTES = 40_000_000
 PIECE_BYTES = 200
 NO_RANK = 1 << 60
 
@@ -90,9 +92,10 @@ class PairTree:
 class _Pieces(dict):
     """Ids and tokens of pieces met, each a line; two generations, so that frequent pieces stay."""
 
-    def __init__(self, codec: BpeCodec):
+    def __init__(self, codec: BpeCodec, cache_bytes: int):
         super().__init__()
         self.codec = codec
+        self.most = cache_bytes
         self.before: dict[str, str] = {}
         self.held = 0
 
@@ -103,10 +106,10 @@ class _Pieces(dict):
             tokens = self.codec.tokens
             kept = " ".join(map(str, ids)) + "\n" + " ".join([tokens[i] for i in ids])
         size = PIECE_BYTES + len(piece) + len(kept)
-        if 2 * (self.held + size) > CACHE_BYTES:
+        if 2 * (self.held + size) > self.most:
             self.before, self.held = dict(self), 0
             self.clear()
-        if 2 * size <= CACHE_BYTES:
+        if 2 * size <= self.most:
             self[piece] = kept
             self.held += size
         return kept
@@ -115,7 +118,7 @@ class _Pieces(dict):
 class BpeCodec:
     """Encoder and decoder of a tokenizer file of kind BPE with word ends."""
 
-    def __init__(self, vocab_path: str):
+    def __init__(self, vocab_path: str, cache_bytes: int = CACHE_BYTES):
         with open(vocab_path, encoding="utf-8") as f:
             spec = json.load(f)
         model = spec["model"]
@@ -136,11 +139,12 @@ class BpeCodec:
         self.pieces_of = regex.compile(split["pattern"]["Regex"]).findall
         self.spaces = regex.compile(r"\s+")
         self.specials = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")")
-        self.known = _Pieces(self)
+        self.cache_bytes = cache_bytes
+        self.known = _Pieces(self, cache_bytes)
 
     def forget(self) -> None:
         """Drop the cached pieces."""
-        self.known = _Pieces(self)
+        self.known = _Pieces(self, self.cache_bytes)
 
     def merge(self, piece: str) -> list[int]:
         """Ids of one piece."""
@@ -200,8 +204,8 @@ class BpeCodec:
 
 
 @lru_cache(maxsize=2)
-def codec(vocab_path: str) -> BpeCodec:
-    return BpeCodec(vocab_path)
+def codec(vocab_path: str, cache_bytes: int = CACHE_BYTES) -> BpeCodec:
+    return BpeCodec(vocab_path, cache_bytes)
 
 
 def default_vocab() -> str:
@@ -239,7 +243,11 @@ def bpe_decode(docs: DataFrame, vocab_path: str, ids_col: str = "token_ids", out
 
 
 def bpe_digest(docs: DataFrame, vocab_path: str) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256 of every text: encode, then decode, in one pass."""
+    """doc_id, n_tokens, ids_sha256, decoded_sha256 of every text: encode, then decode, in one pass.
+
+    A null or empty text has no tokens and empty digests; repeated rows give equal rows; other
+    columns are ignored; an empty table gives an empty one.
+    """
     def digests(batch: pa.RecordBatch) -> dict:
         c = codec(vocab_path)
         rows = [c.encoded(t) for t in batch.column("text").to_pylist()]
@@ -254,9 +262,13 @@ def bpe_digest(docs: DataFrame, vocab_path: str) -> DataFrame:
 
 
 def bpe_tokens(docs: DataFrame, vocab_path: str) -> DataFrame:
-    """doc_id, source, lang, token_ids, n_tokens, decoded_sha256 of every row of ``docs``, in one pass."""
+    """doc_id, source, lang, token_ids, n_tokens, decoded_sha256 of every row of ``docs``, in one pass.
+
+    A null or empty text has no tokens, repeated rows equal ones; other columns are ignored; a text
+    of any length is encoded whole; an empty table gives an empty one.
+    """
     def tokens(batch: pa.RecordBatch) -> dict:
-        c = codec(vocab_path)
+        c = codec(vocab_path, TOKENS_CACHE_BYTES)
         rows = [c.encoded(t) for t in batch.column("text").to_pylist()]
         return {
             **{k: batch.column(k) for k in ("doc_id", "source", "lang")},
@@ -267,7 +279,7 @@ def bpe_tokens(docs: DataFrame, vocab_path: str) -> DataFrame:
 
     return map_arrow(docs.select("doc_id", "source", "lang", "text"), tokens,
                      "doc_id long, source string, lang string, token_ids array<int>, n_tokens long, decoded_sha256 string",
-                     done=lambda: codec(vocab_path).forget())
+                     done=lambda: codec(vocab_path, TOKENS_CACHE_BYTES).forget())
 
 
 def op10_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
