@@ -245,7 +245,7 @@ def bpe_decode(docs: DataFrame, vocab_path: str, ids_col: str = "token_ids", out
 def bpe_digest(docs: DataFrame, vocab_path: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 of every text: encode, then decode, in one pass.
 
-    A null or empty text has no tokens and empty digests; repeated rows give equal rows; other
+    A null or empty text has no tokens and the digests of the empty string; repeated rows give equal rows; other
     columns are ignored; an empty table gives an empty one.
     """
     def digests(batch: pa.RecordBatch) -> dict:
