@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from cohortwatch.llm.common import importable, map_arrow, table
 
 # Bytes of encoded pieces kept by one Python worker, and what a piece takes beside its characters.
-CACHE_BYTES = 96_000_000
+CACHE_BYTES = 200_000_000
 # The same for rows of token ids, whose batches take more memory themselves.
 TOKENS_CACHE_BYTES = 40_000_000
 PIECE_BYTES = 200
@@ -175,11 +175,15 @@ class BpeCodec:
                 put(left, rank_of((symbol[left], merged), NO_RANK))
         return [i for i in symbol if i >= 0]
 
-    def normalise(self, text: str) -> str:
-        text = self.spaces.sub(" ", text if text.isascii() else unicodedata.normalize("NFC", text))
+    def folded(self, text: str) -> str:
+        """The text in NFC and lower case; its white space stays, no piece holds any."""
+        text = text if text.isascii() else unicodedata.normalize("NFC", text)
         # lower case by code point: no final sigma
         return text.replace("Σ", "σ").lower()
 
+    def normalise(self, text: str) -> str:
+        return self.spaces.sub(" ", self.folded(text))
+
     def encoded(self, text: str | None) -> tuple[int, str, str]:
         """Number of tokens, ids joined by a space, and the decoded text."""
         found: list[str] = []
@@ -187,7 +191,7 @@ class BpeCodec:
             if part in self.special:
                 found.append(f"{self.special[part]}\n{part}")
             else:
-                found += map(self.known.__getitem__, self.pieces_of(self.normalise(part)))
+                found += map(self.known.__getitem__, self.pieces_of(self.folded(part)))
         if not found:
             return 0, "", ""
         lines = "\n".join(found).split("\n")

@@ -35,6 +35,19 @@ def test_bpe_equals_the_library(spark, docs, small_dir):
     assert got == sorted(want, key=str)
 
 
+def test_bpe_keeps_a_large_vocabulary_and_its_white_space():
+    """400,000 pieces met twice are merged once each; white space between pieces need not be folded first."""
+    codec = bpe.BpeCodec(bpe.default_vocab())
+    texts = ["a\u2003b \t\n c", "x\x1cy\x85z", "I'\u00a0m Σας\r\n", " \u2028 "]
+    assert [codec.pieces_of(codec.folded(t)) for t in texts] == [codec.pieces_of(codec.normalise(t)) for t in texts]
+    merged = []
+    codec.merge = lambda piece: merged.append(piece) or [0]
+    for _ in range(2):
+        for i in range(400_000):
+            codec.known[f"w{i}"]
+    assert len(merged) == 400_000
+
+
 def test_bpe_columns(spark, docs):
     coded = bpe.bpe_decode(bpe.bpe_encode(docs, bpe.default_vocab()), bpe.default_vocab())
     rows = coded.select("doc_id", "text", "token_ids", "decoded").collect()
