@@ -323,6 +323,24 @@ def test_merged_transforms_equal_counting():
         assert [x.tolist() for x in repeated(strings, window)] == want
 
 
+def test_only_stretches_that_may_repeat_are_sorted(monkeypatch):
+    """Windows with a symbol that occurs once are left out before the sort; short tails of stretches are no windows."""
+    from cohortwatch.llm import bwt_merge
+    random.seed(9)
+    plain = lambda n: bytes(random.randrange(256) for _ in range(n))
+    shared, near = plain(130), plain(100)
+    strings = [plain(3000) + shared + plain(500) + near, plain(900) + near + shared + near, plain(4000), b""]
+    sorted_ = []
+    real = bwt_merge.make_shard
+    monkeypatch.setattr(bwt_merge, "make_shard", lambda symbol, *rest: sorted_.append(len(symbol)) or real(symbol, *rest))
+    window = 3 * STEP
+    seen = Counter(s[i:i + window] for s in strings for i in range(len(s) - window + 1))
+    assert [x.tolist() for x in repeated(strings, window)] == [[seen[s[i:i + window]] > 1 for i in range(len(s) - window + 1)] for s in strings]
+    assert 0 < sum(sorted_) < 400
+    sorted_.clear()
+    assert not any(x.any() for x in repeated([plain(2000), plain(2000)], window)) and not sorted_
+
+
 # -- pipeline -----------------------------------------------------------------------------
 
 def test_pipeline_stages(spark, small_dir):
