@@ -3,10 +3,9 @@
 Samples are rows (ts, name, labels/series key, value). A range window over a series ("the last
 minute") is a window frame while every series has at most ``FRAME_ROWS`` samples, which bounds
 its partition and what a frame may hold. Where a series is larger, what the window holds is a difference of two running sums:
-up to the sample, and up to the last sample before the window. The sums come from
-``scan.ordered_scan`` and the second one is found by the as-of join, both of which deal a series
-over ranges of its own rows, so a burst, however short, is spread over many tasks and no row
-is copied into neighbouring windows.
+up to the sample, and up to the first sample of the window. Both are kept per range of the
+series' own rows and the second one is looked up in the range where the window starts, so a
+burst, however short, is spread over many tasks and no row is copied into neighbouring windows.
 """
 
 from __future__ import annotations
@@ -17,8 +16,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from cohortwatch.operators.asof import asof_join
+from cohortwatch.operators import scan
 from cohortwatch.operators.scan import ordered_scan
+from cohortwatch.operators.split import broadcast_if_small
+from cohortwatch.session import cut_lineage
 
 # Samples of a series up to which a range window is a frame; a frame is summed up anew for each row.
 FRAME_ROWS = 25_000
@@ -32,12 +33,57 @@ def _largest(df: DataFrame, series: Sequence[str]) -> int:
     return df.groupBy(*series).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
 
 
-def _sum_before(rows: DataFrame, series: Sequence[str], back: int, total: str) -> DataFrame:
-    """``rows`` (with __t, __o and a running sum ``total``) with ``__before``: the sum at the last sample earlier than ``back`` microseconds before."""
-    key = F.struct(*series)
-    asked = rows.withColumns({"__key": key, "__from": F.timestamp_micros(F.col("__t") - back - 1)})
-    known = rows.select(key.alias("__key"), F.timestamp_micros("__t").alias("__at"), F.col("__o").alias("__tie"), F.col(total).alias("__before"))
-    return asof_join(asked, known, "__key", "__from", "__at", ["__before"], tie_breaker="__tie").drop("__key", "__from", "__at")
+def _held(rows: DataFrame, series: Sequence[str], back: int, value: str | None) -> DataFrame:
+    """``rows`` (with __t) with ``__held``: the steps from the window's first sample on up to those of time __t.
+
+    The step into a sample is the increase of ``value`` since the one before it, or 1 without a
+    ``value``; the first sample of a window is that of least (time, value) among those of the last
+    ``back`` microseconds. Rows are dealt once by ranges of (series, time) and written with the
+    sums inside their range. A sample asks for the first time of its window in the range that
+    holds it, known from the ranges' last times, so a row is dealt once more, whatever the window holds.
+    """
+    many = -(-rows.count() // scan.RANGE_ROWS)
+    names = rows.columns
+    ordered = F.struct("__t", F.col(value).alias("v")) if value else F.struct("__t")
+    dealt = rows.withColumn("__o", ordered).repartitionByRange(many, *series, "__t").withColumn("__b", F.spark_partition_id())
+    inside = Window.partitionBy(*series, "__b").orderBy("__t", "__o")
+    dealt = dealt.withColumn("__step", F.coalesce(_step(F.lag(value).over(inside), F.col(value)), F.lit(0.0)) if value else F.lit(1).cast("long"))
+    dealt = dealt.withColumn("__sum", F.sum("__step").over(inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    instant = Window.partitionBy(*series, "__b", "__t").orderBy("__o")
+    dealt = dealt.withColumns({"__first": F.first("__sum").over(instant.rowsBetween(Window.unboundedPreceding, Window.currentRow)),
+                               "__rank": F.row_number().over(instant),
+                               "__upto": F.last("__sum").over(instant.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))})
+    # the ranges come from a sample: written, so that all that follows sees the same ones
+    dealt = cut_lineage(dealt.drop("__step", "__sum"))
+
+    # one row per range: its sums, what goes before it, and the times that it is asked for
+    ranges = dealt.groupBy(*series, "__b").agg(F.max("__t").alias("__hi"), F.min("__o").alias("__o0"), F.max("__o").alias("__o1"),
+                                               F.max_by("__upto", F.struct(F.col("__t"))).alias("__total"))
+    along = Window.partitionBy(*series).orderBy("__b")
+    ranges = ranges.withColumn("__into", F.coalesce(_step(F.lag("__o1.v").over(along), F.col("__o0.v")), F.lit(0.0)) if value else F.lit(0).cast("long"))
+    before = F.coalesce(F.sum("__total").over(along.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    ranges = ranges.withColumns({"__off": before + F.sum("__into").over(along), "__lo": F.lag("__hi").over(along), "__t0": F.col("__o0.__t")})
+    ranges = cut_lineage(ranges.select(*series, "__b", "__hi", "__lo", "__t0", "__off"))
+    mine, asked = ranges.alias("m"), ranges.alias("a")
+    same = [F.col(f"m.{c}").eqNullSafe(F.col(f"a.{c}")) for c in series]
+    # windows of a range start from m.__t0 - back to m.__hi - back; those of rows without a time in the range itself
+    meets = (F.col("a.__b") == F.col("m.__b")) | ((F.col("a.__hi") >= F.col("m.__t0") - back) & (F.col("a.__lo").isNull() | (F.col("a.__lo") < F.col("m.__hi") - back)))
+    pairs = mine.join(asked, [*same, F.col("a.__b") <= F.col("m.__b"), meets]).select(
+        *[F.col(f"m.{c}").alias(f"__s{i}") for i, c in enumerate(series)], F.col("m.__b").alias("__mb"), F.col("a.__b").alias("__ab"),
+        F.col("a.__hi").alias("__ahi"), F.col("a.__lo").alias("__alo"),
+        F.when(F.col("m.__b") == F.col("a.__b"), F.lit(0)).otherwise(F.col("m.__off") - F.col("a.__off")).alias("__gap"))
+    to = [F.col("__b") == F.col("__mb")] + [F.col(c).eqNullSafe(F.col(f"__s{i}")) for i, c in enumerate(series)]
+    start = F.col("__t") - back
+    here = F.when(F.col("__t").isNull(), F.col("__ab") == F.col("__b")).otherwise(
+        (F.col("__ahi") >= start) & (F.col("__alo").isNull() | (F.col("__alo") < start)))
+    asks = dealt.join(broadcast_if_small(pairs), [*to, here]).select(
+        *series, F.col("__ab").alias("__in"), start.alias("__at"), F.lit(0).alias("__side"), F.struct(*names).alias("__row"),
+        (F.col("__upto") + F.col("__gap")).alias("__upto"))
+    known = dealt.where("__rank = 1").select(*series, F.col("__b").alias("__in"), F.col("__t").alias("__at"), F.lit(1).alias("__side"), F.col("__first").alias("__known"))
+    # backwards in time, the last known one is the first at or after what is asked for
+    back_on = Window.partitionBy(*series, "__in").orderBy(F.desc("__at"), F.desc("__side")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    met = asks.unionByName(known, allowMissingColumns=True).withColumn("__known", F.last("__known", ignorenulls=True).over(back_on))
+    return met.where("__side = 0").select("__row.*", (F.col("__upto") - F.col("__known")).alias("__held"))
 
 
 def counter_rate(df: DataFrame, series: Sequence[str], ts: str, value: str, range_seconds: int = 60) -> DataFrame:
@@ -58,15 +104,7 @@ def counter_rate(df: DataFrame, series: Sequence[str], ts: str, value: str, rang
         first = F.min_by(F.coalesce("__inc", F.lit(0.0)), F.struct("__t", value)).over(wr)
         rows = rows.withColumn("increase", F.coalesce(F.sum("__inc").over(wr), F.lit(0.0)) - first).drop("__inc")
     else:
-        # __o orders the samples; a sample carries the step to the next one
-        rows = rows.withColumn("__o", F.struct("__t", F.col(value).alias("v")))
-        rows = ordered_scan(rows, series, "__o", [], next_col="__next").withColumn("__inc", F.coalesce(_step(F.col(value), F.col("__next.v")), F.lit(0.0)))
-        upto = ordered_scan(rows.drop("__next"), series, "__o", ["__inc"], next_col="__next").drop("__next")
-        # a running sum without the sample's own step has all steps up to it
-        upto = _sum_before(upto, series, back, "cum___inc")
-        last = upto.groupBy(*[F.col(c).alias(f"__s{i}") for i, c in enumerate(series)], F.col("__t").alias("__lt")).agg(F.max(F.col("cum___inc") - F.col("__inc")).alias("__upto"))
-        same = [F.col("__t") == F.col("__lt")] + [F.col(c).eqNullSafe(F.col(f"__s{i}")) for i, c in enumerate(series)]
-        rows = upto.join(last, same).withColumn("increase", F.col("__upto") - F.coalesce("__before", F.lit(0.0)))
+        rows = _held(rows, series, back, value).withColumnRenamed("__held", "increase")
     out = rows.select(*df.columns, "increase")
     return out.withColumn("rate", F.col("increase") / float(range_seconds))
 
@@ -83,9 +121,7 @@ def window_count_rate(df: DataFrame, series: Sequence[str], ts: str, range_secon
         wr = Window.partitionBy(*series).orderBy("__t").rangeBetween(-back, 0)
         rows = rows.withColumn("n_window", F.count(F.lit(1)).over(wr))
     else:
-        rows = rows.withColumns({"__one": F.lit(1).cast("long"), "__o": F.col("__t")})
-        upto = ordered_scan(rows, series, "__t", ["__one"], next_col="__next", peers=True).drop("__next")
-        rows = _sum_before(upto, series, back, "cum___one").withColumn("n_window", F.col("cum___one") - F.coalesce("__before", F.lit(0)))
+        rows = _held(rows, series, back, None).withColumn("n_window", F.col("__held") + 1)
     return rows.select(*df.columns, "n_window").withColumn("per_second", F.col("n_window") / float(range_seconds))
 
 

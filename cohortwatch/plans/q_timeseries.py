@@ -48,7 +48,8 @@ FROM (SELECT event_id, event_type, COALESCE(sum(inc) OVER w, 0) AS inc_sum, firs
       WINDOW w AS (PARTITION BY event_type ORDER BY ts RANGE BETWEEN INTERVAL 60 SECONDS PRECEDING AND CURRENT ROW))
 """)
 def q_counter_rate(spark, sf_dir):
-    out = TS.counter_rate(_events(spark, sf_dir), ["event_type"], "ts", "value", 60)
+    samples = _events(spark, sf_dir).select("event_id", "event_type", "ts", "value")
+    out = TS.counter_rate(samples, ["event_type"], "ts", "value", 60)
     return out.select("event_id", "event_type", r6("increase").alias("increase"), r6("rate").alias("rate"))
 
 
@@ -57,7 +58,8 @@ SELECT event_id, event_type, count(*) OVER w AS n_window, round(count(*) OVER w
 FROM events WINDOW w AS (PARTITION BY event_type ORDER BY ts RANGE BETWEEN INTERVAL 60 SECONDS PRECEDING AND CURRENT ROW)
 """)
 def q_throughput(spark, sf_dir):
-    out = TS.window_count_rate(_events(spark, sf_dir), ["event_type"], "ts", 60)
+    samples = _events(spark, sf_dir).select("event_id", "event_type", "ts")
+    out = TS.window_count_rate(samples, ["event_type"], "ts", 60)
     return out.select("event_id", "event_type", "n_window", r6("per_second").alias("per_second"))
 
 
