@@ -79,10 +79,12 @@ def cross_scores(df: DataFrame, feature_cols: Sequence[str], label: str, fold_co
 
     Features are assembled once and written; the fits of all estimators and folds run
     ``parallelism`` at a time (default: the cluster's default parallelism), and what they score
-    is one table, so that all metrics of all of them are one grouped job.
+    is one table, so that all metrics of all of them are one grouped job. Each fold's rows are
+    written by themselves as well, so that a fit scores its fold without reading the others.
     """
     vectors = VectorAssembler(inputCols=list(feature_cols), outputCol="__raw", handleInvalid="keep").transform(df)
     vectors = cut_lineage(vectors.select(F.col(label).cast("double").alias(label), F.col(fold_col).alias("fold"), "__raw"))
+    held = [cut_lineage(vectors.where(F.col("fold") == fold)) for fold in range(n_folds)]
 
     def scored(job):
         name, (est, scale), fold = job
@@ -90,7 +92,7 @@ def cross_scores(df: DataFrame, feature_cols: Sequence[str], label: str, fold_co
         est = est.copy({est.featuresCol: FEATURES if scale else "__raw"})
         model = Pipeline(stages=[*stages, est]).fit(vectors.where(F.col("fold") != fold))
         raw = vector_to_array(F.col("rawPrediction"))[1]
-        return model.transform(vectors.where(F.col("fold") == fold)).select(
+        return model.transform(held[fold]).select(
             F.lit(name).alias("model"), "fold", F.col(label).cast("int").alias("label"), raw.alias("score"))
 
     jobs = [(name, est, fold) for name, est in estimators.items() for fold in range(n_folds)]
@@ -116,15 +118,21 @@ def random_search(df: DataFrame, feature_cols: Sequence[str], label: str, fold_c
                   n_iter: int = 25, seed: int = 42, parallelism: int | None = None) -> tuple[DataFrame, dict]:
     """Seeded draws from a grid, cross-validated; keep the untuned model if no draw beats it.
 
-    Returns the per-draw table (draw, params, auc) and the chosen parameters.
+    Returns the per-draw table (draw, params, auc) and the chosen parameters. Draws that are the same
+    model share its fits: equal ones, and those that differ in how no penalty is shared out.
     """
     rng = random.Random(seed)
     est = LogisticRegression(labelCol=label, featuresCol=FEATURES)
     keys = sorted(grid)
     draws = [{}] + [{k: rng.choice(grid[k]) for k in keys} for _ in range(n_iter)]
-    tuned = {str(i): (est.copy({getattr(est, k): v for k, v in d.items()}), False) for i, d in enumerate(draws)}
+    same: dict[tuple, list[int]] = {}
+    for i, d in enumerate(draws):
+        unpenalised = d.get("regParam", est.getRegParam()) == 0.0
+        same.setdefault(tuple((k, v) for k, v in d.items() if not (unpenalised and k == "elasticNetParam")), []).append(i)
+    tuned = {str(of[0]): (est.copy({getattr(est, k): v for k, v in draws[of[0]].items()}), False) for of in same.values()}
     metrics = cross_metrics(cross_scores(df, feature_cols, label, fold_col, n_folds, tuned, parallelism))
-    auc = {int(r["model"]): float(r["auc"]) for r in metrics.collect()}  # one row a draw
+    fitted = {int(r["model"]): float(r["auc"]) for r in metrics.collect()}  # one row a model
+    auc = {i: fitted[of[0]] for of in same.values() for i in of}
     best = max(auc, key=lambda i: (auc[i], -i))
     rows = [(i, ", ".join(f"{k}={d[k]}" for k in keys) if i else "untuned", auc[i]) for i, d in enumerate(draws)]
     return df.sparkSession.createDataFrame(rows, "draw int, params string, auc double"), draws[best]

@@ -181,3 +181,21 @@ def test_compiled_trees_score_like_the_model(spark, small_dir):
     assert theirs.select("prediction", *keys).exceptAll(ours.select("prediction", *keys)).count() == 0
     told = dict(duckdb.sql(f"SELECT id, {trees.probability_sql(ensemble)} FROM frame").fetchall())
     assert all(abs(told[r.id] - r.probability) < 1e-9 for r in theirs.collect())
+
+
+def test_random_search_fits_the_same_model_once_and_scores_held_rows_only(spark, monkeypatch):
+    """Draws without a penalty differ in nothing; a fold is scored from its own rows, and every row once a model."""
+    from cohortwatch.operators import model as ML
+    rows = [(float(i % 7), float(i % 5), int(i % 3 == 0), i % 2) for i in range(120)]
+    df = spark.createDataFrame(rows, "a double, b double, y int, fold int")
+    fitted, cut = [], []
+    scores, lineage = ML.cross_scores, ML.cut_lineage
+    monkeypatch.setattr(ML, "cross_scores", lambda *a: fitted.append((sorted(a[5]), a)) or scores(*a))
+    monkeypatch.setattr(ML, "cut_lineage", lambda d: cut.append(lineage(d)) or cut[-1])
+    table, _ = ML.random_search(df, ["a", "b"], "y", "fold", 2, {"regParam": [0.0], "elasticNetParam": [0.0, 0.5, 1.0], "maxIter": [4]}, n_iter=6)
+    got = table.orderBy("draw").collect()
+    assert [r["draw"] for r in got] == list(range(7)) and len({r["auc"] for r in got[1:]}) == 1
+    assert fitted[0][0] == ["0", "1"]
+    assert sorted(d.count() for d in cut[:3]) == [60, 60, 120]
+    out = scores(*fitted[0][1])
+    assert {(r["model"], r["fold"]): r["count"] for r in out.groupBy("model", "fold").count().collect()} == {(m, f): 60 for m in "01" for f in (0, 1)}
