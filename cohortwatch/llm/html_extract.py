@@ -24,6 +24,7 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass, field
 from html.parser import HTMLParser
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -341,9 +342,16 @@ def extract(html: str | None) -> str:
 
 
 def unmarked_menus(lines: list[Line], kept: list[int], smooth: np.ndarray, cut: float) -> set[int]:
-    """Lines of runs of at least two links below the threshold."""
-    low = [bool(smooth[i] < cut and lines[i].linked >= LINKED * len(lines[i].text)) for i in kept]
-    return {i for n, i in enumerate(kept) if low[n] and (n and low[n - 1] or n + 1 < len(low) and low[n + 1])}
+    """Lines of runs of at least two links below the threshold, and the links beside them if most of their run is below it."""
+    found: set[int] = set()
+    for link, run in groupby(kept, lambda i: lines[i].linked >= LINKED * len(lines[i].text)):
+        if not link:
+            continue
+        menu = list(run)
+        low = [bool(smooth[i] < cut) for i in menu]
+        below = {i for n, i in enumerate(menu) if low[n] and (n and low[n - 1] or n + 1 < len(low) and low[n + 1])}
+        found |= set(menu) if below and 2 * sum(low) > len(menu) else below
+    return found
 
 
 def _inside(parser: LineParser, root: int, chosen: set[int]) -> bool:
